@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import split, tokenize
+from foliospark.llm import lookalike, split, tokenize
 from foliospark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,9 +25,21 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir, True)
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.found(table(spark, sf_dir, "document_blocks"), table(spark, sf_dir, "courses"))
+
+
+def p4_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.consistent_names(table(spark, sf_dir, "courses"), table(spark, sf_dir, "course_names"))
+
+
+def p4_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.fold_table(table(spark, sf_dir, "document_blocks"), "block_uid", "raw_content")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p6_ids": p6_ids}
+QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids}
 ORACLE: dict[str, str] = {}

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed value: the white space characters of Unicode, and the four separators that count as white space in most runtimes.
-WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0                　"
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Strengths of a cut: inside a character with its marks, between two characters, after a blank, a clause, a sentence, a line, a paragraph.
 INSIDE, BETWEEN, BLANK, CLAUSE, SENTENCE, LINE, PARAGRAPH = range(7)
 #: Characters of one sparse table; longer texts are worked through table by table, so memory does not follow the text's length.
@@ -33,7 +33,7 @@ def _classes() -> np.ndarray:
         if unicodedata.category(chr(c)) in ("Mn", "Me", "Mc") or c in (0x200D, 0xFE0F):
             kinds[c] = 5
     kinds[[ord(c) for c in WHITE]] = 1
-    kinds[[ord(c) for c in "\n  "]] = 2
+    kinds[[ord(c) for c in "\n\u2028\u2029"]] = 2
     kinds[[ord(c) for c in ",;:，；：、"]] = 3
     kinds[[ord(c) for c in ".!?…。！？"]] = 4
     return kinds
