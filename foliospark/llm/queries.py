@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import lookalike, split, tokenize
+from foliospark.llm import lookalike, quality, split, tokenize
 from foliospark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,14 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir, True)
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.found(table(spark, sf_dir, "document_blocks"))
+
+
+def p3_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.document_stats(table(spark, sf_dir, "document_blocks"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.found(table(spark, sf_dir, "document_blocks"), table(spark, sf_dir, "courses"))
 
@@ -41,5 +49,5 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids}
+QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_stats": p3_stats, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids}
 ORACLE: dict[str, str] = {}
