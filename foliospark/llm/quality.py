@@ -48,9 +48,10 @@ def _line(counts: list[int], chars: int, nonspace: int, words: int, word_chars:
     ends = last in _END
     counts[5] += 1
     counts[6] += ends
-    if bars >= 2 or gaps >= 2 or (gaps == 1 and nonspace <= SHORT_LINE):
-        counts[8] += nonspace
-    elif _ITEM.match(opening) or (commas >= 2 and common <= words * 0.15 and words and word_chars >= 0.7 * nonspace and not ends) or (nonspace <= SHORT_LINE and not ends and last not in ",-¬­" and words and word_chars >= 0.7 * nonspace and not opening[0].islower()):
+    fields = commas >= 2 and common <= words * 0.15 and not ends
+    if bars >= 2 or gaps >= 2 or (gaps == 1 and nonspace <= SHORT_LINE) or (fields and word_chars <= 2.7 * words):
+        counts[8] += nonspace  # cells; of fields between commas those that are mostly numbers
+    elif _ITEM.match(opening) or (fields and words and word_chars >= 0.7 * nonspace) or (nonspace <= SHORT_LINE and not ends and last not in ",-¬­" and words and word_chars >= 0.7 * nonspace and not opening[0].islower()):
         counts[7] += nonspace
     elif (common >= max(1, words * 0.08) or nonspace <= SHORT_LINE and words) and word_chars >= 0.6 * nonspace:
         counts[9] += nonspace  # a short line that goes on in lower case is a wrapped one
