@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import lookalike, quality, split, tokenize
+from foliospark.llm import lookalike, quality, scan, split, tokenize
 from foliospark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def _pieces(spark: SparkSession, sf_dir: str, with_text: bool) -> DataFrame:
     return split.split_items(items, table(spark, sf_dir, "split_limits"), with_text)
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.found(table(spark, sf_dir, "document_blocks"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir, False).where("piece_no = 2").select("item_kind", "item_id")
 
@@ -49,5 +53,5 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_stats": p3_stats, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_stats": p3_stats, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids}
 ORACLE: dict[str, str] = {}
