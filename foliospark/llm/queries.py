@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import lookalike, quality, scan, split, tokenize
+from foliospark.functions.scale import cut
+from foliospark.llm import lookalike, mixture, quality, reading, scan, split, tokenize
 from foliospark.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,5 +54,21 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.encode_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_stats": p3_stats, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids}
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mix(cut(mixture.sized(table(spark, sf_dir, "documents"))), table(spark, sf_dir, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.shares(mixture.sized(table(spark, sf_dir, "documents")), table(spark, sf_dir, "mix_targets"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading.found(table(spark, sf_dir, "documents"), table(spark, sf_dir, "level_labels"))
+
+
+def p8_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reading.levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "level_labels"))
+
+
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_stats": p3_stats, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_levels": p8_levels}
 ORACLE: dict[str, str] = {}
