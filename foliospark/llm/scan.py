@@ -29,9 +29,8 @@ GLYPHS, CLASSES = "0o1il!|5s9gq6b8hce", "ooLLLLLssgggbbbbcc"
 #: Letters that are read as two others.
 DOUBLES = (("m", "rn"), ("d", "cL"), ("w", "vv"), ("u", "LL"))
 HYPHENS = "-‐‑¬\xad"
-#: A word for the glyph groups: letters and digits, between blanks, hyphens and plain punctuation.
-WORD = r"(?<![^\s(\[\"'“‘\-‐–—,;:])[\p{L}\p{N}]++(?![^\s)\]\"'”’.,;:!?…\-‐‑¬\xad–—])"
-COMPOUND = r"(?<![\p{L}\p{M}\p{N}-])\p{L}++(?:-\p{L}++)++(?![\p{L}\p{M}\p{N}-])"
+#: A printed word: letters and digits, possibly with hyphens inside, in plain punctuation.
+PLAIN = r"^[(\[\"'“‘–—]*+([\p{L}\p{N}]++(?:[-‐][\p{L}\p{N}]++)*+)[)\]\"'”’.,;:!?…–—]*+$"
 TEXT_TYPES = ("text", "unknown")
 ROMAN = "ivxlcdm"
 
@@ -52,8 +51,8 @@ class Settings:
     head_share: float = 0.3
     #: Lines at each edge of a page that can be heads and page numbers.
     edge_lines: int = 2
-    #: Most frequent forms that every task keeps to pass by the bulk of the text: at most this many short strings (about 1 MB); rarer ones are joined by shuffle.
-    passed_forms: int = 20_000
+    #: Most frequent tokens that every task keeps to pass by the bulk of the text: at most this many short strings (about 1 MB); rarer ones are joined by shuffle.
+    passed_tokens: int = 20_000
     #: Parts that a document's heads are spread over in joins.
     salts: int = 16
 
@@ -70,31 +69,23 @@ def _marks(text: Column) -> Column:
     return F.translate(text, MARKED.upper() + MARKED, BASE + BASE)
 
 
-def _nonblank(line: Column) -> Column:
-    return F.length(F.trim(F.regexp_replace(line, r"[\s\p{Z}]+", " "))) > 0
-
-
-def _lines(blocks: DataFrame) -> DataFrame:
-    return blocks.select("*", F.posexplode(F.split("raw_content", "\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
-
-
 def edge_lines(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The non-blank lines nearest to the top (zone T) and bottom (zone B) of each page, with their ``place`` from the edge.
 
-    Only the first and last lines of each block reach the shuffle by page; a
-    repeated delivery has the same places.
+    Only the first and last lines of each block reach the shuffle by page, and
+    of lines that cannot be a head or number (too long, or going on in small
+    letters) only their places; a repeated delivery has the same places.
     """
     k = settings.edge_lines
-    numbered = F.filter(F.transform(F.split("raw_content", "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), F.substring(F.rtrim(x), 1, 160).alias("line"))), lambda x: F.length(F.trim(x["line"])) > 0)
+    numbered = F.filter(F.transform(F.split("raw_content", "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), F.trim(x).alias("line"))), lambda x: x["line"] != "")
     own = blocks.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", numbered.alias("lines"))
-    own = own.select("*", F.array_distinct(F.concat(F.slice("lines", 1, k), F.reverse(F.slice(F.reverse("lines"), 1, k)))).alias("edges")).drop("lines")
-    own = own.select("*", F.explode("edges").alias("e")).select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", "e.line_no", "e.line")
-    own = own.repartition("doc", "page")
-    out = None
-    for zone, order in (("T", (F.col("block_id").asc(), F.col("line_no").asc())), ("B", (F.col("block_id").desc(), F.col("line_no").desc()))):
-        ranked = own.withColumn("place", F.dense_rank().over(Window.partitionBy("doc", "page").orderBy(*order))).where(F.col("place") <= k).withColumn("zone", F.lit(zone))
-        out = ranked if out is None else out.unionByName(ranked)
-    return out
+    own = own.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", F.explode(F.when(F.size("lines") <= 2 * k, F.col("lines")).otherwise(F.concat(F.slice("lines", 1, k), F.slice("lines", -k, k)))).alias("e"))
+    useless = (F.length("e.line") > 120) | (F.col("e.line").rlike(r"^\p{Ll}") & (F.length("e.line") > 14))
+    own = own.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", "e.line_no", F.when(~useless, F.col("e.line")).alias("line")).repartition("doc", "page")
+    by = Window.partitionBy("doc", "page")
+    ranked = own.withColumn("top", F.dense_rank().over(by.orderBy("block_id", "line_no"))).withColumn("bottom", F.dense_rank().over(by.orderBy(F.desc("block_id"), F.desc("line_no")))).where((F.col("top") <= k) | (F.col("bottom") <= k))
+    zones = F.filter(F.array(F.struct(F.lit("T").alias("zone"), F.col("top").alias("place")), F.struct(F.lit("B").alias("zone"), F.col("bottom").alias("place"))), lambda z: z["place"] <= k)
+    return ranked.select("doc", "page", "block_uid", "block_type", "heading_level", "line_no", "line", F.explode(zones).alias("z")).select("doc", "page", "block_uid", "block_type", "heading_level", "line_no", "line", "z.zone", "z.place")
 
 
 def _number(line: Column) -> tuple[Column, Column, Column]:
@@ -123,11 +114,13 @@ def heads_and_numbers(blocks: DataFrame, settings: Settings = Settings()) -> Dat
     lower = F.lower(F.col("line"))
     letters = F.regexp_replace(F.regexp_replace(_marks(lower), r"(?<!\S)[^\p{L}\s]+(?!\S)", " "), r"[^\p{L}\p{N}]+", "")
     numbers = F.size(F.regexp_extract_all("line", F.lit(r"(?<!\S)[^\p{L}\s]*\p{N}[^\p{L}\s]*(?!\S)"), 0))
-    edges = edge_lines(blocks, settings).select(
+    line = F.coalesce("line", F.lit(""))
+    edges = edge_lines(blocks, settings).withColumn("line", line).select(
         "doc", "page", "block_uid", "line_no", "zone", "place", "block_type", "heading_level", value.alias("value"), style.alias("style"), marked.alias("marked"), skeleton(letters).alias("key"),
         ((F.char_length("line") <= 120) & (F.length(letters) >= 4) & (numbers <= 1) & ~F.col("line").rlike(r"^\s*(?:[•◦▪*+‣]|[-–]\s|\(?(?:\d{1,3}|[A-Za-z])[.)]\s|#)") & ~F.col("line").rlike(r"[.,;:!?-]\s*$") & ~F.col("line").rlike(r"\t|\|.*\|")).alias("fit"),
+        F.pmod("page", F.lit(settings.salts)).alias("salt"),
     )
-    edges = edges.withColumn("salt", F.pmod("page", F.lit(settings.salts)))
+    edges = cut(edges)  # a few narrow rows per page, used four times
     own = F.col("heading_level").isNull() & F.col("block_type").isin(*TEXT_TYPES)
     # one row for each doc, zone and masked line of a page, then counted over pages
     keyed = edges.where(F.col("fit") & (own | (F.col("heading_level") == 1)))
@@ -145,128 +138,145 @@ def heads_and_numbers(blocks: DataFrame, settings: Settings = Settings()) -> Dat
     return head_rows.unionByName(number_rows).distinct()
 
 
-def words(blocks: DataFrame) -> DataFrame:
-    """Words and compounds of the corpus: form (lower case), n (blocks it stands in; a repeated delivery counts again), n_lower (those with it in lower case).
+def tokens(blocks: DataFrame) -> DataFrame:
+    """Tokens between blanks of the corpus: token, n (blocks it stands in; a repeated delivery counts again).
 
-    The form ``''`` counts the blocks.  Distinct forms of a block are counted by
-    partial aggregation, so a frequent word is no hot key.
+    The distinct tokens of a block are counted by partial aggregation, so a
+    frequent word is no hot key; all further work on words is done once per
+    distinct token.  The token ``''`` counts the blocks.
     """
-    found = F.array_distinct(F.concat(F.regexp_extract_all("raw_content", F.lit(WORD), 0), F.regexp_extract_all("raw_content", F.lit(COMPOUND), 0), F.array(F.lit(""))))
-    each = blocks.where(F.col("raw_content").isNotNull()).select(F.explode(found).alias("w")).where(F.length("w") <= 64)
-    return each.groupBy(F.lower("w").alias("form")).agg(F.count("*").alias("n"), F.count_if(F.col("w") == F.lower("w")).alias("n_lower"))
+    found = F.array_distinct(F.split(F.concat(F.lit(" "), F.translate("raw_content", "\n\t\r", "   ")), " "))
+    each = blocks.where(F.col("raw_content").isNotNull()).select(F.explode(found).alias("token"))
+    return each.where(F.length("token") <= 64).groupBy("token").agg(F.count("*").alias("n"))
 
 
-def frequent_forms(known: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The frequent forms: form, n, key.  Letters only, three of ten times in lower case at least."""
-    blocks = known.where(F.col("form") == "").select(F.col("n").alias("blocks"))
-    likely = known.where((F.col("n") >= settings.frequent_least) & F.col("form").rlike(r"^\p{L}{2,}$") & (F.col("n_lower") >= settings.lower_share * F.col("n")))
-    # the number of blocks is a single row
-    return likely.join(F.broadcast(blocks)).where(F.col("n") >= settings.frequent_share * F.col("blocks")).select("form", "n", skeleton(F.col("form")).alias("key"))
+def words(known_tokens: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Words and compounds: form (lower case), n, key (skeleton), frequent (whether it is a frequent form)."""
+    core = F.regexp_extract("token", PLAIN, 1)
+    cores = known_tokens.select(core.alias("core"), "n").where(F.col("core").rlike(r"\p{L}"))
+    parts = F.when(F.col("core").contains("-"), F.concat(F.array("core"), F.split("core", "-"))).otherwise(F.array("core"))
+    each = cores.select(F.explode(parts).alias("w"), "n")
+    counts = each.groupBy(F.lower("w").alias("form")).agg(F.sum("n").alias("n"), F.sum(F.when(F.col("w") == F.lower("w"), F.col("n")).otherwise(0)).alias("n_lower"))
+    total = known_tokens.where(F.col("token") == "").agg(F.max("n").alias("n")).first()["n"] or 0  # one number
+    least = max(settings.frequent_least, settings.frequent_share * total)
+    frequent = (F.col("n") >= least) & F.col("form").rlike(r"^\p{L}{2,}$") & (F.col("n_lower") >= settings.lower_share * F.col("n"))
+    return counts.select("form", "n", skeleton(F.col("form")).alias("key"), frequent.alias("frequent"))
 
 
-def corrections(known: DataFrame, frequent: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def corrections(known: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """wrong, right, n_right: each rare form with the frequent forms of its glyph group."""
-    rare = known.where(F.col("form").rlike(r"^[\p{L}\p{N}]{2,40}$") & F.col("form").rlike(r"\p{L}")).select(F.col("form").alias("wrong"), F.col("n").alias("n_wrong"), skeleton(F.col("form")).alias("key"))
-    pairs = rare.join(frequent.select(F.col("form").alias("right"), F.col("n").alias("n_right"), "key"), "key")
+    rare = known.where(F.col("form").rlike(r"^[\p{L}\p{N}]{2,40}$") & ~F.col("form").rlike(r"^\p{N}+$")).select(F.col("form").alias("wrong"), F.col("n").alias("n_wrong"), "key")
+    pairs = rare.join(known.where("frequent").select(F.col("form").alias("right"), F.col("n").alias("n_right"), "key"), "key")
     times = F.when(F.col("wrong").rlike(r"\d") | (F.col("n_wrong") == 1), settings.times).otherwise(settings.times_letters)
     return pairs.where((F.col("wrong") != F.col("right")) & (F.col("n_right") >= times * F.col("n_wrong"))).select("wrong", "right", "n_right")
 
 
-def misread_words(blocks: DataFrame, known: DataFrame, frequent: DataFrame, fixes: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """block_uid, line_no, place (of the word in its line), wrong, right, n_right of every wrongly read word that its neighbours support.
+def wrong_tokens(known_tokens: DataFrame, fixes: DataFrame) -> DataFrame:
+    """token, wrong, right, n_right: the corpus's tokens with a form to correct (a token with a hyphen at its end is half a word and has none)."""
+    core = F.regexp_extract("token", PLAIN, 1)
+    parts = known_tokens.select("token", F.explode(F.split(core, "-")).alias("w")).where(F.col("w").rlike(r"\p{L}") & ~F.col("w").rlike(r"^\p{Lu}+\d+$|^\p{L}\d$"))
+    return parts.select("token", F.lower("w").alias("wrong")).join(fixes, "wrong").select("token", "wrong", "right", "n_right")
 
-    The most frequent forms (a bounded list that every task keeps) are passed by
-    where the text is; only the other words are joined with the corrections.
-    """
-    passed = known.where((F.col("form") != "") & (F.col("n") >= settings.frequent_least)).orderBy(F.desc("n"), "form").limit(settings.passed_forms).join(fixes.select(F.col("wrong").alias("form")), "form", "left_anti").select("form")
-    lines = _lines(blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select("block_uid", "raw_content")).select("block_uid", "line_no", "line")
-    toks = lines.select("block_uid", "line_no", F.col("line").rlike(rf"[{HYPHENS}]\s*$").alias("broken"), F.regexp_extract_all(F.col("line"), F.lit(WORD), 0).alias("t"))
-    each = toks.select("block_uid", "line_no", F.when(F.col("broken"), F.size("t") - 1).alias("half"), F.posexplode(F.transform("t", lambda x, i: F.struct(x.alias("w"), F.lower(F.get("t", i - 1)).alias("before"), F.lower(F.get("t", i + 1)).alias("after")))).alias("place", "s"))
-    each = each.select("block_uid", "line_no", "place", F.col("half").eqNullSafe(F.col("place")).alias("half"), F.col("s.w").alias("w"), F.lower("s.w").alias("wrong"), F.col("s.before").alias("before"), F.col("s.after").alias("after"))
-    each = each.where(F.col("w").rlike(r"\p{L}") & (F.length("w") >= 2) & ~F.col("w").rlike(r"^\p{Lu}+\d+$|^\p{L}\d$"))
-    odd = each.join(F.broadcast(passed.withColumnRenamed("form", "wrong")), "wrong", "left_anti")
-    hits = odd.join(fixes, "wrong")
-    names = frequent.select(F.col("form").alias("near"))
-    # a neighbour that is itself a frequent word supports the reading
-    near = hits.select("*", F.explode(F.filter(F.array("before", "after"), lambda x: x.isNotNull())).alias("near")).join(names, "near", "left_semi")
-    return near.select("block_uid", "line_no", "place", "half", "wrong", "right", "n_right", "before", "after").distinct()
 
+def misread_words(blocks: DataFrame, known_tokens: DataFrame, known: DataFrame, wrong: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """block_uid, line_no, place (of the token in its line), token, wrong, right, n_right, before, after of every wrongly read word with a frequent word beside it.
 
-def whole_words_only(misread: DataFrame, hyphens: DataFrame) -> DataFrame:
-    """``misread`` without the halves of hyphenated words."""
-    first = hyphens.select("block_uid", "line_no", F.lit(True).alias("half"))
-    second = hyphens.select(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no"), F.lit(0).alias("place"))
-    return misread.join(first, ["block_uid", "line_no", "half"], "left_anti").join(second, ["block_uid", "line_no", "place"], "left_anti")
+    The most frequent tokens (a bounded list that every task keeps) are passed by
+    where the text is; only the others are joined with the tokens to correct.
+    """
+    passed = known_tokens.where(F.col("n") >= settings.frequent_least).orderBy(F.desc("n"), "token").limit(settings.passed_tokens).select("token").join(wrong.select("token"), "token", "left_anti")
+    lines = blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select("block_uid", F.posexplode(F.split("raw_content", "\n")).alias("line_no", "line"))
+    split = lines.select("block_uid", (F.col("line_no") + 1).alias("line_no"), F.filter(F.split(F.translate("line", "\t\r", "  "), " "), lambda x: x != "").alias("t"))
+    each = split.select("block_uid", "line_no", F.posexplode("t").alias("place", "token"), "t")
+    odd = each.join(F.broadcast(passed), "token", "left_anti").select("block_uid", "line_no", "place", "token", F.get("t", F.col("place") - 1).alias("before"), F.get("t", F.col("place") + 1).alias("after"))
+    hits = odd.join(wrong, "token")
+    # a neighbour that is itself a frequent word supports the reading
+    near = hits.select("*", F.explode(F.transform(F.filter(F.array("before", "after"), lambda x: x.isNotNull()), lambda x: F.lower(F.regexp_extract(x, PLAIN, 1)))).alias("form"))
+    return near.join(known.where("frequent").select("form"), "form", "left_semi").drop("form").distinct()
 
 
-def misread_halves(hyphens: DataFrame) -> DataFrame:
-    """block_uid, line_no of the lines with a wrongly read half of a hyphenated word: the whole is unknown, or one of the corrections, and a frequent form has its skeleton."""
-    broken = hyphens.where(F.col("right_whole").isNotNull())
-    starts, ends = F.col("right_whole").startswith(F.col("last")), F.col("right_whole").endswith(F.col("head"))
-    sides = F.array(F.when(~starts, F.struct("block_uid", "line_no")), F.when(~ends, F.struct(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no"))))
-    return broken.select(F.explode(F.filter(sides, lambda x: x.isNotNull())).alias("x")).select("x.block_uid", "x.line_no")
+def line_halves(blocks: DataFrame) -> DataFrame:
+    """Of each block of text what hyphenation needs: ``halves`` (lines that end in a hyphen: line_no, left, sign, and the openings of up to four lines after) and ``first`` (the openings of its first four lines), a repeated delivery once."""
+    texts = blocks.where(F.col("block_type").isin(*TEXT_TYPES) & F.col("raw_content").isNotNull())
+    opening = r"^([\p{L}\p{N}]++(?:-[\p{L}\p{N}]++)*+)"
+    numbered = F.filter(F.transform(F.split("raw_content", "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), F.trim(F.translate(x, "\t\r", "  ")).alias("line"))), lambda x: x["line"] != "")
+    lines = texts.select("doc", "page", "block_id", "block_uid", F.col("heading_level").isNotNull().alias("heading"), numbered.alias("lines"))
+    opened = lambda part: F.transform(part, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], opening, 1).alias("right")))
+    ends = F.filter(F.transform("lines", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), i.alias("i"))), lambda x: F.substring(x["line"], -1, 1).isin(*HYPHENS))
+    left = rf"(?<![^\s(\[\"'“‘])([\p{{L}}\p{{N}}]+(?:-[\p{{L}}\p{{N}}]+)*)[{HYPHENS}]$"
+    halves = F.transform(ends, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], left, 1).alias("left"), F.substring(x["line"], -1, 1).alias("sign"), opened(F.slice("lines", x["i"] + 2, 4)).alias("rest")))
+    return lines.select("doc", "page", "block_id", "block_uid", "heading", F.filter(halves, lambda h: h["left"].rlike(r"\p{L}")).alias("halves"), opened(F.slice("lines", 1, 4)).alias("first")).where((F.size("halves") > 0) | (F.size("first") > 0)).dropDuplicates(["block_uid"])
 
 
-def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame, frequent: DataFrame) -> DataFrame:
-    """block_uid, line_no, next_uid, next_line, left, right of each line that ends in the first half of a word.
+def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame) -> DataFrame:
+    """block_uid, line_no, next_uid, next_line, left, right, last, head, right_whole of each line that ends in the first half of a word.
 
     The other half opens the next line of the text that is neither blank nor
     ``noise`` (heads and page numbers): in the block, in the page's next block of
     text, or in the next page's first one.  Pages are joined by their number, so
-    no document is a single task.
+    no document is a single task.  ``right_whole`` is the frequent form where the
+    joined word is wrongly read.
     """
-    texts = blocks.where(F.col("block_type").isin(*TEXT_TYPES) & F.col("raw_content").isNotNull())
-    ends = rf"(?<![^\s(\[\"'“‘])([\p{{L}}\p{{N}}]+(?:-[\p{{L}}\p{{N}}]+)*)[{HYPHENS}]\s*$"
-    opens = r"^\s*([\p{L}\p{N}]+(?:-[\p{L}\p{N}]+)*)"
-    numbered = F.filter(F.transform(F.split("raw_content", "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("line"))), lambda x: F.length(F.trim(x["line"])) > 0)
-    lines = texts.select("doc", "page", "block_id", "block_uid", "heading_level", numbered.alias("lines"))
-    # lines that end in a hyphen, with up to four lines after them
-    half = lines.select("doc", "page", "block_id", "block_uid", F.posexplode(F.transform("lines", lambda x, i: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], ends, 1).alias("left"), F.regexp_extract(x["line"], rf"([{HYPHENS}])\s*$", 1).alias("sign"), F.slice("lines", i + 2, 4).alias("rest")))).alias("p", "h"))
-    half = half.where(F.col("h.left").rlike(r"\p{L}")).select("doc", "page", "block_id", "block_uid", F.col("h.line_no").alias("line_no"), F.col("h.left").alias("left"), F.col("h.sign").alias("sign"), F.col("h.rest").alias("rest"))
-    half = half.dropDuplicates(["block_uid", "line_no"]).join(noise.select("block_uid", "line_no"), ["block_uid", "line_no"], "left_anti")
-    following = half.select("block_uid", "line_no", F.explode("rest").alias("r")).select("block_uid", "line_no", F.col("r.line_no").alias("next_line"), F.col("r.line").alias("next"))
-    inside = following.join(noise.select("block_uid", F.col("line_no").alias("next_line")), ["block_uid", "next_line"], "left_anti").groupBy("block_uid", "line_no").agg(F.min(F.struct("next_line", "next")).alias("i"))
-    # the first line of text of each block, of the page's next block, and of each page
-    first = lines.where(F.col("heading_level").isNull()).select("doc", "page", "block_id", "block_uid", F.explode(F.slice("lines", 1, 4)).alias("f")).select("doc", "page", "block_id", "block_uid", F.col("f.line_no").alias("next_line"), F.substring("f.line", 1, 80).alias("next"))
-    first = first.join(noise.select("block_uid", F.col("line_no").alias("next_line")), ["block_uid", "next_line"], "left_anti")
-    first = first.groupBy("doc", "page", "block_id", "block_uid").agg(F.min(F.struct("next_line", "next")).alias("f"))
+    own = cut(line_halves(blocks))
+    noisy = noise.groupBy("block_uid").agg(F.collect_set("line_no").alias("noisy"))  # at most a page's edge lines
+    clean = own.join(noisy, "block_uid", "left")
+    free = lambda part: F.filter(part, lambda x: ~F.coalesce(F.array_contains("noisy", x["line_no"]), F.lit(False)))
+    clean = clean.select("doc", "page", "block_id", "block_uid", F.transform(free(F.col("halves")), lambda h: F.struct(h["line_no"].alias("line_no"), h["left"].alias("left"), h["sign"].alias("sign"), F.get(free(h["rest"]), F.lit(0)).alias("next"))).alias("halves"), F.when(~F.col("heading"), F.get(free(F.col("first")), F.lit(0))).alias("first"))
+    opens = F.when(F.col("first").isNotNull(), F.struct("block_uid", F.col("first.line_no").alias("line_no"), F.col("first.right").alias("right")))
     on_page = Window.partitionBy("doc", "page").orderBy("block_id")
-    # a block that has only noise left is no row here; the search starts from every block of text
-    bodies = lines.select("doc", "page", "block_id", "block_uid").distinct().join(first.select("block_uid", "f"), "block_uid", "left")
-    after = F.first(F.when(F.col("f").isNotNull(), F.struct("block_uid", "f.next_line", "f.next")), ignorenulls=True).over(on_page.rowsBetween(1, Window.unboundedFollowing))
-    chained = bodies.select("doc", "page", "block_uid", after.alias("b"))
-    openings = first.groupBy("doc", "page").agg(F.min_by(F.struct("block_uid", "f.next_line", "f.next"), "block_id").alias("n")).withColumn("page", F.col("page") - 1)
-    out = half.join(inside, ["block_uid", "line_no"], "left")
-    here = out.where(F.col("i").isNotNull()).select("block_uid", "line_no", "left", "sign", F.col("block_uid").alias("next_uid"), "i.next_line", "i.next")
-    beyond = out.where(F.col("i").isNull()).select("doc", "page", "block_uid", "line_no", "left", "sign").join(chained.select("block_uid", "b"), "block_uid", "left").join(openings, ["doc", "page"], "left").withColumn("to", F.coalesce("b", "n"))
-    beyond = beyond.where(F.col("to").isNotNull()).select("block_uid", "line_no", "left", "sign", F.col("to.block_uid").alias("next_uid"), "to.next_line", "to.next")
-    pairs = here.unionByName(beyond).withColumn("right", F.regexp_extract("next", opens, 1)).where(F.col("right").rlike(r"^\p{Ll}|^\d\p{Ll}"))
+    chained = clean.withColumn("opens", opens).withColumn("after", F.first("opens", ignorenulls=True).over(on_page.rowsBetween(1, Window.unboundedFollowing)))
+    half = chained.select("doc", "page", "block_uid", "after", F.explode("halves").alias("h")).select("doc", "page", "block_uid", "h.line_no", "h.left", "h.sign", F.coalesce(F.when(F.col("h.next").isNotNull(), F.struct("block_uid", "h.next.line_no", "h.next.right")), "after").alias("to"))
+    openings = clean.withColumn("opens", opens).where(F.col("opens").isNotNull()).groupBy("doc", "page").agg(F.min_by("opens", "block_id").alias("later")).withColumn("page", F.col("page") - 1)
+    pairs = half.join(openings, ["doc", "page"], "left").withColumn("to", F.coalesce("to", "later")).where(F.col("to").isNotNull())
+    pairs = pairs.select("block_uid", "line_no", F.col("to.block_uid").alias("next_uid"), F.col("to.line_no").alias("next_line"), "left", F.col("to.right").alias("right"), "sign").where(F.col("right").rlike(r"^\p{Ll}|^\d\p{Ll}"))
     last, head = F.regexp_extract(F.lower("left"), r"([^-]+)$", 1), F.regexp_extract(F.lower("right"), r"^([^-]+)", 1)
-    pairs = pairs.select("block_uid", "line_no", "next_uid", "next_line", "left", "right", "sign", F.concat(last, head).alias("whole"), F.concat_ws("-", F.lower("left"), F.lower("right")).alias("compound"), last.alias("last"), head.alias("head"))
-    count = known.where(F.col("form") != "").select("form", "n")
-    groups = frequent.groupBy("key").agg(F.max("n").alias("n_group"), F.max_by("form", "n").alias("right_group"))
-    for name in ("whole", "compound", "last", "head"):
-        pairs = pairs.join(count.select(F.col("form").alias(name), F.col("n").alias(f"n_{name}")), name, "left")
-    pairs = pairs.withColumn("key", skeleton(F.col("whole"))).join(groups, "key", "left")
-    pairs = pairs.join(frequent.select(F.col("form").alias("head"), F.lit(True).alias("head_frequent")), "head", "left").join(frequent.select(F.col("form").alias("last"), F.lit(True).alias("last_frequent")), "last", "left")
-    whole = F.coalesce(F.greatest("n_whole", "n_group"), F.lit(0))
-    compound = F.coalesce("n_compound", F.lit(0))
-    soft = F.col("sign") != "-"
+    pairs = pairs.withColumns({"last": last, "head": head}).withColumn("whole", F.concat("last", "head"))
+    # the joined word, the compound and the second half are looked up in one join
+    ask = F.array(*[F.struct(F.lit(role).alias("role"), form.alias("form")) for role, form in (("w", F.col("whole")), ("c", F.concat_ws("-", F.lower("left"), F.lower("right"))), ("h", F.col("head")))])
+    asked = pairs.select("block_uid", "line_no", F.explode(ask).alias("a")).select("block_uid", "line_no", "a.role", "a.form").join(known.select("form", "n", "frequent"), "form")
+    told = asked.groupBy("block_uid", "line_no").agg(F.max(F.when(F.col("role") == "w", F.col("n"))).alias("n_whole"), F.max(F.when(F.col("role") == "c", F.col("n"))).alias("n_compound"), F.bool_or((F.col("role") == "h") & F.col("frequent")).alias("head_frequent"))
+    groups = known.where("frequent").groupBy("key").agg(F.max("n").alias("n_group"), F.max_by("form", "n").alias("right_group"))
+    pairs = pairs.withColumn("key", skeleton(F.col("whole"))).join(groups, "key", "left").join(told, ["block_uid", "line_no"], "left")
+    n_whole = F.coalesce("n_whole", F.lit(0))
+    whole, compound = F.greatest(n_whole, F.coalesce("n_group", F.lit(0))), F.coalesce("n_compound", F.lit(0))
     neither = (whole == 0) & (compound == 0)
-    word = F.when(soft, (compound == 0) | (whole > 0)).when(neither, F.col("head_frequent").isNull()).otherwise((whole > 0) & (whole >= compound))
-    misread = (F.col("n_group") >= 8 * F.coalesce("n_whole", F.lit(0))) & (F.col("right_group") != F.col("whole"))
-    return pairs.where(word).select("block_uid", "line_no", "next_uid", "next_line", "left", "right", "last", "head", F.when(misread, F.col("right_group")).alias("right_whole")).dropDuplicates(["block_uid", "line_no"])
+    word = F.when(F.col("sign") != "-", (compound == 0) | (whole > 0)).when(neither, ~F.coalesce("head_frequent", F.lit(False))).otherwise((whole > 0) & (whole >= compound))
+    misread = (F.col("n_group") >= 8 * n_whole) & (F.col("right_group") != F.col("whole"))
+    return pairs.where(word).select("block_uid", "line_no", "next_uid", "next_line", "left", "right", "last", "head", F.when(misread, F.col("right_group")).alias("right_whole"))
+
+
+def misread_halves(hyphens: DataFrame) -> DataFrame:
+    """block_uid, line_no of the lines with a wrongly read half of a hyphenated word."""
+    broken = hyphens.where(F.col("right_whole").isNotNull())
+    starts, ends = F.col("right_whole").startswith(F.col("last")), F.col("right_whole").endswith(F.col("head"))
+    sides = F.array(F.when(~starts, F.struct("block_uid", "line_no")), F.when(~ends, F.struct(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no"))))
+    return broken.select(F.explode(F.filter(sides, lambda x: x.isNotNull())).alias("x")).select("x.block_uid", "x.line_no")
 
 
 def _source(document_blocks: DataFrame) -> DataFrame:
-    return document_blocks.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", F.col("raw_content"))
+    return document_blocks.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", "raw_content")
+
 
+@dataclass(frozen=True)
+class Noise:
+    """What the stages found; each table is computed once and lies in the shared checkpoint folder."""
+
+    lines: DataFrame  # block_uid, line_no, kind: heads and page numbers
+    hyphens: DataFrame
+    misread: DataFrame
+    known: DataFrame
 
-def corpus_words(blocks: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Words of the corpus, the frequent forms and the corrections, each computed once (written to the shared checkpoint folder)."""
-    known = cut(words(blocks))
-    frequent = cut(frequent_forms(known, settings))
-    return known, frequent, cut(corrections(known, frequent, settings))
+
+def stages(document_blocks: DataFrame, settings: Settings = Settings()) -> Noise:
+    blocks = _source(document_blocks)
+    known_tokens = cut(tokens(blocks))
+    known = cut(words(known_tokens, settings))
+    noise = cut(heads_and_numbers(blocks, settings))
+    hyphens = cut(hyphenated(blocks, noise, known))
+    wrong = wrong_tokens(known_tokens, corrections(known, settings))
+    misread = misread_words(blocks, known_tokens, known, cut(wrong), settings)
+    second = hyphens.select(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no"), F.lit(0).alias("place"))
+    return Noise(noise, hyphens, misread.join(second, ["block_uid", "line_no", "place"], "left_anti"), known)
 
 
 def found(document_blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -275,10 +285,6 @@ def found(document_blocks: DataFrame, settings: Settings = Settings()) -> DataFr
     Null and empty texts have no line; a repeated delivery gives its rows once;
     blocks of tables, formulas and code can only take part as page edges.
     """
-    blocks = _source(document_blocks)
-    known, frequent, fixes = corpus_words(blocks, settings)
-    noise = cut(heads_and_numbers(blocks, settings))
-    hyphens = cut(hyphenated(blocks, noise, known, frequent))
-    misread = whole_words_only(misread_words(blocks, known, frequent, fixes, settings), hyphens).select("block_uid", "line_no").unionByName(misread_halves(hyphens))
-    misread = misread.distinct().join(noise.select("block_uid", "line_no"), ["block_uid", "line_no"], "left_anti").withColumn("kind", F.lit("misread"))
-    return noise.unionByName(hyphens.select("block_uid", "line_no", F.lit("hyphen").alias("kind"))).unionByName(misread).distinct()
+    noise = stages(document_blocks, settings)
+    misread = noise.misread.select("block_uid", "line_no").unionByName(misread_halves(noise.hyphens)).withColumn("kind", F.lit("misread")).join(noise.lines.select("block_uid", "line_no"), ["block_uid", "line_no"], "left_anti")
+    return noise.lines.unionByName(noise.hyphens.select("block_uid", "line_no", F.lit("hyphen").alias("kind"))).unionByName(misread).distinct()
