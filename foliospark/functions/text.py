@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 #: Fixed value: the white space characters of Unicode, with the four separators that count as white space in most runtimes.
 WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -40,7 +41,7 @@ def to_float(text: Column) -> Column:
     return F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def round_binary(values: pd.Series, digits: pd.Series) -> pd.Series:
     """Rounding of the exact binary value, ties to even (2.675 is below the tie).  For final aggregates; SQL's round works on the decimal digits shown."""
     return pd.Series([None if pd.isna(v) else round(float(v), int(d)) for v, d in zip(values, digits)])
