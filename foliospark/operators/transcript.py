@@ -64,9 +64,12 @@ def counted(courses: DataFrame) -> DataFrame:
 
 
 def _average(exact: bool) -> Column:
-    ratio = F.try_divide(F.sum(F.col("credits") * F.col("points")), F.sum("credits"))
-    value = T.round_binary(ratio, F.lit(2)) if exact else F.round(ratio, 2)
-    return F.coalesce(value, F.lit(0.0))
+    return _rounded(F.try_divide(F.sum(F.col("credits") * F.col("points")), F.sum("credits")), exact)
+
+
+def _rounded(ratio: Column, exact: bool = False) -> Column:
+    """Two digits; half cents as the binary product decides (2.175 is below the half), 0 for null."""
+    return F.coalesce(T.round_binary(ratio, F.lit(2)) if exact else F.floor(ratio * 100 + 0.5) / 100, F.lit(0.0))
 
 
 def gpa_by_semester(courses: DataFrame, keys: tuple[str, ...] = (), exact: bool = False) -> DataFrame:
@@ -123,7 +126,7 @@ def cpa_per_semester(courses: DataFrame, keys: tuple[str, ...] = (), ord_col: st
     semesters = gpa_by_semester(courses, keys).join(sums, [*keys, "semester"], "left")
     run = Window.partitionBy(*keys).orderBy("semester").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a row per semester
     total_c, total_p = F.coalesce(F.sum("dc").over(run), F.lit(0)), F.sum("dp").over(run)
-    return semesters.select(*keys, "semester", "gpa", F.coalesce(F.round(F.try_divide(total_p, total_c), 2), F.lit(0.0)).alias("cpa"), "credits_counted", total_c.cast("bigint").alias("cumulative_credits"))
+    return semesters.select(*keys, "semester", "gpa", _rounded(F.try_divide(total_p, total_c)).alias("cpa"), "credits_counted", total_c.cast("bigint").alias("cumulative_credits"))
 
 
 def apply_overrides(courses: DataFrame, overrides: DataFrame) -> DataFrame:

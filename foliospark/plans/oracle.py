@@ -1 +1,191 @@
+"""DuckDB SQL with the same results as the core's queries."""
+
+from __future__ import annotations
+
+from foliospark.operators import units, weather
+from foliospark.operators.context import BUDGET_SHARES, INJECTION, PERSONAL
+
 ORACLE: dict[str, str] = {}
+_COURSES = "c AS (SELECT DISTINCT course_uid, transcript_id, ord, semester, code, name, credits, class_id, process_score, exam_score, letter_grade FROM courses)"
+_POINTS = "CASE letter_grade WHEN 'A+' THEN 4.0 WHEN 'A' THEN 4.0 WHEN 'B+' THEN 3.5 WHEN 'B' THEN 3.0 WHEN 'C+' THEN 2.5 WHEN 'C' THEN 2.0 WHEN 'D+' THEN 1.5 WHEN 'D' THEN 1.0 WHEN 'F' THEN 0.0 END::DOUBLE"
+_OK = f"credits > 0 AND {_POINTS} IS NOT NULL"
+_GRADED = f"g AS (SELECT *, {_POINTS} AS points FROM c WHERE {_OK})"
+_BLOCKS = "b AS (SELECT * EXCLUDE (ingested_at) FROM document_blocks QUALIFY row_number() OVER (PARTITION BY block_uid ORDER BY ingested_at) = 1)"
+_PR = "pr AS (SELECT * EXCLUDE (ingested_at) FROM page_results QUALIFY row_number() OVER (PARTITION BY page_uid ORDER BY ingested_at) = 1)"
+_W = "w AS (SELECT * EXCLUDE (received_at) FROM current_weather QUALIFY row_number() OVER (PARTITION BY obs_id ORDER BY received_at) = 1)"
+_WHITE = "'[\\s\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x0b\\x1c-\\x1f]+'"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '^' || {_WHITE}, ''), {_WHITE} || '$', '')"
+
+
+_PAGES = f"p AS (SELECT doc, page, coalesce(string_agg(t, E'\\n\\n' ORDER BY block_id) FILTER (t <> ''), '') AS markdown, bool_or(block_type IN ('image', 'figure', 'math', 'algorithm')) AS has_ocr_blocks FROM (SELECT *, {_strip('coalesce(markdown_result, chr(10))')} AS t FROM b) GROUP BY doc, page)"
+_DIMS = "dims AS (SELECT DISTINCT doc, page, 595.0::DOUBLE AS width, 842.0::DOUBLE AS height FROM b)"
+_BOXES = "boxes AS (SELECT doc, page, bbox.x0 AS x0, bbox.y0 AS y0, bbox.x1 AS x1, bbox.y1 AS y1 FROM b WHERE block_type IN ('text', 'unknown'))"
+_HEADS = f"h AS (SELECT doc, page::BIGINT * 100000 + block_id AS ord, heading_level AS level, {_strip('raw_content')} AS title, page FROM b WHERE heading_level IS NOT NULL)"
+
+
+def _gpa(source: str) -> str:
+    return f"SELECT transcript_id, semester, coalesce(floor(sum(CASE WHEN {_OK} THEN credits * {_POINTS} END) / nullif(sum(CASE WHEN {_OK} THEN credits END), 0) * 100 + 0.5) / 100, 0.0)::DOUBLE AS gpa, coalesce(sum(CASE WHEN {_OK} THEN credits END), 0)::BIGINT AS credits_counted FROM {source} GROUP BY ALL"
+
+
+def _cpa(where: str, source: str = "g") -> str:
+    return f"SELECT transcript_id, coalesce(floor(sum(credits * points) / nullif(sum(credits), 0) * 100 + 0.5) / 100, 0.0)::DOUBLE AS cpa, sum(credits)::BIGINT AS cumulative_credits FROM (SELECT * FROM {source} WHERE {where} QUALIFY row_number() OVER (PARTITION BY transcript_id, code ORDER BY points DESC, semester, ord) = 1) GROUP BY ALL"
+
+
+_CHANGED = "x AS (SELECT c.* REPLACE (CASE WHEN code = 'KD2416' THEN 'A' WHEN code = 'QX1010' AND semester = '20201' THEN 'B+' WHEN code = 'ZN1121' THEN 'W' ELSE letter_grade END AS letter_grade) FROM c)"
+ORACLE["gpa_by_semester"] = f"WITH {_COURSES} {_gpa('c')}"
+ORACLE["cpa_best_attempt"] = f"WITH {_COURSES}, {_GRADED} {_cpa('true')}"
+ORACLE["cpa_up_to"] = f"WITH {_COURSES}, {_GRADED} {_cpa('semester <= ' + chr(39) + '20203' + chr(39))}"
+ORACLE["best_attempts"] = f"WITH {_COURSES}, {_GRADED} SELECT transcript_id, code, semester, credits, letter_grade, points, first_semester FROM (SELECT *, min(semester) OVER (PARTITION BY transcript_id, code) AS first_semester FROM g) QUALIFY row_number() OVER (PARTITION BY transcript_id, code ORDER BY points DESC, semester, ord) = 1"
+ORACLE["cpa_per_semester"] = f"""WITH {_COURSES}, {_GRADED}, s AS (SELECT DISTINCT transcript_id, semester FROM c),
+best AS (SELECT s.transcript_id, s.semester, g.credits, g.points FROM s JOIN g ON g.transcript_id = s.transcript_id AND g.semester <= s.semester QUALIFY row_number() OVER (PARTITION BY s.transcript_id, s.semester, g.code ORDER BY g.points DESC, g.semester, g.ord) = 1),
+k AS (SELECT transcript_id, semester, sum(credits * points) / nullif(sum(credits), 0) AS cpa, sum(credits) AS n FROM best GROUP BY ALL), q AS ({_gpa('c')})
+SELECT q.transcript_id, q.semester, q.gpa, coalesce(floor(k.cpa * 100 + 0.5) / 100, 0.0)::DOUBLE AS cpa, q.credits_counted, coalesce(k.n, 0)::BIGINT AS cumulative_credits FROM q LEFT JOIN k USING (transcript_id, semester)"""
+ORACLE["simulate_gpas"] = f"WITH {_COURSES}, {_CHANGED} {_gpa('x')}"
+ORACLE["simulate_cpa"] = f"WITH {_COURSES}, {_CHANGED}, g AS (SELECT *, {_POINTS} AS points FROM x WHERE {_OK}) {_cpa('semester <= ' + chr(39) + '20231' + chr(39))}"
+ORACLE["semester_list"] = "SELECT DISTINCT semester FROM courses"
+# a row without a class or without scores reads a number at the end of its name as credits, and the numbers after it one place further on
+ORACLE["parse_courses"] = f"""WITH {_COURSES}, n AS (SELECT * REPLACE (trim(regexp_replace(name, '[\\p{{Z}}\\s]+', ' ', 'g')) AS name) FROM c),
+r AS (SELECT * FROM n WHERE class_id IS NOT NULL UNION ALL SELECT * REPLACE (regexp_replace(name, ' [0-9]+$', '') AS name, regexp_extract(name, '([0-9]+)$', 1)::INT AS credits, credits::VARCHAR AS class_id) FROM n WHERE class_id IS NULL AND regexp_matches(name, ' [0-9]+$')
+UNION ALL SELECT * REPLACE (regexp_replace(name, ' [0-9]+$', '') AS name, regexp_extract(name, '([0-9]+)$', 1)::INT AS credits, credits::VARCHAR AS class_id, class_id::DOUBLE AS exam_score) FROM n WHERE class_id IS NOT NULL AND exam_score IS NULL AND process_score IS NULL AND regexp_matches(name, ' [0-9]+$'))
+SELECT transcript_id::VARCHAR AS doc, semester, code, name, credits, class_id, CASE WHEN exam_score IS NOT NULL THEN process_score END AS process_score, coalesce(exam_score, process_score) AS exam_score, letter_grade FROM r WHERE coalesce(exam_score, process_score) IS NOT NULL"""
+ORACLE["transcript_json"] = f"WITH {_COURSES} SELECT transcript_id, count(*)::INT AS n, arg_min(code, ord) AS first_code FROM c GROUP BY ALL"
+_LABELS = "CASE weather_code " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in weather.WEATHER_CODES.items()) + f" ELSE coalesce('{weather.UNKNOWN_CODE}' || weather_code, '{weather.NO_CODE}') END"
+ORACLE["code_labels"] = f"WITH {_W} SELECT obs_id, {_LABELS} AS label FROM w"
+_ERR = "CASE WHEN obs_id % 7 = 0 THEN 'Could not find coordinates for location: ' || name WHEN obs_id % 11 = 0 THEN 'Weather service returned an invalid response.' END"
+ORACLE["weather_results"] = f"WITH {_W}, r AS (SELECT w.*, p.name, {_ERR.replace('name', 'p.name')} AS error FROM w JOIN places p USING (place_id)) SELECT obs_id AS query_id, CASE WHEN error IS NULL THEN name END AS place, CASE WHEN error IS NULL THEN temperature END AS temperature, CASE WHEN error IS NULL THEN {_LABELS} END AS label, CASE WHEN error IS NULL THEN coalesce(temperature_unit, CASE units WHEN 'metric' THEN 'degC' ELSE 'degF' END) END AS unit, CASE WHEN error IS NULL THEN CASE units WHEN 'metric' THEN 'mm' ELSE 'inch' END END AS rain_unit, CASE WHEN error IS NULL THEN CASE WHEN obs_id % 2 = 0 THEN 3 ELSE 0 END END AS days, error FROM r"
+_NONE = weather.NO_CODE
+ORACLE["weather_days"] = f"WITH {_W}, r AS (SELECT w.*, i FROM w JOIN places p USING (place_id), generate_series(1, 3) AS t(i) WHERE obs_id % 7 <> 0 AND obs_id % 11 <> 0 AND obs_id % 2 = 0) SELECT obs_id AS query_id, 'd' || i AS date, CASE WHEN i = 1 THEN weather_code END AS weather_code, CASE WHEN i = 1 THEN {_LABELS} ELSE '{_NONE}' END AS weather_description, CASE i WHEN 1 THEN temperature WHEN 2 THEN apparent_temperature END AS temperature_max, NULL::DOUBLE AS temperature_min, NULL::DOUBLE AS precipitation_sum FROM r"
+ORACLE["weather_answer_json"] = f"WITH {_W}, r AS (SELECT obs_id, obs_id % 7 = 0 OR obs_id % 11 = 0 AS bad FROM w JOIN places p USING (place_id)) SELECT obs_id AS query_id, CASE WHEN NOT bad THEN '{weather.SOURCE}' END AS source, CASE WHEN bad THEN '{weather.HINT}' END AS hint FROM r"
+ORACLE["request_parameters"] = f"WITH {_W}, r AS (SELECT units, obs_id % 2 = 0 AS include_forecast FROM w JOIN places USING (place_id)) SELECT units, include_forecast, CASE units WHEN 'metric' THEN 'celsius' ELSE 'fahrenheit' END AS temperature_unit, CASE units WHEN 'metric' THEN 'kmh' ELSE 'mph' END AS wind_speed_unit, CASE units WHEN 'metric' THEN 'mm' ELSE 'inch' END AS precipitation_unit, CASE WHEN include_forecast THEN 3 ELSE 1 END AS forecast_days, count(*) AS count FROM r GROUP BY ALL"
+
+
+def _units() -> str:
+    """Values and units of the three quantities, by patterns over remark instead of an automaton."""
+    spelled = ", ".join(f"({_q(name)}, {_q(q)}, {f!r}, {o!r}, {_q(s)})" for name, (q, f, o, spellings) in units.UNITS.items() for s in spellings.split("|"))
+    labels = {"temperature": "temperature|temp|t|nhiệt độ", "wind_speed": "wind speed|wind|w|gió", "precipitation": "precip|p|rainfall|lượng mưa"}
+    parts = []
+    for q, words in labels.items():
+        head = f"(?:^|[^a-zà-ỹ])(?:{words})"
+        value = f"{head}(?:[:= ]|is)+ ?(-?[0-9]+(?:[.,][0-9]+)?)"
+        stated = f"{head}(?:(?:[:= ]|is)+ ?-?[0-9]+(?:[.,][0-9]+)?[ \\[]*| in )([^;,\\]\\[]*?)(?:\\]|[;,.] |[;,.]?$)"
+        parts.append(
+            f"SELECT obs_id, place_id, time, units, {_q(q)} AS quantity, {q} AS given, {q}_unit AS gu, try_cast(replace(nullif(regexp_extract(r, {_q(value)}, 1), ''), ',', '.') AS DOUBLE) AS noted, trim(regexp_extract(r, {_q(stated)}, 1)) AS nu FROM (SELECT *, lower(coalesce(remark, '')) AS r FROM w)"
+        )
+    return (
+        f"WITH {_W}, sp(unit, quantity, factor, off, spelling) AS (VALUES {spelled}), found AS ({' UNION ALL '.join(parts)}), "
+        "named AS (SELECT f.*, coalesce(f.given, f.noted) AS v, coalesce(a.unit, n.unit, CASE f.quantity WHEN 'temperature' THEN CASE f.units WHEN 'imperial' THEN 'fahrenheit' ELSE 'celsius' END WHEN 'wind_speed' THEN CASE f.units WHEN 'imperial' THEN 'miles_per_hour' ELSE 'kilometres_per_hour' END ELSE CASE f.units WHEN 'imperial' THEN 'inches' ELSE 'millimetres' END END) AS unit "
+        "FROM found f LEFT JOIN sp a ON a.quantity = f.quantity AND a.spelling = lower(trim(f.gu)) LEFT JOIN sp n ON n.quantity = f.quantity AND n.spelling = f.nu), "
+        "k AS (SELECT DISTINCT unit, factor, off FROM sp), val AS (SELECT obs_id, place_id, substr(replace(time, 'T', ' '), 1, 16) AS m, n.quantity, n.unit, v * factor + off AS x FROM named n JOIN k ON k.unit = n.unit WHERE v IS NOT NULL) "
+    )
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+ORACLE["p5_convert"] = _units() + "SELECT obs_id, max(CASE quantity WHEN 'temperature' THEN x END) AS temperature_c, max(CASE quantity WHEN 'wind_speed' THEN x END) AS wind_speed_kmh, max(CASE quantity WHEN 'precipitation' THEN x END) AS precipitation_mm FROM val GROUP BY obs_id"
+ORACLE["p5_found"] = _units() + "SELECT a.obs_id AS obs_id_a, b.obs_id AS obs_id_b, a.quantity FROM val a JOIN val b ON a.place_id = b.place_id AND a.m = b.m AND a.quantity = b.quantity AND a.obs_id < b.obs_id AND a.unit <> b.unit AND abs(a.x - b.x) <= 0.5 + 1e-9"
+ORACLE["box_measures"] = f"WITH {_BLOCKS} SELECT block_uid, bbox.x1 - bbox.x0 AS width, bbox.y1 - bbox.y0 AS height, (bbox.x1 - bbox.x0) * (bbox.y1 - bbox.y0) AS area, block_type IN ('image', 'figure', 'math', 'algorithm') AS needs_ocr FROM b"
+ORACLE["weighted_mode"] = f"""WITH {_BLOCKS}, s AS (SELECT doc, page, round(font_size, 1) AS size, sum(length({_strip('raw_content')})) AS n, min(block_id) AS seen FROM b WHERE font_size > 0 AND length({_strip('raw_content')}) > 0 GROUP BY ALL),
+m AS (SELECT doc, page, greatest(size, 6.0) AS body FROM s QUALIFY row_number() OVER (PARTITION BY doc, page ORDER BY n DESC, seen) = 1), p AS (SELECT DISTINCT doc, page FROM b), k AS (SELECT doc, page, coalesce(body, 10.0)::DOUBLE AS body FROM p LEFT JOIN m USING (doc, page))
+SELECT *, round(body * 1.6::DOUBLE, 2) AS h1, round(body * 1.35::DOUBLE, 2) AS h2, round(body * 1.15::DOUBLE, 2) AS h3 FROM k"""
+_COVER = "cov AS (SELECT d.doc, d.page, d.width, d.height, s.slot::INT AS slot, coalesce(sum(greatest(x.y1 - x.y0, 0)), 0) AS covered FROM dims d, generate_series(0, 297) AS s(slot) LEFT JOIN boxes x ON x.doc = d.doc AND x.page = d.page AND s.slot BETWEEN greatest(trunc(x.x0 / 2), 0) AND least(trunc(x.x1 / 2), 297) GROUP BY ALL)"
+_GUT = """f AS (SELECT *, slot - row_number() OVER (PARTITION BY doc, page ORDER BY slot) AS run FROM cov WHERE covered < 0.4 * height AND slot * 2.0 BETWEEN 0.3::DOUBLE * width AND 0.7::DOUBLE * width),
+r AS (SELECT doc, page, min(slot) * 2.0 AS st, max(slot) * 2.0 + 2.0 - min(slot) * 2.0 AS wd FROM f GROUP BY doc, page, run HAVING wd >= 8),
+gut AS (SELECT doc, page, (st + wd / 2)::DOUBLE AS gutter FROM r QUALIFY row_number() OVER (PARTITION BY doc, page ORDER BY wd DESC, st) = 1)"""
+ORACLE["coverage_histogram"] = f"WITH {_BLOCKS}, {_DIMS}, {_BOXES}, {_COVER} SELECT doc, page, slot, round(covered, 6) AS covered FROM cov WHERE covered > 0"
+ORACLE["gutter_runs"] = f"WITH {_BLOCKS}, {_DIMS}, {_BOXES}, {_COVER}, {_GUT} SELECT doc, page, gutter FROM gut"
+_BODY = "boxes AS (SELECT * FROM all_boxes WHERE NOT (y1 < 48 OR y0 > 842 - 48)), bdims AS (SELECT * FROM dims SEMI JOIN boxes USING (doc, page))"
+ORACLE["page_layouts"] = f"""WITH {_BLOCKS}, {_DIMS}, {_BOXES.replace('boxes AS', 'all_boxes AS')}, {_BODY}, {_COVER.replace('FROM dims d', 'FROM bdims d')}, {_GUT},
+sides AS (SELECT doc, page, count(*) FILTER (x1 <= 297.5 - 20) AS l, count(*) FILTER (x0 >= 297.5 + 20) AS r FROM boxes GROUP BY ALL)
+SELECT doc, page, CASE WHEN g IS NULL THEN '1-column' ELSE '2-column' END AS layout, g AS gutter FROM (SELECT d.doc, d.page, coalesce(gut.gutter, CASE WHEN l >= 3 AND r >= 3 THEN 297.5::DOUBLE END) AS g FROM dims d LEFT JOIN gut USING (doc, page) LEFT JOIN sides USING (doc, page))"""
+_VOTE = "n AS (SELECT doc, max(page) AS n FROM pr GROUP BY doc), sampled AS (SELECT DISTINCT doc, least(i, n - 1) + 1 AS page FROM n, generate_series(1, 4) AS t(i)), vote AS (SELECT doc, CASE WHEN avg(CASE layout WHEN '2-column' THEN 1.0 ELSE 0.0 END) > 0.5 THEN '2-column' ELSE '1-column' END AS layout FROM pr JOIN sampled USING (doc, page) GROUP BY doc)"
+ORACLE["layout_vote"] = f"WITH {_PR}, {_VOTE} SELECT doc, layout FROM vote"
+_ORDERED = """o AS (SELECT b.*, pr.layout, CASE WHEN bbox.x1 - bbox.x0 > 595.0 * 0.65::DOUBLE THEN 'full' WHEN bbox.x1 <= 317.5 THEN 'left' WHEN bbox.x0 >= 277.5 THEN 'right' ELSE 'full' END AS side FROM b JOIN pr USING (doc, page)),
+ord AS (SELECT *, row_number() OVER (PARTITION BY doc, page ORDER BY CASE layout WHEN '2-column' THEN (side = 'right')::INT ELSE round_even(bbox.y0 / 5, 0) * 5 END, CASE layout WHEN '2-column' THEN bbox.y0 ELSE bbox.x0 END, CASE WHEN layout = '2-column' AND side = 'left' THEN 1 ELSE 0 END, block_uid)::INT AS place FROM o)"""
+ORACLE["reading_order"] = f"WITH {_BLOCKS}, {_PR.replace('page_uid ORDER', 'page_uid ORDER')}, {_ORDERED} SELECT doc, page, block_uid AS ord, place FROM ord"
+
+
+def _islands(types: str) -> str:
+    return f"""t AS (SELECT *, block_type IN ({types}) AS m FROM ord), l AS (SELECT *, lag(m) OVER w AS pm, lag(bbox) OVER w AS pb FROM t WINDOW w AS (PARTITION BY doc, page ORDER BY place)),
+j AS (SELECT *, coalesce(m AND pm AND bbox.y0 - pb.y1 <= 14 AND (least(pb.x1 - pb.x0, bbox.x1 - bbox.x0) <= 0 OR least(pb.x1, bbox.x1) - greatest(pb.x0, bbox.x0) >= 0.2::DOUBLE * least(pb.x1 - pb.x0, bbox.x1 - bbox.x0)), false) AS joins FROM l),
+i AS (SELECT *, sum(CASE WHEN joins THEN 0 ELSE 1 END) OVER (PARTITION BY doc, page ORDER BY place) AS island FROM j)"""
+
+
+ORACLE["merge_formulas"] = f"""WITH {_BLOCKS}, {_PR}, {_ORDERED}, {_islands("'math', 'algorithm', 'text'")} SELECT doc, page, island::BIGINT AS place, arg_min(block_uid, place) AS ord, round(min(bbox.y0), 3) AS y0, round(max(bbox.y1), 3) AS y1, length(coalesce(string_agg(raw_content, chr(10) ORDER BY place) FILTER (raw_content <> ''), ''))::INT AS chars FROM i GROUP BY doc, page, island"""
+ORACLE["number_blocks"] = f"""WITH {_BLOCKS}, {_PR}, {_ORDERED}, {_islands("'math'")}, m AS (SELECT doc, page, island, arg_min(block_type, place) AS block_type, min(bbox.x0) AS x0, min(bbox.y0) AS y0, max(bbox.x1) AS x1, max(bbox.y1) AS y1 FROM i GROUP BY ALL),
+k AS (SELECT *, block_type IN ('image', 'figure', 'math', 'algorithm') AND round((x1 - x0) * CASE block_type WHEN 'math' THEN 200 ELSE 150 END / 72) * round((y1 - y0) * CASE block_type WHEN 'math' THEN 200 ELSE 150 END / 72) >= 1600 AS has_crop FROM m)
+SELECT doc, page, (row_number() OVER (PARTITION BY doc, page ORDER BY island) - 1)::INT AS block_id, t AS block_type, has_crop, t NOT IN ('image', 'figure', 'math', 'algorithm') AS is_done FROM (SELECT *, CASE WHEN block_type IN ('image', 'figure') AND NOT has_crop THEN 'text' ELSE block_type END AS t FROM k)"""
+ORACLE["anti_overlap"] = f"WITH {_BLOCKS} SELECT block_uid FROM b x WHERE block_type <> 'table' AND NOT EXISTS (SELECT 1 FROM b t WHERE t.block_type = 'table' AND t.doc = x.doc AND t.page = x.page AND x.bbox.x0 < t.bbox.x1 AND t.bbox.x0 < x.bbox.x1 AND x.bbox.y0 < t.bbox.y1 AND t.bbox.y0 < x.bbox.y1)"
+ORACLE["image_captions"] = f"""WITH {_BLOCKS}, im AS (SELECT doc, page, block_uid, bbox FROM b WHERE block_type IN ('image', 'figure')), cp AS (SELECT doc, page, block_uid AS o, bbox AS c, {_strip('caption')} AS t FROM b WHERE length(caption) > 0 AND regexp_matches({_strip('caption')}, '(?i)^(Figure|Fig\\.|Table|Tbl\\.|Hình|Bảng|Algorithm|Alg\\.)\\s*[0-9]+')),
+n AS (SELECT im.block_uid, t, o FROM im JOIN cp USING (doc, page) WHERE c.y1 + 5 - bbox.y1 BETWEEN 0 AND 30 AND bbox.x1 > bbox.x0 AND (least(bbox.x1, c.x1) - greatest(bbox.x0, c.x0)) / (bbox.x1 - bbox.x0) > 0.3), f AS (SELECT block_uid, arg_min(t, o) AS t FROM n GROUP BY ALL)
+SELECT doc, page, im.block_uid AS ord, CASE WHEN t IS NULL THEN 'image' ELSE 'figure' END AS block_type, coalesce(t, '') AS caption FROM im LEFT JOIN f USING (block_uid)"""
+ORACLE["page_markdown"] = f"WITH {_BLOCKS}, {_PAGES} SELECT doc, page, md5(markdown) AS digest, has_ocr_blocks FROM p"
+ORACLE["document_markdown"] = f"WITH {_BLOCKS}, {_PAGES} SELECT doc, md5(coalesce(string_agg('<!-- page ' || page || E' -->\\n\\n' || markdown, E'\\n\\n---\\n\\n' ORDER BY page) FILTER (markdown <> ''), '')) AS digest FROM p GROUP BY doc"
+_LINES = f"ln AS (SELECT doc, page, list_filter(list_transform(string_split(markdown, chr(10)), lambda x: {_strip('x')}), lambda x: x <> '') AS l FROM p)"
+_REP = f"rep AS (SELECT doc, line, count(*) AS n FROM (SELECT doc, unnest(list_concat(l[1:2], CASE WHEN len(l) <= 2 THEN l ELSE l[-2:] END)) AS line FROM ln) WHERE length(line) BETWEEN 4 AND 80 AND len(list_filter(regexp_split_to_array(line, {_WHITE}), lambda x: x <> '')) <= 10 GROUP BY ALL HAVING n >= 4)"
+ORACLE["repeated_lines"] = f"WITH {_BLOCKS}, {_PAGES}, {_LINES}, {_REP} SELECT doc, line, n FROM rep"
+ORACLE["drop_repeated"] = f"WITH {_BLOCKS}, {_PAGES}, {_LINES}, {_REP}, r AS (SELECT doc, list(line) AS rs FROM rep GROUP BY doc) SELECT doc, page, md5(CASE WHEN rs IS NULL THEN markdown ELSE array_to_string(list_filter(string_split(markdown, chr(10)), lambda x: NOT list_contains(rs, {_strip('x')})), chr(10)) END) AS digest FROM p LEFT JOIN r USING (doc)"
+ORACLE["references_pages"] = f"WITH {_BLOCKS}, {_PAGES} SELECT doc, max(page) FILTER (regexp_matches(markdown, '(?m)^(#+)?\\s*(References|REFERENCES)\\s*$') OR regexp_matches(markdown, '(?m)^\\s*(Bibliography|BIBLIOGRAPHY|TÀI LIỆU THAM KHẢO)\\s*$') OR regexp_matches(markdown, '(?im)^\\s*References and Further Reading\\s*$')) AS references_page FROM p GROUP BY doc"
+ORACLE["whitespace_norm"] = f"WITH {_BLOCKS} SELECT block_uid, md5({_strip(chr(10).join(['regexp_replace(regexp_replace(raw_content, ' + _q('(?m)[ ' + chr(92) + 't]+$') + ', ' + _q('') + ', ' + _q('g') + '), ' + _q(chr(92) + 'n{3,}') + ', E' + _q(chr(92) + 'n' + chr(92) + 'n') + ', ' + _q('g') + ')']))}) AS digest FROM b"
+ORACLE["section_paths"] = f"""WITH RECURSIVE {_BLOCKS}, {_HEADS}, s AS (SELECT doc, ord, level, title, row_number() OVER (PARTITION BY doc ORDER BY ord) AS i FROM h),
+st(doc, i, ord, ls, ts) AS (SELECT doc, i, ord, [level], [title] FROM s WHERE i = 1 UNION ALL SELECT s.doc, s.i, s.ord, list_append(list_filter(st.ls, lambda x: x < s.level), s.level), list_append(st.ts[1:len(list_filter(st.ls, lambda x: x < s.level))], s.title) FROM st JOIN s ON s.doc = st.doc AND s.i = st.i + 1)
+SELECT doc, ord, array_to_string(ts, ' > ') AS path FROM st"""
+ORACLE["section_map"] = ORACLE["section_paths"].replace("SELECT doc, ord, array_to_string(ts, ' > ') AS path FROM st", ", l AS (SELECT doc, (ord // 100000)::INT AS page, arg_max(array_to_string(ts, ' > '), ord) AS path FROM st GROUP BY ALL) SELECT doc, page, coalesce(last_value(path IGNORE NULLS) OVER (PARTITION BY doc ORDER BY page), '') AS section FROM (SELECT DISTINCT doc, page FROM b) LEFT JOIN l USING (doc, page)")
+_COUNTS = "SELECT doc, count(DISTINCT page) AS total_pages, count(*) AS total_blocks, count(*) FILTER (block_type = 'text') AS text_blocks, count(*) FILTER (block_type = 'table') AS table_blocks, count(*) FILTER (block_type = 'image') AS image_blocks, count(*) FILTER (block_type = 'math') AS math_blocks, 0::BIGINT AS ocr_failed FROM b GROUP BY doc"
+ORACLE["type_counts"] = f"WITH {_BLOCKS} {_COUNTS}"
+ORACLE["run_summary"] = f"WITH {_BLOCKS}, k AS ({_COUNTS}) SELECT count(*) AS total_files, sum(total_pages)::BIGINT AS total_pages, sum(total_blocks)::BIGINT AS total_blocks, sum(image_blocks + math_blocks)::BIGINT AS ocr_blocks FROM k"
+ORACLE["reading_modes"] = f"WITH {_BLOCKS} SELECT block_type, ocr_mode, CASE WHEN block_type IN ('math', 'figure', 'algorithm') THEN block_type WHEN block_type = 'table' THEN 'table_complex' WHEN ocr_mode = 'text' THEN 'math' WHEN ocr_mode = 'table_simple' THEN 'table_complex' WHEN ocr_mode IN ('figure', 'math', 'table_complex', 'algorithm') THEN ocr_mode ELSE 'image' END AS mode, count(*) AS count FROM b GROUP BY ALL"
+_PATH = "'images/' || doc || '_p' || page || '_b' || block_id || '_' || block_type || '.png'"
+_IMG = f"'![Image p' || page || ' #' || block_id || '](' || {_PATH} || ')'"
+_OCR = "block_type IN ('image', 'figure', 'math', 'algorithm')"
+ORACLE["placeholders"] = f"WITH {_BLOCKS} SELECT block_uid, CASE WHEN image_rel_path IS NOT NULL THEN {_PATH} END AS image_rel_path, CASE WHEN block_type = 'math' THEN '$[Formula block #' || block_id || ']$' WHEN image_rel_path IS NOT NULL THEN {_IMG} ELSE '> [Image block #' || block_id || ']' END AS markdown_result FROM b WHERE {_OCR}"
+ORACLE["apply_readings"] = f"""WITH {_BLOCKS} SELECT block_uid, CASE WHEN image_rel_path IS NULL THEN '' WHEN block_uid % 3 <> 1 THEN CASE block_type WHEN 'math' THEN '$$ [Formula p' || page || ' #' || block_id || '] $$' WHEN 'algorithm' THEN E'```algorithm\\n// [Algorithm p' || page || ' #' || block_id || E']\\n' || raw_content || E'\\n```' ELSE {_IMG} END
+WHEN block_type IN ('image', 'figure') THEN {_IMG} || CASE WHEN length(caption) > 0 THEN E'\\n\\n> ' || caption ELSE '' END || E'\\n\\nread' ELSE 'read' END AS markdown_result FROM b WHERE {_OCR}"""
+_FILES = f"{_PR}, files AS (SELECT doc || '.pdf' AS name, max(page)::BIGINT * 250000 AS size_bytes, max(page) AS pages, CASE WHEN length(doc) % 3 = 0 THEN max(page)::BIGINT - 1 END AS output_size FROM pr GROUP BY doc)"
+ORACLE["chunk_ranges"] = f"WITH {_FILES}, r AS (SELECT name, i::INT AS chunk_no, ((i - 1) * 4 + 1)::INT AS first_page, least(i * 4, pages)::INT AS last_page FROM files, generate_series(1, 100000) AS t(i) WHERE (i - 1) * 4 < pages) SELECT *, replace(name, '.pdf', '') || '_chunk_' || lpad(chunk_no::VARCHAR, greatest(3, length(chunk_no::VARCHAR))::INT, '0') || '_p' || first_page || '-' || last_page AS chunk_name FROM r"
+ORACLE["file_plan"] = f"WITH {_FILES} SELECT name, CASE WHEN size_bytes / 1e6 >= 5 OR pages >= 100 THEN 'chunked' ELSE 'normal' END AS route, CASE WHEN output_size > 0 THEN 'skipped' END AS status FROM files WHERE name <> 'bg-00000004.pdf' AND contains(lower(name), '-0000')"
+ORACLE["status_rollup"] = "SELECT o_orderstatus AS status, count(*) AS n, min(o_orderkey::VARCHAR) AS first_name FROM orders GROUP BY ALL"
+ORACLE["merge_chunks"] = f"WITH {_BLOCKS}, {_PAGES}, k AS (SELECT doc, page, 'chunk_' || lpad(page::VARCHAR, greatest(3, length(page::VARCHAR))::INT, '0') AS path, CASE WHEN page % 5 > 0 THEN markdown END AS t FROM p), r AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY path) AS i FROM k) SELECT doc AS name, md5('<!-- Source: ' || doc || E' -->\\n<!-- Generated by foliospark -->\\n\\n' || coalesce(string_agg(CASE WHEN i > 1 THEN E'\\n\\n' ELSE '' END || {_strip('t')} || chr(10), '' ORDER BY path), '')) AS digest FROM r GROUP BY doc"
+_TOK = f"list_filter(regexp_split_to_array(coalesce(text, ''), {_WHITE}), lambda x: x <> '')"
+ORACLE["token_chunks"] = f"WITH d AS (SELECT doc_id, {_TOK} AS w FROM documents), k AS (SELECT doc_id, w, i FROM d, generate_series(0, 100000) AS t(i) WHERE len(w) > 0 AND i < greatest(ceil((len(w) - 50) / 350.0), 1)) SELECT doc_id, (i + 1)::INT AS chunk_no, doc_id || '_chunk_' || (i + 1) AS chunk_id, len(w[i * 350 + 1 : i * 350 + 400])::INT AS n_tokens, md5(array_to_string(w[i * 350 + 1 : i * 350 + 400], ' ')) AS digest FROM k"
+ORACLE["metadata_filter"] = "SELECT doc_id FROM documents WHERE source IN ('handbook', 'lecture_notes') AND updated_at >= TIMESTAMP '2015-01-01' AND trust >= 0.5"
+_BM = """t AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{M}\\p{N}]+')) AS term FROM documents), l AS (SELECT doc_id, count(*) AS length FROM t GROUP BY ALL), ix AS (SELECT doc_id, term, count(*) AS tf, any_value(length) AS length FROM t JOIN l USING (doc_id) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM ix GROUP BY ALL),
+st AS (SELECT count(*) AS n, avg(coalesce(length, 0)) AS avgdl FROM documents LEFT JOIN l USING (doc_id)), q AS (SELECT doc_id AS query_id, term, df FROM ix JOIN df USING (term) WHERE doc_id % 100 = 0 AND df > 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY df, term) <= 8),
+sc AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / avgdl))), 6) AS score FROM q JOIN ix USING (term), st GROUP BY ALL)"""
+_VEC = "e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), vs AS (SELECT a.vec_id AS query_id, b.vec_id AS doc_id, round(list_cosine_similarity(a.v, b.v), 6) + 0.0 AS score FROM e a, e b WHERE a.vec_id % 100 = 0)"
+
+
+def _top(source: str, k: int) -> str:
+    return f"SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INT AS rank FROM {source} QUALIFY rank <= {k}"
+
+
+ORACLE["bm25_topk"] = f"WITH {_BM} {_top('sc', 10)}"
+ORACLE["vector_topk"] = f"WITH {_VEC} {_top('vs', 10)}"
+ORACLE["rrf_fusion"] = f"WITH {_BM}, {_VEC}, a AS ({_top('sc', 30)}), z AS ({_top('vs', 30)}), f AS (SELECT query_id, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 9) AS score FROM (SELECT query_id, doc_id, rank FROM a UNION ALL SELECT query_id, doc_id, rank FROM z) GROUP BY ALL) {_top('f', 10)}"
+ORACLE["recall_at_k"] = f"WITH {_VEC}, z AS ({_top('vs', 10)}), r AS (SELECT a.vec_id AS query_id, b.vec_id AS doc_id FROM embeddings a JOIN embeddings b USING (label) WHERE a.vec_id % 100 = 0) SELECT query_id, count(z.doc_id) AS hits, round(count(z.doc_id) / count(*)::DOUBLE, 9) AS recall, count(z.doc_id) / 10.0::DOUBLE AS precision FROM r LEFT JOIN z USING (query_id, doc_id) GROUP BY query_id"
+ORACLE["exact_classes"] = "SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS class_id, count(*) OVER (PARTITION BY text) AS copies FROM documents"
+ORACLE["fan_out"] = "SELECT o_orderkey AS query_id, greatest(i - 1, 0)::INT AS sub_no, CASE WHEN i = 0 THEN o_orderpriority ELSE o_orderpriority || ' ' || i END AS sub_query FROM orders, generate_series(0, 2) AS t(i) WHERE CASE WHEN o_orderkey % 3 = 0 THEN i = 0 ELSE i BETWEEN 1 AND o_orderkey % 3 END"
+ORACLE["cache_keys"] = f"SELECT doc_id, sha256(array_to_string({_TOK.replace('text', 'lower(source)')}, ' ')) AS key FROM documents WHERE text IS NOT NULL"
+_RED = "text"
+for _name, _pattern in PERSONAL:
+    _RED = f"regexp_replace({_RED}, {_q(_pattern)}, '[{_name}]', 'g')"
+ORACLE["pii_redact"] = f"SELECT doc_id, md5({_RED}) AS digest FROM documents"
+ORACLE["injection_flags"] = "SELECT doc_id, (" + " + ".join(f"coalesce(regexp_matches(text, {_q(p)})::INT, 0)" for p in INJECTION.values()) + ")::INT AS n FROM documents"
+_CAND = f"""{_BM}, {_VEC}, a AS ({_top('sc', 20)}), z AS ({_top('vs', 20)}), u AS (SELECT 'knowledge' AS source_kind, * FROM a UNION ALL SELECT 'memory', * FROM z),
+cd AS (SELECT u.*, doc_id::VARCHAR AS chunk_id, coalesce(text, '') AS content, doc_name, page_number, len({_TOK}) AS tokens FROM u JOIN documents USING (doc_id))"""
+ORACLE["over_fetch"] = f"WITH {_CAND} SELECT query_id, source_kind, chunk_id FROM cd QUALIFY row_number() OVER (PARTITION BY query_id, source_kind ORDER BY score DESC, chunk_id) <= 5"
+_SHARE = "CASE source_kind " + " ".join(f"WHEN '{k}' THEN {int(4000 * v)}" for k, v in BUDGET_SHARES.items()) + " END"
+_FIT = f"fit AS (SELECT *, sum(tokens) OVER (PARTITION BY query_id, source_kind ORDER BY score DESC, chunk_id ROWS UNBOUNDED PRECEDING)::BIGINT AS used FROM cd QUALIFY used <= {_SHARE})"
+ORACLE["token_budget"] = f"WITH {_CAND}, {_FIT} SELECT query_id, source_kind, chunk_id, tokens::INT AS tokens, used FROM fit"
+ORACLE["prompt_build"] = f"WITH {_CAND}, {_FIT}, b AS (SELECT query_id, string_agg(CASE WHEN source_kind = 'knowledge' AND doc_name IS NOT NULL THEN '[' || doc_name || ', p. ' || coalesce(page_number::VARCHAR, '?') || '] ' ELSE '' END || content, E'\\n\\n' ORDER BY source_kind, score DESC, chunk_id) AS t FROM fit GROUP BY query_id) SELECT d.doc_id AS query_id, md5(coalesce(t || E'\\n\\n', '') || substr(coalesce(text, ''), 1, 100)) AS digest FROM documents d LEFT JOIN b ON b.query_id = d.doc_id WHERE d.doc_id % 100 = 0"
+_SESSION = "s AS (SELECT user_id AS conv_id, event_id AS turn, event_type AS text, sum(length(props)) OVER w <= 200 AND row_number() OVER w <= 15 AS kept FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id DESC ROWS UNBOUNDED PRECEDING))"
+ORACLE["session_window"] = f"WITH {_SESSION} SELECT conv_id, turn, kept FROM s"
+ORACLE["rolling_summary"] = f"WITH {_SESSION} SELECT conv_id, md5(string_agg(substr(text, 1, 4), ' ' ORDER BY turn)) AS digest FROM s WHERE NOT kept GROUP BY conv_id"
+ORACLE["latest_facts"] = "SELECT user_id, event_type AS key, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, value DESC) = 1"
+ORACLE["forward_fill"] = "SELECT event_id, last_value(CASE WHEN event_id % 4 = 0 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS filled FROM events"
+ORACLE["event_sessions"] = "WITH l AS (SELECT *, coalesce(ts - lag(ts) OVER w >= INTERVAL 30 MINUTE, true) AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), g AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM l) SELECT user_id, min(ts) AS start, count(*) AS events, round(sum(value), 6) AS value FROM g GROUP BY user_id, s"
+ORACLE["event_windows"] = "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events, round(sum(value), 6) AS value FROM events GROUP BY ALL"
