@@ -172,14 +172,26 @@ def coverage(boxes: DataFrame, dims: DataFrame) -> DataFrame:
 
 
 def gutters(boxes: DataFrame, dims: DataFrame) -> DataFrame:
-    """doc, page, gutter: the middle of the widest run of nearly empty slots in the centre of a page (of equal ones the leftmost); pages without one have no row."""
-    x = F.col("slot") * SLOT
-    free = (F.col("covered") < GUTTER_COVER * F.col("height")) & (x >= GUTTER_ZONE[0] * F.col("width")) & (x <= GUTTER_ZONE[1] * F.col("width"))
+    """doc, page, gutter: the middle of the widest run of nearly empty slots in the centre of a page (of equal ones the leftmost); pages without one have no row.
+
+    The cover of a page is a step function: each box adds its height at its first
+    slot and takes it away after its last, so two rows per box and a running sum
+    give what ``coverage`` gives slot by slot.
+    """
+    n = F.floor(F.col("width") / SLOT).cast("int") + 1
+    first, last = F.ceil(GUTTER_ZONE[0] * F.col("width") / SLOT), F.least(n - 1, F.floor(GUTTER_ZONE[1] * F.col("width") / SLOT))
+    zone = dims.where((F.col("width") > 0) & (F.col("height") > 0)).select("doc", "page", "height", n.alias("n"), first.cast("int").alias("first"), last.cast("int").alias("last")).where("first <= last")
+    b = boxes.join(zone, ["doc", "page"])
+    lo, hi, h = F.greatest(F.lit(0), (F.col("x0") / SLOT).cast("int")), F.least(F.col("n") - 1, (F.col("x1") / SLOT).cast("int")), F.greatest(F.lit(0.0), F.col("y1") - F.col("y0"))
+    steps = b.where(lo <= hi).select("doc", "page", F.explode(F.array(F.struct(lo.alias("slot"), h.alias("d")), F.struct((hi + 1).alias("slot"), (-h).alias("d")))).alias("s")).select("doc", "page", "s.slot", "s.d")
+    ends = zone.select("doc", "page", F.explode(F.array("first", F.col("last") + 1)).alias("slot"), F.lit(0.0).alias("d"))
     order = Window.partitionBy("doc", "page").orderBy("slot")
-    runs = coverage(boxes, dims).withColumn("free", free).withColumn("run", F.sum((~F.col("free")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    spans = runs.where("free").groupBy("doc", "page", "run").agg(F.min(x).alias("start"), F.max(x).alias("last"))
-    spans = spans.withColumn("width", F.col("last") + SLOT - F.col("start")).where(F.col("width") >= GUTTER_WIDTH)
-    return spans.groupBy("doc", "page").agg(F.max_by(F.col("start") + F.col("width") / 2, F.struct(F.col("width"), -F.col("start"))).alias("gutter"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    levels = steps.unionByName(ends).groupBy("doc", "page", "slot").agg(F.sum("d").alias("d")).join(zone, ["doc", "page"])
+    levels = levels.withColumn("free", F.round(F.sum("d").over(upto), 9) < GUTTER_COVER * F.col("height")).withColumn("next", F.lead("slot").over(order)).where("slot >= first AND slot <= last")
+    runs = levels.withColumn("run", F.sum((~F.col("free")).cast("int")).over(upto)).where("free").groupBy("doc", "page", "run").agg((F.min("slot") * SLOT).alias("start"), (F.max("next") * SLOT).alias("end"))
+    runs = runs.withColumn("width", F.col("end") - F.col("start")).where(F.col("width") >= GUTTER_WIDTH)
+    return runs.groupBy("doc", "page").agg(F.max_by(F.col("start") + F.col("width") / 2, F.struct(F.col("width"), -F.col("start"))).alias("gutter"))
 
 
 def page_layouts(boxes: DataFrame, dims: DataFrame) -> DataFrame:
