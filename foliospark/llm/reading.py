@@ -68,11 +68,12 @@ class Reader:
         self.lines = regex.compile(r"\r\n?|[\n  ]").split
         self.end = regex.compile(r"[.!?…]").search
         self.tabbed = regex.compile(r"[.!?]\t").search
-        self.vi = frozenset(VIETNAMESE)
+        self.vi = regex.compile(f"[{VIETNAMESE}]").findall
+        self.alnum = regex.compile(r"[\p{L}\p{N}]+").findall
 
     def _prose(self, line: str) -> bool:
         shown = "".join(line.split())
-        signs = sum(not c.isalnum() for c in shown)
+        signs = len(shown) - sum(map(len, self.alnum(shown)))
         if line[0] == "#" or line.count("|") >= 2 or self.item(line) or (signs > 0.2 * len(shown) and len(shown) > 8):
             return False
         if "\t" in line and not self.tabbed(line):
@@ -103,7 +104,7 @@ class Reader:
         if not total:
             return None
         low = text.lower()
-        lang = "vi" if sum(map(low.count, self.vi)) * 50 > len(text) else "en"
+        lang = "vi" if len(self.vi(low)) * 50 > len(text) else "en"
         number = words = common = 0
         outside = [0, 0, 0]
         known = self.grade.get(lang, {})
