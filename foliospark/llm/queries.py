@@ -22,6 +22,10 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.found(table(spark, sf_dir, "document_blocks"))
 
 
+def p1_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan.repair(table(spark, sf_dir, "document_blocks"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pieces(spark, sf_dir, False).where("piece_no = 2").select("item_kind", "item_id")
 
@@ -70,5 +74,5 @@ def p8_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "level_labels"))
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_stats": p3_stats, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_levels": p8_levels}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p1_repair": p1_repair, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_stats": p3_stats, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_levels": p8_levels}
 ORACLE: dict[str, str] = {}

@@ -190,9 +190,11 @@ def misread_words(blocks: DataFrame, known_tokens: DataFrame, known: DataFrame,
     each = split.select("block_uid", "line_no", F.posexplode("t").alias("place", "token"), "t")
     odd = each.join(F.broadcast(passed), "token", "left_anti").select("block_uid", "line_no", "place", "token", F.get("t", F.col("place") - 1).alias("before"), F.get("t", F.col("place") + 1).alias("after"))
     hits = odd.join(wrong, "token")
-    # a neighbour that is itself a frequent word supports the reading
-    near = hits.select("*", F.explode(F.transform(F.filter(F.array("before", "after"), lambda x: x.isNotNull()), lambda x: F.lower(F.regexp_extract(x, PLAIN, 1)))).alias("form"))
-    return near.join(known.where("frequent").select("form"), "form", "left_semi").drop("form").distinct()
+    # a neighbour that is a frequent word, or may be one wrongly read, supports the reading; a word alone on its line needs none
+    near = hits.select("*", F.explode(F.filter(F.array("before", "after"), lambda x: x.isNotNull())).alias("x")).select("*", F.lower(F.regexp_extract("x", PLAIN, 1)).alias("form")).drop("x")
+    readable = known.where("frequent").select("form").unionByName(wrong.select(F.col("wrong").alias("form")))
+    alone = hits.where(F.col("before").isNull() & F.col("after").isNull())
+    return near.join(readable, "form", "left_semi").drop("form").unionByName(alone.select(*[c for c in near.columns if c != "form"])).distinct()
 
 
 def line_halves(blocks: DataFrame) -> DataFrame:
@@ -288,3 +290,74 @@ def found(document_blocks: DataFrame, settings: Settings = Settings()) -> DataFr
     noise = stages(document_blocks, settings)
     misread = noise.misread.select("block_uid", "line_no").unionByName(misread_halves(noise.hyphens)).withColumn("kind", F.lit("misread")).join(noise.lines.select("block_uid", "line_no"), ["block_uid", "line_no"], "left_anti")
     return noise.lines.unionByName(noise.hyphens.select("block_uid", "line_no", F.lit("hyphen").alias("kind"))).unionByName(misread).distinct()
+
+
+def best_readings(misread: DataFrame, blocks: DataFrame) -> DataFrame:
+    """One reading per wrongly read word: block_uid, line_no, place, token, wrong, right.
+
+    Of several frequent forms the one that the corpus has most often beside the
+    same neighbours is taken, then the more frequent, then the alphabetically
+    first.  Only the pairs that are in question are counted.
+    """
+    clean = lambda c: F.lower(F.regexp_extract(c, PLAIN, 1))
+    m = misread.select("block_uid", "line_no", "place", "token", "wrong", "right", "n_right", clean(F.col("before")).alias("before"), clean(F.col("after")).alias("after"))
+    several = m.groupBy("block_uid", "line_no", "place").agg(F.count_distinct("right").alias("k")).where("k > 1").drop("k")
+    asked = cut(m.join(several, ["block_uid", "line_no", "place"]))
+    pair = F.array(F.struct(F.col("before").alias("a"), F.col("right").alias("b")), F.struct(F.col("right").alias("a"), F.col("after").alias("b")))
+    ask = asked.select("block_uid", "line_no", "place", "right", F.explode(pair).alias("p")).select("block_uid", "line_no", "place", "right", "p.a", "p.b").where("a <> '' AND b <> ''")
+    forms = ask.select(F.explode(F.array("a", "b")).alias("f")).distinct()
+    toks = blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select(F.split(F.translate("raw_content", "\n\t\r", "   "), " ").alias("t"))
+    near = toks.select(F.posexplode("t").alias("i", "x"), "t").select(clean(F.col("x")).alias("a"), clean(F.coalesce(F.get("t", F.col("i") + 1), F.lit(""))).alias("b"))
+    counts = near.join(forms.withColumnRenamed("f", "a"), "a", "left_semi").join(ask.select("a", "b").distinct(), ["a", "b"]).groupBy("a", "b").agg(F.count("*").alias("n"))
+    support = ask.join(counts, ["a", "b"]).groupBy("block_uid", "line_no", "place", "right").agg(F.sum("n").alias("support"))
+    scored = m.join(support, ["block_uid", "line_no", "place", "right"], "left")
+    return scored.groupBy("block_uid", "line_no", "place", "token", "wrong").agg(F.min_by("right", F.struct(-F.coalesce("support", F.lit(0)), -F.col("n_right"), F.col("right"))).alias("right"))
+
+
+def _as_written(form: Column, like: Column) -> Column:
+    """``form`` in the case of ``like``."""
+    return F.when((F.length(like) > 1) & (like == F.upper(like)) & like.rlike(r"\p{Lu}.*\p{Lu}"), F.upper(form)).when(like.rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(form, 1, 1)), F.substring(form, 2, 100))).otherwise(form)
+
+
+def repair(document_blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """block_uid, text: the text of each block without heads and page numbers, with words joined and corrected, as paragraphs (an empty line between).
+
+    A word hyphenated over blocks or pages stands whole at the end of the first.
+    Blocks of other types keep their text, null stays null; a repeated delivery
+    gives one row.  A paragraph ends at an empty line, before a list item, and
+    after a sentence that ends a line well short of the block's longest.
+    """
+    found_ = stages(document_blocks, settings)
+    blocks = _source(document_blocks)
+    fixes = best_readings(found_.misread, blocks)
+    core = F.regexp_extract("token", PLAIN, 1)
+    part = F.get(F.filter(F.split(core, "-"), lambda p: F.lower(p) == F.col("wrong")), F.lit(0))
+    fixes = fixes.select("block_uid", "line_no", "place", F.replace("token", part, _as_written(F.col("right"), part)).alias("new"))
+    edits = fixes.groupBy("block_uid", "line_no", "place").agg(F.min("new").alias("new")).groupBy("block_uid", "line_no").agg(F.map_from_entries(F.collect_list(F.struct("place", "new"))).alias("edits"))
+    lines = blocks.dropDuplicates(["block_uid"]).select("block_uid", "block_type", F.posexplode_outer(F.split("raw_content", "\n")).alias("i", "line")).withColumn("line_no", F.coalesce("i", F.lit(0)) + 1).drop("i")
+    gone = found_.lines.select("block_uid", "line_no", F.lit(True).alias("gone"))
+    halves = found_.hyphens.select("block_uid", "line_no", "left", "right_whole", F.col("next_uid").alias("to_uid"), F.col("next_line").alias("to_line"))
+    opened = found_.hyphens.select(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no")).distinct()
+    moved = lines.join(opened, ["block_uid", "line_no"]).select(F.col("block_uid").alias("to_uid"), F.col("line_no").alias("to_line"), F.regexp_extract("line", r"^\s*(\S+)", 1).alias("moved"))
+    tails = halves.join(moved, ["to_uid", "to_line"]).select("block_uid", "line_no", "left", "right_whole", "moved")
+    work = lines.join(gone, ["block_uid", "line_no"], "left").join(edits, ["block_uid", "line_no"], "left").join(tails, ["block_uid", "line_no"], "left").join(opened.withColumn("opened", F.lit(True)), ["block_uid", "line_no"], "left")
+    toks = F.filter(F.split(F.translate("line", "\t\r", "  "), " "), lambda x: x != "")
+    toks = F.transform(toks, lambda x, i: F.coalesce(F.try_element_at("edits", i), x))
+    toks = F.when(F.col("opened"), F.slice(toks, 2, 100000)).otherwise(toks)
+    left = F.regexp_replace(F.element_at(toks, -1), rf"[{HYPHENS}]$", "")
+    stem = F.regexp_extract(left, r"^(.*?)[\p{L}\p{N}]+$", 1)
+    end = F.regexp_extract("moved", r"([^\p{L}\p{N}]*)$", 1)
+    last = F.regexp_extract(left, r"([\p{L}\p{N}]+)$", 1)
+    whole = F.when(F.col("right_whole").isNotNull(), F.concat(stem, _as_written(F.col("right_whole"), last), end)).otherwise(F.concat(left, "moved"))
+    toks = F.when(F.col("moved").isNotNull() & (F.size(toks) > 0), F.concat(F.slice(toks, 1, F.size(toks) - 1), F.array(whole))).otherwise(toks)
+    shaped = work.where(F.col("gone").isNull() & F.col("block_type").isin(*TEXT_TYPES)).select("block_uid", "line_no", F.col("line").isNull().alias("none"), F.array_join(toks, " ").alias("line"))
+    by = Window.partitionBy("block_uid")
+    order = by.orderBy("line_no")
+    before = F.lag("line").over(order)
+    ends = before.rlike(r"[.!?…:][\"')\]]*$") & (F.length(before) < 0.75 * F.max(F.length("line")).over(by))
+    breaks = before.isNull() | (F.col("line") == "") | (before == "") | ends | F.col("line").rlike(r"^(?:[•◦▪*+–-]|\(?(?:\d{1,3}|[A-Za-z])[.)])\s")
+    numbered = shaped.withColumn("b", breaks).withColumn("paragraph", F.sum(F.col("b").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    joined = numbered.groupBy("block_uid", "paragraph").agg(F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), lambda t: t != ""), " ").alias("text"), F.bool_and("none").alias("none"))
+    texts = joined.groupBy("block_uid").agg(F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("paragraph", "text"))), lambda x: x["text"]), lambda t: t != ""), "\n\n").alias("text"), F.bool_and("none").alias("none"))
+    base = blocks.select("block_uid", "block_type", F.when(F.col("block_type").isin(*TEXT_TYPES), F.when(F.col("raw_content").isNotNull(), "")).otherwise(F.col("raw_content")).alias("own")).dropDuplicates(["block_uid"])
+    return base.join(texts.where("NOT none").drop("none"), "block_uid", "left").select("block_uid", F.coalesce("text", "own").alias("text"))
