@@ -9,7 +9,6 @@ an epoch, up to its cap.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -76,8 +75,8 @@ def mix(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
     """
     plan = budgets(sizes, targets, settings).where(F.col("budget") > 0).withColumn("epochs", F.floor(F.col("budget") / F.col("source_tokens"))).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_tokens"))
     keyed = sizes.where(F.col("n_tokens") > 0).withColumn("key", F.xxhash64(F.lit(settings.seed), "doc_id"))
-    span = math.ceil(2**64 / settings.ranges)
-    keyed = keyed.withColumn("range", F.floor(F.col("key") / F.lit(span)))
+    # division rounds, but never against the order of the keys
+    keyed = keyed.withColumn("range", F.floor(F.col("key") / F.lit(2.0**64 / settings.ranges)))
     sums = keyed.groupBy("source", "range").agg(F.sum("n_tokens").alias("tokens"))
     # ranges x sources rows, one sort per source of at most ``ranges`` rows
     before = F.coalesce(F.sum("tokens").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -30,7 +30,8 @@ _WORD = re.compile(r"[^\W_]+")
 _ITEM = re.compile(r"\s*(?:[•◦▪‣·∙●○*+–—-]|\(?(?:\d{1,3}|[A-Za-z]|[ivxIVX]{1,5})[.)])\s")
 _GAP = re.compile(r"(?<=\S)(?:\s{3,}|\s*\t\s*)(?=\S)")  # white space of three characters or with a tab, between others
 _END = ".!?…:;。！？\"”)"
-SHORT_LINE = 48
+#: Most characters and words of a line that can be an item without a mark.
+SHORT_LINE, SHORT_WORDS = 48, 9
 #: What a state counts.
 COUNTS = ("chars", "nonspace", "words", "word_chars", "common", "lines", "punct_lines", "list_chars", "table_chars", "prose_chars", "junk_chars")
 _EDGE = 64
@@ -51,7 +52,7 @@ def _line(counts: list[int], chars: int, nonspace: int, words: int, word_chars:
     fields = commas >= 2 and common <= words * 0.15 and not ends
     if bars >= 2 or gaps >= 2 or (gaps == 1 and nonspace <= SHORT_LINE) or (fields and word_chars <= 2.7 * words):
         counts[8] += nonspace  # cells; of fields between commas those that are mostly numbers
-    elif _ITEM.match(opening) or (fields and words and word_chars >= 0.7 * nonspace) or (nonspace <= SHORT_LINE and not ends and last not in ",-¬­" and words and word_chars >= 0.7 * nonspace and not opening[0].islower()):
+    elif _ITEM.match(opening) or (fields and words and word_chars >= 0.7 * nonspace) or (nonspace <= SHORT_LINE and not ends and last not in ",-\xac\xad" and 0 < words <= SHORT_WORDS and word_chars >= 0.7 * nonspace and not opening[0].islower()):
         counts[7] += nonspace
     elif (common >= max(1, words * 0.08) or nonspace <= SHORT_LINE and words) and word_chars >= 0.6 * nonspace:
         counts[9] += nonspace  # a short line that goes on in lower case is a wrapped one

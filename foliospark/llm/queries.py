@@ -75,4 +75,14 @@ def p8_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {"p1_found": p1_found, "p1_repair": p1_repair, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_stats": p3_stats, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_levels": p8_levels}
-ORACLE: dict[str, str] = {}
+_WHITE = "'[\\s\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x0b\\x1c-\\x1f]+'"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '^' || {_WHITE}, ''), {_WHITE} || '$', '')"
+
+
+ORACLE: dict[str, str] = {
+    "p2_found": f"""SELECT DISTINCT 'block' AS item_kind, block_uid AS item_id FROM document_blocks JOIN split_limits ON item_kind = block_type WHERE length({_strip('markdown_result')}) > max_chars
+UNION SELECT 'page', page_uid FROM (SELECT page_uid, string_agg(t, E'\\n\\n' ORDER BY block_id) AS t FROM (SELECT page_uid, b.block_id AS block_id, any_value({_strip('b.markdown_result')}) AS t FROM (SELECT page_uid, unnest(blocks) AS b FROM page_results) WHERE b.markdown_result IS NOT NULL AND {_strip('b.markdown_result')} <> '' GROUP BY ALL) GROUP BY page_uid), split_limits WHERE item_kind = 'page' AND length(t) > max_chars""",
+}

@@ -22,6 +22,8 @@ LEVELS = ("low", "mid", "high")
 WORDS = r"\p{L}[\p{L}\p{M}]*+(?:-[\p{L}\p{M}]++)*+"
 #: Letters that Vietnamese has and English has not.
 VIETNAMESE = "ăâđêôơưạảấầẩẫậắằẳẵặẹẻẽếềểễệỉịọỏốồổỗộớờởỡợụủứừửữựỳỵỷỹ"
+#: Abbreviations whose full stop ends no sentence.
+ABBREVIATIONS = r"e\.g|i\.e|No|no|Nr|vol|ver|vs|cf|Fig|Figs|Eq|Sec|Ch|pp|p|ed|eds|al|ca|approx|Dr|Mr|Mrs|Ms|Prof|St|Jr|vd|tr|VD|TS|ThS|GS|PGS|TP|Tp|tp"
 
 
 @dataclass(frozen=True)
@@ -63,7 +65,7 @@ class Reader:
         self.settings = settings
         self.grade = {lang: {w: sum(s < g for g in settings.grades) for w, s in words.items()} for lang, words in shares.items()}
         self.words = regex.compile(WORDS).findall
-        self.sentence = regex.compile(r"(?<=[.!?…])[\"')\]]*\s+(?=[\p{Lu}\"'(])").split
+        self.sentence = regex.compile(rf"(?<=[.!?…])(?<!\b(?:{ABBREVIATIONS})\.)[\"')\]]*\s+(?=[\p{{Lu}}\"'(])").split
         self.item = regex.compile(r"\s*(?:[•◦▪*+–-]|\(?(?:\d{1,3}|[A-Za-z]|[ivx]{1,4})[.)])\s").match
         self.lines = regex.compile(r"\r\n?|[\n  ]").split
         self.end = regex.compile(r"[.!?…]").search

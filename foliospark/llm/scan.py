@@ -211,7 +211,7 @@ def line_halves(blocks: DataFrame) -> DataFrame:
 
 
 def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame) -> DataFrame:
-    """block_uid, line_no, next_uid, next_line, left, right, last, head, right_whole of each line that ends in the first half of a word.
+    """block_uid, line_no, next_uid, next_line, left, right, last, head, right_whole, word of each line that ends in the first half of a word, or (``word`` false) in that of a compound.
 
     The other half opens the next line of the text that is neither blank nor
     ``noise`` (heads and page numbers): in the block, in the page's next block of
@@ -244,7 +244,7 @@ def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame) -> DataFra
     neither = (whole == 0) & (compound == 0)
     word = F.when(F.col("sign") != "-", (compound == 0) | (whole > 0)).when(neither, ~F.coalesce("head_frequent", F.lit(False))).otherwise((whole > 0) & (whole >= compound))
     misread = (F.col("n_group") >= 8 * n_whole) & (F.col("right_group") != F.col("whole"))
-    return pairs.where(word).select("block_uid", "line_no", "next_uid", "next_line", "left", "right", "last", "head", F.when(misread, F.col("right_group")).alias("right_whole"))
+    return pairs.where(word | (compound > 0)).select("block_uid", "line_no", "next_uid", "next_line", "left", "right", "last", "head", F.when(word & misread, F.col("right_group")).alias("right_whole"), word.alias("word"))
 
 
 def misread_halves(hyphens: DataFrame) -> DataFrame:
@@ -265,8 +265,8 @@ class Noise:
 
     lines: DataFrame  # block_uid, line_no, kind: heads and page numbers
     hyphens: DataFrame
+    compounds: DataFrame  # broken at their own hyphen
     misread: DataFrame
-    known: DataFrame
 
 
 def stages(document_blocks: DataFrame, settings: Settings = Settings()) -> Noise:
@@ -274,11 +274,12 @@ def stages(document_blocks: DataFrame, settings: Settings = Settings()) -> Noise
     known_tokens = cut(tokens(blocks))
     known = cut(words(known_tokens, settings))
     noise = cut(heads_and_numbers(blocks, settings))
-    hyphens = cut(hyphenated(blocks, noise, known))
+    pairs = cut(hyphenated(blocks, noise, known))
+    hyphens, compounds = pairs.where("word"), pairs.where("NOT word")
     wrong = wrong_tokens(known_tokens, corrections(known, settings))
     misread = misread_words(blocks, known_tokens, known, cut(wrong), settings)
     second = hyphens.select(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no"), F.lit(0).alias("place"))
-    return Noise(noise, hyphens, misread.join(second, ["block_uid", "line_no", "place"], "left_anti"), known)
+    return Noise(noise, hyphens, compounds, misread.join(second, ["block_uid", "line_no", "place"], "left_anti"))
 
 
 def found(document_blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -336,15 +337,16 @@ def repair(document_blocks: DataFrame, settings: Settings = Settings()) -> DataF
     edits = fixes.groupBy("block_uid", "line_no", "place").agg(F.min("new").alias("new")).groupBy("block_uid", "line_no").agg(F.map_from_entries(F.collect_list(F.struct("place", "new"))).alias("edits"))
     lines = blocks.dropDuplicates(["block_uid"]).select("block_uid", "block_type", F.posexplode_outer(F.split("raw_content", "\n")).alias("i", "line")).withColumn("line_no", F.coalesce("i", F.lit(0)) + 1).drop("i")
     gone = found_.lines.select("block_uid", "line_no", F.lit(True).alias("gone"))
-    halves = found_.hyphens.select("block_uid", "line_no", "left", "right_whole", F.col("next_uid").alias("to_uid"), F.col("next_line").alias("to_line"))
-    opened = found_.hyphens.select(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no")).distinct()
+    pairs = found_.hyphens.unionByName(found_.compounds)
+    halves = pairs.select("block_uid", "line_no", "right_whole", "word", F.col("next_uid").alias("to_uid"), F.col("next_line").alias("to_line"))
+    opened = pairs.select(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no")).distinct()
     moved = lines.join(opened, ["block_uid", "line_no"]).select(F.col("block_uid").alias("to_uid"), F.col("line_no").alias("to_line"), F.regexp_extract("line", r"^\s*(\S+)", 1).alias("moved"))
-    tails = halves.join(moved, ["to_uid", "to_line"]).select("block_uid", "line_no", "left", "right_whole", "moved")
+    tails = halves.join(moved, ["to_uid", "to_line"]).select("block_uid", "line_no", "right_whole", "word", "moved")
     work = lines.join(gone, ["block_uid", "line_no"], "left").join(edits, ["block_uid", "line_no"], "left").join(tails, ["block_uid", "line_no"], "left").join(opened.withColumn("opened", F.lit(True)), ["block_uid", "line_no"], "left")
     toks = F.filter(F.split(F.translate("line", "\t\r", "  "), " "), lambda x: x != "")
     toks = F.transform(toks, lambda x, i: F.coalesce(F.try_element_at("edits", i), x))
     toks = F.when(F.col("opened"), F.slice(toks, 2, 100000)).otherwise(toks)
-    left = F.regexp_replace(F.element_at(toks, -1), rf"[{HYPHENS}]$", "")
+    left = F.when(F.col("word"), F.regexp_replace(F.element_at(toks, -1), rf"[{HYPHENS}]$", "")).otherwise(F.element_at(toks, -1))
     stem = F.regexp_extract(left, r"^(.*?)[\p{L}\p{N}]+$", 1)
     end = F.regexp_extract("moved", r"([^\p{L}\p{N}]*)$", 1)
     last = F.regexp_extract(left, r"([\p{L}\p{N}]+)$", 1)
