@@ -69,7 +69,6 @@ class Reader:
         self.item = regex.compile(r"\s*(?:[•◦▪*+–-]|\(?(?:\d{1,3}|[A-Za-z]|[ivx]{1,4})[.)])\s").match
         self.lines = regex.compile(r"\r\n?|[\n  ]").split
         self.end = regex.compile(r"[.!?…]").search
-        self.tabbed = regex.compile(r"[.!?]\t").search
         self.vi = regex.compile(f"[{VIETNAMESE}]").findall
         self.alnum = regex.compile(r"[\p{L}\p{N}]+").findall
 
@@ -78,8 +77,8 @@ class Reader:
         signs = len(shown) - sum(map(len, self.alnum(shown)))
         if line[0] == "#" or line.count("|") >= 2 or self.item(line) or (signs > 0.2 * len(shown) and len(shown) > 8):
             return False
-        if "\t" in line and not self.tabbed(line):
-            return False
+        if "\t" in line and len(self.words(line)) < 4 * (line.count("\t") + 1):
+            return False  # cells; tabs between long pieces are only blanks
         return not (line.count(",") >= 2 and not self.end(line) and len(self.words(line)) < 9)
 
     def paragraphs(self, text: str) -> list[str]:
