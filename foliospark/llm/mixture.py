@@ -74,7 +74,8 @@ def mix(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
     max_repeats).  Documents without tokens have no size and no row.
     """
     plan = budgets(sizes, targets, settings).where(F.col("budget") > 0).withColumn("epochs", F.floor(F.col("budget") / F.col("source_tokens"))).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_tokens"))
-    keyed = sizes.where(F.col("n_tokens") > 0).withColumn("key", F.xxhash64(F.lit(settings.seed), "doc_id"))
+    # a row per target source; other sources end here
+    keyed = sizes.where(F.col("n_tokens") > 0).join(F.broadcast(plan.select("source", "max_repeats", "epochs", "rest")), "source").withColumn("key", F.xxhash64(F.lit(settings.seed), "doc_id"))
     # division rounds, but never against the order of the keys
     keyed = keyed.withColumn("range", F.floor(F.col("key") / F.lit(2.0**64 / settings.ranges)))
     sums = keyed.groupBy("source", "range").agg(F.sum("n_tokens").alias("tokens"))
@@ -82,7 +83,7 @@ def mix(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
     before = F.coalesce(F.sum("tokens").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sums.select("source", "range", before.alias("before"))
     inner = F.sum("n_tokens").over(Window.partitionBy("source", "range").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = keyed.withColumn("within", inner).join(F.broadcast(starts), ["source", "range"]).join(F.broadcast(plan), "source")
+    placed = keyed.withColumn("within", inner).join(F.broadcast(starts), ["source", "range"])
     end = F.col("before") + F.col("within")
     begin = end - F.col("n_tokens")
     partly = (end <= F.col("rest")) | ((begin < F.col("rest")) & (end - F.col("rest") < F.col("rest") - begin))
