@@ -189,3 +189,5 @@ ORACLE["latest_facts"] = "SELECT user_id, event_type AS key, value FROM events Q
 ORACLE["forward_fill"] = "SELECT event_id, last_value(CASE WHEN event_id % 4 = 0 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS filled FROM events"
 ORACLE["event_sessions"] = "WITH l AS (SELECT *, coalesce(ts - lag(ts) OVER w >= INTERVAL 30 MINUTE, true) AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), g AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM l) SELECT user_id, min(ts) AS start, count(*) AS events, round(sum(value), 6) AS value FROM g GROUP BY user_id, s"
 ORACLE["event_windows"] = "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events, round(sum(value), 6) AS value FROM events GROUP BY ALL"
+ORACLE["page_raw_text"] = f"WITH {_BLOCKS} SELECT doc, md5(string_agg(raw_content, chr(10) ORDER BY page, block_id)) AS digest FROM b GROUP BY doc"
+ORACLE["new_chunks"] = ORACLE["token_chunks"].replace("SELECT doc_id, (i + 1)::INT AS chunk_no, doc_id ||", "SELECT doc_id ||").replace(", md5(array_to_string(w[i * 350 + 1 : i * 350 + 400], ' ')) AS digest FROM k", " FROM k WHERE doc_id % 3 = 0")

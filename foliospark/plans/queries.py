@@ -129,6 +129,11 @@ def transcript_json(spark: SparkSession, sf: str) -> DataFrame:
     return c.select("transcript_id", F.json_array_length("courses").alias("n"), F.get_json_object("courses", "$[0].code").alias("first_code"))
 
 
+@query
+def page_raw_text(spark: SparkSession, sf: str) -> DataFrame:
+    return transcript.page_text(_blocks(spark, sf).select("doc", "page", F.col("block_id").alias("ord"), F.col("raw_content").alias("text"))).select("doc", F.md5("text").alias("digest"))
+
+
 # weather
 
 
@@ -264,6 +269,34 @@ def image_captions(spark: SparkSession, sf: str) -> DataFrame:
     return layout.captioned_images(images, below).select("doc", "page", "ord", "block_type", "caption")
 
 
+def _spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks as the spans a page reader gives: a line each, in a font by type of block."""
+    b = _blocks(spark, sf).where(F.col("block_type").isin("text", "unknown", "math", "algorithm"))
+    font = F.when(F.col("block_type") == "math", "CMMI10").when(F.col("block_type") == "algorithm", "Courier").when(F.col("heading_level").isNotNull(), "Times-Bold").otherwise("Times")
+    rows = b.select("doc", "page", F.col("block_id").alias("block"), "bbox.x0", "bbox.y0", "bbox.x1", "bbox.y1", font.alias("font"), F.coalesce(F.nanvl("font_size", F.lit(None).cast("double")), F.lit(10.0)).alias("size"), F.posexplode(F.split("raw_content", "\n")).alias("line", "text"))
+    return rows.select("doc", "page", "block", "line", F.lit(0).alias("span"), "x0", "y0", "x1", "y1", "font", "size", F.lit(0).alias("flags"), "text")
+
+
+@query
+def analyze_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    s = _spans(spark, sf)
+    return layout.analyze_blocks(s, layout.font_hierarchy(s)).select("doc", "page", "ord", "block_type", "heading_level", F.length("content").alias("chars"))
+
+
+@query
+def font_headings(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.font_headings(_spans(spark, sf))
+
+
+@query
+def segment_pages(spark: SparkSession, sf: str) -> DataFrame:
+    b = _blocks(spark, sf)
+    tables = b.where("block_type = 'table'").select("doc", "page", "block_id", "bbox", F.transform(F.split("raw_content", "\n"), lambda r: F.split(r, r"\|")).alias("cells")).withColumnRenamed("block_id", "ord")
+    images = b.where(F.col("block_type").isin("image", "figure")).select("doc", "page", F.col("block_id").alias("ord"), "bbox")
+    out = layout.segment_pages(_spans(spark, sf), tables, images, _dims(b))
+    return out.select("doc", "page", "block_id", "block_type", "heading_level", "ocr_mode", F.length("raw_content").alias("chars"))
+
+
 # page texts
 
 
@@ -480,6 +513,17 @@ def cache_keys(spark: SparkSession, sf: str) -> DataFrame:
     return _documents(spark, sf).where(F.col("text").isNotNull()).select("doc_id", retrieval.cache_key(F.col("source")).alias("key"))
 
 
+@query
+def new_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    c = retrieval.token_chunks(_documents(spark, sf))
+    return retrieval.new_chunks(c, c.where("doc_id % 3 > 0")).select("chunk_id", "n_tokens")
+
+
+@query
+def drop_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return retrieval.drop_near_duplicates(_bm25(spark, sf, 20).select("query_id", "doc_id"), retrieval.near_duplicate_classes(_documents(spark, sf)))
+
+
 # context
 
 
