@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.functions.scale import cut
 from foliospark.llm.quality import COMMON
 
 LEVELS = ("low", "mid", "high")
@@ -51,7 +52,7 @@ def familiar_words(documents: DataFrame, settings: Settings = Settings(), text_c
     texts = documents.where(F.col(text_col).isNotNull()).select(language(F.col(text_col)).alias("lang"), F.regexp_extract_all(F.lower(text_col), F.lit(WORDS), 0).alias("words"))
     # the empty word counts the documents
     each = texts.where(F.size("words") >= settings.least_words).select("lang", F.explode(F.array_distinct(F.concat("words", F.array(F.lit(""))))).alias("word")).where(F.length("word") <= 64)
-    counts = each.groupBy("lang", "word").agg(F.count("*").alias("n"))
+    counts = cut(each.groupBy("lang", "word").agg(F.count("*").alias("n")))
     total = counts.where(F.col("word") == "").select("lang", F.col("n").alias("total"))  # two rows
     return counts.where(F.col("word") != "").join(F.broadcast(total), "lang").where(F.col("n") >= min(settings.grades) * F.col("total")).select("lang", "word", (F.col("n") / F.col("total")).alias("share"))
 
@@ -73,18 +74,18 @@ class Reader:
         self.alnum = regex.compile(r"[\p{L}\p{N}]+").findall
 
     def _prose(self, line: str) -> bool:
-        shown = "".join(line.split())
-        signs = len(shown) - sum(map(len, self.alnum(shown)))
-        if line[0] == "#" or line.count("|") >= 2 or self.item(line) or (signs > 0.2 * len(shown) and len(shown) > 8):
+        shown = len(line) - line.count(" ") - line.count("\t")
+        signs = shown - sum(map(len, self.alnum(line)))
+        if line[0] == "#" or line.count("|") >= 2 or (signs > 0.2 * shown and shown > 8) or self.item(line):
             return False
         if "\t" in line and len(self.words(line)) < 4 * (line.count("\t") + 1):
             return False  # cells; tabs between long pieces are only blanks
         return not (line.count(",") >= 2 and not self.end(line) and len(self.words(line)) < 9)
 
-    def paragraphs(self, text: str) -> list[str]:
-        """Lines of prose, joined where the next goes on in lower case."""
+    def paragraphs(self, text: str) -> tuple[list[str], int]:
+        """Lines of prose, joined where the next goes on in lower case, and the number of words in other lines."""
         out: list[str] = []
-        fresh = True
+        fresh, others = True, 0
         for line in self.lines(text):
             line = line.strip()
             if not line:
@@ -95,33 +96,35 @@ class Reader:
                 else:
                     out.append(line)
                 fresh = False
-        return out
+            else:
+                others += len(self.words(line))
+        return out, others
 
     def features(self, text: str | None) -> tuple[str, int, bool, float, float, float, float] | None:
         """``(lang, words, is prose, shares outside the three lists, average sentence length)``; null for a text without words."""
         if not text:
             return None
-        total = len(self.words(text))
-        if not total:
-            return None
         low = text.lower()
         lang = "vi" if len(self.vi(low)) * 50 > len(text) else "en"
         number = words = common = 0
         outside = [0, 0, 0]
-        known = self.grade.get(lang, {})
-        for paragraph in self.paragraphs(text):
+        known = self.grade.get(lang, {}).get
+        paragraphs, total = self.paragraphs(text)
+        for paragraph in paragraphs:
             for sentence in self.sentence(paragraph):
                 found = self.words(sentence.lower())
                 if found:
                     number += 1
                     words += len(found)
-                    for w in found:
-                        g = known.get(w, 3)
-                        if g:
-                            outside[0] += g == 3
-                            outside[1] += g >= 2
-                            outside[2] += 1
-                        common += w in COMMON
+                    grades = [known(w, 3) for w in found]
+                    three, two = grades.count(3), grades.count(2)
+                    outside[0] += three
+                    outside[1] += three + two
+                    outside[2] += len(grades) - grades.count(0)
+                    common += sum(map(COMMON.__contains__, found))
+        total += words
+        if not total:
+            return None
         s = self.settings
         if not words:
             return lang, total, False, 1.0, 1.0, 1.0, 0.0

@@ -48,7 +48,7 @@ class Settings:
     #: It stands so often in lower case (names and codes do not).
     lower_share: float = 0.3
     #: A head returns on this share of the document's pages (left and right pages may have their own), two pages at least.
-    head_share: float = 0.3
+    head_share: float = 0.28
     #: Lines at each edge of a page that can be heads and page numbers.
     edge_lines: int = 2
     #: Most frequent tokens that every task keeps to pass by the bulk of the text: at most this many short strings (about 1 MB); rarer ones are joined by shuffle.
@@ -91,8 +91,8 @@ def edge_lines(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def _number(line: Column) -> tuple[Column, Column, Column]:
     """Of a line that is only a printed page number: its value (null if none), its style, and whether it is marked as one."""
     low = F.lower(F.trim(line))
-    fmt = r"^[\[(|{<~*·•\-–—_=.\s]*(?:(trang|page|pages|pg|pag|tr|p|seite|sheet)[.:\s]*)?(\d{1,5}|[" + ROMAN + r"]{1,7}|(?<=[a-z.:\s])[0-9olisgbq]{1,4})(?:\s*(?:/|of|trên|von)\s*\d{1,5})?[\])|}>~*·•\-–—_=.\s]*$"
-    prefix, digits = F.regexp_extract(low, fmt, 1), F.regexp_extract(low, fmt, 2)
+    fmt = r"^[\[(|{<~*·•\-–—_=.\s]*(?:(trang|page|pages|pg|pag|tr|p|seite|sheet)[.:\s]*)?(\d{1,5}|[" + ROMAN + r"]{1,7}|[0-9olisgbq]{1,4})(\s*(?:/|of|trên|von)\s*\d{1,5})?[\])|}>~*·•\-–—_=.\s]*$"
+    prefix, digits, total = (F.regexp_extract(low, fmt, i) for i in (1, 2, 3))
     folded = F.translate(digits, "olisgbq", "0115969")
     roman = None
     for letters, value in (("m", 1000), ("d", 500), ("c", 100), ("l", 50), ("x", 10), ("v", 5), ("i", 1)):
@@ -100,9 +100,10 @@ def _number(line: Column) -> tuple[Column, Column, Column]:
         roman = term if roman is None else roman + term
     for pair, less in (("iv", 2), ("ix", 2), ("xl", 20), ("xc", 20), ("cd", 200), ("cm", 200)):
         roman = roman - F.when(digits.contains(pair), less).otherwise(0)
-    is_roman = digits.rlike(f"^[{ROMAN}]+$")
-    value = F.when(digits == "", None).when(is_roman, roman).when(folded.rlike(r"^\d+$"), F.expr("0") + folded.try_cast("int"))
-    value = F.when(digits.rlike(r"\d") | is_roman | (prefix != ""), value)
+    is_roman = digits.rlike(f"^[{ROMAN}]+$") & (total == "")
+    value = F.when(digits == "", None).when(is_roman, roman).when(folded.rlike(r"^\d+$"), folded.try_cast("int"))
+    # letters alone are a number only where something else says so
+    value = F.when(digits.rlike(r"\d") | is_roman | (prefix != "") | (total != ""), value)
     style = F.concat(F.when(is_roman, "r").otherwise("d"), F.when(prefix != "", "p").otherwise(""))
     marked = (prefix != "") | low.rlike(r"^[\[(|{<~*·•\-–—_=].*[\])|}>~*·•\-–—_=]$")
     return value, style, marked
