@@ -26,6 +26,8 @@ INVISIBLE = "\xad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b\u200c\u200d\u2
 CYRILLIC, CYRILLIC_AS = "\u0430\u0435\u043e\u0440\u0441\u0443\u0445\u0456\u0458\u0455\u04bb\u0501\u051b\u051d\u04cf\u0410\u0412\u0415\u041a\u041c\u041d\u041e\u0420\u0421\u0422\u0423\u0425\u0406\u0408\u0405\u050c\u051a\u051c", "aeopcyxijshdqwlABEKMHOPCTYXIJSGQW"
 #: Greek letters that look like Latin ones (not those that serve as symbols of their own look, as alpha or mu).
 GREEK, GREEK_AS = "\u03bf\u03bd\u03f2\u03f3\u0391\u0392\u0395\u0396\u0397\u0399\u039a\u039c\u039d\u039f\u03a1\u03a4\u03a5\u03a7\u03f9\u037f", "ovcjABEZHIKMNOPTYXCJ"
+#: The one of these that is a common symbol beside a consonant.
+NU = "\u03bd"
 #: The same, but also common as symbols: only in words of three letters and more.
 GREEK_LONG, GREEK_LONG_AS = "\u03c1\u03c5\u03b9\u03ba", "puik"
 #: Letters of other alphabets or of phonetic script that look like Latin ones.
@@ -49,7 +51,7 @@ def _word_sql() -> str:
     return f"""CASE
         WHEN {latin} AND {cyr} AND NOT regexp_matches(w, '{_CYRILLIC_OWN}') THEN translate({to_latin_cyr}, {_quote(GREEK)}, {_quote(GREEK_AS)})
         WHEN {latin} AND regexp_matches(w, '{_CYRILLIC_OWN}') AND regexp_matches(w, '[{CYRILLIC_AS}]') AND NOT regexp_matches(translate(w, {_quote(CYRILLIC_AS)}, {_quote(CYRILLIC)}), '\\p{{Latin}}') THEN translate(w, {_quote(CYRILLIC_AS)}, {_quote(CYRILLIC)})
-        WHEN {latin} AND {greek} AND NOT regexp_matches(replace(w, '\u03b9', ''), '{_GREEK_OWN}') AND (length(w) > 2 OR regexp_matches(w, '[aeiouyAEIOUY\\x{{c0}}-\\x{{24f}}\\x{{1e00}}-\\x{{1eff}}]')) THEN CASE WHEN length(w) > 2 THEN {long} ELSE {short} END
+        WHEN {latin} AND {greek} AND NOT regexp_matches(replace(w, '\u03b9', ''), '{_GREEK_OWN}') AND (length(w) > 2 OR regexp_matches(w, '[{GREEK.replace(NU, '')}]') OR regexp_matches(w, '[aeiouyAEIOUY\\x{{c0}}-\\x{{24f}}\\x{{1e00}}-\\x{{1eff}}]')) THEN CASE WHEN length(w) > 2 THEN {long} ELSE {short} END
         WHEN length(w) > 1 AND regexp_matches(w, '[{OTHER}]') AND regexp_matches({other}, '\\p{{Latin}}') THEN {other}
         ELSE w END"""
 

@@ -3,7 +3,7 @@ import pytest
 from foliospark.llm import lookalike as L
 
 CASES = [
-    ("tｈａｔ", "that", True), ("ﬁeld", "field", True), ("một", "một", True), ("th​is", "this", True), ("a\xa0b", "a b", True), ("Сơ sở", "Cơ sở", True), ("thiѕ", "this", True), ("Εach", "Each", True), ("νà", "và", True), ("ɡió", "gió", True), ("Ðồ", "Đồ", True),
+    ("tｈａｔ", "that", True), ("ﬁeld", "field", True), ("một", "một", True), ("th​is", "this", True), ("a\xa0b", "a b", True), ("Сơ sở", "Cơ sở", True), ("thiѕ", "this", True), ("Εach", "Each", True), ("νà", "và", True), ("ɡió", "gió", True), ("\u03bff \u039fn", "of On", True), ("\u03bdt", "\u03bdt", False), ("Ðồ", "Đồ", True),
     ("Kỹ", "Kỹ", True), ("h​i‌d﻿e", "hide", True), ("сигнaл", "сигнал", True), ("6.３", "6.3", True),
     ("x̄ = 1", "x̄ = 1", False), ("H₂O № ½ m²", "H₂O № ½ m²", False), ("сигнал", "сигнал", False), ("αx + βy, Δt = 5 μs, kΩ", "αx + βy, Δt = 5 μs, kΩ", False), ("👩‍💻 ok", "👩‍💻 ok", False), ("plain  text\t\n", "plain  text\t\n", False), ("", "", False), (None, None, False), ("end\xad\nline", "end\xad\nline", False),
 ]
