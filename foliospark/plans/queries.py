@@ -25,17 +25,18 @@ def query(function: Query) -> Query:
     return function
 
 
-def _once(df: DataFrame, key: str, *drop: str) -> DataFrame:
-    """A table without its repeated deliveries."""
-    return df.drop(*drop).dropDuplicates([key])
+def _once(df: DataFrame, key: str, *drop: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """A table without its repeated deliveries.  ``by`` are columns that the key decides and that later steps group by: rows are then shuffled by them once, for both."""
+    df = df.drop(*drop)
+    return df.repartition(*by).dropDuplicates([*by, key]) if by else df.dropDuplicates([key])
 
 
 def _courses(spark: SparkSession, sf: str) -> DataFrame:
-    return _once(table(spark, sf, "courses"), "course_uid", "loaded_at")
+    return _once(table(spark, sf, "courses"), "course_uid", "loaded_at", by=("transcript_id",))
 
 
 def _blocks(spark: SparkSession, sf: str) -> DataFrame:
-    return _once(table(spark, sf, "document_blocks"), "block_uid", "ingested_at")
+    return _once(table(spark, sf, "document_blocks"), "block_uid", "ingested_at", by=("doc", "page"))
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
