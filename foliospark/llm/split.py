@@ -23,6 +23,10 @@ WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u
 INSIDE, BETWEEN, BLANK, CLAUSE, SENTENCE, LINE, PARAGRAPH = range(7)
 #: Characters of one sparse table; longer texts are worked through table by table, so memory does not follow the text's length.
 SLAB = 1 << 18
+#: Characters around it that are looked at too.
+CONTEXT = 256
+#: Places of one table at most; strength and place are one integer.
+WIDE = 1 << 28
 
 
 @lru_cache(1)
@@ -68,7 +72,7 @@ class StrongestCut:
     """Sparse table over one slab of strengths; windows up to ``widest`` places."""
 
     def __init__(self, strength: np.ndarray, widest: int):
-        level = strength.astype(np.int32) * (SLAB * 4) + np.arange(len(strength), dtype=np.int32)
+        level = strength.astype(np.int32) * WIDE + np.arange(len(strength), dtype=np.int32)
         self.levels = [level]
         step = 1
         while 2 * step <= min(widest, len(strength)):
@@ -80,7 +84,7 @@ class StrongestCut:
         """The place of the strongest cut in ``low .. high`` (both included), of equal ones the rightmost."""
         k = (high - low + 1).bit_length() - 1
         level = self.levels[k]
-        return int(max(level[low], level[high - (1 << k) + 1])) % (SLAB * 4)
+        return int(max(level[low], level[high - (1 << k) + 1])) % WIDE
 
 
 def pieces(text: str, max_chars: int, overlap: int) -> list[tuple[int, int]]:
@@ -97,23 +101,22 @@ def pieces(text: str, max_chars: int, overlap: int) -> list[tuple[int, int]]:
     if n <= max_chars:
         return [(0, n)] if n else []
     least = min(max_chars, max(overlap + 1, max_chars // 2))
-    slab = max(SLAB, 0)
-    if max_chars > slab:
-        least = max(least, max_chars - slab + 1)
+    span = max(SLAB, 4 * max_chars)
     out: list[tuple[int, int]] = []
-    strength = strengths(text)
-    start, base, table = 0, 0, None
+    start, base, reach = 0, 0, -1
     while n - start > max_chars:
         low, high = start + least, start + max_chars
-        if table is None or high - base > limit:  # noqa: F821 (set with table)
-            base, limit = low, slab + (high - low)
-            table = StrongestCut(strength[base : base + limit + 1], high - low + 1)
+        if high > reach:
+            # the strengths of the next stretch, with some text before it for white space that began there
+            base, reach = max(0, start - CONTEXT), min(n, start + span)
+            strength = strengths(text[base : reach + CONTEXT])
+            table = StrongestCut(strength[: reach - base + 1], high - low + 1)
         end = base + table.query(low - base, high - base)
         out.append((start, end))
         if overlap:
-            first, last = end - overlap, end - overlap // 2
+            first, last = end - overlap - base, end - overlap // 2 - base
             at = first + int(np.argmax(strength[first : last + 1]))
-            start = at if strength[at] > BETWEEN else first + int(strength[first] == INSIDE and overlap > 1)
+            start = base + (at if strength[at] > BETWEEN else first + int(strength[first] == INSIDE and overlap > 1))
         else:
             start = end
     out.append((start, n))
