@@ -81,7 +81,8 @@ def rerank(candidates: DataFrame, queries: DataFrame, scorer: Callable[[Column,
         days = F.datediff(F.lit(now).cast("date"), F.col("updated_at").cast("date")) if now else F.datediff(F.current_date(), F.col("updated_at").cast("date"))
         score = score + recency_weight * F.coalesce(F.pow(F.lit(0.5), days / half_life_days), F.lit(0.0))
     c = c.withColumn("rerank_score", F.round(score, 9))
-    return c.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("rerank_score"), "chunk_id"))).drop("query")
+    ties = [k for k in ("chunk_id", "source_kind") if k in c.columns]
+    return c.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("rerank_score"), *ties))).drop("query")
 
 
 def compress(ranked: DataFrame, queries: DataFrame, keep_verbatim: float = 0.5, sentences: int = 3) -> DataFrame:

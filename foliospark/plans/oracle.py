@@ -191,3 +191,14 @@ ORACLE["event_sessions"] = "WITH l AS (SELECT *, coalesce(ts - lag(ts) OVER w >=
 ORACLE["event_windows"] = "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events, round(sum(value), 6) AS value FROM events GROUP BY ALL"
 ORACLE["page_raw_text"] = f"WITH {_BLOCKS} SELECT doc, md5(string_agg(raw_content, chr(10) ORDER BY page, block_id)) AS digest FROM b GROUP BY doc"
 ORACLE["new_chunks"] = ORACLE["token_chunks"].replace("SELECT doc_id, (i + 1)::INT AS chunk_no, doc_id ||", "SELECT doc_id ||").replace(", md5(array_to_string(w[i * 350 + 1 : i * 350 + 400], ' ')) AS digest FROM k", " FROM k WHERE doc_id % 3 = 0")
+_W3, _S = "[\\p{L}\\p{M}\\p{Nd}\\p{Pc}]{3,}", "[\\s\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x0b\\x1c-\\x1f]*"
+_M = "\\$[^$\\n]+\\$|\\$\\$[\\s\\S]+?\\$\\$"
+_J1 = f"regexp_replace(raw_content, {_q(f'({_M})|({_W3})-{_S}' + chr(92) + f'n{_S}([a-z])')}, '\\1\\2\\3', 'g')"
+_J2 = f"regexp_replace({_J1}, {_q(f'({_M})|([a-z,;:])[ ' + chr(92) + 't]*' + chr(92) + 'n[ ' + chr(92) + 't]*([a-z])')}, '\\1' || chr(57344) || '\\2' || chr(57345) || '\\3' || chr(57346), 'g')"
+ORACLE["hyphen_repair"] = f"WITH {_BLOCKS} SELECT block_uid, md5(replace(replace(replace(replace({_J2}, chr(57344) || chr(57345) || chr(57346), ''), chr(57345), ' '), chr(57344), ''), chr(57346), '')) AS digest FROM b"
+_MAP = ORACLE["section_map"].partition("WITH RECURSIVE ")[2].rpartition(" SELECT doc, page, coalesce(last_value")
+ORACLE["metadata_json"] = f"WITH RECURSIVE {_PR}, {_VOTE}, {_MAP[0]}, sec AS (SELECT doc, page, coalesce(last_value{_MAP[2]}) SELECT doc, k.n AS total_blocks, vote.layout, sec.section AS section_1 FROM (SELECT doc, count(*) AS n FROM b GROUP BY doc) k LEFT JOIN vote USING (doc) LEFT JOIN (SELECT doc, section FROM sec WHERE page = 1) sec USING (doc)"
+_RANK = f"""{_CAND}, sf AS (SELECT cd.*, d.trust AS tr, {_RED.replace('(text,', '(cd.content,')} AS safe FROM cd JOIN documents d USING (doc_id) WHERE {' AND '.join(f'NOT regexp_matches(cd.content, {_q(p)})' for p in INJECTION.values())}),
+qs AS (SELECT doc_id AS query_id, list_distinct(regexp_extract_all(lower(substr(coalesce(text, ''), 1, 100)), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS qt FROM documents WHERE doc_id % 100 = 0),
+rk AS (SELECT query_id, source_kind, chunk_id, round(coalesce(len(list_intersect(qt, regexp_extract_all(lower(safe), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')))::DOUBLE / nullif(len(qt), 0), 0.0) + 0.1::DOUBLE * coalesce(tr, 0.0), 9) AS rerank_score FROM sf JOIN qs USING (query_id))"""
+ORACLE["rerank"] = f"WITH {_RANK} SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, chunk_id, source_kind)::INT AS rank FROM rk"
