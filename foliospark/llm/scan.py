@@ -33,6 +33,8 @@ HYPHENS = "-‐‑¬\xad"
 PLAIN = r"^[(\[\"'“‘–—]*+([\p{L}\p{N}]++(?:[-‐][\p{L}\p{N}]++)*+)[)\]\"'”’.,;:!?…–—]*+$"
 TEXT_TYPES = ("text", "unknown")
 ROMAN = "ivxlcdm"
+#: Stands for the neighbour of a word alone on its line.
+ALONE = "\n"
 
 
 @dataclass(frozen=True)
@@ -188,14 +190,15 @@ def misread_words(blocks: DataFrame, known_tokens: DataFrame, known: DataFrame,
     passed = known_tokens.where(F.col("n") >= settings.frequent_least).orderBy(F.desc("n"), "token").limit(settings.passed_tokens).select("token").join(wrong.select("token"), "token", "left_anti")
     lines = blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select("block_uid", F.posexplode(F.split("raw_content", "\n")).alias("line_no", "line"))
     split = lines.select("block_uid", (F.col("line_no") + 1).alias("line_no"), F.filter(F.split(F.translate("line", "\t\r", "  "), " "), lambda x: x != "").alias("t"))
-    each = split.select("block_uid", "line_no", F.posexplode("t").alias("place", "token"), "t")
-    odd = each.join(F.broadcast(passed), "token", "left_anti").select("block_uid", "line_no", "place", "token", F.get("t", F.col("place") - 1).alias("before"), F.get("t", F.col("place") + 1).alias("after"))
+    beside = F.transform("t", lambda x, i: F.struct(x.alias("token"), F.get("t", i - 1).alias("before"), F.get("t", i + 1).alias("after")))
+    each = split.select("block_uid", "line_no", F.posexplode(beside).alias("place", "s")).select("block_uid", "line_no", "place", "s.token", "s.before", "s.after")
+    odd = each.join(F.broadcast(passed), "token", "left_anti")
     hits = odd.join(wrong, "token")
     # a neighbour that is a frequent word, or may be one wrongly read, supports the reading; a word alone on its line needs none
-    near = hits.select("*", F.explode(F.filter(F.array("before", "after"), lambda x: x.isNotNull())).alias("x")).select("*", F.lower(F.regexp_extract("x", PLAIN, 1)).alias("form")).drop("x")
-    readable = known.where("frequent").select("form").unionByName(wrong.select(F.col("wrong").alias("form")))
-    alone = hits.where(F.col("before").isNull() & F.col("after").isNull())
-    return near.join(readable, "form", "left_semi").drop("form").unionByName(alone.select(*[c for c in near.columns if c != "form"])).distinct()
+    beside = F.filter(F.array("before", "after"), lambda x: x.isNotNull())
+    near = hits.select("*", F.explode(F.when(F.size(beside) > 0, beside).otherwise(F.array(F.lit(ALONE)))).alias("x")).select("*", F.when(F.col("x") == ALONE, ALONE).otherwise(F.lower(F.regexp_extract("x", PLAIN, 1))).alias("form")).drop("x")
+    readable = known.where("frequent").select("form").unionByName(wrong.select(F.col("wrong").alias("form"))).unionByName(known.sparkSession.createDataFrame([(ALONE,)], "form string"))
+    return near.join(readable, "form", "left_semi").drop("form").distinct()
 
 
 def line_halves(blocks: DataFrame) -> DataFrame:
@@ -208,7 +211,7 @@ def line_halves(blocks: DataFrame) -> DataFrame:
     ends = F.filter(F.transform("lines", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), i.alias("i"))), lambda x: F.substring(x["line"], -1, 1).isin(*HYPHENS))
     left = rf"(?<![^\s(\[\"'“‘])([\p{{L}}\p{{N}}]+(?:-[\p{{L}}\p{{N}}]+)*)[{HYPHENS}]$"
     halves = F.transform(ends, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], left, 1).alias("left"), F.substring(x["line"], -1, 1).alias("sign"), opened(F.slice("lines", x["i"] + 2, 4)).alias("rest")))
-    return lines.select("doc", "page", "block_id", "block_uid", "heading", F.filter(halves, lambda h: h["left"].rlike(r"\p{L}")).alias("halves"), opened(F.slice("lines", 1, 4)).alias("first")).where((F.size("halves") > 0) | (F.size("first") > 0)).dropDuplicates(["block_uid"])
+    return lines.select("doc", "page", "block_id", "block_uid", "heading", F.filter(halves, lambda h: h["left"].rlike(r"\p{L}")).alias("halves"), opened(F.slice("lines", 1, 4)).alias("first")).dropDuplicates(["block_uid"])
 
 
 def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame) -> DataFrame:
@@ -309,7 +312,7 @@ def best_readings(misread: DataFrame, blocks: DataFrame) -> DataFrame:
     ask = asked.select("block_uid", "line_no", "place", "right", F.explode(pair).alias("p")).select("block_uid", "line_no", "place", "right", "p.a", "p.b").where("a <> '' AND b <> ''")
     forms = ask.select(F.explode(F.array("a", "b")).alias("f")).distinct()
     toks = blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select(F.split(F.translate("raw_content", "\n\t\r", "   "), " ").alias("t"))
-    near = toks.select(F.posexplode("t").alias("i", "x"), "t").select(clean(F.col("x")).alias("a"), clean(F.coalesce(F.get("t", F.col("i") + 1), F.lit(""))).alias("b"))
+    near = toks.select(F.explode(F.transform("t", lambda x, i: F.struct(x.alias("a"), F.coalesce(F.get("t", i + 1), F.lit("")).alias("b")))).alias("p")).select(clean(F.col("p.a")).alias("a"), clean(F.col("p.b")).alias("b"))
     counts = near.join(forms.withColumnRenamed("f", "a"), "a", "left_semi").join(ask.select("a", "b").distinct(), ["a", "b"]).groupBy("a", "b").agg(F.count("*").alias("n"))
     support = ask.join(counts, ["a", "b"]).groupBy("block_uid", "line_no", "place", "right").agg(F.sum("n").alias("support"))
     scored = m.join(support, ["block_uid", "line_no", "place", "right"], "left")
