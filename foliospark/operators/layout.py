@@ -183,11 +183,14 @@ def gutters(boxes: DataFrame, dims: DataFrame) -> DataFrame:
     zone = dims.where((F.col("width") > 0) & (F.col("height") > 0)).select("doc", "page", "height", n.alias("n"), first.cast("int").alias("first"), last.cast("int").alias("last")).where("first <= last")
     b = boxes.join(zone, ["doc", "page"])
     lo, hi, h = F.greatest(F.lit(0), (F.col("x0") / SLOT).cast("int")), F.least(F.col("n") - 1, (F.col("x1") / SLOT).cast("int")), F.greatest(F.lit(0.0), F.col("y1") - F.col("y0"))
-    steps = b.where(lo <= hi).select("doc", "page", F.explode(F.array(F.struct(lo.alias("slot"), h.alias("d")), F.struct((hi + 1).alias("slot"), (-h).alias("d")))).alias("s")).select("doc", "page", "s.slot", "s.d")
-    ends = zone.select("doc", "page", F.explode(F.array("first", F.col("last") + 1)).alias("slot"), F.lit(0.0).alias("d"))
+    step = lambda slot, d: F.struct(slot.cast("int").alias("slot"), d.alias("d"))
+    # every box also marks the ends of the zone, at no height
+    ends = F.array(step(F.col("first"), F.lit(0.0)), step(F.col("last") + 1, F.lit(0.0)))
+    steps = F.when(lo <= hi, F.concat(ends, F.array(step(lo, h), step(hi + 1, -h)))).otherwise(ends)
+    steps = b.select("doc", "page", "height", "first", "last", F.explode(steps).alias("s")).select("doc", "page", "height", "first", "last", "s.slot", "s.d")
     order = Window.partitionBy("doc", "page").orderBy("slot")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    levels = steps.unionByName(ends).groupBy("doc", "page", "slot").agg(F.sum("d").alias("d")).join(zone, ["doc", "page"])
+    levels = steps.groupBy("doc", "page", "slot").agg(F.sum("d").alias("d"), *[F.max(c).alias(c) for c in ("height", "first", "last")])
     levels = levels.withColumn("free", F.round(F.sum("d").over(upto), 9) < GUTTER_COVER * F.col("height")).withColumn("next", F.lead("slot").over(order)).where("slot >= first AND slot <= last")
     runs = levels.withColumn("run", F.sum((~F.col("free")).cast("int")).over(upto)).where("free").groupBy("doc", "page", "run").agg((F.min("slot") * SLOT).alias("start"), (F.max("next") * SLOT).alias("end"))
     runs = runs.withColumn("width", F.col("end") - F.col("start")).where(F.col("width") >= GUTTER_WIDTH)
@@ -284,4 +287,6 @@ def segment_pages(spans: DataFrame, tables: DataFrame, images: DataFrame, dims:
     for blocks, kind in kinds:
         blocks = blocks.withColumn("ord", F.lit(kind).cast("bigint") * (1 << 40) + F.col("ord"))
         every = blocks if every is None else every.unionByName(blocks)
+    # one shuffle for all that follows; what the union itself says of its partitions does not hold once they are coalesced at run time
+    every = every.repartition("doc", "page")
     return number_blocks(merge_formulas(reading_order(every, layouts, dims)))

@@ -97,7 +97,7 @@ _GUT = """f AS (SELECT *, slot - row_number() OVER (PARTITION BY doc, page ORDER
 r AS (SELECT doc, page, min(slot) * 2.0 AS st, max(slot) * 2.0 + 2.0 - min(slot) * 2.0 AS wd FROM f GROUP BY doc, page, run HAVING wd >= 8),
 gut AS (SELECT doc, page, (st + wd / 2)::DOUBLE AS gutter FROM r QUALIFY row_number() OVER (PARTITION BY doc, page ORDER BY wd DESC, st) = 1)"""
 ORACLE["coverage_histogram"] = f"WITH {_BLOCKS}, {_DIMS}, {_BOXES}, {_COVER} SELECT doc, page, slot, round(covered, 6) AS covered FROM cov WHERE covered > 0"
-ORACLE["gutter_runs"] = f"WITH {_BLOCKS}, {_DIMS}, {_BOXES}, {_COVER}, {_GUT} SELECT doc, page, gutter FROM gut"
+ORACLE["gutter_runs"] = f"WITH {_BLOCKS}, {_DIMS}, {_BOXES}, {_COVER}, {_GUT} SELECT doc, page, gutter FROM gut SEMI JOIN boxes USING (doc, page)"  # a page without boxes has none
 _BODY = "boxes AS (SELECT * FROM all_boxes WHERE NOT (y1 < 48 OR y0 > 842 - 48)), bdims AS (SELECT * FROM dims SEMI JOIN boxes USING (doc, page))"
 ORACLE["page_layouts"] = f"""WITH {_BLOCKS}, {_DIMS}, {_BOXES.replace('boxes AS', 'all_boxes AS')}, {_BODY}, {_COVER.replace('FROM dims d', 'FROM bdims d')}, {_GUT},
 sides AS (SELECT doc, page, count(*) FILTER (x1 <= 297.5 - 20) AS l, count(*) FILTER (x0 >= 297.5 + 20) AS r FROM boxes GROUP BY ALL)
