@@ -64,7 +64,7 @@ ORACLE["request_parameters"] = f"WITH {_W}, r AS (SELECT units, obs_id % 2 = 0 A
 
 def _units() -> str:
     """Values and units of the three quantities, by patterns over remark instead of an automaton."""
-    spelled = ", ".join(f"({_q(name)}, {_q(q)}, {f!r}, {o!r}, {_q(s)})" for name, (q, f, o, spellings) in units.UNITS.items() for s in spellings.split("|"))
+    spelled = ", ".join(f"({_q(name)}, {_q(q)}, {f!r}::DOUBLE, {o!r}::DOUBLE, {_q(s)})" for name, (q, f, o, spellings) in units.UNITS.items() for s in spellings.split("|"))
     labels = {"temperature": "temperature|temp|t|nhiệt độ", "wind_speed": "wind speed|wind|w|gió", "precipitation": "precip|p|rainfall|lượng mưa"}
     parts = []
     for q, words in labels.items():
