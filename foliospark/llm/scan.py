@@ -31,6 +31,8 @@ DOUBLES = (("m", "rn"), ("d", "cL"), ("w", "vv"), ("u", "LL"))
 HYPHENS = "-‐‑¬\xad"
 #: A printed word: letters and digits, possibly with hyphens inside, in plain punctuation.
 PLAIN = r"^[(\[\"'“‘–—]*+([\p{L}\p{N}]++(?:[-‐][\p{L}\p{N}]++)*+)[)\]\"'”’.,;:!?…–—]*+$"
+#: Characters inside words that are not seen; words are looked at without them.
+UNSEEN = "\u200b\u200c\u200d\u2060\ufeff"
 TEXT_TYPES = ("text", "unknown")
 ROMAN = "ivxlcdm"
 #: Stands for the neighbour of a word alone on its line.
@@ -148,7 +150,7 @@ def tokens(blocks: DataFrame) -> DataFrame:
     frequent word is no hot key; all further work on words is done once per
     distinct token.  The token ``''`` counts the blocks.
     """
-    found = F.array_distinct(F.split(F.concat(F.lit(" "), F.translate("raw_content", "\n\t\r", "   ")), " "))
+    found = F.array_distinct(F.split(F.concat(F.lit(" "), F.translate("raw_content", "\n\t\r" + UNSEEN, "   ")), " "))
     each = blocks.where(F.col("raw_content").isNotNull()).select(F.explode(found).alias("token"))
     return each.where(F.length("token") <= 64).groupBy("token").agg(F.count("*").alias("n"))
 
@@ -189,7 +191,7 @@ def misread_words(blocks: DataFrame, known_tokens: DataFrame, known: DataFrame,
     """
     passed = known_tokens.where(F.col("n") >= settings.frequent_least).orderBy(F.desc("n"), "token").limit(settings.passed_tokens).select("token").join(wrong.select("token"), "token", "left_anti")
     lines = blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select("block_uid", F.posexplode(F.split("raw_content", "\n")).alias("line_no", "line"))
-    split = lines.select("block_uid", (F.col("line_no") + 1).alias("line_no"), F.filter(F.split(F.translate("line", "\t\r", "  "), " "), lambda x: x != "").alias("t"))
+    split = lines.select("block_uid", (F.col("line_no") + 1).alias("line_no"), F.filter(F.split(F.translate("line", "\t\r" + UNSEEN, "  "), " "), lambda x: x != "").alias("t"))
     beside = F.transform("t", lambda x, i: F.struct(x.alias("token"), F.get("t", i - 1).alias("before"), F.get("t", i + 1).alias("after")))
     each = split.select("block_uid", "line_no", F.posexplode(beside).alias("place", "s")).select("block_uid", "line_no", "place", "s.token", "s.before", "s.after")
     odd = each.join(F.broadcast(passed), "token", "left_anti")
@@ -205,7 +207,7 @@ def line_halves(blocks: DataFrame) -> DataFrame:
     """Of each block of text what hyphenation needs: ``halves`` (lines that end in a hyphen: line_no, left, sign, and the openings of up to four lines after) and ``first`` (the openings of its first four lines), a repeated delivery once."""
     texts = blocks.where(F.col("block_type").isin(*TEXT_TYPES) & F.col("raw_content").isNotNull())
     opening = r"^([\p{L}\p{N}]++(?:-[\p{L}\p{N}]++)*+)"
-    numbered = F.filter(F.transform(F.split("raw_content", "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), F.trim(F.translate(x, "\t\r", "  ")).alias("line"))), lambda x: x["line"] != "")
+    numbered = F.filter(F.transform(F.split("raw_content", "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), F.trim(F.translate(x, "\t\r" + UNSEEN, "  ")).alias("line"))), lambda x: x["line"] != "")
     lines = texts.select("doc", "page", "block_id", "block_uid", F.col("heading_level").isNotNull().alias("heading"), numbered.alias("lines"))
     opened = lambda part: F.transform(part, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], opening, 1).alias("right")))
     ends = F.filter(F.transform("lines", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), i.alias("i"))), lambda x: F.substring(x["line"], -1, 1).isin(*HYPHENS))
@@ -311,7 +313,7 @@ def best_readings(misread: DataFrame, blocks: DataFrame) -> DataFrame:
     pair = F.array(F.struct(F.col("before").alias("a"), F.col("right").alias("b")), F.struct(F.col("right").alias("a"), F.col("after").alias("b")))
     ask = asked.select("block_uid", "line_no", "place", "right", F.explode(pair).alias("p")).select("block_uid", "line_no", "place", "right", "p.a", "p.b").where("a <> '' AND b <> ''")
     forms = ask.select(F.explode(F.array("a", "b")).alias("f")).distinct()
-    toks = blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select(F.split(F.translate("raw_content", "\n\t\r", "   "), " ").alias("t"))
+    toks = blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select(F.split(F.translate("raw_content", "\n\t\r" + UNSEEN, "   "), " ").alias("t"))
     near = toks.select(F.explode(F.transform("t", lambda x, i: F.struct(x.alias("a"), F.coalesce(F.get("t", i + 1), F.lit("")).alias("b")))).alias("p")).select(clean(F.col("p.a")).alias("a"), clean(F.col("p.b")).alias("b"))
     counts = near.join(forms.withColumnRenamed("f", "a"), "a", "left_semi").join(ask.select("a", "b").distinct(), ["a", "b"]).groupBy("a", "b").agg(F.count("*").alias("n"))
     support = ask.join(counts, ["a", "b"]).groupBy("block_uid", "line_no", "place", "right").agg(F.sum("n").alias("support"))
