@@ -50,8 +50,9 @@ def language(text: Column) -> Column:
 def familiar_words(documents: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> DataFrame:
     """lang, word, share (of the documents of the language with at least ``least_words`` words that have it), for words that reach the lowest grade."""
     texts = documents.where(F.col(text_col).isNotNull()).select(language(F.col(text_col)).alias("lang"), F.regexp_extract_all(F.lower(text_col), F.lit(WORDS), 0).alias("words"))
-    # the empty word counts the documents
-    each = texts.where(F.size("words") >= settings.least_words).select("lang", F.explode(F.array_distinct(F.concat("words", F.array(F.lit(""))))).alias("word")).where(F.length("word") <= 64)
+    # the empty word counts the documents; a filter on the words would be pushed below them and find them twice
+    long = F.when(F.size("words") >= settings.least_words, F.array_distinct(F.concat("words", F.array(F.lit("")))))
+    each = texts.select("lang", F.explode(long).alias("word")).where(F.length("word") <= 64)
     counts = cut(each.groupBy("lang", "word").agg(F.count("*").alias("n")))
     total = counts.where(F.col("word") == "").select("lang", F.col("n").alias("total"))  # two rows
     return counts.where(F.col("word") != "").join(F.broadcast(total), "lang").where(F.col("n") >= min(settings.grades) * F.col("total")).select("lang", "word", (F.col("n") / F.col("total")).alias("share"))
