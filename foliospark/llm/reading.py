@@ -72,11 +72,11 @@ class Reader:
         self.lines = regex.compile(r"\r\n?|[\n  ]").split
         self.end = regex.compile(r"[.!?…]").search
         self.vi = regex.compile(f"[{VIETNAMESE}]").findall
-        self.alnum = regex.compile(r"[\p{L}\p{N}]+").findall
+        self.signs = regex.compile(r"[^\p{L}\p{N}\s]").findall
 
     def _prose(self, line: str) -> bool:
         shown = len(line) - line.count(" ") - line.count("\t")
-        signs = shown - sum(map(len, self.alnum(line)))
+        signs = len(self.signs(line))
         if line[0] == "#" or line.count("|") >= 2 or (signs > 0.2 * shown and shown > 8) or self.item(line):
             return False
         if "\t" in line and len(self.words(line)) < 4 * (line.count("\t") + 1):
