@@ -10,14 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; only where it is unset on one machine (tests) a local one is made."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not set_dir and not spark.sparkContext.master.split("[")[0] == "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not set_dir:
-        set_dir = "file://" + os.path.join(tempfile.gettempdir(), "foliospark-checkpoints")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(set_dir)
-    return set_dir
+    context = spark.sparkContext
+    given = context._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file://" + os.path.join(tempfile.gettempdir(), "foliospark-checkpoints")
+    context.setCheckpointDir(folder)
+    return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
