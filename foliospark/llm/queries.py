@@ -23,7 +23,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan.repair(table(spark, sf_dir, "document_blocks"))
+    return scan.repair_both(table(spark, sf_dir, "document_blocks"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

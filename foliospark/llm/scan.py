@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions.scale import cut
+from foliospark.functions.text import WHITE
 
 #: Vietnamese letters with marks, their base letters, and what is left of them where small marks are lost: the tone (a hook reads like an acute).
 MARKED = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđ"
@@ -35,6 +36,8 @@ PLAIN = r"^[(\[\"'“‘–—]*+([\p{L}\p{N}]++(?:[-‐][\p{L}\p{N}]++)*+)[)\]\
 UNSEEN = "\u200b\u200c\u200d\u2060\ufeff"
 TEXT_TYPES = ("text", "unknown")
 ROMAN = "ivxlcdm"
+#: Marks that Markdown sets before headings and list items.
+BULLETS = "•◦▪‣*+"
 #: Stands for the neighbour of a word alone on its line.
 ALONE = "\n"
 
@@ -275,9 +278,10 @@ class Noise:
     misread: DataFrame
 
 
-def stages(document_blocks: DataFrame, settings: Settings = Settings()) -> Noise:
+def stages(document_blocks: DataFrame, settings: Settings = Settings(), corpus: DataFrame | None = None) -> Noise:
+    """``corpus`` has the blocks whose words are counted (by default the same ones)."""
     blocks = _source(document_blocks)
-    known_tokens = cut(tokens(blocks))
+    known_tokens = cut(tokens(blocks if corpus is None else _source(corpus)))
     known = cut(words(known_tokens, settings))
     noise = cut(heads_and_numbers(blocks, settings))
     pairs = cut(hyphenated(blocks, noise, known))
@@ -314,8 +318,8 @@ def best_readings(misread: DataFrame, blocks: DataFrame) -> DataFrame:
     ask = asked.select("block_uid", "line_no", "place", "right", F.explode(pair).alias("p")).select("block_uid", "line_no", "place", "right", "p.a", "p.b").where("a <> '' AND b <> ''")
     forms = ask.select(F.explode(F.array("a", "b")).alias("f")).distinct()
     toks = blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select(F.split(F.translate("raw_content", "\n\t\r" + UNSEEN, "   "), " ").alias("t"))
-    near = toks.select(F.explode(F.transform("t", lambda x, i: F.struct(x.alias("a"), F.coalesce(F.get("t", i + 1), F.lit("")).alias("b")))).alias("p")).select(clean(F.col("p.a")).alias("a"), clean(F.col("p.b")).alias("b"))
-    counts = near.join(forms.withColumnRenamed("f", "a"), "a", "left_semi").join(ask.select("a", "b").distinct(), ["a", "b"]).groupBy("a", "b").agg(F.count("*").alias("n"))
+    near = toks.select(F.explode(F.transform("t", lambda x, i: F.struct(x.alias("a"), F.coalesce(F.get("t", i + 1), F.lit("")).alias("b")))).alias("p")).select(clean(F.col("p.a")).alias("a"), clean(F.col("p.b")).alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
+    counts = near.join(forms.withColumnRenamed("f", "a"), "a", "left_semi").join(ask.select("a", "b").distinct(), ["a", "b"])
     support = ask.join(counts, ["a", "b"]).groupBy("block_uid", "line_no", "place", "right").agg(F.sum("n").alias("support"))
     scored = m.join(support, ["block_uid", "line_no", "place", "right"], "left")
     return scored.groupBy("block_uid", "line_no", "place", "token", "wrong").agg(F.min_by("right", F.struct(-F.coalesce("support", F.lit(0)), -F.col("n_right"), F.col("right"))).alias("right"))
@@ -326,17 +330,18 @@ def _as_written(form: Column, like: Column) -> Column:
     return F.when((F.length(like) > 1) & (like == F.upper(like)) & like.rlike(r"\p{Lu}.*\p{Lu}"), F.upper(form)).when(like.rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(form, 1, 1)), F.substring(form, 2, 100))).otherwise(form)
 
 
-def repair(document_blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def repair(document_blocks: DataFrame, settings: Settings = Settings(), corpus: DataFrame | None = None, markdown: bool = False) -> DataFrame:
     """block_uid, text: the text of each block without heads and page numbers, with words joined and corrected, as paragraphs (an empty line between).
 
     A word hyphenated over blocks or pages stands whole at the end of the first.
     Blocks of other types keep their text, null stays null; a repeated delivery
     gives one row.  A paragraph ends at an empty line, before a list item, and
-    after a sentence that ends a line well short of the block's longest.
+    after a sentence that ends a line well short of the block's longest; with
+    ``markdown`` also around headings, and the rows of a table stay lines.
     """
-    found_ = stages(document_blocks, settings)
+    found_ = stages(document_blocks, settings, corpus)
     blocks = _source(document_blocks)
-    fixes = best_readings(found_.misread, blocks)
+    fixes = best_readings(found_.misread, blocks if corpus is None else _source(corpus))
     core = F.regexp_extract("token", PLAIN, 1)
     part = F.get(F.filter(F.split(core, "-"), lambda p: F.lower(p) == F.col("wrong")), F.lit(0))
     fixes = fixes.select("block_uid", "line_no", "place", F.replace("token", part, _as_written(F.col("right"), part)).alias("new"))
@@ -364,8 +369,42 @@ def repair(document_blocks: DataFrame, settings: Settings = Settings()) -> DataF
     before = F.lag("line").over(order)
     ends = before.rlike(r"[.!?…:][\"')\]]*$") & (F.length(before) < 0.75 * F.max(F.length("line")).over(by))
     breaks = before.isNull() | (F.col("line") == "") | (before == "") | ends | F.col("line").rlike(r"^(?:[•◦▪*+–-]|\(?(?:\d{1,3}|[A-Za-z])[.)])\s")
+    if markdown:
+        breaks = breaks | F.col("line").rlike(r"^(?:\||#{1,6} )") | before.rlike(r"^(?:\||#{1,6} )")
     numbered = shaped.withColumn("b", breaks).withColumn("paragraph", F.sum(F.col("b").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     joined = numbered.groupBy("block_uid", "paragraph").agg(F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), lambda t: t != ""), " ").alias("text"), F.bool_and("none").alias("none"))
     texts = joined.groupBy("block_uid").agg(F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("paragraph", "text"))), lambda x: x["text"]), lambda t: t != ""), "\n\n").alias("text"), F.bool_and("none").alias("none"))
     base = blocks.select("block_uid", "block_type", F.when(F.col("block_type").isin(*TEXT_TYPES), F.when(F.col("raw_content").isNotNull(), "")).otherwise(F.col("raw_content")).alias("own")).dropDuplicates(["block_uid"])
-    return base.join(texts.where("NOT none").drop("none"), "block_uid", "left").select("block_uid", F.coalesce("text", "own").alias("text"))
+    text = F.regexp_replace("text", r"(?<=\|)\n\n(?=\|)", "\n") if markdown else F.col("text")
+    return base.join(texts.where("NOT none").drop("none"), "block_uid", "left").select("block_uid", F.coalesce(text, "own").alias("text"))
+
+
+def repair_both(document_blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """block_uid, text, markdown_text: both raw_content and markdown_result of each block, repaired.
+
+    Markdown made from a text has lost its line ends, so that heads stand inside
+    paragraphs and halves of words in the middle of lines.  Where it differs from
+    raw_content in nothing but white space, hyphens and the marks of headings and
+    lists, the noise is what was found in the lines of raw_content, and its repair
+    is that text under Markdown's marks.  Any other Markdown goes through the
+    stages itself, among the pages of its document and with the words of the
+    corpus.  Tables and blocks that are no text stay, null stays null.
+    """
+    bare = lambda c: F.translate(c, WHITE + HYPHENS + UNSEEN + BULLETS + "#", "")
+    md = F.col("markdown_result")
+    prose = F.col("block_type").isin(*TEXT_TYPES) & md.isNotNull() & ~(md.contains("|") & ~md.rlike(r"(?m)^[ \t]*[^\s|]"))
+    made = prose & F.coalesce(bare(F.col("raw_content")) == bare(md), F.lit(False))
+    marked = document_blocks.withColumns({"made": made, "other": prose & ~made})
+    # of Markdown made from the text only its marks are shuffled
+    marks = marked.select("block_uid", "made", F.when(~F.col("made"), md).alias("kept"), F.when(F.col("made"), F.regexp_extract(md, r"^\s*(#{1,6} )", 1)).alias("heading"), F.when(F.col("made"), md.rlike(r"(?m)^[ \t]*- ")).alias("dashes")).dropDuplicates(["block_uid"])
+    listed = F.when(F.col("dashes"), F.regexp_replace("text", r"(?m)^[•◦▪‣] ?", "- ")).otherwise(F.col("text"))
+    as_raw = F.when((F.col("text") == "") | F.col("text").startswith("#"), listed).otherwise(F.concat("heading", listed))
+    both = marks.join(repair(document_blocks, settings), "block_uid").select("block_uid", "text", F.when(F.col("made"), as_raw).otherwise(F.col("kept")).alias("markdown_text"))
+    docs = cut(marked.where("other").select("doc").distinct())
+    if docs.isEmpty():
+        return both
+    # a half of a word inside a line ends it, as it did before
+    lined = F.regexp_replace("markdown_result", rf"(?<=[\p{{L}}\p{{N}}])([{HYPHENS}])[ \t]+(?=\p{{Ll}})", "$1\n")
+    pages = marked.join(docs, "doc", "left_semi").withColumn("raw_content", F.when(F.col("other"), lined).otherwise(F.col("raw_content")))
+    own = repair(pages, settings, document_blocks, markdown=True).join(marked.where("other").select("block_uid"), "block_uid", "left_semi")
+    return both.join(own.select("block_uid", F.col("text").alias("own")), "block_uid", "left").select("block_uid", "text", F.coalesce("own", "markdown_text").alias("markdown_text"))

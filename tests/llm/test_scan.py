@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from foliospark.llm import scan
 
@@ -50,6 +51,23 @@ def test_repair(blocks):
     assert got[ids["b3"]] == "the temperature near the window keeps đồng thời tiết" and got[ids["n2"]] == "text goes on here" and got[ids["null"]] is None and got[ids["i2"]] == ""
 
 
+def test_repair_of_markdown(spark, blocks):
+    df, ids = blocks
+    own = F.col("block_uid")
+    md = F.regexp_replace(F.regexp_replace("raw_content", "(?<=[a-z])-\n", "- "), "\n", " ")
+    md = F.when(own == ids["title"], F.concat(F.lit("# "), md)).when(own == ids["code"], F.lit("| x1y7 | n9 |\n| --- | --- |")).when(own == ids["n4"], None).when(own == ids["i2"], F.lit("![a](b.png)"))
+    # not made from raw_content: a word more
+    md = md.when(own == ids["b3"], F.lit("## The road\nthe ternperature near the wind0w keeps the mea- surement")).otherwise(F.regexp_replace(F.regexp_replace("raw_content", "(?<=[a-z])-\n", "- "), "\n", " "))
+    got = {r["block_uid"]: r for r in scan.repair_both(df.withColumn("markdown_result", md), scan.Settings(frequent_least=3)).collect()}
+    plain = {r["block_uid"]: r["text"] for r in scan.repair(df, scan.Settings(frequent_least=3)).collect()}
+    assert {k: r["text"] for k, r in got.items()} == plain
+    text = {k: got[i]["markdown_text"] for k, i in ids.items()}
+    assert text["a"] == "The class reads every temperature near the road and opens the measurement" and text["title"] == "# Guide to the road"
+    assert text["b2"] == "near the time-series map for pre- and post-test use" and text["h3"] == "" and text["n2"] == "text goes on here"
+    assert text["code"] == "| x1y7 | n9 |\n| --- | --- |" and text["n4"] is None and text["null"] is None and text["i2"] == "![a](b.png)"
+    assert text["b3"] == "## The road\n\nthe temperature near the window keeps the measurement"
+
+
 def test_skeletons(spark):
     pairs = [("t0àn", "toàn"), ("rnethod", "method"), ("fiinction", "function"), ("vvith", "with"), ("clay", "day"), ("hiẹu", "hiệu"), ("điếm", "điểm"), ("dồng", "đồng"), ("para9raph", "paragraph"), ("tbe", "the")]
     df = spark.createDataFrame(pairs, "a string, b string")
