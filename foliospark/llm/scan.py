@@ -356,7 +356,7 @@ def repair(document_blocks: DataFrame, settings: Settings = Settings(), corpus:
     work = lines.join(gone, ["block_uid", "line_no"], "left").join(edits, ["block_uid", "line_no"], "left").join(tails, ["block_uid", "line_no"], "left").join(opened.withColumn("opened", F.lit(True)), ["block_uid", "line_no"], "left")
     toks = F.filter(F.split(F.translate("line", "\t\r", "  "), " "), lambda x: x != "")
     toks = F.transform(toks, lambda x, i: F.coalesce(F.try_element_at("edits", i), x))
-    toks = F.when(F.col("opened"), F.slice(toks, 2, 100000)).otherwise(toks)
+    toks = F.when(F.col("opened"), F.slice(toks, F.lit(2), F.greatest(F.size(toks), F.lit(1)))).otherwise(toks)
     left = F.when(F.col("word"), F.regexp_replace(F.element_at(toks, -1), rf"[{HYPHENS}]$", "")).otherwise(F.element_at(toks, -1))
     stem = F.regexp_extract(left, r"^(.*?)[\p{L}\p{N}]+$", 1)
     end = F.regexp_extract("moved", r"([^\p{L}\p{N}]*)$", 1)

@@ -68,6 +68,14 @@ def test_repair_of_markdown(spark, blocks):
     assert text["b3"] == "## The road\n\nthe temperature near the window keeps the measurement"
 
 
+def test_repair_of_a_very_long_line(spark):
+    rows = [("f", i, 0, i, "text", None, "the temperature near the road", "x") for i in range(6)]
+    rows.append(("d", 1, 0, 10, "text", None, "near the tempera-\nture " + "road " * 100_001 + "end", "x"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r["block_uid"]: r["text"] for r in scan.repair(df, scan.Settings(frequent_least=3)).collect()}[10].split()
+    assert len(got) == 100_005 and got[:4] == ["near", "the", "temperature", "road"] and got[-1] == "end"
+
+
 def test_skeletons(spark):
     pairs = [("t0àn", "toàn"), ("rnethod", "method"), ("fiinction", "function"), ("vvith", "with"), ("clay", "day"), ("hiẹu", "hiệu"), ("điếm", "điểm"), ("dồng", "đồng"), ("para9raph", "paragraph"), ("tbe", "the")]
     df = spark.createDataFrame(pairs, "a string, b string")
