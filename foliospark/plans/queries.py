@@ -452,16 +452,22 @@ def metadata_filter(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.metadata_filter(_documents(spark, sf), ["handbook", "lecture_notes"], "2015-01-01", 0.5).select("doc_id")
 
 
-def _bm25(spark: SparkSession, sf: str, k: int) -> DataFrame:
+def _bm25(spark: SparkSession, sf: str, k: int, whole: bool = True) -> DataFrame:
+    """Keyword search with all shared terms of each query document; not ``whole``: with its eight rarest, as the SQL has it."""
     d = _documents(spark, sf)
     index = retrieval.postings(d)
     df = retrieval.document_frequencies(index)
     ids = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"))
-    return retrieval.bm25(retrieval.specific_terms(index, df, ids), index, df, retrieval.corpus_stats(d), k)
+    return retrieval.bm25(retrieval.specific_terms(index, df, ids, None if whole else 8), index, df, retrieval.corpus_stats(d), k)
 
 
 @query
 def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return _bm25(spark, sf, 10, whole=False)
+
+
+@query
+def bm25_topk_whole(spark: SparkSession, sf: str) -> DataFrame:
     return _bm25(spark, sf, 10)
 
 
@@ -477,6 +483,11 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rrf_fusion(spark: SparkSession, sf: str) -> DataFrame:
+    return retrieval.fuse([_bm25(spark, sf, 30, whole=False), _vectors(spark, sf, 30)], 10)
+
+
+@query
+def rrf_fusion_whole(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.fuse([_bm25(spark, sf, 30), _vectors(spark, sf, 30)], 10)
 
 
@@ -538,11 +549,11 @@ def injection_flags(spark: SparkSession, sf: str) -> DataFrame:
     return context.injection_flags(_documents(spark, sf)).select("doc_id", F.size("flags").alias("n"))
 
 
-def _candidates(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _candidates(spark: SparkSession, sf: str, whole: bool = True) -> tuple[DataFrame, DataFrame]:
     """Queries (documents with an id divisible by 100, their first hundred characters) and their keyword and vector candidates with texts."""
     d = _documents(spark, sf)
     queries = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), F.substring(F.coalesce("text", F.lit("")), 1, 100).alias("query"))
-    both = context.union_sources({"knowledge": _bm25(spark, sf, 20), "memory": _vectors(spark, sf, 20), "tool": None})
+    both = context.union_sources({"knowledge": _bm25(spark, sf, 20, whole), "memory": _vectors(spark, sf, 20), "tool": None})
     texts = d.select("doc_id", F.coalesce("text", F.lit("")).alias("content"), "doc_name", "page_number", "trust", "updated_at")
     c = both.join(texts, "doc_id").withColumn("chunk_id", F.col("doc_id").cast("string")).withColumn("tokens", F.size(T.word_tokens(F.col("content"))))
     return c, queries
@@ -550,11 +561,22 @@ def _candidates(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 @query
 def over_fetch(spark: SparkSession, sf: str) -> DataFrame:
+    return context.over_fetch(_candidates(spark, sf, whole=False)[0], 5).select("query_id", "source_kind", "chunk_id")
+
+
+@query
+def over_fetch_whole(spark: SparkSession, sf: str) -> DataFrame:
     return context.over_fetch(_candidates(spark, sf)[0], 5).select("query_id", "source_kind", "chunk_id")
 
 
 @query
 def rerank(spark: SparkSession, sf: str) -> DataFrame:
+    c, q = _candidates(spark, sf, whole=False)
+    return context.rerank(context.safe_candidates(c), q, trust_weight=0.1).select("query_id", "source_kind", "chunk_id", "rerank_score", "rank")
+
+
+@query
+def rerank_whole(spark: SparkSession, sf: str) -> DataFrame:
     c, q = _candidates(spark, sf)
     return context.rerank(context.safe_candidates(c), q, trust_weight=0.1).select("query_id", "source_kind", "chunk_id", "rerank_score", "rank")
 
@@ -568,11 +590,22 @@ def compress(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def token_budget(spark: SparkSession, sf: str) -> DataFrame:
+    return context.within_budget(_candidates(spark, sf, whole=False)[0], 4000).select("query_id", "source_kind", "chunk_id", "tokens", "used")
+
+
+@query
+def token_budget_whole(spark: SparkSession, sf: str) -> DataFrame:
     return context.within_budget(_candidates(spark, sf)[0], 4000).select("query_id", "source_kind", "chunk_id", "tokens", "used")
 
 
 @query
 def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
+    c, q = _candidates(spark, sf, whole=False)
+    return context.build_prompt(context.within_budget(c, 4000), q).select("query_id", F.md5("prompt").alias("digest"))
+
+
+@query
+def prompt_build_whole(spark: SparkSession, sf: str) -> DataFrame:
     c, q = _candidates(spark, sf)
     return context.build_prompt(context.within_budget(c, 4000), q).select("query_id", F.md5("prompt").alias("digest"))
 

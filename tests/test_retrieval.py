@@ -76,6 +76,30 @@ def test_vectors_and_fusion(spark):
     assert [r["doc_id"] for r in R.fuse([a, b], 2).orderBy("rank").collect()] == [11, 10]
 
 
+def test_keyword_search_scores_all_terms(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{min(rng.randrange(40), rng.randrange(40))}" for _ in range(rng.randrange(15, 40))) for _ in range(30)]
+    d = docs(spark, texts)
+    index = R.postings(d)
+    frequencies = R.document_frequencies(index)
+    q = R.specific_terms(index, frequencies, d.where("doc_id < 5").select(d.doc_id.alias("query_id")))
+    got = {}
+    for r in R.bm25(q, index, frequencies, R.corpus_stats(d), 10).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["doc_id"], r["score"]))
+    words = [t.split() for t in texts]
+    mean = sum(map(len, words)) / len(words)
+    for i in range(5):
+        score = {}
+        for j, w in enumerate(words):
+            for t in set(words[i]) & set(w):
+                df = sum(t in x for x in words)
+                if df > 1:
+                    score[j] = score.get(j, 0) + np.log(1 + (len(words) - df + 0.5) / (df + 0.5)) * w.count(t) * 2.2 / (w.count(t) + 1.2 * (0.25 + 0.75 * len(w) / mean))
+        assert len(set(words[i])) > 8
+        best = sorted(score.items(), key=lambda x: (-round(x[1], 6), x[0]))[:10]
+        assert [j for j, _ in got[i]] == [j for j, _ in best] and np.allclose([s for _, s in got[i]], [s for _, s in best], atol=2e-6)
+
+
 def test_evaluate_and_cache(spark):
     ranked = spark.createDataFrame([(1, 10, 1), (1, 11, 2), (2, 10, 1)], "query_id int, doc_id int, rank int")
     relevant = spark.createDataFrame([(1, 11), (1, 12), (3, 1)], "query_id int, doc_id int")
