@@ -550,9 +550,10 @@ def injection_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, sf: str, whole: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Queries (documents with an id divisible by 100, their first hundred characters) and their keyword and vector candidates with texts."""
+    """Queries (documents with an id divisible by 100; not ``whole``: their first hundred characters, as the SQL has it) and their keyword and vector candidates with texts."""
     d = _documents(spark, sf)
-    queries = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), F.substring(F.coalesce("text", F.lit("")), 1, 100).alias("query"))
+    text = F.coalesce("text", F.lit(""))
+    queries = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), (text if whole else F.substring(text, 1, 100)).alias("query"))
     both = context.union_sources({"knowledge": _bm25(spark, sf, 20, whole), "memory": _vectors(spark, sf, 20), "tool": None})
     texts = d.select("doc_id", F.coalesce("text", F.lit("")).alias("content"), "doc_name", "page_number", "trust", "updated_at")
     c = both.join(texts, "doc_id").withColumn("chunk_id", F.col("doc_id").cast("string")).withColumn("tokens", F.size(T.word_tokens(F.col("content"))))
