@@ -213,8 +213,10 @@ def levels(documents: DataFrame, level_labels: DataFrame, settings: Settings = S
     Null, empty and blank texts, texts under ``least_words`` words and texts that
     are not running prose have a null level.  Labels of unknown documents, with a
     null or an unknown level, are left out; of two labels of one document the
-    alphabetically first counts.  The lists of familiar words (bounded, see
-    Settings) and the model are sent to the tasks.
+    alphabetically first counts.  With fewer than ten usable labels of any level
+    the levels come from ``DefaultModel`` (fixed limits on sentence length and
+    unfamiliar words) instead of the fitted one.  The lists of familiar words
+    (bounded, see Settings) and the model are sent to the tasks.
     """
     shares: dict[str, dict[str, float]] = {}
     for row in familiar_words(documents, settings).collect():  # bounded by the lowest grade

@@ -37,3 +37,13 @@ def test_fit_is_deterministic():
     a, b = R.fit(rows, vi, level), R.fit(rows, vi, level)
     assert np.array_equal(a.weights, b.weights) and (a.predict(rows, vi) == level).mean() > 0.95
     assert isinstance(R.fit(rows[:5], vi[:5], level[:5]), R.DefaultModel)
+
+
+def test_few_labels_take_the_default_model_as_stated():
+    import numpy as np
+
+    from foliospark.llm import reading
+
+    level = np.repeat([0, 1, 2], [10, 10, 9])
+    assert isinstance(reading.fit(np.ones((29, 4)), np.zeros(29, bool), level), reading.DefaultModel)
+    assert "fewer than ten usable labels of any level" in " ".join(reading.levels.__doc__.split())
