@@ -32,3 +32,18 @@ def test_names(spark):
     got = {r["course_uid"]: (r["name"], r["name_id"]) for r in L.consistent_names(courses, names).collect()}
     assert got == {1: ("Cơ SỞ", 4), 2: ("unknown", None), 3: (None, None)}
     assert L.found(courses.limit(0).selectExpr("course_uid AS block_uid", "name AS raw_content"), courses).collect() == [("course", 1)]
+
+
+def test_no_changed_text_is_passed_by(spark):
+    import sys
+    import unicodedata
+
+    chars = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
+    texts = [f"a{c}b" for c in chars]
+    # every canonical pair, every mark after a letter, jamo, and words among look-alikes
+    texts += [unicodedata.normalize("NFD", c) for c in chars if unicodedata.decomposition(c) or 0xAC00 <= ord(c) < 0xAC00 + 600]
+    texts += [f"xi{c}o" for c in chars if unicodedata.category(c) == "Mn"] + ["\u1100\u1161", "\u0627\u0653", "\u304b\u3099", "\u0391\u0301"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string").repartition(8)
+    changed = {r["id"] for r in L.fold_table(df, "id", "t").where("differs").collect()}
+    assert {r["id"] for r in L.fold_table(df, "id", "t", suspects_only=True).where("differs").collect()} == changed
+    assert {texts[i] for i in changed} >= {"\u1100\u1161", "\u0627\u0653", "\u304b\u3099"}
