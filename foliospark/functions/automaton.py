@@ -16,21 +16,30 @@ class AliasFinder:
             self.automaton.add_word(alias, (len(alias), meaning))
         self.automaton.make_automaton()
 
-    def find(self, text: str) -> list[tuple[int, int, object]]:
-        """``(start, end, meaning)`` of the aliases in lower-cased ``text``, from left to right and without overlap: of those that overlap the longest stays, of equal ones the left.
+    def hits(self, text: str) -> list[tuple[int, int, object]]:
+        """``(start, end, meaning)`` of every alias in lower-cased ``text``.
 
         An alias that begins or ends in a letter must not touch a further letter there.
         """
-        hits = []
+        out = []
         for last, (size, meaning) in self.automaton.iter(text):
             start, end = last - size + 1, last + 1
             if text[start].isalpha() and start and text[start - 1].isalpha():
                 continue
             if text[last].isalpha() and end < len(text) and text[end].isalpha():
                 continue
-            hits.append((start, end, meaning))
-        taken: list[tuple[int, int, object]] = []
-        for hit in sorted(hits, key=lambda h: (h[0] - h[1], h[0])):
-            if all(hit[1] <= t[0] or hit[0] >= t[1] for t in taken):
-                taken.append(hit)
-        return sorted(taken)
+            out.append((start, end, meaning))
+        return out
+
+    def find(self, text: str) -> list[tuple[int, int, object]]:
+        """The hits from left to right and without overlap: of those that overlap the longest stays, of equal ones the left."""
+        return longest(self.hits(text))
+
+
+def longest(hits: list[tuple[int, int, object]]) -> list[tuple[int, int, object]]:
+    """Of hits that overlap the longest, of equal ones the left, in order of their places."""
+    taken: list[tuple[int, int, object]] = []
+    for hit in sorted(hits, key=lambda h: (h[0] - h[1], h[0])):
+        if all(hit[1] <= t[0] or hit[0] >= t[1] for t in taken):
+            taken.append(hit)
+    return sorted(taken)

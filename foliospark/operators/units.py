@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.functions.automaton import AliasFinder, longest
+
 #: Canonical unit -> (quantity, factor, offset, spellings); value * factor + offset is in °C, km/h or mm.
 UNITS = {
     "celsius": ("temperature", 1.0, 0.0, "°c|℃|c|celsius|centigrade|degc|deg c|deg. c|degree c|degrees c|degree celsius|degrees celsius|deg celsius|° c|º c|ºc|độ c|do c|độ|oc"),
@@ -36,6 +38,8 @@ DEFAULTS = {
     "metric": {"temperature": "celsius", "wind_speed": "kilometres_per_hour", "precipitation": "millimetres"},
     "imperial": {"temperature": "fahrenheit", "wind_speed": "miles_per_hour", "precipitation": "inches"},
 }
+#: Conversion is exact to this.
+TOLERANCE = 1e-9
 QUANTITIES = ("temperature", "wind_speed", "precipitation")
 _NUMBER = re.compile(r"(?<![\w.,/-])[-+−]?\d+(?:[.,]\d+)?")
 _GAP = re.compile(r"[\s:=\[(]*(?:is|are|was|of|là|at|about|~|≈)?[\s:=\[(]*")
@@ -47,24 +51,22 @@ class RemarkReader:
     """Finds values and units of the three quantities in free text."""
 
     def __init__(self):
-        from foliospark.functions.automaton import AliasFinder
-
-        self.unit_of = {a: name for name, (_, _, _, spellings) in UNITS.items() for a in spellings.split("|")}
-        self.units = AliasFinder((a, name) for a, name in self.unit_of.items())
+        self.units = AliasFinder((a, name) for name, (_, _, _, spellings) in UNITS.items() for a in spellings.split("|"))
         self.labels = AliasFinder((a, quantity) for quantity, words in LABELS.items() for a in words.split("|"))
-        self.columns: dict[str, str | None] = {}
+        self.columns: dict[tuple[str, str], str | None] = {}
 
     def unit(self, text: str | None, quantity: str) -> str | None:
-        """The unit that a unit column names; null where it is null, empty, a filler or of another quantity."""
+        """The unit that a unit column names: its longest alias of a unit of ``quantity``, with no further letters or digits; null where it is null, empty or a filler."""
         if text is None:
             return None
-        key = " ".join(text.lower().split())
-        name = self.unit_of.get(key)
-        if name is None and key:
-            hits = self.units.find(key)
-            if len(hits) == 1 and not re.search(r"\w", key[: hits[0][0]] + key[hits[0][1] :]):
-                name = hits[0][2]
-        return name if name and UNITS[name][0] == quantity else None
+        at = (text, quantity)
+        if at not in self.columns:
+            if len(self.columns) > 100_000:  # spellings are few; free text in the column must not fill the memory
+                self.columns.clear()
+            key = " ".join(text.lower().split())
+            whole = [h for h in self.units.hits(key) if UNITS[h[2]][0] == quantity and not re.search(r"\w", key[: h[0]] + key[h[1] :])]
+            self.columns[at] = max(whole, key=lambda h: h[1] - h[0])[2] if whole else None
+        return self.columns[at]
 
     def read(self, text: str | None) -> dict[str, tuple[float | None, str | None]]:
         """``quantity -> (value, unit)`` as far as the remark states them; the first statement of a quantity holds."""
@@ -74,14 +76,12 @@ class RemarkReader:
         low = text.lower()
         if len(low) != len(text):  # a character whose lower case is longer: positions only serve the lower-cased text
             text = low
-        units = {}
-        for start, end, name in self.units.find(low):
-            units[start] = (end, name)
+        hits = self.units.hits(low)
         for start, end, quantity in self.labels.find(low):
             if start and low[start - 1] in "-_/" or quantity == "other":
                 continue
             named = _IN.match(low, end)
-            if named and (hit := self._unit_at(low, named.end(), units, quantity)):
+            if named and (hit := self._unit_at(named.end(), hits, quantity)):
                 found.setdefault(quantity, (None, hit))
                 continue
             at = _GAP.match(low, end).end()
@@ -89,9 +89,9 @@ class RemarkReader:
             if not number or at == end:
                 continue
             value = float(number.group().replace(",", ".").replace("−", "-"))
-            unit = self._unit_at(low, _NEAR.match(low, number.end()).end(), units, quantity)
+            unit = self._unit_at(_NEAR.match(low, number.end()).end(), hits, quantity)
             found.setdefault(quantity, (value, unit))
-        for start, (end, name) in units.items():  # a number with a unit that only one quantity has, without a label
+        for start, end, name in longest(hits):  # a number with a unit that only one quantity has, without a label
             quantity = UNITS[name][0]
             if quantity in found or end - start < 2 or not any(c.isalpha() or c in "°℃℉" for c in low[start:end]):
                 continue
@@ -100,19 +100,11 @@ class RemarkReader:
                 found[quantity] = (float(before.group(1).replace(",", ".").replace("−", "-")), name)
         return found
 
-    def _unit_at(self, low: str, at: int, units: dict, quantity: str) -> str | None:
+    @staticmethod
+    def _unit_at(at: int, hits: list, quantity: str) -> str | None:
         """The longest alias of a unit of ``quantity`` that begins at ``at``."""
-        hit = units.get(at)
-        if hit and UNITS[hit[1]][0] == quantity:
-            return hit[1]
-        best = None
-        for size in range(min(24, len(low) - at), 0, -1):
-            name = self.unit_of.get(low[at : at + size])
-            after = low[at + size : at + size + 1]
-            if name and UNITS[name][0] == quantity and not (low[at + size - 1].isalpha() and after.isalpha()):
-                best = name
-                break
-        return best
+        here = [h for h in hits if h[0] == at and UNITS[h[2]][0] == quantity]
+        return max(here, key=lambda h: h[1])[2] if here else None
 
     def _labelled_other(self, before: str) -> bool:
         hits = self.labels.find(before)
@@ -184,14 +176,16 @@ def convert(weather: DataFrame) -> DataFrame:
 def agreeing(weather: DataFrame, within: float = 0.5) -> DataFrame:
     """Pairs obs_id_a < obs_id_b of one place and minute that agree in a quantity within ``within`` though recorded in different units.
 
-    Values are put into bins of the width ``within``; a pair lies in equal or
-    neighbouring bins, so a place with very many readings at one time is
-    compared bin by bin.  Rows without a place, time or obs_id have no pair.
+    ``within`` is meant for the values as they are written: after conversion they
+    may differ by ``TOLERANCE`` more.  Values are put into bins a little wider
+    than both, so a pair lies in equal or neighbouring bins, and a place with very
+    many readings at one time is compared bin by bin.  Rows without a place, time
+    or obs_id have no pair.
     """
     found = readings(weather).where(F.col("place_id").isNotNull() & F.col("minute").isNotNull() & F.col("obs_id").isNotNull())
-    found = found.withColumn("bin", F.floor(F.col("value") / within))
+    found = found.withColumn("bin", F.floor(F.col("value") / (within + 1000 * TOLERANCE)))
     keys = ["place_id", "minute", "quantity"]
     a = found.select(*keys, "bin", F.col("obs_id").alias("obs_id_a"), F.col("unit").alias("unit_a"), F.col("value").alias("value_a"))
     b = found.select(*keys, F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"), F.col("obs_id").alias("obs_id_b"), F.col("unit").alias("unit_b"), F.col("value").alias("value_b"))
-    pairs = a.join(b, [*keys, "bin"]).where((F.col("obs_id_a") < F.col("obs_id_b")) & (F.col("unit_a") != F.col("unit_b")) & (F.abs(F.col("value_a") - F.col("value_b")) <= within + 1e-9))
+    pairs = a.join(b, [*keys, "bin"]).where((F.col("obs_id_a") < F.col("obs_id_b")) & (F.col("unit_a") != F.col("unit_b")) & (F.abs(F.col("value_a") - F.col("value_b")) <= within + TOLERANCE))
     return pairs.select("obs_id_a", "obs_id_b", "quantity")

@@ -48,3 +48,21 @@ def test_agreeing_at_the_edge(spark):
 def test_empty(spark):
     empty = weather(spark, [])
     assert units.convert(empty).collect() == [] and units.agreeing(empty).collect() == []
+
+
+def test_agreeing_over_a_grid(spark):
+    """Every pair at the limit is found: Fahrenheit by tenths against Celsius by halves, and a small bin width."""
+    rows = [(i, "2014-01-01T10:00", "metric", round(-10 + i * 0.1, 1), "F", None) for i in range(600)]
+    rows += [(1000 + i, "2014-01-01T10:00", "metric", -25 + i * 0.5, "C", None) for i in range(100)]
+    c = {i: (v - 32) / 1.8 if n == "F" else v for i, _, _, v, n, _ in rows}
+    for within in (0.5, 0.05):
+        wanted = {(a, b) for a in range(600) for b in range(1000, 1100) if abs(c[a] - c[b]) <= within + 1e-9}
+        assert {(r[0], r[1]) for r in units.agreeing(weather(spark, rows), within).collect()} == wanted
+    rows = [(1, "2014-01-01T10:00", "metric", 19.4, "F", None), (2, "2014-01-01T10:00", "metric", -6.5, "C", None), (3, "2014-01-01T10:00", "metric", -7.5, "C", None)]
+    assert {(r[0], r[1]) for r in units.agreeing(weather(spark, rows)).collect()} == {(1, 2), (1, 3)}
+
+
+def test_unit_columns():
+    reader = units.RemarkReader()
+    wanted = {(" DegC X10 ", "temperature"): "decicelsius", ("(°F)", "temperature"): "fahrenheit", ("km/h", "temperature"): None, ("n/a", "wind_speed"): None, ("", "precipitation"): None, ("0.01 in.", "precipitation"): "hundredths_inch", ("in", "precipitation"): "inches"}
+    assert {k: reader.unit(*k) for k in wanted} == wanted
