@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 #: Fixed value: the white space characters of Unicode, with the four separators that count as white space in most runtimes.
 WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
-#: Inline and displayed formulas, which the repairs leave alone.
+#: Fixed value: inline and displayed formulas, which the repairs leave alone.
 MATH = r"\$[^$\n]+\$|\$\$[\s\S]+?\$\$"
 #: Marks for replacements that need to know which alternative matched; code points that are no characters.
 _A, _B, _C = "\ufdd0", "\ufdd1", "\ufdd2"
@@ -41,16 +39,33 @@ def to_float(text: Column) -> Column:
     return F.replace(text, F.lit(","), F.lit(".")).try_cast("double")
 
 
-@pandas_udf(DoubleType())
-def round_binary(values: pd.Series, digits: pd.Series) -> pd.Series:
-    """Rounding of the exact binary value, ties to even (2.675 is below the tie).  For final aggregates; SQL's round works on the decimal digits shown."""
-    return pd.Series([None if pd.isna(v) else round(float(v), int(d)) for v, d in zip(values, digits)])
+def round_binary(value: Column | str, digits: Column | int) -> Column:
+    """Rounding of the exact binary value, ties to even (2.675 is below the tie); SQL's round works on the decimal digits shown.
+
+    The nearest integer of ``value * 10^digits`` may be one off, so twice that
+    product is compared with the odd numbers beside it: the product's rounding
+    error is exact (the value is split in two halves of 26 bits), and so is its
+    distance from a near integer.  Up to seven digits; larger values are whole.
+    """
+    value = F.col(value) if isinstance(value, str) else value
+    scale = F.pow(F.lit(10.0), digits) if isinstance(digits, Column) else F.lit(10.0**digits)
+    double = scale * 2
+    n = F.rint(value * scale)
+    split = value * F.lit(134217729.0)  # 2^27 + 1
+    high = split - (split - value)
+    product = value * double
+    error = (high * double - product) + (value - high) * double
+    above, below = (product - n * 2 - 1) + error, (product - n * 2 + 1) + error
+    odd = n % 2 != 0
+    near = F.when(above > 0, n + 1).when(below < 0, n - 1).when((above == 0) & odd, n + 1).when((below == 0) & odd, n - 1).otherwise(n)
+    return F.when(F.abs(value) * scale < F.lit(2.0**52), near / scale).otherwise(value)
 
 
 def repair_hyphens(text: Column) -> Column:
     """Joins words hyphenated over a line end (three letters and more before, a small letter after) and then lines that go on in a small letter; formulas stay.
 
     Matches do not overlap: of ``a, b, c`` on three lines only the first two join.
+    The two patterns beside the formulas are fixed values.
     """
     whole = F.regexp_replace(text, rf"(?U)({MATH})|(\w{{3,}})-\s*\n\s*([a-z])", "$1$2$3")
     marked = F.regexp_replace(whole, rf"({MATH})|([a-z,;:])[ \t]*\n[ \t]*([a-z])", f"$1{_A}$2{_B}$3{_C}")
@@ -138,3 +153,15 @@ def word_tokens(text: Column) -> Column:
 def terms(text: Column) -> Column:
     """Lower-case runs of letters, marks and digits, for keyword search."""
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{M}\p{N}]+"), 0)
+
+
+def json_indented(value: Column, kind: DataType, level: int = 0) -> Column:
+    """JSON with two blanks of indentation for each level and with null fields, as text tools print it; ``kind`` is the type of ``value``."""
+    pad, end = "  " * (level + 1), "\n" + "  " * level
+    if isinstance(kind, StructType):
+        parts = [F.concat(F.lit(f'{pad}"{f.name}": '), json_indented(value[f.name], f.dataType, level + 1)) for f in kind.fields]
+        return F.when(value.isNull(), "null").otherwise(F.concat(F.lit("{\n"), F.concat_ws(",\n", *parts), F.lit(end + "}")))
+    if isinstance(kind, ArrayType):
+        items = F.transform(value, lambda x: F.concat(F.lit(pad), json_indented(x, kind.elementType, level + 1)))
+        return F.when(value.isNull(), "null").when(F.size(value) == 0, "[]").otherwise(F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit(end + "]")))
+    return F.regexp_replace(F.to_json(F.array(value)), r"(?s)^\[(.*)\]$", "$1")

@@ -117,10 +117,16 @@ def metadata_json(counts: DataFrame, layouts: DataFrame, references: DataFrame,
 
 
 def run_summary(counts: DataFrame, elapsed_sec: float) -> DataFrame:
-    """One row: totals over all documents, and their counts in order of name."""
-    docs = F.array_sort(F.collect_list(F.struct(F.col("doc").alias("doc_name"), "total_pages", "total_blocks", *COUNTS, "ocr_failed")))
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    return counts.agg(F.count("*").alias("total_files"), total("total_pages").alias("total_pages"), total("total_blocks").alias("total_blocks"), total(F.col("image_blocks") + F.col("math_blocks")).alias("ocr_blocks"), F.lit(round(elapsed_sec, 2)).alias("elapsed_sec"), docs.alias("documents"))
+    """The run's report as rows: one with the totals (doc_name null), and one for each document.
+
+    Documents stay rows, so the report of a very large run is no single value;
+    ``sinks.write_json`` writes a line for each.
+    """
+    ocr = (F.col("image_blocks") + F.col("math_blocks")).alias("ocr_blocks")
+    docs = counts.select(F.col("doc").alias("doc_name"), F.lit(None).cast("bigint").alias("total_files"), "total_pages", "total_blocks", *COUNTS, "ocr_failed", ocr, F.lit(None).cast("double").alias("elapsed_sec"))
+    names = ["total_pages", "total_blocks", *COUNTS, "ocr_failed", "ocr_blocks"]
+    total = docs.agg(F.lit(None).cast("string").alias("doc_name"), F.count("*").alias("total_files"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names], F.lit(round(elapsed_sec, 2)).alias("elapsed_sec"))
+    return docs.unionByName(total)
 
 
 def is_large(size_bytes: Column, n_pages: Column) -> Column:
@@ -166,8 +172,14 @@ def plan_files(files: DataFrame, skip: list[str] | None = None, only: str | None
 
 
 def status_rollup(results: DataFrame) -> DataFrame:
-    """status, n, names in order."""
-    return results.groupBy("status").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("name")).alias("names"))
+    """status, n (files of that status), name: a row for each file (name, status), in order of status and name.
+
+    The counts are combined map-side and joined back (a row per status), and the
+    order is a range sort, so no status is a single task's group.
+    """
+    n = results.groupBy("status").agg(F.count("*").alias("n"))
+    mine = results.select(F.col("status").alias("_s"), "name")
+    return mine.join(F.broadcast(n), F.col("_s").eqNullSafe(F.col("status"))).select("status", "n", "name").orderBy("status", "name")
 
 
 def resized(width: Column, height: Column, side: int = IMAGE_SIDE) -> tuple[Column, Column]:

@@ -63,25 +63,26 @@ def counted(courses: DataFrame) -> DataFrame:
     return courses.withColumn("points", points(F.col("letter_grade"))).where((F.col("credits") > 0) & F.col("points").isNotNull())
 
 
-def _average(exact: bool) -> Column:
-    return _rounded(F.try_divide(F.sum(F.col("credits") * F.col("points")), F.sum("credits")), exact)
+def average() -> Column:
+    """Aggregate: the credits' average of ``points``, rounded."""
+    return _rounded(F.try_divide(F.sum(F.col("credits") * F.col("points")), F.sum("credits")))
 
 
-def _rounded(ratio: Column, exact: bool = False) -> Column:
-    """Two digits; half cents as the binary product decides (2.175 is below the half), 0 for null."""
-    return F.coalesce(T.round_binary(ratio, F.lit(2)) if exact else F.floor(ratio * 100 + 0.5) / 100, F.lit(0.0))
+def _rounded(ratio: Column) -> Column:
+    """Two digits of the exact binary value, ties to even; 0 for null."""
+    return F.coalesce(T.round_binary(ratio, 2), F.lit(0.0))
 
 
-def gpa_by_semester(courses: DataFrame, keys: tuple[str, ...] = (), exact: bool = False) -> DataFrame:
+def gpa_by_semester(courses: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Grade average and credits of each semester (and of ``keys``, as a transcript id); semesters without counted courses have 0.
 
-    A plain aggregation with map-side sums.  ``exact`` rounds the binary value as
-    described in ``round_binary``.
+    A plain aggregation with map-side sums; averages are rounded as described in
+    ``round_binary``.
     """
     graded = courses.withColumn("points", points(F.col("letter_grade")))
     ok = (F.col("credits") > 0) & F.col("points").isNotNull()
     graded = graded.withColumn("credits", F.when(ok, F.col("credits")).otherwise(0)).withColumn("points", F.when(ok, F.col("points")).otherwise(0.0))
-    return graded.groupBy(*keys, "semester").agg(_average(exact).alias("gpa"), F.sum("credits").cast("bigint").alias("credits_counted"))
+    return graded.groupBy(*keys, "semester").agg(average().alias("gpa"), F.sum("credits").cast("bigint").alias("credits_counted"))
 
 
 def best_attempts(courses: DataFrame, keys: tuple[str, ...] = (), up_to: str | None = None, ord_col: str = "ord") -> DataFrame:
@@ -101,10 +102,10 @@ def best_attempts(courses: DataFrame, keys: tuple[str, ...] = (), up_to: str | N
     return out.select(*keys, "code", "_b.*", "first_attempt")
 
 
-def cpa(courses: DataFrame, keys: tuple[str, ...] = (), up_to: str | None = None, ord_col: str = "ord", exact: bool = False) -> DataFrame:
+def cpa(courses: DataFrame, keys: tuple[str, ...] = (), up_to: str | None = None, ord_col: str = "ord") -> DataFrame:
     """Cumulative average over the best attempts: ``keys``, cpa, cumulative_credits (0 and 0 without any when there are no keys)."""
     best = best_attempts(courses, keys, up_to, ord_col)
-    return best.groupBy(*keys).agg(_average(exact).alias("cpa"), F.coalesce(F.sum("credits"), F.lit(0)).cast("bigint").alias("cumulative_credits"))
+    return best.groupBy(*keys).agg(average().alias("cpa"), F.coalesce(F.sum("credits"), F.lit(0)).cast("bigint").alias("cumulative_credits"))
 
 
 def cpa_per_semester(courses: DataFrame, keys: tuple[str, ...] = (), ord_col: str = "ord") -> DataFrame:
@@ -154,8 +155,18 @@ def semesters(courses: DataFrame) -> DataFrame:
     return courses.select("semester").distinct().orderBy("semester")
 
 
+#: Fields of a course, in the order of its JSON.
+COURSE = ("semester", "code", "name", "credits", "class_id", "process_score", "exam_score", "letter_grade")
+#: JSON keeps fields that are null.
+NULLS = {"ignoreNullFields": "false"}
+
+
+def course_list(*order: str) -> Column:
+    """Aggregate: the courses of a group as an array in the given order."""
+    sorted_ = F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("at"), F.struct(*COURSE).alias("course"))))
+    return F.transform(sorted_, lambda c: c["course"])
+
+
 def transcript_json(courses: DataFrame, keys: tuple[str, ...] = ("doc",), ord_col: str = "y") -> DataFrame:
-    """One JSON list of courses per transcript, in order."""
-    fields = ["semester", "code", "name", "credits", "class_id", "process_score", "exam_score", "letter_grade"]
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(ord_col).alias("_o"), *fields)))
-    return courses.groupBy(*keys).agg(F.to_json(F.transform(ordered, lambda c: c.dropFields("_o"))).alias("courses"))
+    """One JSON list of courses per transcript, in order; null fields are kept."""
+    return courses.groupBy(*keys).agg(F.to_json(course_list(ord_col), NULLS).alias("courses"))

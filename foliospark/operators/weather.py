@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliospark.functions import text as T
+
 #: Labels of the weather codes.
 WEATHER_CODES = {
     0: "Troi quang", 1: "Gan nhu quang", 2: "May rai rac", 3: "Nhieu may", 45: "Suong mu", 48: "Suong mu dong bang",
@@ -17,6 +19,8 @@ WEATHER_CODES = {
 UNKNOWN_CODE, NO_CODE = "Ma thoi tiet ", "Khong ro"
 SOURCE = "Open-Meteo"
 HINT = "Try a more specific location such as city, country, or landmark."
+#: Messages of the service's faults; the second is followed by the location.
+INVALID, NOT_FOUND = "Weather service returned an invalid response.", "Could not find coordinates for location: "
 GEOCODE = "results array<struct<name:string,country:string,admin1:string,latitude:double,longitude:double,timezone:string>>"
 MEASURES = {"temperature": "temperature_2m", "apparent_temperature": "apparent_temperature", "relative_humidity": "relative_humidity_2m", "precipitation": "precipitation", "rain": "rain", "showers": "showers", "snowfall": "snowfall", "cloud_cover": "cloud_cover", "surface_pressure": "surface_pressure", "wind_speed": "wind_speed_10m", "wind_direction": "wind_direction_10m"}
 FORECAST = (
@@ -60,8 +64,8 @@ def locate(queries: DataFrame, payloads: DataFrame) -> DataFrame:
     out = queries.join(known, "query_id", "left").withColumn("place", F.get(F.from_json("_p", GEOCODE)["results"], F.lit(0)))
     error = F.coalesce(
         "error",
-        F.when(F.col("_p").isNull(), "no answer").when(~_object(F.col("_p")), "Weather service returned an invalid response."),
-        F.when(F.col("place").isNull(), F.concat(F.lit("Could not find coordinates for location: "), F.col("location"))),
+        F.when(F.col("_p").isNull(), "no answer").when(~_object(F.col("_p")), INVALID),
+        F.when(F.col("place").isNull(), F.concat(F.lit(NOT_FOUND), F.col("location"))),
     )
     return out.withColumn("error", error).withColumn("place", F.when(error.isNull(), F.col("place"))).drop("_p")
 
@@ -69,7 +73,7 @@ def locate(queries: DataFrame, payloads: DataFrame) -> DataFrame:
 def parse_forecasts(located: DataFrame, payloads: DataFrame) -> DataFrame:
     """query_id, ``result`` (location, current, daily_forecast, source) or ``error`` of each located query."""
     out = located.join(payloads.select("query_id", F.col("payload").alias("_p")), "query_id", "left")
-    out = out.withColumn("error", F.coalesce("error", F.when(F.col("_p").isNull(), "no answer").when(~_object(F.col("_p")), "Weather service returned an invalid response.")))
+    out = out.withColumn("error", F.coalesce("error", F.when(F.col("_p").isNull(), "no answer").when(~_object(F.col("_p")), INVALID)))
     out = out.withColumn("_f", F.from_json("_p", FORECAST))
     now, units, metric = F.col("_f.current"), F.col("_f.current_units"), F.col("units") == "metric"
     pick = lambda given, a, b: F.coalesce(given, F.when(metric, a).otherwise(b))
@@ -91,8 +95,10 @@ def daily_rows(daily: Column) -> Column:
 
 
 def answers(parsed: DataFrame) -> DataFrame:
-    """query_id and the JSON answer: the result, or an error with a hint."""
-    return parsed.select("query_id", F.when(F.col("error").isNull(), F.to_json("result")).otherwise(F.to_json(F.struct("error", F.lit(HINT).alias("hint")))).alias("answer"))
+    """query_id and the JSON answer, indented and with its null fields: the result, or an error with a hint."""
+    fault = F.struct("error", F.lit(HINT).alias("hint"))
+    shown = lambda c: T.json_indented(c, parsed.select(c.alias("c")).schema["c"].dataType)
+    return parsed.select("query_id", F.when(F.col("error").isNull(), shown(F.col("result"))).otherwise(shown(fault)).alias("answer"))
 
 
 def current_weather(queries: DataFrame, places: DataFrame, forecasts: DataFrame) -> DataFrame:

@@ -26,12 +26,17 @@ _BOXES = "boxes AS (SELECT doc, page, bbox.x0 AS x0, bbox.y0 AS y0, bbox.x1 AS x
 _HEADS = f"h AS (SELECT doc, page::BIGINT * 100000 + block_id AS ord, heading_level AS level, {_strip('raw_content')} AS title, page FROM b WHERE heading_level IS NOT NULL)"
 
 
+def _two(x: str) -> str:
+    """Two digits of the exact binary value, ties to even (printf works on it)."""
+    return f"coalesce(printf('%.2f', ({x})::DOUBLE)::DOUBLE, 0.0::DOUBLE)"
+
+
 def _gpa(source: str) -> str:
-    return f"SELECT transcript_id, semester, coalesce(floor(sum(CASE WHEN {_OK} THEN credits * {_POINTS} END) / nullif(sum(CASE WHEN {_OK} THEN credits END), 0) * 100 + 0.5) / 100, 0.0)::DOUBLE AS gpa, coalesce(sum(CASE WHEN {_OK} THEN credits END), 0)::BIGINT AS credits_counted FROM {source} GROUP BY ALL"
+    return f"SELECT transcript_id, semester, {_two(f'sum(CASE WHEN {_OK} THEN credits * {_POINTS} END) / nullif(sum(CASE WHEN {_OK} THEN credits END), 0)')} AS gpa, coalesce(sum(CASE WHEN {_OK} THEN credits END), 0)::BIGINT AS credits_counted FROM {source} GROUP BY ALL"
 
 
 def _cpa(where: str, source: str = "g") -> str:
-    return f"SELECT transcript_id, coalesce(floor(sum(credits * points) / nullif(sum(credits), 0) * 100 + 0.5) / 100, 0.0)::DOUBLE AS cpa, sum(credits)::BIGINT AS cumulative_credits FROM (SELECT * FROM {source} WHERE {where} QUALIFY row_number() OVER (PARTITION BY transcript_id, code ORDER BY points DESC, semester, ord) = 1) GROUP BY ALL"
+    return f"SELECT transcript_id, {_two('sum(credits * points) / nullif(sum(credits), 0)')} AS cpa, sum(credits)::BIGINT AS cumulative_credits FROM (SELECT * FROM {source} WHERE {where} QUALIFY row_number() OVER (PARTITION BY transcript_id, code ORDER BY points DESC, semester, ord) = 1) GROUP BY ALL"
 
 
 _CHANGED = "x AS (SELECT c.* REPLACE (CASE WHEN code = 'KD2416' THEN 'A' WHEN code = 'QX1010' AND semester = '20201' THEN 'B+' WHEN code = 'ZN1121' THEN 'W' ELSE letter_grade END AS letter_grade) FROM c)"
@@ -42,7 +47,7 @@ ORACLE["best_attempts"] = f"WITH {_COURSES}, {_GRADED} SELECT transcript_id, cod
 ORACLE["cpa_per_semester"] = f"""WITH {_COURSES}, {_GRADED}, s AS (SELECT DISTINCT transcript_id, semester FROM c),
 best AS (SELECT s.transcript_id, s.semester, g.credits, g.points FROM s JOIN g ON g.transcript_id = s.transcript_id AND g.semester <= s.semester QUALIFY row_number() OVER (PARTITION BY s.transcript_id, s.semester, g.code ORDER BY g.points DESC, g.semester, g.ord) = 1),
 k AS (SELECT transcript_id, semester, sum(credits * points) / nullif(sum(credits), 0) AS cpa, sum(credits) AS n FROM best GROUP BY ALL), q AS ({_gpa('c')})
-SELECT q.transcript_id, q.semester, q.gpa, coalesce(floor(k.cpa * 100 + 0.5) / 100, 0.0)::DOUBLE AS cpa, q.credits_counted, coalesce(k.n, 0)::BIGINT AS cumulative_credits FROM q LEFT JOIN k USING (transcript_id, semester)"""
+SELECT q.transcript_id, q.semester, q.gpa, {_two('k.cpa')} AS cpa, q.credits_counted, coalesce(k.n, 0)::BIGINT AS cumulative_credits FROM q LEFT JOIN k USING (transcript_id, semester)"""
 ORACLE["simulate_gpas"] = f"WITH {_COURSES}, {_CHANGED} {_gpa('x')}"
 ORACLE["simulate_cpa"] = f"WITH {_COURSES}, {_CHANGED}, g AS (SELECT *, {_POINTS} AS points FROM x WHERE {_OK}) {_cpa('semester <= ' + chr(39) + '20231' + chr(39))}"
 ORACLE["semester_list"] = "SELECT DISTINCT semester FROM courses"
@@ -51,14 +56,38 @@ ORACLE["parse_courses"] = f"""WITH {_COURSES}, n AS (SELECT * REPLACE (trim(rege
 r AS (SELECT * FROM n WHERE class_id IS NOT NULL UNION ALL SELECT * REPLACE (regexp_replace(name, ' [0-9]+$', '') AS name, regexp_extract(name, '([0-9]+)$', 1)::INT AS credits, credits::VARCHAR AS class_id) FROM n WHERE class_id IS NULL AND regexp_matches(name, ' [0-9]+$')
 UNION ALL SELECT * REPLACE (regexp_replace(name, ' [0-9]+$', '') AS name, regexp_extract(name, '([0-9]+)$', 1)::INT AS credits, credits::VARCHAR AS class_id, class_id::DOUBLE AS exam_score) FROM n WHERE class_id IS NOT NULL AND exam_score IS NULL AND process_score IS NULL AND regexp_matches(name, ' [0-9]+$'))
 SELECT transcript_id::VARCHAR AS doc, semester, code, name, credits, class_id, CASE WHEN exam_score IS NOT NULL THEN process_score END AS process_score, coalesce(exam_score, process_score) AS exam_score, letter_grade FROM r WHERE coalesce(exam_score, process_score) IS NOT NULL"""
-ORACLE["transcript_json"] = f"WITH {_COURSES} SELECT transcript_id, count(*)::INT AS n, arg_min(code, ord) AS first_code FROM c GROUP BY ALL"
+ORACLE["transcript_json"] = f"WITH {_COURSES} SELECT transcript_id, to_json(list({{'semester': semester, 'code': code, 'name': name, 'credits': credits, 'class_id': class_id, 'process_score': process_score, 'exam_score': exam_score, 'letter_grade': letter_grade}} ORDER BY ord))::VARCHAR AS courses FROM c GROUP BY ALL"
 _LABELS = "CASE weather_code " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in weather.WEATHER_CODES.items()) + f" ELSE coalesce('{weather.UNKNOWN_CODE}' || weather_code, '{weather.NO_CODE}') END"
 ORACLE["code_labels"] = f"WITH {_W} SELECT obs_id, {_LABELS} AS label FROM w"
 _ERR = "CASE WHEN obs_id % 7 = 0 THEN 'Could not find coordinates for location: ' || name WHEN obs_id % 11 = 0 THEN 'Weather service returned an invalid response.' END"
 ORACLE["weather_results"] = f"WITH {_W}, r AS (SELECT w.*, p.name, {_ERR.replace('name', 'p.name')} AS error FROM w JOIN places p USING (place_id)) SELECT obs_id AS query_id, CASE WHEN error IS NULL THEN name END AS place, CASE WHEN error IS NULL THEN temperature END AS temperature, CASE WHEN error IS NULL THEN {_LABELS} END AS label, CASE WHEN error IS NULL THEN coalesce(temperature_unit, CASE units WHEN 'metric' THEN 'degC' ELSE 'degF' END) END AS unit, CASE WHEN error IS NULL THEN CASE units WHEN 'metric' THEN 'mm' ELSE 'inch' END END AS rain_unit, CASE WHEN error IS NULL THEN CASE WHEN obs_id % 2 = 0 THEN 3 ELSE 0 END END AS days, error FROM r"
 _NONE = weather.NO_CODE
 ORACLE["weather_days"] = f"WITH {_W}, r AS (SELECT w.*, i FROM w JOIN places p USING (place_id), generate_series(1, 3) AS t(i) WHERE obs_id % 7 <> 0 AND obs_id % 11 <> 0 AND obs_id % 2 = 0) SELECT obs_id AS query_id, 'd' || i AS date, CASE WHEN i = 1 THEN weather_code END AS weather_code, CASE WHEN i = 1 THEN {_LABELS} ELSE '{_NONE}' END AS weather_description, CASE i WHEN 1 THEN temperature WHEN 2 THEN apparent_temperature END AS temperature_max, NULL::DOUBLE AS temperature_min, NULL::DOUBLE AS precipitation_sum FROM r"
-ORACLE["weather_answer_json"] = f"WITH {_W}, r AS (SELECT obs_id, obs_id % 7 = 0 OR obs_id % 11 = 0 AS bad FROM w JOIN places p USING (place_id)) SELECT obs_id AS query_id, CASE WHEN NOT bad THEN '{weather.SOURCE}' END AS source, CASE WHEN bad THEN '{weather.HINT}' END AS hint FROM r"
+
+
+def _object(fields: dict[str, str], level: int = 0) -> str:
+    """SQL of an indented JSON object of SQL values; values that begin with a brace or bracket are JSON already."""
+    pad = "  " * (level + 1)
+    parts = [_q(f'{pad}"{k}": ') + " || " + (v if v.startswith("(/*json*/") else f"coalesce(to_json({v})::VARCHAR, 'null')") for k, v in fields.items()]
+    return "(/*json*/" + _q("{\n") + " || " + f" || {_q(',' + chr(10))} || ".join(parts) + " || " + _q("\n" + "  " * level + "}") + ")"
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_DAY = lambda i, code, label, most: _object({"date": f"'d{i}'", "weather_code": code, "weather_description": label, "temperature_max": most, "temperature_min": "NULL", "precipitation_sum": "NULL"}, 2)
+_DAYS = " || ',\n    ' || ".join((_DAY(1, "weather_code", _LABELS, "temperature"), _DAY(2, "NULL", f"'{weather.NO_CODE}'", "apparent_temperature"), _DAY(3, "NULL", f"'{weather.NO_CODE}'", "NULL")))
+_NOW = {k: k for k in ("time", *weather.MEASURES, "weather_code")} | {
+    "weather_description": _LABELS, "temperature_unit": "coalesce(temperature_unit, CASE units WHEN 'metric' THEN 'degC' ELSE 'degF' END)",
+    "wind_speed_unit": "coalesce(wind_speed_unit, CASE units WHEN 'metric' THEN 'km/h' ELSE 'mph' END)", "precipitation_unit": "CASE units WHEN 'metric' THEN 'mm' ELSE 'inch' END",
+}
+_ANSWER = _object({
+    "location": _object({k: f"p.{k}" for k in ("name", "country", "admin1", "latitude", "longitude", "timezone")}, 1), "current": _object(_NOW, 1),
+    "daily_forecast": f"(/*json*/CASE WHEN obs_id % 2 = 0 THEN E'[\\n    ' || {_DAYS} || E'\\n  ]' ELSE '[]' END)", "source": f"'{weather.SOURCE}'",
+})
+_FAULT = _object({"error": _ERR.replace("name", "p.name"), "hint": f"'{weather.HINT}'"})
+ORACLE["weather_answer_json"] = f"WITH {_W} SELECT obs_id AS query_id, CASE WHEN obs_id % 7 = 0 OR obs_id % 11 = 0 THEN {_FAULT} ELSE {_ANSWER} END AS answer FROM w JOIN places p USING (place_id)"
 ORACLE["request_parameters"] = f"WITH {_W}, r AS (SELECT units, obs_id % 2 = 0 AS include_forecast FROM w JOIN places USING (place_id)) SELECT units, include_forecast, CASE units WHEN 'metric' THEN 'celsius' ELSE 'fahrenheit' END AS temperature_unit, CASE units WHEN 'metric' THEN 'kmh' ELSE 'mph' END AS wind_speed_unit, CASE units WHEN 'metric' THEN 'mm' ELSE 'inch' END AS precipitation_unit, CASE WHEN include_forecast THEN 3 ELSE 1 END AS forecast_days, count(*) AS count FROM r GROUP BY ALL"
 
 
@@ -82,10 +111,6 @@ def _units() -> str:
     )
 
 
-def _q(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
 ORACLE["p5_convert"] = _units() + "SELECT obs_id, max(CASE quantity WHEN 'temperature' THEN x END) AS temperature_c, max(CASE quantity WHEN 'wind_speed' THEN x END) AS wind_speed_kmh, max(CASE quantity WHEN 'precipitation' THEN x END) AS precipitation_mm FROM val GROUP BY obs_id"
 ORACLE["p5_found"] = _units() + "SELECT a.obs_id AS obs_id_a, b.obs_id AS obs_id_b, a.quantity FROM val a JOIN val b ON a.place_id = b.place_id AND a.m = b.m AND a.quantity = b.quantity AND a.obs_id < b.obs_id AND a.unit <> b.unit AND abs(a.x - b.x) <= 0.5 + 1e-9"
 ORACLE["box_measures"] = f"WITH {_BLOCKS} SELECT block_uid, bbox.x1 - bbox.x0 AS width, bbox.y1 - bbox.y0 AS height, (bbox.x1 - bbox.x0) * (bbox.y1 - bbox.y0) AS area, block_type IN ('image', 'figure', 'math', 'algorithm') AS needs_ocr FROM b"
@@ -129,7 +154,8 @@ _LINES = f"ln AS (SELECT doc, page, list_filter(list_transform(string_split(mark
 _REP = f"rep AS (SELECT doc, line, count(*) AS n FROM (SELECT doc, unnest(list_concat(l[1:2], CASE WHEN len(l) <= 2 THEN l ELSE l[-2:] END)) AS line FROM ln) WHERE length(line) BETWEEN 4 AND 80 AND len(list_filter(regexp_split_to_array(line, {_WHITE}), lambda x: x <> '')) <= 10 GROUP BY ALL HAVING n >= 4)"
 ORACLE["repeated_lines"] = f"WITH {_BLOCKS}, {_PAGES}, {_LINES}, {_REP} SELECT doc, line, n FROM rep"
 ORACLE["drop_repeated"] = f"WITH {_BLOCKS}, {_PAGES}, {_LINES}, {_REP}, r AS (SELECT doc, list(line) AS rs FROM rep GROUP BY doc) SELECT doc, page, md5(CASE WHEN rs IS NULL THEN markdown ELSE array_to_string(list_filter(string_split(markdown, chr(10)), lambda x: NOT list_contains(rs, {_strip('x')})), chr(10)) END) AS digest FROM p LEFT JOIN r USING (doc)"
-ORACLE["references_pages"] = f"WITH {_BLOCKS}, {_PAGES} SELECT doc, max(page) FILTER (regexp_matches(markdown, '(?m)^(#+)?\\s*(References|REFERENCES)\\s*$') OR regexp_matches(markdown, '(?m)^\\s*(Bibliography|BIBLIOGRAPHY|TÀI LIỆU THAM KHẢO)\\s*$') OR regexp_matches(markdown, '(?im)^\\s*References and Further Reading\\s*$')) AS references_page FROM p GROUP BY doc"
+_REFS = "SELECT doc, max(page) FILTER (regexp_matches(markdown, '(?m)^(#+)?\\s*(References|REFERENCES)\\s*$') OR regexp_matches(markdown, '(?m)^\\s*(Bibliography|BIBLIOGRAPHY|TÀI LIỆU THAM KHẢO)\\s*$') OR regexp_matches(markdown, '(?im)^\\s*References and Further Reading\\s*$')) AS references_page FROM p GROUP BY doc"
+ORACLE["references_pages"] = f"WITH {_BLOCKS}, {_PAGES} {_REFS}"
 ORACLE["whitespace_norm"] = f"WITH {_BLOCKS} SELECT block_uid, md5({_strip(chr(10).join(['regexp_replace(regexp_replace(raw_content, ' + _q('(?m)[ ' + chr(92) + 't]+$') + ', ' + _q('') + ', ' + _q('g') + '), ' + _q(chr(92) + 'n{3,}') + ', E' + _q(chr(92) + 'n' + chr(92) + 'n') + ', ' + _q('g') + ')']))}) AS digest FROM b"
 ORACLE["section_paths"] = f"""WITH RECURSIVE {_BLOCKS}, {_HEADS}, s AS (SELECT doc, ord, level, title, row_number() OVER (PARTITION BY doc ORDER BY ord) AS i FROM h),
 st(doc, i, ord, ls, ts) AS (SELECT doc, i, ord, [level], [title] FROM s WHERE i = 1 UNION ALL SELECT s.doc, s.i, s.ord, list_append(list_filter(st.ls, lambda x: x < s.level), s.level), list_append(st.ts[1:len(list_filter(st.ls, lambda x: x < s.level))], s.title) FROM st JOIN s ON s.doc = st.doc AND s.i = st.i + 1)
@@ -137,7 +163,8 @@ SELECT doc, ord, array_to_string(ts, ' > ') AS path FROM st"""
 ORACLE["section_map"] = ORACLE["section_paths"].replace("SELECT doc, ord, array_to_string(ts, ' > ') AS path FROM st", ", l AS (SELECT doc, (ord // 100000)::INT AS page, arg_max(array_to_string(ts, ' > '), ord) AS path FROM st GROUP BY ALL) SELECT doc, page, coalesce(last_value(path IGNORE NULLS) OVER (PARTITION BY doc ORDER BY page), '') AS section FROM (SELECT DISTINCT doc, page FROM b) LEFT JOIN l USING (doc, page)")
 _COUNTS = "SELECT doc, count(DISTINCT page) AS total_pages, count(*) AS total_blocks, count(*) FILTER (block_type = 'text') AS text_blocks, count(*) FILTER (block_type = 'table') AS table_blocks, count(*) FILTER (block_type = 'image') AS image_blocks, count(*) FILTER (block_type = 'math') AS math_blocks, 0::BIGINT AS ocr_failed FROM b GROUP BY doc"
 ORACLE["type_counts"] = f"WITH {_BLOCKS} {_COUNTS}"
-ORACLE["run_summary"] = f"WITH {_BLOCKS}, k AS ({_COUNTS}) SELECT count(*) AS total_files, sum(total_pages)::BIGINT AS total_pages, sum(total_blocks)::BIGINT AS total_blocks, sum(image_blocks + math_blocks)::BIGINT AS ocr_blocks FROM k"
+_NAMES = ("total_pages", "total_blocks", "text_blocks", "table_blocks", "image_blocks", "math_blocks", "ocr_failed", "ocr_blocks")
+ORACLE["run_summary"] = f"WITH {_BLOCKS}, k AS (SELECT *, image_blocks + math_blocks AS ocr_blocks FROM ({_COUNTS})) SELECT doc AS doc_name, NULL::BIGINT AS total_files, {', '.join(_NAMES)}, NULL::DOUBLE AS elapsed_sec FROM k UNION ALL SELECT NULL, count(*), {', '.join(f'sum({n})::BIGINT' for n in _NAMES)}, 1.5 FROM k"
 ORACLE["reading_modes"] = f"WITH {_BLOCKS} SELECT block_type, ocr_mode, CASE WHEN block_type IN ('math', 'figure', 'algorithm') THEN block_type WHEN block_type = 'table' THEN 'table_complex' WHEN ocr_mode = 'text' THEN 'math' WHEN ocr_mode = 'table_simple' THEN 'table_complex' WHEN ocr_mode IN ('figure', 'math', 'table_complex', 'algorithm') THEN ocr_mode ELSE 'image' END AS mode, count(*) AS count FROM b GROUP BY ALL"
 _PATH = "'images/' || doc || '_p' || page || '_b' || block_id || '_' || block_type || '.png'"
 _IMG = f"'![Image p' || page || ' #' || block_id || '](' || {_PATH} || ')'"
@@ -148,7 +175,7 @@ WHEN block_type IN ('image', 'figure') THEN {_IMG} || CASE WHEN length(caption)
 _FILES = f"{_PR}, files AS (SELECT doc || '.pdf' AS name, max(page)::BIGINT * 250000 AS size_bytes, max(page) AS pages, CASE WHEN length(doc) % 3 = 0 THEN max(page)::BIGINT - 1 END AS output_size FROM pr GROUP BY doc)"
 ORACLE["chunk_ranges"] = f"WITH {_FILES}, r AS (SELECT name, i::INT AS chunk_no, ((i - 1) * 4 + 1)::INT AS first_page, least(i * 4, pages)::INT AS last_page FROM files, generate_series(1, 100000) AS t(i) WHERE (i - 1) * 4 < pages) SELECT *, replace(name, '.pdf', '') || '_chunk_' || lpad(chunk_no::VARCHAR, greatest(3, length(chunk_no::VARCHAR))::INT, '0') || '_p' || first_page || '-' || last_page AS chunk_name FROM r"
 ORACLE["file_plan"] = f"WITH {_FILES} SELECT name, CASE WHEN size_bytes / 1e6 >= 5 OR pages >= 100 THEN 'chunked' ELSE 'normal' END AS route, CASE WHEN output_size > 0 THEN 'skipped' END AS status FROM files WHERE name <> 'bg-00000004.pdf' AND contains(lower(name), '-0000')"
-ORACLE["status_rollup"] = "SELECT o_orderstatus AS status, count(*) AS n, min(o_orderkey::VARCHAR) AS first_name FROM orders GROUP BY ALL"
+ORACLE["status_rollup"] = "SELECT o_orderstatus AS status, count(*) OVER (PARTITION BY o_orderstatus) AS n, o_orderkey::VARCHAR AS name FROM orders"
 ORACLE["merge_chunks"] = f"WITH {_BLOCKS}, {_PAGES}, k AS (SELECT doc, page, 'chunk_' || lpad(page::VARCHAR, greatest(3, length(page::VARCHAR))::INT, '0') AS path, CASE WHEN page % 5 > 0 THEN markdown END AS t FROM p), r AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY path) AS i FROM k) SELECT doc AS name, md5('<!-- Source: ' || doc || E' -->\\n<!-- Generated by foliospark -->\\n\\n' || coalesce(string_agg(CASE WHEN i > 1 THEN E'\\n\\n' ELSE '' END || {_strip('t')} || chr(10), '' ORDER BY path), '')) AS digest FROM r GROUP BY doc"
 _TOK = f"list_filter(regexp_split_to_array(coalesce(text, ''), {_WHITE}), lambda x: x <> '')"
 ORACLE["token_chunks"] = f"WITH d AS (SELECT doc_id, {_TOK} AS w FROM documents), k AS (SELECT doc_id, w, i FROM d, generate_series(0, 100000) AS t(i) WHERE len(w) > 0 AND i < greatest(ceil((len(w) - 50) / 350.0), 1)) SELECT doc_id, (i + 1)::INT AS chunk_no, doc_id || '_chunk_' || (i + 1) AS chunk_id, len(w[i * 350 + 1 : i * 350 + 400])::INT AS n_tokens, md5(array_to_string(w[i * 350 + 1 : i * 350 + 400], ' ')) AS digest FROM k"
@@ -169,7 +196,7 @@ ORACLE["rrf_fusion"] = f"WITH {_BM}, {_VEC}, a AS ({_top('sc', 30)}), z AS ({_to
 ORACLE["recall_at_k"] = f"WITH {_VEC}, z AS ({_top('vs', 10)}), r AS (SELECT a.vec_id AS query_id, b.vec_id AS doc_id FROM embeddings a JOIN embeddings b USING (label) WHERE a.vec_id % 100 = 0) SELECT query_id, count(z.doc_id) AS hits, round(count(z.doc_id) / count(*)::DOUBLE, 9) AS recall, count(z.doc_id) / 10.0::DOUBLE AS precision FROM r LEFT JOIN z USING (query_id, doc_id) GROUP BY query_id"
 ORACLE["exact_classes"] = "SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS class_id, count(*) OVER (PARTITION BY text) AS copies FROM documents"
 ORACLE["fan_out"] = "SELECT o_orderkey AS query_id, greatest(i - 1, 0)::INT AS sub_no, CASE WHEN i = 0 THEN o_orderpriority ELSE o_orderpriority || ' ' || i END AS sub_query FROM orders, generate_series(0, 2) AS t(i) WHERE CASE WHEN o_orderkey % 3 = 0 THEN i = 0 ELSE i BETWEEN 1 AND o_orderkey % 3 END"
-ORACLE["cache_keys"] = f"SELECT doc_id, sha256(array_to_string({_TOK.replace('text', 'lower(source)')}, ' ')) AS key FROM documents WHERE text IS NOT NULL"
+ORACLE["cache_keys"] = f"SELECT doc_id, sha256(array_to_string({_TOK.replace("coalesce(text, '')", "coalesce(lower(text), '')")}, ' ')) AS key FROM documents"
 _RED = "text"
 for _name, _pattern in PERSONAL:
     _RED = f"regexp_replace({_RED}, {_q(_pattern)}, '[{_name}]', 'g')"
@@ -197,7 +224,8 @@ _J1 = f"regexp_replace(raw_content, {_q(f'({_M})|({_W3})-{_S}' + chr(92) + f'n{_
 _J2 = f"regexp_replace({_J1}, {_q(f'({_M})|([a-z,;:])[ ' + chr(92) + 't]*' + chr(92) + 'n[ ' + chr(92) + 't]*([a-z])')}, '\\1' || chr(57344) || '\\2' || chr(57345) || '\\3' || chr(57346), 'g')"
 ORACLE["hyphen_repair"] = f"WITH {_BLOCKS} SELECT block_uid, md5(replace(replace(replace(replace({_J2}, chr(57344) || chr(57345) || chr(57346), ''), chr(57345), ' '), chr(57344), ''), chr(57346), '')) AS digest FROM b"
 _MAP = ORACLE["section_map"].partition("WITH RECURSIVE ")[2].rpartition(" SELECT doc, page, coalesce(last_value")
-ORACLE["metadata_json"] = f"WITH RECURSIVE {_PR}, {_VOTE}, {_MAP[0]}, sec AS (SELECT doc, page, coalesce(last_value{_MAP[2]}) SELECT doc, k.n AS total_blocks, vote.layout, sec.section AS section_1 FROM (SELECT doc, count(*) AS n FROM b GROUP BY doc) k LEFT JOIN vote USING (doc) LEFT JOIN (SELECT doc, section FROM sec WHERE page = 1) sec USING (doc)"
+_META = ("doc_name", "total_pages", "total_blocks", "text_blocks", "table_blocks", "image_blocks", "math_blocks", "ocr_failed", "layout", "references_page", "section_map")
+ORACLE["metadata_json"] = f"WITH RECURSIVE {_PR}, {_VOTE}, {_MAP[0]}, sec AS (SELECT doc, page, coalesce(last_value{_MAP[2]}), maps AS (SELECT doc, map(list(page::VARCHAR ORDER BY page), list(section ORDER BY page)) AS section_map FROM sec GROUP BY doc), {_PAGES}, k AS ({_COUNTS}), refs AS ({_REFS}) SELECT doc, to_json({{{', '.join(f"'{n}': {n}" for n in _META)}}})::VARCHAR AS metadata FROM (SELECT *, doc AS doc_name FROM k LEFT JOIN vote USING (doc) LEFT JOIN refs USING (doc) LEFT JOIN maps USING (doc))"
 _RANK = f"""{_CAND}, sf AS (SELECT cd.*, d.trust AS tr, {_RED.replace('(text,', '(cd.content,')} AS safe FROM cd JOIN documents d USING (doc_id) WHERE {' AND '.join(f'NOT regexp_matches(cd.content, {_q(p)})' for p in INJECTION.values())}),
 qs AS (SELECT doc_id AS query_id, list_distinct(regexp_extract_all(lower(substr(coalesce(text, ''), 1, 100)), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS qt FROM documents WHERE doc_id % 100 = 0),
 rk AS (SELECT query_id, source_kind, chunk_id, round(coalesce(len(list_intersect(qt, regexp_extract_all(lower(safe), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')))::DOUBLE / nullif(len(qt), 0), 0.0) + 0.1::DOUBLE * coalesce(tr, 0.0), 9) AS rerank_score FROM sf JOIN qs USING (query_id))"""

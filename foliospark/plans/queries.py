@@ -63,11 +63,6 @@ def gpa_by_semester(spark: SparkSession, sf: str) -> DataFrame:
     return transcript.gpa_by_semester(_courses(spark, sf), ("transcript_id",))
 
 
-@query
-def gpa_exact_rounding(spark: SparkSession, sf: str) -> DataFrame:
-    return transcript.gpa_by_semester(_courses(spark, sf), ("transcript_id",), exact=True)
-
-
 @query
 def cpa_best_attempt(spark: SparkSession, sf: str) -> DataFrame:
     return transcript.cpa(_courses(spark, sf), ("transcript_id",))
@@ -126,8 +121,7 @@ def parse_courses(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def transcript_json(spark: SparkSession, sf: str) -> DataFrame:
-    c = transcript.transcript_json(_courses(spark, sf), ("transcript_id",), "ord")
-    return c.select("transcript_id", F.json_array_length("courses").alias("n"), F.get_json_object("courses", "$[0].code").alias("first_code"))
+    return transcript.transcript_json(_courses(spark, sf), ("transcript_id",), "ord")
 
 
 @query
@@ -172,8 +166,7 @@ def weather_days(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def weather_answer_json(spark: SparkSession, sf: str) -> DataFrame:
-    a = weather.current_weather(*_weather_inputs(spark, sf))
-    return a.select("query_id", F.get_json_object("answer", "$.source").alias("source"), F.get_json_object("answer", "$.hint").alias("hint"))
+    return weather.current_weather(*_weather_inputs(spark, sf))
 
 
 @query
@@ -374,15 +367,14 @@ def type_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return assemble.run_summary(assemble.block_counts(_blocks(spark, sf)), 0.0).drop("documents", "elapsed_sec")
+    return assemble.run_summary(assemble.block_counts(_blocks(spark, sf)), 1.5)
 
 
 @query
 def metadata_json(spark: SparkSession, sf: str) -> DataFrame:
     b = _blocks(spark, sf)
     votes = layout.document_layouts(_once(table(spark, sf, "page_results"), "page_uid", "ingested_at").select("doc", "page", "layout"))
-    m = assemble.metadata_json(assemble.block_counts(b), votes, pages.references_pages(_pages(spark, sf)), pages.section_map(_dims(b), _headings(b)))
-    return m.select("doc", F.get_json_object("metadata", "$.total_blocks").cast("bigint").alias("total_blocks"), F.get_json_object("metadata", "$.layout").alias("layout"), F.get_json_object("metadata", "$.section_map.1").alias("section_1"))
+    return assemble.metadata_json(assemble.block_counts(b), votes, pages.references_pages(_pages(spark, sf)), pages.section_map(_dims(b), _headings(b)))
 
 
 @query
@@ -420,8 +412,7 @@ def file_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def status_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderkey").cast("string").alias("name"))
-    return o.groupBy("status").agg(F.count("*").alias("n"), F.min("name").alias("first_name"))
+    return assemble.status_rollup(table(spark, sf, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderkey").cast("string").alias("name")))
 
 
 @query
@@ -522,7 +513,7 @@ def fan_out(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cache_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return _documents(spark, sf).where(F.col("text").isNotNull()).select("doc_id", retrieval.cache_key(F.col("source")).alias("key"))
+    return _documents(spark, sf).select("doc_id", retrieval.cache_key(F.col("text")).alias("key"))
 
 
 @query

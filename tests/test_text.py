@@ -85,3 +85,22 @@ def test_image_tag(spark):
     assert apply(spark, T.url_path, names) == [quote(n.replace("\\", "/"), safe="/") for n in names]
     df = spark.createDataFrame([("a]b", "p q.png")], "a string, p string")
     assert df.select(T.image_tag(F.col("a"), F.col("p"))).first()[0] == "![a\\]b](p%20q.png)"
+
+
+def test_round_binary_as_python_does(spark):
+    import random
+
+    rng = random.Random(2)
+    values = [n / d for n in range(0, 800, 7) for d in (8, 16, 40, 200, 3, 7)] + [rng.uniform(-5, 5) for _ in range(500)] + [k / 200 for k in range(-900, 900)] + [0.0, -0.005, 1e12 + 0.125, 2.0**60, 1e300, 4503599627370497.5]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select("x", T.round_binary(F.col("x"), 2).alias("two"), T.round_binary(F.col("x"), 0).alias("none"), T.round_binary(F.col("x"), 5).alias("five")).collect()
+    assert [(r["two"], r["none"], r["five"]) for r in got] == [(round(v, 2), round(v, 0), round(v, 5)) for v in values]
+
+
+def test_json_indented(spark):
+    import json
+
+    kind = "a string, b double, c struct<d:int,e:array<struct<f:string>>>, g array<int>"
+    value = {"a": 'x"\\\n[é]', "b": None, "c": {"d": None, "e": [{"f": "y"}, {"f": None}]}, "g": []}
+    df = spark.createDataFrame([(value,)], f"v struct<{kind.replace(' ', ':').replace(',:', ',')}>")
+    assert df.select(T.json_indented(F.col("v"), df.schema["v"].dataType)).first()[0] == json.dumps(value, indent=2, ensure_ascii=False)
