@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -27,3 +28,12 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: one computation, and no lineage to repeat when an executor is lost."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Rows of a few short columns that every executor may hold.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` for a broadcast join where it has at most ``most`` rows (they are counted, so let it be a table that is already written); beyond that as it is, for Spark to shuffle."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
