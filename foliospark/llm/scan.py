@@ -6,7 +6,7 @@
   distance to the page's place is the page number.
 * Wrongly read characters: the words of the corpus are grouped by the skeleton
   of their glyphs; a rare form gives way to a frequent form of its group where
-  a neighbour in the line is a frequent word too.
+  a neighbour in the text is a frequent word too.
 * Hyphenation: the joined word, or the compound, that the corpus knows better decides.
 * Reflow: windows over the lines of a block number its paragraphs.
 """
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.functions.scale import cut
+from foliospark.functions.scale import broadcast_if, cut
 from foliospark.functions.text import WHITE
 
 #: Vietnamese letters with marks, their base letters, and what is left of them where small marks are lost: the tone (a hook reads like an acute).
@@ -38,8 +38,8 @@ TEXT_TYPES = ("text", "unknown")
 ROMAN = "ivxlcdm"
 #: Marks that Markdown sets before headings and list items.
 BULLETS = "•◦▪‣*+"
-#: Stands for the neighbour of a word alone on its line.
-ALONE = "\n"
+#: Longer lines are masked before they are shuffled.
+LONG_LINE = 200
 
 
 @dataclass(frozen=True)
@@ -49,13 +49,16 @@ class Settings:
     #: A frequent form stands in at least this share of the blocks, and in at least ``frequent_least`` of them.
     frequent_share: float = 0.001
     frequent_least: int = 4
-    #: It stands in this many times the blocks of the rare form: of one with a digit in it or of one seen once, and of others (which may be words of their own).
+    #: It stands in this many times the blocks of the rare form: of one with a digit in it, and of others, which may be words of their own.  A small count says little, so of ``n`` blocks of the latter only ``n - doubt * sqrt(n)`` are held against them.
     times: float = 8.0
     times_letters: float = 50.0
+    doubt: float = 0.75
     #: It stands so often in lower case (names and codes do not).
     lower_share: float = 0.3
-    #: A head returns on this share of the document's pages (left and right pages may have their own), two pages at least.
+    #: A head returns on this share of the document's pages (left and right pages may have their own), two pages at least; or, as a chapter's head, on so many pages and on this share of those from its first to its last.
+    #: A line that begins in a small letter may be a sentence that goes on: it needs so many pages in any case.
     head_share: float = 0.28
+    head_run: int = 6
     #: Lines at each edge of a page that can be heads and page numbers.
     edge_lines: int = 2
     #: Most frequent tokens that every task keeps to pass by the bulk of the text: at most this many short strings (about 1 MB); rarer ones are joined by shuffle.
@@ -76,23 +79,35 @@ def _marks(text: Column) -> Column:
     return F.translate(text, MARKED.upper() + MARKED, BASE + BASE)
 
 
+def _features(line: Column) -> Column:
+    """What the search for heads needs of a line: value, style and marked as a page number, ``key`` (hash of the masked line), whether it can be a head at all (``fit``) and whether it may be a sentence that goes on (``small``)."""
+    value, style, marked = _number(line)
+    letters = F.regexp_replace(F.regexp_replace(_marks(F.lower(line)), r"(?<!\S)[^\p{L}\s]+(?!\S)", " "), r"[^\p{L}\p{N}]+", "")
+    numbers = F.size(F.regexp_extract_all(line, F.lit(r"(?<!\S)[^\p{L}\s]*\p{N}[^\p{L}\s]*(?!\S)"), F.lit(0)))
+    fit = (F.length(letters) >= 4) & (numbers <= 1) & ~line.rlike(r"^\s*(?:[•◦▪*+‣]|[-–]\s|\(?(?:\d{1,3}|[A-Za-z])[.)]\s|#)") & ~line.rlike(r"[.,;:!?-]\s*$") & ~line.rlike(r"\t|\|.*\|")
+    return F.struct(value.alias("value"), style.alias("style"), marked.alias("marked"), F.xxhash64(skeleton(letters)).alias("key"), fit.alias("fit"), (line.rlike(r"^\p{Ll}") & (F.length(line) > 14)).alias("small"))
+
+
 def edge_lines(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The non-blank lines nearest to the top (zone T) and bottom (zone B) of each page, with their ``place`` from the edge.
+    """The non-blank lines nearest to the top (zone T) and bottom (zone B) of each page, with their ``place`` from the edge and their features.
 
-    Only the first and last lines of each block reach the shuffle by page, and
-    of lines that cannot be a head or number (too long, or going on in small
-    letters) only their places; a repeated delivery has the same places.
+    Of each block only its first (last) lines can be the page's, and of the blocks
+    that a task has of a page only its first (last) lines reach the shuffle (the
+    rank is limited before it).  A long line travels as its features.  A repeated
+    delivery has the same places.
     """
     k = settings.edge_lines
     numbered = F.filter(F.transform(F.split("raw_content", "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), F.trim(x).alias("line"))), lambda x: x["line"] != "")
     own = blocks.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", numbered.alias("lines"))
-    own = own.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", F.explode(F.when(F.size("lines") <= 2 * k, F.col("lines")).otherwise(F.concat(F.slice("lines", 1, k), F.slice("lines", -k, k)))).alias("e"))
-    useless = (F.length("e.line") > 120) | (F.col("e.line").rlike(r"^\p{Ll}") & (F.length("e.line") > 14))
-    own = own.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", "e.line_no", F.when(~useless, F.col("e.line")).alias("line")).repartition("doc", "page")
-    by = Window.partitionBy("doc", "page")
-    ranked = own.withColumn("top", F.dense_rank().over(by.orderBy("block_id", "line_no"))).withColumn("bottom", F.dense_rank().over(by.orderBy(F.desc("block_id"), F.desc("line_no")))).where((F.col("top") <= k) | (F.col("bottom") <= k))
-    zones = F.filter(F.array(F.struct(F.lit("T").alias("zone"), F.col("top").alias("place")), F.struct(F.lit("B").alias("zone"), F.col("bottom").alias("place"))), lambda z: z["place"] <= k)
-    return ranked.select("doc", "page", "block_uid", "block_type", "heading_level", "line_no", "line", F.explode(zones).alias("z")).select("doc", "page", "block_uid", "block_type", "heading_level", "line_no", "line", "z.zone", "z.place")
+    by, out = Window.partitionBy("doc", "page"), None
+    for zone, part, order in (("T", F.slice("lines", 1, k), ("block_id", "line_no")), ("B", F.slice("lines", F.greatest(F.size("lines") - k + 1, F.lit(1)), k), (F.desc("block_id"), F.desc("line_no")))):
+        lines = own.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", F.explode(F.when(F.size("lines") > 0, part)).alias("e"))
+        long = F.length("e.line") > LONG_LINE
+        lines = lines.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", "e.line_no", F.when(~long, F.col("e.line")).alias("line"), F.when(long, _features(F.col("e.line"))).alias("long"))
+        ranked = lines.withColumn("place", F.dense_rank().over(by.orderBy(*order))).where(F.col("place") <= k)
+        ranked = ranked.select("doc", "page", "block_uid", "block_type", "heading_level", "line_no", F.lit(zone).alias("zone"), "place", F.coalesce("long", _features(F.col("line"))).alias("f"))
+        out = ranked if out is None else out.unionByName(ranked)
+    return out.select("doc", "page", "block_uid", "block_type", "heading_level", "line_no", "zone", "place", "f.*")
 
 
 def _number(line: Column) -> tuple[Column, Column, Column]:
@@ -118,25 +133,19 @@ def _number(line: Column) -> tuple[Column, Column, Column]:
 
 def heads_and_numbers(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """block_uid, line_no, kind (``running_head``, ``page_no``) of each such line."""
-    value, style, marked = _number(F.col("line"))
-    lower = F.lower(F.col("line"))
-    letters = F.regexp_replace(F.regexp_replace(_marks(lower), r"(?<!\S)[^\p{L}\s]+(?!\S)", " "), r"[^\p{L}\p{N}]+", "")
-    numbers = F.size(F.regexp_extract_all("line", F.lit(r"(?<!\S)[^\p{L}\s]*\p{N}[^\p{L}\s]*(?!\S)"), 0))
-    line = F.coalesce("line", F.lit(""))
-    edges = edge_lines(blocks, settings).withColumn("line", line).select(
-        "doc", "page", "block_uid", "line_no", "zone", "place", "block_type", "heading_level", value.alias("value"), style.alias("style"), marked.alias("marked"), skeleton(letters).alias("key"),
-        ((F.char_length("line") <= 120) & (F.length(letters) >= 4) & (numbers <= 1) & ~F.col("line").rlike(r"^\s*(?:[•◦▪*+‣]|[-–]\s|\(?(?:\d{1,3}|[A-Za-z])[.)]\s|#)") & ~F.col("line").rlike(r"[.,;:!?-]\s*$") & ~F.col("line").rlike(r"\t|\|.*\|")).alias("fit"),
-        F.pmod("page", F.lit(settings.salts)).alias("salt"),
-    )
+    edges = edge_lines(blocks, settings).withColumn("salt", F.pmod("page", F.lit(settings.salts)))
     edges = cut(edges)  # a few narrow rows per page, used four times
     own = F.col("heading_level").isNull() & F.col("block_type").isin(*TEXT_TYPES)
     # one row for each doc, zone and masked line of a page, then counted over pages
     keyed = edges.where(F.col("fit") & (own | (F.col("heading_level") == 1)))
-    by_page = keyed.groupBy("doc", "zone", "key", "page").agg(F.max(F.col("heading_level").isNull()).alias("own"))
-    counted = by_page.groupBy("doc", "zone", "key").agg(F.count_if("own").alias("n"), F.count_if(~F.col("own")).alias("titles"), F.sum(F.lit(0)).cast("bigint").alias("pages"))
+    by_page = keyed.groupBy("doc", "zone", "key", "page").agg(F.max(F.col("heading_level").isNull()).alias("own"), F.min("small").alias("small"))
+    counted = by_page.groupBy("doc", "zone", "key").agg(F.count_if("own").alias("n"), F.count_if(~F.col("own")).alias("titles"), (F.max("page") - F.min("page") + 1).alias("span"), F.min("small").alias("small"))
     # a heading of the first level above may name what later pages repeat
     pages = edges.select("doc", "page").distinct().groupBy("doc").agg(F.count("*").alias("pages"))
-    heads = counted.drop("pages").where(F.col("n") > 0).join(pages, "doc").where(((F.col("n") >= 2) & (F.col("n") >= settings.head_share * (F.col("pages") - 1))) | ((F.col("titles") >= 1) & (F.col("n") >= 1) & ((F.col("pages") <= 5) | (F.col("n") >= 2))))
+    enough = ~F.col("small") | (F.col("n") >= settings.head_run)
+    everywhere_ = (F.col("n") >= 2) & (F.col("n") >= settings.head_share * (F.col("pages") - 1))
+    chapter = (F.col("n") >= settings.head_run) & (F.col("n") >= settings.head_share * F.col("span"))
+    heads = counted.where(F.col("n") > 0).join(pages, "doc").where(enough).where(everywhere_ | chapter | ((F.col("titles") >= 1) & (F.col("n") >= 1) & ((F.col("pages") <= 5) | (F.col("n") >= 2))))
     everywhere = F.explode(F.array(*[F.lit(i) for i in range(settings.salts)])).alias("salt")
     head_rows = edges.where(F.col("fit") & own & F.col("value").isNull()).join(heads.select("doc", "zone", "key", everywhere), ["doc", "zone", "key", "salt"], "left_semi").select("block_uid", "line_no", F.lit("running_head").alias("kind"))
     numbered = edges.where(F.col("value").isNotNull() & own).withColumn("offset", F.col("value") - F.col("page"))
@@ -155,7 +164,7 @@ def tokens(blocks: DataFrame) -> DataFrame:
     """
     found = F.array_distinct(F.split(F.concat(F.lit(" "), F.translate("raw_content", "\n\t\r" + UNSEEN, "   ")), " "))
     each = blocks.where(F.col("raw_content").isNotNull()).select(F.explode(found).alias("token"))
-    return each.where(F.length("token") <= 64).groupBy("token").agg(F.count("*").alias("n"))
+    return each.groupBy("token").agg(F.count("*").alias("n"))
 
 
 def words(known_tokens: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -172,11 +181,15 @@ def words(known_tokens: DataFrame, settings: Settings = Settings()) -> DataFrame
 
 
 def corrections(known: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """wrong, right, n_right: each rare form with the frequent forms of its glyph group."""
-    rare = known.where(F.col("form").rlike(r"^[\p{L}\p{N}]{2,40}$") & ~F.col("form").rlike(r"^\p{N}+$")).select(F.col("form").alias("wrong"), F.col("n").alias("n_wrong"), "key")
-    pairs = rare.join(known.where("frequent").select(F.col("form").alias("right"), F.col("n").alias("n_right"), "key"), "key")
-    times = F.when(F.col("wrong").rlike(r"\d") | (F.col("n_wrong") == 1), settings.times).otherwise(settings.times_letters)
-    return pairs.where((F.col("wrong") != F.col("right")) & (F.col("n_right") >= times * F.col("n_wrong"))).select("wrong", "right", "n_right")
+    """wrong, right, n_right: each rare form of two characters and more (one character alone has no readable rest) with the frequent forms of its glyph group.
+
+    The frequent forms are a bounded list (``words``), broadcast after a look at its size.
+    """
+    rare = known.where(F.col("form").rlike(r"^[\p{L}\p{N}]{2,}$") & ~F.col("form").rlike(r"^\p{N}+$")).select(F.col("form").alias("wrong"), F.col("n").alias("n_wrong"), "key")
+    pairs = rare.join(broadcast_if(known.where("frequent").select(F.col("form").alias("right"), F.col("n").alias("n_right"), "key")), "key")
+    against = F.col("n_wrong") - settings.doubt * F.sqrt("n_wrong")
+    least = F.greatest(settings.times * F.col("n_wrong"), F.when(F.col("wrong").rlike(r"\d"), 0.0).otherwise(settings.times_letters * against))
+    return pairs.where((F.col("wrong") != F.col("right")) & (F.col("n_right") >= least)).select("wrong", "right", "n_right")
 
 
 def wrong_tokens(known_tokens: DataFrame, fixes: DataFrame) -> DataFrame:
@@ -186,41 +199,54 @@ def wrong_tokens(known_tokens: DataFrame, fixes: DataFrame) -> DataFrame:
     return parts.select("token", F.lower("w").alias("wrong")).join(fixes, "wrong").select("token", "wrong", "right", "n_right")
 
 
+def token_neighbours(blocks: DataFrame) -> DataFrame:
+    """block_uid, line_no, place (of the token in its line, from 0), token, and the tokens before and after it in the block's text, over line ends."""
+    clean = F.translate("raw_content", "\t\r" + UNSEEN, "  ")
+    lines = F.transform(F.split(clean, "\n"), lambda line, i: F.transform(F.filter(F.split(line, " "), lambda x: x != ""), lambda x, j: F.struct((i + 1).alias("line_no"), j.alias("place"), x.alias("token"))))
+    texts = blocks.where(F.col("block_type").isin(*TEXT_TYPES) & F.col("raw_content").isNotNull()).select("block_uid", F.flatten(lines).alias("t"))
+    beside = F.transform("t", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["place"].alias("place"), x["token"].alias("token"), F.get("t", i - 1)["token"].alias("before"), F.get("t", i + 1)["token"].alias("after")))
+    return texts.select("block_uid", F.explode(beside).alias("s")).select("block_uid", "s.*")
+
+
 def misread_words(blocks: DataFrame, known_tokens: DataFrame, known: DataFrame, wrong: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """block_uid, line_no, place (of the token in its line), token, wrong, right, n_right, before, after of every wrongly read word with a frequent word beside it.
 
     The most frequent tokens (a bounded list that every task keeps) are passed by
-    where the text is; only the others are joined with the tokens to correct.
+    where the text is; only the others are joined with the tokens to correct.  A
+    neighbour that is a frequent word supports the reading (those are a bounded
+    list too); neighbours that are none are looked up among the wrongly read
+    forms, which are rare, so no frequent neighbour is a join key.  A word without
+    neighbours has no support.
     """
     passed = known_tokens.where(F.col("n") >= settings.frequent_least).orderBy(F.desc("n"), "token").limit(settings.passed_tokens).select("token").join(wrong.select("token"), "token", "left_anti")
-    lines = blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select("block_uid", F.posexplode(F.split("raw_content", "\n")).alias("line_no", "line"))
-    split = lines.select("block_uid", (F.col("line_no") + 1).alias("line_no"), F.filter(F.split(F.translate("line", "\t\r" + UNSEEN, "  "), " "), lambda x: x != "").alias("t"))
-    beside = F.transform("t", lambda x, i: F.struct(x.alias("token"), F.get("t", i - 1).alias("before"), F.get("t", i + 1).alias("after")))
-    each = split.select("block_uid", "line_no", F.posexplode(beside).alias("place", "s")).select("block_uid", "line_no", "place", "s.token", "s.before", "s.after")
-    odd = each.join(F.broadcast(passed), "token", "left_anti")
-    hits = odd.join(wrong, "token")
-    # a neighbour that is a frequent word, or may be one wrongly read, supports the reading; a word alone on its line needs none
-    beside = F.filter(F.array("before", "after"), lambda x: x.isNotNull())
-    near = hits.select("*", F.explode(F.when(F.size(beside) > 0, beside).otherwise(F.array(F.lit(ALONE)))).alias("x")).select("*", F.when(F.col("x") == ALONE, ALONE).otherwise(F.lower(F.regexp_extract("x", PLAIN, 1))).alias("form")).drop("x")
-    readable = known.where("frequent").select("form").unionByName(wrong.select(F.col("wrong").alias("form"))).unionByName(known.sparkSession.createDataFrame([(ALONE,)], "form string"))
-    return near.join(readable, "form", "left_semi").drop("form").distinct()
-
-
-def line_halves(blocks: DataFrame) -> DataFrame:
-    """Of each block of text what hyphenation needs: ``halves`` (lines that end in a hyphen: line_no, left, sign, and the openings of up to four lines after) and ``first`` (the openings of its first four lines), a repeated delivery once."""
+    hits = token_neighbours(blocks).join(F.broadcast(passed), "token", "left_anti").join(wrong, "token")
+    near = hits.select("*", F.explode(F.array("before", "after")).alias("x")).select("*", F.lower(F.regexp_extract("x", PLAIN, 1)).alias("form")).drop("x").where("form <> ''")
+    frequent = broadcast_if(known.where("frequent").select("form"))
+    near = near.join(frequent.withColumn("known", F.lit(True)), "form", "left")
+    by_misread = near.where("known IS NULL").join(wrong.select(F.col("wrong").alias("form")).distinct(), "form", "left_semi")
+    return near.where("known").unionByName(by_misread).drop("form", "known").distinct()
+
+
+def line_halves(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Of each block of text what hyphenation needs: ``halves`` (lines that end in a hyphen: line_no, left, sign, and the openings of the lines after) and ``first`` (the openings of its first lines), a repeated delivery once.
+
+    Noise lies in the ``edge_lines`` at the top and bottom of a page, so one more
+    line than those always holds the next one of the text, if there is any.
+    """
+    after = 2 * settings.edge_lines + 1
     texts = blocks.where(F.col("block_type").isin(*TEXT_TYPES) & F.col("raw_content").isNotNull())
     opening = r"^([\p{L}\p{N}]++(?:-[\p{L}\p{N}]++)*+)"
     numbered = F.filter(F.transform(F.split("raw_content", "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), F.trim(F.translate(x, "\t\r" + UNSEEN, "  ")).alias("line"))), lambda x: x["line"] != "")
     lines = texts.select("doc", "page", "block_id", "block_uid", F.col("heading_level").isNotNull().alias("heading"), numbered.alias("lines"))
-    opened = lambda part: F.transform(part, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], opening, 1).alias("right")))
+    opened = lambda part: F.transform(part, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], opening, 1).alias("right"), F.split(x["line"], " ", 2)[0].alias("moved")))
     ends = F.filter(F.transform("lines", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), i.alias("i"))), lambda x: F.substring(x["line"], -1, 1).isin(*HYPHENS))
     left = rf"(?<![^\s(\[\"'“‘])([\p{{L}}\p{{N}}]+(?:-[\p{{L}}\p{{N}}]+)*)[{HYPHENS}]$"
-    halves = F.transform(ends, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], left, 1).alias("left"), F.substring(x["line"], -1, 1).alias("sign"), opened(F.slice("lines", x["i"] + 2, 4)).alias("rest")))
-    return lines.select("doc", "page", "block_id", "block_uid", "heading", F.filter(halves, lambda h: h["left"].rlike(r"\p{L}")).alias("halves"), opened(F.slice("lines", 1, 4)).alias("first")).dropDuplicates(["block_uid"])
+    halves = F.transform(ends, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], left, 1).alias("left"), F.substring(x["line"], -1, 1).alias("sign"), opened(F.slice("lines", x["i"] + 2, after)).alias("rest")))
+    return lines.select("doc", "page", "block_id", "block_uid", "heading", F.filter(halves, lambda h: h["left"].rlike(r"\p{L}")).alias("halves"), opened(F.slice("lines", 1, after)).alias("first")).dropDuplicates(["block_uid"])
 
 
-def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame) -> DataFrame:
-    """block_uid, line_no, next_uid, next_line, left, right, last, head, right_whole, word of each line that ends in the first half of a word, or (``word`` false) in that of a compound.
+def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """block_uid, line_no, next_uid, next_line, left, right, moved (all of the next line before its first blank), last, head, right_whole, word of each line that ends in the first half of a word, or (``word`` false) in that of a compound.
 
     The other half opens the next line of the text that is neither blank nor
     ``noise`` (heads and page numbers): in the block, in the page's next block of
@@ -228,18 +254,18 @@ def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame) -> DataFra
     no document is a single task.  ``right_whole`` is the frequent form where the
     joined word is wrongly read.
     """
-    own = cut(line_halves(blocks))
+    own = cut(line_halves(blocks, settings))
     noisy = noise.groupBy("block_uid").agg(F.collect_set("line_no").alias("noisy"))  # at most a page's edge lines
     clean = own.join(noisy, "block_uid", "left")
     free = lambda part: F.filter(part, lambda x: ~F.coalesce(F.array_contains("noisy", x["line_no"]), F.lit(False)))
     clean = clean.select("doc", "page", "block_id", "block_uid", F.transform(free(F.col("halves")), lambda h: F.struct(h["line_no"].alias("line_no"), h["left"].alias("left"), h["sign"].alias("sign"), F.get(free(h["rest"]), F.lit(0)).alias("next"))).alias("halves"), F.when(~F.col("heading"), F.get(free(F.col("first")), F.lit(0))).alias("first"))
-    opens = F.when(F.col("first").isNotNull(), F.struct("block_uid", F.col("first.line_no").alias("line_no"), F.col("first.right").alias("right")))
+    opens = F.when(F.col("first").isNotNull(), F.struct("block_uid", F.col("first.line_no").alias("line_no"), F.col("first.right").alias("right"), F.col("first.moved").alias("moved")))
     on_page = Window.partitionBy("doc", "page").orderBy("block_id")
     chained = clean.withColumn("opens", opens).withColumn("after", F.first("opens", ignorenulls=True).over(on_page.rowsBetween(1, Window.unboundedFollowing)))
-    half = chained.select("doc", "page", "block_uid", "after", F.explode("halves").alias("h")).select("doc", "page", "block_uid", "h.line_no", "h.left", "h.sign", F.coalesce(F.when(F.col("h.next").isNotNull(), F.struct("block_uid", "h.next.line_no", "h.next.right")), "after").alias("to"))
+    half = chained.select("doc", "page", "block_uid", "after", F.explode("halves").alias("h")).select("doc", "page", "block_uid", "h.line_no", "h.left", "h.sign", F.coalesce(F.when(F.col("h.next").isNotNull(), F.struct("block_uid", "h.next.line_no", "h.next.right", "h.next.moved")), "after").alias("to"))
     openings = clean.withColumn("opens", opens).where(F.col("opens").isNotNull()).groupBy("doc", "page").agg(F.min_by("opens", "block_id").alias("later")).withColumn("page", F.col("page") - 1)
     pairs = half.join(openings, ["doc", "page"], "left").withColumn("to", F.coalesce("to", "later")).where(F.col("to").isNotNull())
-    pairs = pairs.select("block_uid", "line_no", F.col("to.block_uid").alias("next_uid"), F.col("to.line_no").alias("next_line"), "left", F.col("to.right").alias("right"), "sign").where(F.col("right").rlike(r"^\p{Ll}|^\d\p{Ll}"))
+    pairs = pairs.select("block_uid", "line_no", F.col("to.block_uid").alias("next_uid"), F.col("to.line_no").alias("next_line"), "left", F.col("to.right").alias("right"), F.col("to.moved").alias("moved"), "sign").where(F.col("right").rlike(r"^\p{Ll}|^\d\p{Ll}"))
     last, head = F.regexp_extract(F.lower("left"), r"([^-]+)$", 1), F.regexp_extract(F.lower("right"), r"^([^-]+)", 1)
     pairs = pairs.withColumns({"last": last, "head": head}).withColumn("whole", F.concat("last", "head"))
     # the joined word, the compound and the second half are looked up in one join
@@ -247,13 +273,13 @@ def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame) -> DataFra
     asked = pairs.select("block_uid", "line_no", F.explode(ask).alias("a")).select("block_uid", "line_no", "a.role", "a.form").join(known.select("form", "n", "frequent"), "form")
     told = asked.groupBy("block_uid", "line_no").agg(F.max(F.when(F.col("role") == "w", F.col("n"))).alias("n_whole"), F.max(F.when(F.col("role") == "c", F.col("n"))).alias("n_compound"), F.bool_or((F.col("role") == "h") & F.col("frequent")).alias("head_frequent"))
     groups = known.where("frequent").groupBy("key").agg(F.max("n").alias("n_group"), F.max_by("form", "n").alias("right_group"))
-    pairs = pairs.withColumn("key", skeleton(F.col("whole"))).join(groups, "key", "left").join(told, ["block_uid", "line_no"], "left")
+    pairs = pairs.withColumn("key", skeleton(F.col("whole"))).join(broadcast_if(cut(groups)), "key", "left").join(told, ["block_uid", "line_no"], "left")
     n_whole = F.coalesce("n_whole", F.lit(0))
     whole, compound = F.greatest(n_whole, F.coalesce("n_group", F.lit(0))), F.coalesce("n_compound", F.lit(0))
     neither = (whole == 0) & (compound == 0)
     word = F.when(F.col("sign") != "-", (compound == 0) | (whole > 0)).when(neither, ~F.coalesce("head_frequent", F.lit(False))).otherwise((whole > 0) & (whole >= compound))
     misread = (F.col("n_group") >= 8 * n_whole) & (F.col("right_group") != F.col("whole"))
-    return pairs.where(word | (compound > 0)).select("block_uid", "line_no", "next_uid", "next_line", "left", "right", "last", "head", F.when(word & misread, F.col("right_group")).alias("right_whole"), word.alias("word"))
+    return pairs.where(word | (compound > 0)).select("block_uid", "line_no", "next_uid", "next_line", "left", "right", "moved", "last", "head", F.when(word & misread, F.col("right_group")).alias("right_whole"), word.alias("word"))
 
 
 def misread_halves(hyphens: DataFrame) -> DataFrame:
@@ -276,6 +302,7 @@ class Noise:
     hyphens: DataFrame
     compounds: DataFrame  # broken at their own hyphen
     misread: DataFrame
+    tokens: DataFrame  # of the corpus
 
 
 def stages(document_blocks: DataFrame, settings: Settings = Settings(), corpus: DataFrame | None = None) -> Noise:
@@ -284,12 +311,12 @@ def stages(document_blocks: DataFrame, settings: Settings = Settings(), corpus:
     known_tokens = cut(tokens(blocks if corpus is None else _source(corpus)))
     known = cut(words(known_tokens, settings))
     noise = cut(heads_and_numbers(blocks, settings))
-    pairs = cut(hyphenated(blocks, noise, known))
+    pairs = cut(hyphenated(blocks, noise, known, settings))
     hyphens, compounds = pairs.where("word"), pairs.where("NOT word")
     wrong = wrong_tokens(known_tokens, corrections(known, settings))
     misread = misread_words(blocks, known_tokens, known, cut(wrong), settings)
     second = hyphens.select(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no"), F.lit(0).alias("place"))
-    return Noise(noise, hyphens, compounds, misread.join(second, ["block_uid", "line_no", "place"], "left_anti"))
+    return Noise(noise, hyphens, compounds, misread.join(second, ["block_uid", "line_no", "place"], "left_anti"), known_tokens)
 
 
 def found(document_blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -303,31 +330,32 @@ def found(document_blocks: DataFrame, settings: Settings = Settings()) -> DataFr
     return noise.lines.unionByName(noise.hyphens.select("block_uid", "line_no", F.lit("hyphen").alias("kind"))).unionByName(misread).distinct()
 
 
-def best_readings(misread: DataFrame, blocks: DataFrame) -> DataFrame:
+def best_readings(misread: DataFrame, blocks: DataFrame, known_tokens: DataFrame) -> DataFrame:
     """One reading per wrongly read word: block_uid, line_no, place, token, wrong, right.
 
     Of several frequent forms the one that the corpus has most often beside the
     same neighbours is taken, then the more frequent, then the alphabetically
-    first.  Only the pairs that are in question are counted.
+    first.  Only the neighbours of forms in question are counted, where the text
+    is and before any shuffle: these forms are some of the frequent ones, a
+    bounded list.
     """
     clean = lambda c: F.lower(F.regexp_extract(c, PLAIN, 1))
     m = misread.select("block_uid", "line_no", "place", "token", "wrong", "right", "n_right", clean(F.col("before")).alias("before"), clean(F.col("after")).alias("after"))
     several = m.groupBy("block_uid", "line_no", "place").agg(F.count_distinct("right").alias("k")).where("k > 1").drop("k")
     asked = cut(m.join(several, ["block_uid", "line_no", "place"]))
-    pair = F.array(F.struct(F.col("before").alias("a"), F.col("right").alias("b")), F.struct(F.col("right").alias("a"), F.col("after").alias("b")))
-    ask = asked.select("block_uid", "line_no", "place", "right", F.explode(pair).alias("p")).select("block_uid", "line_no", "place", "right", "p.a", "p.b").where("a <> '' AND b <> ''")
-    forms = ask.select(F.explode(F.array("a", "b")).alias("f")).distinct()
-    toks = blocks.where(F.col("block_type").isin(*TEXT_TYPES)).select(F.split(F.translate("raw_content", "\n\t\r" + UNSEEN, "   "), " ").alias("t"))
-    near = toks.select(F.explode(F.transform("t", lambda x, i: F.struct(x.alias("a"), F.coalesce(F.get("t", i + 1), F.lit("")).alias("b")))).alias("p")).select(clean(F.col("p.a")).alias("a"), clean(F.col("p.b")).alias("b")).groupBy("a", "b").agg(F.count("*").alias("n"))
-    counts = near.join(forms.withColumnRenamed("f", "a"), "a", "left_semi").join(ask.select("a", "b").distinct(), ["a", "b"])
-    support = ask.join(counts, ["a", "b"]).groupBy("block_uid", "line_no", "place", "right").agg(F.sum("n").alias("support"))
+    sides = F.explode(F.array(F.struct(F.lit("b").alias("side"), F.col("before").alias("beside")), F.struct(F.lit("a").alias("side"), F.col("after").alias("beside")))).alias("p")
+    ask = asked.select("block_uid", "line_no", "place", "right", sides).select("block_uid", "line_no", "place", "right", "p.*").where("beside <> ''")
+    forms = known_tokens.select("token", clean(F.col("token")).alias("right")).join(broadcast_if(cut(asked.select("right").distinct())), "right")
+    near = token_neighbours(blocks).join(broadcast_if(cut(forms)), "token").select("right", clean(F.coalesce("before", F.lit(""))).alias("before"), clean(F.coalesce("after", F.lit(""))).alias("after"))
+    counts = near.select("right", sides).select("right", "p.*").where("beside <> ''").groupBy("right", "side", "beside").agg(F.count("*").alias("n"))
+    support = ask.join(counts, ["right", "side", "beside"]).groupBy("block_uid", "line_no", "place", "right").agg(F.sum("n").alias("support"))
     scored = m.join(support, ["block_uid", "line_no", "place", "right"], "left")
     return scored.groupBy("block_uid", "line_no", "place", "token", "wrong").agg(F.min_by("right", F.struct(-F.coalesce("support", F.lit(0)), -F.col("n_right"), F.col("right"))).alias("right"))
 
 
 def _as_written(form: Column, like: Column) -> Column:
     """``form`` in the case of ``like``."""
-    return F.when((F.length(like) > 1) & (like == F.upper(like)) & like.rlike(r"\p{Lu}.*\p{Lu}"), F.upper(form)).when(like.rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(form, 1, 1)), F.substring(form, 2, 100))).otherwise(form)
+    return F.when((F.length(like) > 1) & (like == F.upper(like)) & like.rlike(r"\p{Lu}.*\p{Lu}"), F.upper(form)).when(like.rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(form, 1, 1)), F.substr(form, F.lit(2)))).otherwise(form)
 
 
 def repair(document_blocks: DataFrame, settings: Settings = Settings(), corpus: DataFrame | None = None, markdown: bool = False) -> DataFrame:
@@ -341,42 +369,49 @@ def repair(document_blocks: DataFrame, settings: Settings = Settings(), corpus:
     """
     found_ = stages(document_blocks, settings, corpus)
     blocks = _source(document_blocks)
-    fixes = best_readings(found_.misread, blocks if corpus is None else _source(corpus))
+    fixes = best_readings(cut(found_.misread), blocks if corpus is None else _source(corpus), found_.tokens)
     core = F.regexp_extract("token", PLAIN, 1)
     part = F.get(F.filter(F.split(core, "-"), lambda p: F.lower(p) == F.col("wrong")), F.lit(0))
     fixes = fixes.select("block_uid", "line_no", "place", F.replace("token", part, _as_written(F.col("right"), part)).alias("new"))
-    edits = fixes.groupBy("block_uid", "line_no", "place").agg(F.min("new").alias("new")).groupBy("block_uid", "line_no").agg(F.map_from_entries(F.collect_list(F.struct("place", "new"))).alias("edits"))
-    lines = blocks.dropDuplicates(["block_uid"]).select("block_uid", "block_type", F.posexplode_outer(F.split("raw_content", "\n")).alias("i", "line")).withColumn("line_no", F.coalesce("i", F.lit(0)) + 1).drop("i")
-    gone = found_.lines.select("block_uid", "line_no", F.lit(True).alias("gone"))
     pairs = found_.hyphens.unionByName(found_.compounds)
-    halves = pairs.select("block_uid", "line_no", "right_whole", "word", F.col("next_uid").alias("to_uid"), F.col("next_line").alias("to_line"))
-    opened = pairs.select(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no")).distinct()
-    moved = lines.join(opened, ["block_uid", "line_no"]).select(F.col("block_uid").alias("to_uid"), F.col("line_no").alias("to_line"), F.regexp_extract("line", r"^\s*(\S+)", 1).alias("moved"))
-    tails = halves.join(moved, ["to_uid", "to_line"]).select("block_uid", "line_no", "right_whole", "word", "moved")
-    work = lines.join(gone, ["block_uid", "line_no"], "left").join(edits, ["block_uid", "line_no"], "left").join(tails, ["block_uid", "line_no"], "left").join(opened.withColumn("opened", F.lit(True)), ["block_uid", "line_no"], "left")
+    is_text = F.col("block_type").isin(*TEXT_TYPES)
+    # lines and what is to be done with them, in one shuffle by block; line 0 stands for the block
+    lines = blocks.select("block_uid", F.when(~is_text, F.col("raw_content")).alias("own"), F.when(is_text & F.col("raw_content").isNotNull(), F.concat(F.array(F.lit(None).cast("string")), F.split("raw_content", "\n"))).alias("lines"), (is_text & F.col("raw_content").isNotNull()).alias("has"))
+    lines = lines.select("block_uid", "has", "own", F.posexplode_outer("lines").alias("line_no", "line")).select("block_uid", F.coalesce("line_no", F.lit(0)).alias("line_no"), "line", F.when(F.coalesce("line_no", F.lit(0)) == 0, F.struct("has", "own")).alias("block"))
+    halves = pairs.select("block_uid", "line_no", F.struct("moved", "word", "right_whole").alias("half"))
+    parts = [
+        lines, fixes.select("block_uid", "line_no", F.struct("place", "new").alias("edit")), found_.lines.select("block_uid", "line_no", F.lit(True).alias("gone")),
+        halves, pairs.select(F.col("next_uid").alias("block_uid"), F.col("next_line").alias("line_no"), F.lit(True).alias("opened")),
+    ]
+    rows = parts[0]
+    for other in parts[1:]:
+        rows = rows.unionByName(other, allowMissingColumns=True)
+    # one edit of a place: words with several wrong parts take the first
+    work = rows.repartition("block_uid").groupBy("block_uid", "line_no").agg(F.max("line").alias("line"), F.max("block").alias("block"), F.collect_set("edit").alias("edits"), F.bool_or("gone").alias("gone"), F.max("half").alias("half"), F.bool_or("opened").alias("opened"))
     toks = F.filter(F.split(F.translate("line", "\t\r", "  "), " "), lambda x: x != "")
-    toks = F.transform(toks, lambda x, i: F.coalesce(F.try_element_at("edits", i), x))
+    edits = F.when(F.size("edits") > 0, F.array_sort("edits"))
+    toks = F.when(edits.isNull(), toks).otherwise(F.transform(toks, lambda x, i: F.coalesce(F.get(F.filter(edits, lambda e: e["place"] == i), F.lit(0))["new"], x)))
     toks = F.when(F.col("opened"), F.slice(toks, F.lit(2), F.greatest(F.size(toks), F.lit(1)))).otherwise(toks)
-    left = F.when(F.col("word"), F.regexp_replace(F.element_at(toks, -1), rf"[{HYPHENS}]$", "")).otherwise(F.element_at(toks, -1))
+    left = F.when(F.col("half.word"), F.regexp_replace(F.element_at(toks, -1), rf"[{HYPHENS}]$", "")).otherwise(F.element_at(toks, -1))
     stem = F.regexp_extract(left, r"^(.*?)[\p{L}\p{N}]+$", 1)
-    end = F.regexp_extract("moved", r"([^\p{L}\p{N}]*)$", 1)
+    end = F.regexp_extract("half.moved", r"([^\p{L}\p{N}]*)$", 1)
     last = F.regexp_extract(left, r"([\p{L}\p{N}]+)$", 1)
-    whole = F.when(F.col("right_whole").isNotNull(), F.concat(stem, _as_written(F.col("right_whole"), last), end)).otherwise(F.concat(left, "moved"))
-    toks = F.when(F.col("moved").isNotNull() & (F.size(toks) > 0), F.concat(F.slice(toks, 1, F.size(toks) - 1), F.array(whole))).otherwise(toks)
-    shaped = work.where(F.col("gone").isNull() & F.col("block_type").isin(*TEXT_TYPES)).select("block_uid", "line_no", F.col("line").isNull().alias("none"), F.array_join(toks, " ").alias("line"))
+    whole = F.when(F.col("half.right_whole").isNotNull(), F.concat(stem, _as_written(F.col("half.right_whole"), last), end)).otherwise(F.concat(left, "half.moved"))
+    joined = F.when(F.col("half").isNotNull() & (F.size(toks) > 0), F.concat(F.slice(toks, 1, F.size(toks) - 1), F.array(whole))).otherwise(toks)
+    shaped = work.where(F.col("gone").isNull()).select("block_uid", "line_no", "block", F.when(F.col("line").isNotNull(), F.array_join(joined, " ")).alias("line"))
     by = Window.partitionBy("block_uid")
     order = by.orderBy("line_no")
-    before = F.lag("line").over(order)
+    before = F.lag("line").over(order)  # null before the first line
     ends = before.rlike(r"[.!?…:][\"')\]]*$") & (F.length(before) < 0.75 * F.max(F.length("line")).over(by))
     breaks = before.isNull() | (F.col("line") == "") | (before == "") | ends | F.col("line").rlike(r"^(?:[•◦▪*+–-]|\(?(?:\d{1,3}|[A-Za-z])[.)])\s")
     if markdown:
         breaks = breaks | F.col("line").rlike(r"^(?:\||#{1,6} )") | before.rlike(r"^(?:\||#{1,6} )")
-    numbered = shaped.withColumn("b", breaks).withColumn("paragraph", F.sum(F.col("b").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    joined = numbered.groupBy("block_uid", "paragraph").agg(F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), lambda t: t != ""), " ").alias("text"), F.bool_and("none").alias("none"))
-    texts = joined.groupBy("block_uid").agg(F.array_join(F.filter(F.transform(F.array_sort(F.collect_list(F.struct("paragraph", "text"))), lambda x: x["text"]), lambda t: t != ""), "\n\n").alias("text"), F.bool_and("none").alias("none"))
-    base = blocks.select("block_uid", "block_type", F.when(F.col("block_type").isin(*TEXT_TYPES), F.when(F.col("raw_content").isNotNull(), "")).otherwise(F.col("raw_content")).alias("own")).dropDuplicates(["block_uid"])
+    numbered = shaped.withColumn("b", F.coalesce(breaks, F.lit(True))).withColumn("paragraph", F.sum(F.col("b").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    in_order = lambda *c: F.transform(F.array_sort(F.collect_list(F.when(F.length(c[1]) > 0, F.struct(*c)))), lambda x: x[c[1]])
+    paragraphs = numbered.groupBy("block_uid", "paragraph").agg(F.array_join(in_order("line_no", "line"), " ").alias("text"), F.max("block").alias("block"))
+    texts = paragraphs.groupBy("block_uid").agg(F.array_join(in_order("paragraph", "text"), "\n\n").alias("text"), F.max("block").alias("block"))
     text = F.regexp_replace("text", r"(?<=\|)\n\n(?=\|)", "\n") if markdown else F.col("text")
-    return base.join(texts.where("NOT none").drop("none"), "block_uid", "left").select("block_uid", F.coalesce(text, "own").alias("text"))
+    return texts.select("block_uid", F.when(F.col("block.has"), text).otherwise(F.col("block.own")).alias("text"))
 
 
 def repair_both(document_blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -86,3 +86,50 @@ def test_skeletons(spark):
 
 def test_empty(spark):
     assert scan.found(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_heads_of_chapters_addresses_and_long_lines(spark):
+    long = "A very long head that names the whole series, its editors and their institute " * 4 + "and the year"
+    rows, uid = [], 0
+    for p in range(1, 61):
+        lines = [f"Line {chr(96 + i)} of page {'x' * p} stays" for i in range(1, 5)]
+        if 20 <= p < 32:
+            lines = [f"{p} The Middle Chapter", *lines]
+        if p % 2:
+            lines = [*lines, "https://example.org/series"]
+        else:
+            lines = [long, *lines]
+        uid += 1
+        rows.append(("d", p, 0, uid, "text", None, "\n".join(lines), "x"))
+    # twice in a document of three pages: a sentence that goes on in a small letter is no head
+    rows += [("e", p, 0, 100 + p, "text", None, f"Opening {'y' * p}\nThis {'z' * p} says that\nit goes on and on again here" if p < 3 else "Other", "x") for p in (1, 2, 3)]
+    got = {(r["block_uid"], r["line_no"]) for r in scan.heads_and_numbers(spark.createDataFrame(rows, SCHEMA)).where("kind = 'running_head'").collect()}
+    wanted = {(p, 1) for p in range(2, 61, 2)} | {(p, 1 + (p % 2 == 0)) for p in range(20, 32)} | {(p, 5 + (20 <= p < 32)) for p in range(1, 61, 2)}
+    assert got == wanted
+
+
+def test_support_over_line_ends_and_forms_of_any_length(spark):
+    form = "interdependence" * 4
+    rows = [("f", i, 0, i, "text", None, f"the {form} opens near the window and the temperature", "x") for i in range(20)]
+    rows += [("d", 1, 0, 50, "text", None, "it opens near the\nwind0w.", "x"), ("d", 2, 0, 51, "text", None, "wind0w", "x"), ("d", 3, 0, 52, "text", None, f"the {form[:-1]}0 x{'y' * 200} opens", "x"), ("d", 4, 0, 53, "text", None, f"the {form[:5]}0{form[6:]} opens", "x")]
+    rows[-2] = ("d", 3, 0, 52, "text", None, f"the {form.replace('c', 'e', 1)} opens", "x")
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r["block_uid"], r["line_no"]) for r in scan.found(df).collect() if r["kind"] == "misread"}
+    assert got >= {(50, 2), (52, 1)} and (51, 1) not in got
+
+
+def test_second_half_after_all_noise_lines(spark):
+    fill = [("f", i, 0, i, "text", None, "the temperature near the road", "x") for i in range(8)]
+    page = lambda p, lines: ("d", p, 0, 20 + p, "text", None, "\n".join(lines), "x")
+    rows = [page(p, ["Head One Line", "Head Two Line", f"body {'z' * p} near the {'tempera-' if p == 2 else 'road.'}", "Foot One Line", "Foot Two Line"]) for p in (1, 2)]
+    rows += [page(3, ["Head One Line", "Head Two Line", "ture near the road", "Foot One Line", "Foot Two Line"])]
+    got = {(r["block_uid"], r["line_no"], r["kind"]) for r in scan.found(spark.createDataFrame(fill + rows, SCHEMA), scan.Settings(frequent_least=3)).collect()}
+    assert {(22, 3, "hyphen")} == {x for x in got if x[2] == "hyphen"} and len([x for x in got if x[2] == "running_head"]) == 12
+
+
+def test_repair_chooses_by_neighbours_counted_once_per_block(spark):
+    # a look-alike that two frequent words explain takes the one that stands beside the same neighbours
+    rows = [("f", i, 0, i, "text", None, "they draw near the clay pot" if i % 2 else "they count every single day again", "x") for i in range(40)]
+    rows += [("d", 1, 0, 100, "text", None, "they count every single c1ay again", "x"), ("d", 1, 1, 101, "text", None, "they draw near the c1ay pot", "x")]
+    got = {r["block_uid"]: r["text"] for r in scan.repair(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[100] == "they count every single day again" and got[101] == "they draw near the clay pot"
