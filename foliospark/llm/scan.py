@@ -99,15 +99,13 @@ def edge_lines(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
     k = settings.edge_lines
     numbered = F.filter(F.transform(F.split("raw_content", "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), F.trim(x).alias("line"))), lambda x: x["line"] != "")
     own = blocks.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", numbered.alias("lines"))
-    by, out = Window.partitionBy("doc", "page"), None
-    for zone, part, order in (("T", F.slice("lines", 1, k), ("block_id", "line_no")), ("B", F.slice("lines", F.greatest(F.size("lines") - k + 1, F.lit(1)), k), (F.desc("block_id"), F.desc("line_no")))):
-        lines = own.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", F.explode(F.when(F.size("lines") > 0, part)).alias("e"))
-        long = F.length("e.line") > LONG_LINE
-        lines = lines.select("doc", "page", "block_id", "block_uid", "block_type", "heading_level", "e.line_no", F.when(~long, F.col("e.line")).alias("line"), F.when(long, _features(F.col("e.line"))).alias("long"))
-        ranked = lines.withColumn("place", F.dense_rank().over(by.orderBy(*order))).where(F.col("place") <= k)
-        ranked = ranked.select("doc", "page", "block_uid", "block_type", "heading_level", "line_no", F.lit(zone).alias("zone"), "place", F.coalesce("long", _features(F.col("line"))).alias("f"))
-        out = ranked if out is None else out.unionByName(ranked)
-    return out.select("doc", "page", "block_uid", "block_type", "heading_level", "line_no", "zone", "place", "f.*")
+    part = lambda zone, sign, lines: F.transform(lines, lambda x: F.struct(F.lit(zone).alias("zone"), (F.col("block_id") * sign).alias("b"), (x["line_no"] * sign).alias("l"), x["line_no"].alias("line_no"), x["line"].alias("line")))
+    ends = F.concat(part("T", 1, F.slice("lines", 1, k)), part("B", -1, F.slice("lines", F.greatest(F.size("lines") - k + 1, F.lit(1)), k)))
+    lines = own.select("doc", "page", "block_uid", "block_type", "heading_level", F.explode(F.when(F.size("lines") > 0, ends)).alias("e"))
+    long = F.length("e.line") > LONG_LINE
+    lines = lines.select("doc", "page", "e.zone", "e.b", "e.l", "block_uid", "block_type", "heading_level", "e.line_no", F.when(~long, F.col("e.line")).alias("line"), F.when(long, _features(F.col("e.line"))).alias("long"))
+    ranked = lines.withColumn("place", F.dense_rank().over(Window.partitionBy("doc", "page", "zone").orderBy("b", "l"))).where(F.col("place") <= k)
+    return ranked.select("doc", "page", "block_uid", "block_type", "heading_level", "line_no", "zone", "place", F.coalesce("long", _features(F.col("line"))).alias("f")).select("doc", "page", "block_uid", "block_type", "heading_level", "line_no", "zone", "place", "f.*")
 
 
 def _number(line: Column) -> tuple[Column, Column, Column]:
