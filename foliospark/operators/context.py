@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
+from foliospark.functions.scale import cut
 
-#: Instructions hidden in retrieved text.
+#: Instructions hidden in retrieved text, by kind, in English and Vietnamese.
 INJECTION = {
-    "override": r"(?i)\b(ignore|disregard|forget)\b.{0,30}\b(previous|prior|above|all|earlier)\b.{0,30}\b(instruction|prompt|rule|direction)s?\b|bỏ qua.{0,30}(hướng dẫn|chỉ dẫn|yêu cầu)",
-    "role": r"(?i)\b(you are now|act as|pretend to be|from now on you)\b",
-    "prompt_leak": r"(?i)\b(reveal|print|show|repeat)\b.{0,30}\b(system prompt|hidden instructions|initial instructions)\b",
-    "markup": r"(?i)<\s*/?\s*(system|assistant|instructions?)\s*>|\[\s*(INST|SYSTEM)\s*\]",
-    "tool": r"(?i)\b(call|execute|run|invoke)\b.{0,20}\b(the )?(tool|function|command|shell)\b",
+    "override": r"(?i)\b(ignore|disregard|forget|override|bypass|do not follow)\b.{0,40}\b(previous|prior|above|all|earlier|your|preceding)\b.{0,40}\b(instruction|prompt|rule|direction|guideline|context)s?\b|(bỏ qua|phớt lờ|quên|không tuân theo).{0,40}(hướng dẫn|chỉ dẫn|yêu cầu|quy tắc|chỉ thị)",
+    "role": r"(?i)\b(you are now|act as|pretend to be|from now on,? you|behave like|roleplay as|new persona)\b|(bây giờ bạn là|hãy đóng vai|từ giờ bạn)",
+    "prompt_leak": r"(?i)\b(reveal|print|show|repeat|output|leak|tell me)\b.{0,40}\b(system prompt|hidden instructions|initial instructions|your instructions|developer message)\b|(tiết lộ|in ra|hiển thị).{0,30}(prompt hệ thống|chỉ dẫn ẩn|lời nhắc hệ thống)",
+    "markup": r"(?i)<\s*/?\s*(system|assistant|instructions?|prompt|user)\s*>|\[\s*/?\s*(INST|SYSTEM|SYS)\s*\]|<\|[a-z_]{2,20}\|>|^\s*#{2,}\s*(system|instruction)s?\s*:",
+    "tool": r"(?i)\b(call|execute|run|invoke|trigger)\b.{0,20}\b(the )?(tool|function|command|shell|api|script)\b|(gọi|chạy|thực thi).{0,15}(công cụ|hàm|lệnh)",
+    "exfiltration": r"(?i)\b(send|post|upload|forward|email|transmit)\b.{0,40}\b(conversation|password|credential|secret|token|api key|history|personal data)s?\b.{0,40}\b(to|at)\b|!\[[^\]]{0,80}\]\(https?://[^)\s]{1,200}[?&][^)\s]{0,40}=",
+    "secrecy": r"(?i)\b(do not|don't|never) (tell|inform|mention|reveal).{0,30}\b(user|anyone|human)s?\b|(không|đừng) (nói|báo|tiết lộ).{0,20}(người dùng|ai biết)",
+    "concealment": r"[\x{200b}\x{200c}\x{2060}\x{feff}]{3,}|[\x{e0020}-\x{e007f}]{3,}|[\x{202a}-\x{202e}]",
+    "encoded": r"(?i)\b(decode|base64|rot13|hex)\b.{0,40}\b(and|then)\b.{0,20}\b(follow|execute|run|obey)\b",
 }
 #: Personal data and its replacements, in this order.
 PERSONAL = (
@@ -31,7 +38,7 @@ PROMPT_ORDER = ("system", "tool", "knowledge", "memory", "history", "query")
 
 def injection_flags(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Rows with ``flags``: the names of the patterns that the text has (empty for null)."""
-    found = F.filter(F.array(*[F.when(F.col(text_col).rlike(p), name) for name, p in INJECTION.items()]), lambda x: x.isNotNull())
+    found = F.filter(F.array(*[F.when(F.col(text_col).rlike(p.replace("(?i)", "(?iu)")), name) for name, p in INJECTION.items()]), lambda x: x.isNotNull())
     return df.withColumn("flags", found)
 
 
@@ -126,10 +133,25 @@ def session_window(turns: DataFrame, tokens_budget: int | None = None, most_turn
     return turns.withColumn("kept", ok)
 
 
-def rolling_summary(windowed: DataFrame, chars: int = 80) -> DataFrame:
-    """conv_id, summary: openings of the turns that fell out of the session, in order."""
-    items = F.array_sort(F.collect_list(F.struct("turn", F.substring(F.coalesce("text", F.lit("")), 1, chars).alias("t"))))
-    return windowed.where(~F.col("kept")).groupBy("conv_id").agg(F.array_join(F.transform(items, lambda x: x["t"]), " ").alias("summary"))
+def rolling_summary(windowed: DataFrame, sentences: int = 3) -> DataFrame:
+    """conv_id, summary of the turns that fell out of the session: their ``sentences`` that say most about them, in order.
+
+    A sentence counts by its terms: the sum, over its different terms, of the
+    number of fallen turns that have it, over the root of its number of terms, so
+    neither long nor odd sentences win; equal ones go to the earlier.  A text
+    without terms has no sentence.  Frequencies are counted by conversation and
+    term with map-side combine, and a conversation keeps only its best sentences,
+    however long it is.
+    """
+    old = windowed.where(~F.col("kept")).select("conv_id", "turn", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"(?<=[.!?…])\s+")).alias("i", "s"))
+    told = old.select("conv_id", "turn", "i", "s", F.array_distinct(T.terms(F.col("s"))).alias("t")).where(F.size("t") > 0)
+    each = told.select("conv_id", "turn", "i", F.size("t").alias("n"), F.explode("t").alias("term"))
+    weight = each.select("conv_id", "turn", "term").distinct().groupBy("conv_id", "term").agg(F.count("*").alias("w"))
+    score = each.join(weight, ["conv_id", "term"]).groupBy("conv_id", "turn", "i").agg(F.round(F.sum("w") / F.sqrt(F.max("n")), 9).alias("score"))
+    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("score"), "turn", "i"))
+    best = score.withColumn("r", rank).where(F.col("r") <= sentences).join(told.select("conv_id", "turn", "i", "s"), ["conv_id", "turn", "i"])
+    items = F.array_sort(F.collect_list(F.struct("turn", "i", "s")))
+    return best.groupBy("conv_id").agg(F.array_join(F.transform(items, lambda x: x["s"]), " ").alias("summary"))
 
 
 def latest_facts(facts: DataFrame) -> DataFrame:
@@ -142,23 +164,51 @@ def write_memory(stored: DataFrame, new: DataFrame) -> DataFrame:
     return latest_facts(stored.select("user_id", "key", "value", "ts").unionByName(new.select("user_id", "key", "value", "ts")))
 
 
-def retrieve(sources: dict[str, Callable[[], DataFrame]], on_error: Callable[[str, Exception], None] | None = None) -> DataFrame:
-    """Candidates of all sources; one that fails is left out and reported."""
+def retrieve(sources: dict[str, Callable[[], DataFrame]], on_error: Callable[[str, Exception], None] | None = None, timeout: float | None = None) -> DataFrame:
+    """Candidates of all sources, asked side by side; one that fails, or takes longer than ``timeout`` seconds, is left out and reported.
+
+    A source's rows are computed here and written to the checkpoint folder, so a
+    fault that only shows when they are read is met here too.  A source that is
+    late has its jobs cancelled by their tag.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     answers: dict[str, DataFrame | None] = {}
-    for kind, ask in sources.items():
+    spark = SparkSession.getActiveSession()
+
+    def work(kind: str, ask: Callable[[], DataFrame], tag: str) -> DataFrame:
+        if spark is not None:
+            spark.addTag(tag)
+        return cut(ask())
+
+    pool = ThreadPoolExecutor(max(1, len(sources)))
+    tags = {kind: f"source-{uuid.uuid4().hex}" for kind in sources}
+    running = {kind: pool.submit(work, kind, ask, tags[kind]) for kind, ask in sources.items()}
+    began = time.monotonic()
+    for kind, future in running.items():
         try:
-            answers[kind] = ask()
+            answers[kind] = future.result(None if timeout is None else max(0.0, began + timeout - time.monotonic()))
         except Exception as error:  # a source that fails must not stop the others
             answers[kind] = None
+            if spark is not None:
+                spark.interruptTag(tags[kind])
             if on_error:
                 on_error(kind, error)
+    pool.shutdown(wait=False, cancel_futures=True)
     return union_sources(answers)
 
 
+def run_steps(step: Callable[[int, object], tuple[object, bool]], state: object = None, most: int = 8) -> tuple[object, int, bool]:
+    """A loop of tool steps with a cap: ``step(number, state)`` gives the new state and whether it is done; returns state, steps taken, and whether it was done before the cap."""
+    for number in range(1, most + 1):
+        state, done = step(number, state)
+        if done:
+            return state, number, True
+    return state, most, False
+
+
 def with_retries(call: Callable[[], object], attempts: int = 3, sleep: Callable[[float], None] | None = None):
     """Result of ``call``, tried again after 2, 4, ... seconds; the last error is raised."""
-    import time
-
     for attempt in range(1, attempts + 1):
         try:
             return call()

@@ -6,10 +6,11 @@ only short lines and headings are shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
+from foliospark.functions.scale import carry
 from foliospark.operators import layout
 
 #: Headings of the list of references.
@@ -63,19 +64,17 @@ def references_pages(pages: DataFrame) -> DataFrame:
     return pages.groupBy("doc").agg(F.max(F.when(is_references(F.col("markdown")), F.col("page"))).alias("references_page"))
 
 
-def section_paths(headings: DataFrame, levels: int = 10) -> DataFrame:
+def section_paths(headings: DataFrame, levels: int = 10, width: int = 1 << 24) -> DataFrame:
     """Headings (doc, ord, level, title, page) with ``path``: the titles of the open headings, outermost first.
 
     A heading closes all of its own and deeper levels.  A level is open where its
     last heading came after the last heading of every outer level, so the path
-    needs one running maximum per level, and no stack.  Levels beyond ``levels``
-    count as the deepest.
+    needs the last heading of each level up to the row, and no stack; these are
+    carried over ranges of ``ord`` of the given ``width``, so a very long document
+    is many tasks.  Levels beyond ``levels`` count as the deepest.
     """
-    order = Window.partitionBy("doc").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a narrow row per heading
-    level = F.least(F.greatest(F.col("level"), F.lit(1)), F.lit(levels))
-    h = headings.withColumn("_l", level)
-    for k in range(1, levels + 1):
-        h = h.withColumn(f"_o{k}", F.last(F.when(F.col("_l") == k, F.struct("ord", "title")), ignorenulls=True).over(order))
+    h = headings.withColumn("_l", F.least(F.greatest(F.col("level"), F.lit(1)), F.lit(levels)))
+    h = carry(h, {f"_o{k}": F.when(F.col("_l") == k, F.struct("ord", "title")) for k in range(1, levels + 1)}, ("doc",), "ord", width)
     parts = []
     for k in range(1, levels + 1):
         outer = F.greatest(*[F.coalesce(F.col(f"_o{j}.ord"), F.lit(-1)) for j in range(1, k)], F.lit(-1), F.lit(-1)) if k > 1 else F.lit(-1)
@@ -105,17 +104,17 @@ def font_headings(spans: DataFrame, page_limit: int = 10) -> DataFrame:
     return b.select("doc", ord_.alias("ord"), level.alias("level"), "title", "page").where(F.col("level").isNotNull())
 
 
-def section_map(pages: DataFrame, headings: DataFrame) -> DataFrame:
-    """doc, page, section: path of the last heading on the page, else that of the pages before, else empty."""
+def section_map(pages: DataFrame, headings: DataFrame, width: int = 1024) -> DataFrame:
+    """doc, page, section: path of the last heading on the page, else that of the pages before, else empty; carried over ranges of ``width`` pages."""
     last = section_paths(headings).groupBy("doc", "page").agg(F.max_by("path", "ord").alias("path"))
-    filled = F.last("path", ignorenulls=True).over(Window.partitionBy("doc").orderBy("page").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return pages.select("doc", "page").join(last, ["doc", "page"], "left").select("doc", "page", F.coalesce(filled, F.lit("")).alias("section"))
+    filled = carry(pages.select("doc", "page").join(last, ["doc", "page"], "left"), {"section": F.col("path")}, ("doc",), "page", width)
+    return filled.select("doc", "page", F.coalesce("section", F.lit("")).alias("section"))
 
 
-def mark_sections(pages: DataFrame, sections: DataFrame, references: DataFrame) -> DataFrame:
+def mark_sections(pages: DataFrame, sections: DataFrame, references: DataFrame, width: int = 1024) -> DataFrame:
     """Pages with comments on top: the section where it changes (a first page's if it has one), then the references from their page on."""
-    before = F.lag("section").over(Window.partitionBy("doc").orderBy("page"))
-    changed = sections.withColumn("_new", (F.col("section") != "") & ~F.col("section").eqNullSafe(before))
+    changed = carry(sections, {"_before": F.col("section")}, ("doc",), "page", width, current=False)
+    changed = changed.withColumn("_new", (F.col("section") != "") & ~F.col("section").eqNullSafe(F.col("_before"))).drop("_before")
     out = pages.join(changed, ["doc", "page"], "left").join(references, "doc", "left")
     marked = F.when(F.col("page") >= F.col("references_page"), F.concat(F.lit(REFERENCES_MARK + "\n\n"), F.col("markdown"))).otherwise(F.col("markdown"))
     marked = F.when(F.col("_new"), F.concat(F.lit("<!-- section: "), F.col("section"), F.lit(" -->\n\n"), marked)).otherwise(marked)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foliospark.operators import units, weather
+from foliospark.operators import layout, units, weather
 from foliospark.operators.context import BUDGET_SHARES, INJECTION, PERSONAL
 
 ORACLE: dict[str, str] = {}
@@ -181,7 +181,7 @@ _TOK = f"list_filter(regexp_split_to_array(coalesce(text, ''), {_WHITE}), lambda
 ORACLE["token_chunks"] = f"WITH d AS (SELECT doc_id, {_TOK} AS w FROM documents), k AS (SELECT doc_id, w, i FROM d, generate_series(0, 100000) AS t(i) WHERE len(w) > 0 AND i < greatest(ceil((len(w) - 50) / 350.0), 1)) SELECT doc_id, (i + 1)::INT AS chunk_no, doc_id || '_chunk_' || (i + 1) AS chunk_id, len(w[i * 350 + 1 : i * 350 + 400])::INT AS n_tokens, md5(array_to_string(w[i * 350 + 1 : i * 350 + 400], ' ')) AS digest FROM k"
 ORACLE["metadata_filter"] = "SELECT doc_id FROM documents WHERE source IN ('handbook', 'lecture_notes') AND updated_at >= TIMESTAMP '2015-01-01' AND trust >= 0.5"
 _BM = """t AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{M}\\p{N}]+')) AS term FROM documents), l AS (SELECT doc_id, count(*) AS length FROM t GROUP BY ALL), ix AS (SELECT doc_id, term, count(*) AS tf, any_value(length) AS length FROM t JOIN l USING (doc_id) GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM ix GROUP BY ALL),
-st AS (SELECT count(*) AS n, avg(coalesce(length, 0)) AS avgdl FROM documents LEFT JOIN l USING (doc_id)), q AS (SELECT doc_id AS query_id, term, df FROM ix JOIN df USING (term) WHERE doc_id % 100 = 0 AND df > 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY df, term) <= 8),
+st AS (SELECT count(*) AS n, avg(coalesce(length, 0)) AS avgdl FROM documents LEFT JOIN l USING (doc_id)), q AS (SELECT doc_id AS query_id, term, df FROM ix JOIN df USING (term) WHERE doc_id % 100 = 0 AND df > 1),
 sc AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / avgdl))), 6) AS score FROM q JOIN ix USING (term), st GROUP BY ALL)"""
 _VEC = "e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), vs AS (SELECT a.vec_id AS query_id, b.vec_id AS doc_id, round(list_cosine_similarity(a.v, b.v), 6) + 0.0 AS score FROM e a, e b WHERE a.vec_id % 100 = 0)"
 
@@ -201,17 +201,23 @@ _RED = "text"
 for _name, _pattern in PERSONAL:
     _RED = f"regexp_replace({_RED}, {_q(_pattern)}, '[{_name}]', 'g')"
 ORACLE["pii_redact"] = f"SELECT doc_id, md5({_RED}) AS digest FROM documents"
-ORACLE["injection_flags"] = "SELECT doc_id, (" + " + ".join(f"coalesce(regexp_matches(text, {_q(p)})::INT, 0)" for p in INJECTION.values()) + ")::INT AS n FROM documents"
+ORACLE["injection_flags"] = "SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(text, {_q(p)}) THEN '{name}' END" for name, p in INJECTION.items()) + ") AS flags FROM documents"
 _CAND = f"""{_BM}, {_VEC}, a AS ({_top('sc', 20)}), z AS ({_top('vs', 20)}), u AS (SELECT 'knowledge' AS source_kind, * FROM a UNION ALL SELECT 'memory', * FROM z),
 cd AS (SELECT u.*, doc_id::VARCHAR AS chunk_id, coalesce(text, '') AS content, doc_name, page_number, len({_TOK}) AS tokens FROM u JOIN documents USING (doc_id))"""
 ORACLE["over_fetch"] = f"WITH {_CAND} SELECT query_id, source_kind, chunk_id FROM cd QUALIFY row_number() OVER (PARTITION BY query_id, source_kind ORDER BY score DESC, chunk_id) <= 5"
 _SHARE = "CASE source_kind " + " ".join(f"WHEN '{k}' THEN {int(4000 * v)}" for k, v in BUDGET_SHARES.items()) + " END"
 _FIT = f"fit AS (SELECT *, sum(tokens) OVER (PARTITION BY query_id, source_kind ORDER BY score DESC, chunk_id ROWS UNBOUNDED PRECEDING)::BIGINT AS used FROM cd QUALIFY used <= {_SHARE})"
 ORACLE["token_budget"] = f"WITH {_CAND}, {_FIT} SELECT query_id, source_kind, chunk_id, tokens::INT AS tokens, used FROM fit"
-ORACLE["prompt_build"] = f"WITH {_CAND}, {_FIT}, b AS (SELECT query_id, string_agg(CASE WHEN source_kind = 'knowledge' AND doc_name IS NOT NULL THEN '[' || doc_name || ', p. ' || coalesce(page_number::VARCHAR, '?') || '] ' ELSE '' END || content, E'\\n\\n' ORDER BY source_kind, score DESC, chunk_id) AS t FROM fit GROUP BY query_id) SELECT d.doc_id AS query_id, md5(coalesce(t || E'\\n\\n', '') || substr(coalesce(text, ''), 1, 100)) AS digest FROM documents d LEFT JOIN b ON b.query_id = d.doc_id WHERE d.doc_id % 100 = 0"
-_SESSION = "s AS (SELECT user_id AS conv_id, event_id AS turn, event_type AS text, sum(length(props)) OVER w <= 200 AND row_number() OVER w <= 15 AS kept FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id DESC ROWS UNBOUNDED PRECEDING))"
+ORACLE["prompt_build"] = f"WITH {_CAND}, {_FIT}, b AS (SELECT query_id, string_agg(CASE WHEN source_kind = 'knowledge' AND doc_name IS NOT NULL THEN '[' || doc_name || ', p. ' || coalesce(page_number::VARCHAR, '?') || '] ' ELSE '' END || content, E'\\n\\n' ORDER BY source_kind, score DESC, chunk_id) AS t FROM fit GROUP BY query_id) SELECT d.doc_id AS query_id, md5(coalesce(t || E'\\n\\n', '') || coalesce(text, '')) AS digest FROM documents d LEFT JOIN b ON b.query_id = d.doc_id WHERE d.doc_id % 100 = 0"
+_SESSION = "s AS (SELECT user_id AS conv_id, event_id AS turn, concat_ws(' ', 'The user made a ' || event_type || '.', 'It had ' || props || '!', 'Value ' || floor(value)::BIGINT || ' was noted.') AS text, sum(length(props)) OVER w <= 200 AND row_number() OVER w <= 15 AS kept FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id DESC ROWS UNBOUNDED PRECEDING))"
 ORACLE["session_window"] = f"WITH {_SESSION} SELECT conv_id, turn, kept FROM s"
-ORACLE["rolling_summary"] = f"WITH {_SESSION} SELECT conv_id, md5(string_agg(substr(text, 1, 4), ' ' ORDER BY turn)) AS digest FROM s WHERE NOT kept GROUP BY conv_id"
+_TERMS = lambda x: f"regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')"
+#: Sentences of ``x``: a mark that stands for a break is put after each end.
+_SENTENCES = lambda x: f"string_split(regexp_replace({x}, '([.!?…])[ \\t\\n\\x0b\\f\\r]+', '\\1' || chr(57344), 'g'), chr(57344))"
+ORACLE["rolling_summary"] = f"""WITH {_SESSION}, o AS (SELECT conv_id, turn, unnest({_SENTENCES('text')}) AS s, generate_subscripts({_SENTENCES('text')}, 1) AS i FROM s WHERE NOT kept),
+t AS (SELECT *, list_distinct({_TERMS('s')}) AS t FROM o), e AS (SELECT conv_id, turn, i, len(t) AS n, unnest(t) AS term FROM t), w AS (SELECT conv_id, term, count(DISTINCT turn) AS w FROM e GROUP BY ALL),
+sc AS (SELECT conv_id, turn, i, round(sum(w) / sqrt(any_value(n)), 9) AS score FROM e JOIN w USING (conv_id, term) GROUP BY ALL), b AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, turn, i) <= 3)
+SELECT conv_id, string_agg(s, ' ' ORDER BY turn, i) AS summary FROM b JOIN o USING (conv_id, turn, i) GROUP BY conv_id"""
 ORACLE["latest_facts"] = "SELECT user_id, event_type AS key, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, value DESC) = 1"
 ORACLE["forward_fill"] = "SELECT event_id, last_value(CASE WHEN event_id % 4 = 0 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS filled FROM events"
 ORACLE["event_sessions"] = "WITH l AS (SELECT *, coalesce(ts - lag(ts) OVER w >= INTERVAL 30 MINUTE, true) AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), g AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM l) SELECT user_id, min(ts) AS start, count(*) AS events, round(sum(value), 6) AS value FROM g GROUP BY user_id, s"
@@ -226,7 +232,101 @@ ORACLE["hyphen_repair"] = f"WITH {_BLOCKS} SELECT block_uid, md5(replace(replace
 _MAP = ORACLE["section_map"].partition("WITH RECURSIVE ")[2].rpartition(" SELECT doc, page, coalesce(last_value")
 _META = ("doc_name", "total_pages", "total_blocks", "text_blocks", "table_blocks", "image_blocks", "math_blocks", "ocr_failed", "layout", "references_page", "section_map")
 ORACLE["metadata_json"] = f"WITH RECURSIVE {_PR}, {_VOTE}, {_MAP[0]}, sec AS (SELECT doc, page, coalesce(last_value{_MAP[2]}), maps AS (SELECT doc, map(list(page::VARCHAR ORDER BY page), list(section ORDER BY page)) AS section_map FROM sec GROUP BY doc), {_PAGES}, k AS ({_COUNTS}), refs AS ({_REFS}) SELECT doc, to_json({{{', '.join(f"'{n}': {n}" for n in _META)}}})::VARCHAR AS metadata FROM (SELECT *, doc AS doc_name FROM k LEFT JOIN vote USING (doc) LEFT JOIN refs USING (doc) LEFT JOIN maps USING (doc))"
-_RANK = f"""{_CAND}, sf AS (SELECT cd.*, d.trust AS tr, {_RED.replace('(text,', '(cd.content,')} AS safe FROM cd JOIN documents d USING (doc_id) WHERE {' AND '.join(f'NOT regexp_matches(cd.content, {_q(p)})' for p in INJECTION.values())}),
-qs AS (SELECT doc_id AS query_id, list_distinct(regexp_extract_all(lower(substr(coalesce(text, ''), 1, 100)), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS qt FROM documents WHERE doc_id % 100 = 0),
-rk AS (SELECT query_id, source_kind, chunk_id, round(coalesce(len(list_intersect(qt, regexp_extract_all(lower(safe), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')))::DOUBLE / nullif(len(qt), 0), 0.0) + 0.1::DOUBLE * coalesce(tr, 0.0), 9) AS rerank_score FROM sf JOIN qs USING (query_id))"""
+_RANK = f"""{_CAND}, sf AS (SELECT cd.*, d.trust AS tr, d.updated_at AS up, {_RED.replace('(text,', '(cd.content,')} AS safe FROM cd JOIN documents d USING (doc_id) WHERE {' AND '.join(f'NOT regexp_matches(cd.content, {_q(p)})' for p in INJECTION.values())}),
+qs AS (SELECT doc_id AS query_id, list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS qt FROM documents WHERE doc_id % 100 = 0),
+rk AS (SELECT query_id, source_kind, chunk_id, round(coalesce(len(list_intersect(qt, regexp_extract_all(lower(safe), '[\\p{{L}}\\p{{M}}\\p{{N}}]+')))::DOUBLE / nullif(len(qt), 0), 0.0) + 0.1::DOUBLE * coalesce(tr, 0.0) + 0.2::DOUBLE * coalesce(pow(0.5::DOUBLE, date_diff('day', up::DATE, DATE '2026-01-01') / 30.0::DOUBLE), 0.0), 9) AS rerank_score FROM sf JOIN qs USING (query_id))"""
 ORACLE["rerank"] = f"WITH {_RANK} SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rerank_score DESC, chunk_id, source_kind)::INT AS rank FROM rk"
+ORACLE["cached"] = f"WITH k AS ({ORACLE['cache_keys']}), st AS (SELECT key, min(doc_id) AS result FROM k WHERE doc_id % 2 = 0 GROUP BY key) SELECT doc_id AS query_id, result FROM k LEFT JOIN st USING (key)"
+ORACLE["stage_latencies"] = "SELECT event_type AS stage, count(DISTINCT user_id) AS requests, round(avg(value), 6) AS mean_ms FROM events GROUP BY ALL"
+ORACLE["drop_similar"] = f"""WITH RECURSIVE {_VEC}, z AS ({_top('vs', 30)}), c AS (SELECT query_id, doc_id, rank, v FROM z JOIN e ON vec_id = doc_id),
+g AS (SELECT query_id, doc_id, rank, true AS kept, [v] AS vs FROM c WHERE rank = 1 UNION ALL SELECT query_id, doc_id, rank, kept, CASE WHEN kept THEN list_append(vs, v) ELSE vs END FROM (SELECT c.*, g.vs, len(list_filter(g.vs, lambda x: list_cosine_similarity(x, c.v) > 0.92)) = 0 AS kept FROM g JOIN c ON c.query_id = g.query_id AND c.rank = g.rank + 1))
+SELECT query_id, doc_id, rank FROM g WHERE kept"""
+_HALF = "list_transform(s, lambda x: len(list_intersect(x, t)) * 2 >= len(x))"
+ORACLE["context_usage"] = f"""WITH {_CAND}, {_FIT}, an AS (SELECT doc_id AS query_id, list_transform(list_filter({_SENTENCES("coalesce(text, '')")}, lambda x: len({_TERMS('x')}) > 0), lambda x: list_distinct({_TERMS('x')})) AS s FROM documents WHERE doc_id % 100 = 0),
+r AS (SELECT query_id, tokens, {_HALF} AS h FROM (SELECT query_id, tokens, list_distinct({_TERMS('content')}) AS t, s FROM fit JOIN an USING (query_id))), k AS (SELECT query_id, count(*) AS parts, sum(tokens)::BIGINT AS tokens, count(*) FILTER (len(list_filter(h, lambda x: x)) > 0) AS used FROM r GROUP BY ALL),
+un AS (SELECT query_id, avg(1 - x) AS unsupported FROM (SELECT query_id, i, max(x::INT) AS x FROM (SELECT query_id, unnest(h) AS x, generate_subscripts(h, 1) AS i FROM r) GROUP BY ALL) GROUP BY ALL)
+SELECT query_id, parts, tokens, used, round(used / parts, 9) AS utilisation, round(unsupported, 9) AS unsupported FROM k LEFT JOIN un USING (query_id)"""
+_SPLIT = _SENTENCES("content")
+ORACLE["compress"] = f"""WITH {_CAND}, qs AS (SELECT doc_id AS query_id, list_distinct({_TERMS("coalesce(text, '')")}) AS qt FROM documents WHERE doc_id % 100 = 0),
+r AS (SELECT query_id, source_kind, chunk_id, content, qt, round(coalesce(len(list_intersect(qt, {_TERMS('content')}))::DOUBLE / nullif(len(qt), 0), 0.0), 9) AS score FROM cd JOIN qs USING (query_id)),
+s AS (SELECT * EXCLUDE (content), unnest(list_filter({_SPLIT}, lambda x: x <> '')) AS s, generate_subscripts(list_filter({_SPLIT}, lambda x: x <> ''), 1) AS i FROM r WHERE score < 0.3),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, source_kind, chunk_id ORDER BY len(list_intersect(qt, {_TERMS('s')})) DESC, i) AS o FROM s) WHERE o <= 3), k AS (SELECT query_id, source_kind, chunk_id, string_agg(s, ' ' ORDER BY i) AS short FROM b GROUP BY ALL)
+SELECT query_id, source_kind, chunk_id, CASE WHEN score >= 0.3 THEN content ELSE coalesce(short, '') END AS content FROM r LEFT JOIN k USING (query_id, source_kind, chunk_id)"""
+
+# page texts and layout from their parts
+_SP = (
+    "sp AS (SELECT doc, page, block_id AS block, bbox.x0 AS x0, bbox.y0 AS y0, bbox.x1 AS x1, bbox.y1 AS y1, CASE WHEN block_type = 'math' THEN 'CMMI10' WHEN block_type = 'algorithm' THEN 'Courier' WHEN heading_level IS NOT NULL THEN 'Times-Bold' ELSE 'Times' END AS font, "
+    "coalesce(CASE WHEN isnan(font_size) THEN NULL ELSE font_size END, 10.0::DOUBLE) AS size, unnest(string_split(raw_content, chr(10))) AS text, generate_subscripts(string_split(raw_content, chr(10)), 1) - 1 AS line FROM b WHERE block_type IN ('text', 'unknown', 'math', 'algorithm')), "
+    f"sx AS (SELECT *, {_strip('text')} AS bare, font = 'CMMI10' AS math_font, font = 'Courier' AS mono, font LIKE '%Bold%' AS bold FROM sp)"
+)
+ORACLE["font_headings"] = f"""WITH {_BLOCKS}, {_SP}, s AS (SELECT doc, round(size, 1) AS size, sum(length(bare)) AS n, min((page, block, line)) AS seen FROM sx WHERE page <= 10 AND round(size, 1) > 0 AND length(bare) > 0 GROUP BY ALL),
+m AS (SELECT doc, greatest(size, 6.0) AS body FROM s QUALIFY row_number() OVER (PARTITION BY doc ORDER BY n DESC, seen) = 1),
+k AS (SELECT doc, page, block, count(DISTINCT line) AS lines, {_strip("string_agg(text, '' ORDER BY line)")} AS title, max(size) AS size, bool_or(bold) AS bold FROM sx GROUP BY ALL),
+h AS (SELECT doc, page::BIGINT * 4294967296 + block AS ord, CASE WHEN size >= body * 1.6::DOUBLE THEN 1 WHEN size >= body * 1.35::DOUBLE THEN 2 WHEN size >= body * 1.15::DOUBLE OR (bold AND size >= body) THEN 3 END AS level, title, page FROM k JOIN m USING (doc) WHERE lines <= 3 AND length(title) BETWEEN 3 AND 200 AND NOT regexp_matches(title, '^\\p{{Nd}}+$'))
+SELECT * FROM h WHERE level IS NOT NULL"""
+_AB = f"""fs AS (SELECT doc, page, round(size, 1) AS size, sum(length(bare)) AS n, min((block, line)) AS seen FROM sx WHERE NOT math_font AND round(size, 1) > 0 AND length(bare) > 0 GROUP BY ALL),
+fm AS (SELECT doc, page, greatest(size, 6.0) AS body FROM fs QUALIFY row_number() OVER (PARTITION BY doc, page ORDER BY n DESC, seen) = 1),
+fh AS (SELECT doc, page, coalesce(body, 10.0)::DOUBLE AS body FROM (SELECT DISTINCT doc, page FROM sp) LEFT JOIN fm USING (doc, page)),
+ln2 AS (SELECT *, (math_font OR (length(bare) > 0 AND length(text) - length(translate(text, {_q(layout.MATH_CHARS)}, '')) > 0.05::DOUBLE * length(text))) AS math FROM sx),
+lm AS (SELECT *, CASE WHEN math AND NOT mono THEN CASE WHEN bare <> '' THEN '$' || bare || '$' ELSE '' END ELSE bare END AS merged FROM ln2),
+ak AS (SELECT doc, page, block AS ord, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, CASE WHEN count(*) FILTER (mono) / count(*) >= 0.6 THEN 'algorithm' WHEN count(*) FILTER (math AND NOT mono) / count(*) >= 0.75 THEN 'math' ELSE 'text' END AS block_type, string_agg(bare, chr(10) ORDER BY line) FILTER (bare <> '') AS spaced, string_agg(text, chr(10) ORDER BY line) FILTER (bare <> '') AS closed,
+string_agg(merged, chr(10) ORDER BY line) FILTER (merged <> '') AS inl, {_strip("coalesce(string_agg(CASE WHEN math_font OR mono THEN '' ELSE text END, '' ORDER BY line), '')")} AS plain, count(*) AS lines, max(size) AS size, coalesce(max(size) FILTER (NOT math_font AND NOT mono), 0) AS ps, bool_or(bold AND NOT math_font AND NOT mono) AS bold, bool_or(contains(merged, '$')) AS dollar FROM lm GROUP BY doc, page, block),
+ab AS (SELECT doc, page, ord, x0, y0, x1, y1, block_type, CASE block_type WHEN 'math' THEN spaced WHEN 'algorithm' THEN closed ELSE inl END AS content,
+CASE WHEN lines <= 3 AND length(plain) BETWEEN 3 AND 200 AND NOT regexp_matches(plain, '^\\p{{Nd}}+$') THEN CASE WHEN ps >= round(body * 1.6::DOUBLE, 2) THEN 1 WHEN ps >= round(body * 1.35::DOUBLE, 2) THEN 2 WHEN ps >= round(body * 1.15::DOUBLE, 2) THEN 3 WHEN bold AND ps >= body AND length(plain) <= 100 THEN 3 END END AS heading_level,
+CASE WHEN size > 0 THEN size END AS font_size, block_type = 'text' AND dollar AS has_inline_math FROM ak JOIN fh USING (doc, page) WHERE length({_strip("CASE block_type WHEN 'math' THEN spaced WHEN 'algorithm' THEN closed ELSE inl END")}) > 0)"""
+ORACLE["analyze_blocks"] = f"WITH {_BLOCKS}, {_SP}, {_AB} SELECT doc, page, ord::BIGINT AS ord, block_type, heading_level, font_size, has_inline_math, md5(content) AS digest FROM ab"
+_EDGE = "NOT (y1 < 48 OR y0 > 842 - 48)"
+_CELLS = "string_split({}, '|')"
+_ROW = lambda r: f"'| ' || array_to_string(list_transform(string_split({r}, '|'), lambda c: {_strip('c')}), ' | ') || ' |'"
+_WIDTH = "len(string_split(string_split(raw_content, chr(10))[1], '|'))"
+ORACLE["segment_pages"] = f"""WITH {_BLOCKS}, {_DIMS}, {_SP}, {_AB}, all_boxes AS (SELECT doc, page, x0, y0, x1, y1 FROM (SELECT doc, page, block, max(length(bare)) AS n, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1 FROM sx GROUP BY ALL) WHERE n > 0), {_BODY}, {_COVER.replace('FROM dims d', 'FROM bdims d')}, {_GUT},
+sides AS (SELECT doc, page, count(*) FILTER (x1 <= 297.5 - 20) AS l, count(*) FILTER (x0 >= 297.5 + 20) AS r FROM boxes GROUP BY ALL),
+lay AS (SELECT d.doc, d.page, coalesce(gut.gutter, CASE WHEN l >= 3 AND r >= 3 THEN 297.5::DOUBLE END) AS g FROM dims d LEFT JOIN gut USING (doc, page) LEFT JOIN sides USING (doc, page)),
+tb AS (SELECT doc, page, block_id AS ord, bbox.x0 AS x0, bbox.y0 AS y0, bbox.x1 AS x1, bbox.y1 AS y1, array_to_string(list_concat([{_ROW('string_split(raw_content, chr(10))[1]')}, '| ' || array_to_string(list_transform(generate_series(1, {_WIDTH}), lambda i: '---'), ' | ') || ' |'], list_transform(string_split(raw_content, chr(10))[2:], lambda r: {_ROW('r')})), chr(10)) AS content, CASE WHEN {_WIDTH} >= 5 THEN 'table_complex' ELSE 'table_simple' END AS ocr_mode FROM b WHERE block_type = 'table' AND raw_content IS NOT NULL),
+tx AS (SELECT * FROM ab a WHERE {_EDGE} AND NOT EXISTS (SELECT 1 FROM tb t WHERE t.doc = a.doc AND t.page = a.page AND a.x0 < t.x1 AND t.x0 < a.x1 AND a.y0 < t.y1 AND t.y0 < a.y1)),
+im AS (SELECT * FROM (SELECT doc, page, block_id AS ord, bbox.x0 AS x0, bbox.y0 AS y0, bbox.x1 AS x1, bbox.y1 AS y1 FROM b WHERE block_type IN ('image', 'figure')) WHERE {_EDGE}),
+cp AS (SELECT i.doc, i.page, i.ord, arg_min(t.c, t.ord) AS caption FROM im i JOIN (SELECT *, {_strip('content')} AS c FROM tx) t ON i.doc = t.doc AND i.page = t.page AND regexp_matches(c, '(?i)^(Figure|Fig\\.|Table|Tbl\\.|Hình|Bảng|Algorithm|Alg\\.)\\s*[0-9]+') AND t.y0 - i.y1 BETWEEN 0 AND 30 AND i.x1 > i.x0 AND (least(i.x1, t.x1) - greatest(i.x0, t.x0)) / (i.x1 - i.x0) > 0.3::DOUBLE GROUP BY ALL),
+ev AS (SELECT doc, page, ord::BIGINT AS ord, x0, y0, x1, y1, 'table' AS block_type, content, NULL::INT AS heading_level, ocr_mode, '' AS caption FROM tb UNION ALL SELECT doc, page, ord + 1099511627776, x0, y0, x1, y1, block_type, content, heading_level, block_type, '' FROM tx
+UNION ALL SELECT doc, page, ord + 2199023255552, x0, y0, x1, y1, CASE WHEN caption IS NULL THEN 'image' ELSE 'figure' END, '', NULL, CASE WHEN caption IS NULL THEN 'image' ELSE 'figure' END, coalesce(caption, '') FROM im LEFT JOIN cp USING (doc, page, ord)),
+sd AS (SELECT ev.*, g IS NOT NULL AS two, CASE WHEN x1 - x0 > 595.0 * 0.65::DOUBLE THEN 'full' WHEN x1 <= coalesce(g, 297.5) + 20 THEN 'left' WHEN x0 >= coalesce(g, 297.5) - 20 THEN 'right' ELSE 'full' END AS side FROM ev JOIN lay USING (doc, page)),
+ord AS (SELECT *, {{'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} AS bbox, row_number() OVER (PARTITION BY doc, page ORDER BY CASE WHEN two THEN (side = 'right')::INT ELSE round_even(y0 / 5, 0) * 5 END, CASE WHEN two THEN y0 ELSE x0 END, CASE WHEN two AND side = 'left' THEN 1 ELSE 0 END, ord)::INT AS place FROM sd), {_islands("'math'")},
+mg AS (SELECT doc, page, island, arg_min(block_type, place) AS block_type, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1, coalesce(string_agg(content, chr(10) ORDER BY place) FILTER (content <> ''), '') AS content, CASE WHEN count(*) = 1 THEN min(heading_level) END AS heading_level, arg_min(ocr_mode, place) AS ocr_mode, CASE WHEN count(*) = 1 THEN min(caption) ELSE '' END AS caption FROM i GROUP BY doc, page, island),
+kk AS (SELECT *, block_type IN ('image', 'figure', 'math', 'algorithm') AND round((x1 - x0) * CASE block_type WHEN 'math' THEN 200 ELSE 150 END / 72) * round((y1 - y0) * CASE block_type WHEN 'math' THEN 200 ELSE 150 END / 72) >= 1600 AS has_crop FROM mg), ks AS (SELECT *, block_type IN ('image', 'figure') AND NOT has_crop AS lost FROM kk)
+SELECT doc, page, (row_number() OVER (PARTITION BY doc, page ORDER BY island) - 1)::INT AS block_id, CASE WHEN lost THEN 'text' ELSE block_type END AS block_type, heading_level, ocr_mode, lost OR block_type NOT IN ('image', 'figure', 'math', 'algorithm') AS is_done, md5(CASE WHEN lost THEN coalesce(nullif(caption, ''), '{layout.NO_IMAGE}') ELSE content END) AS digest FROM ks"""
+_ANY = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x{85}\\x{2028}\\x{2029}]"
+_HS = "[\\t\\x0b\\x0c\\r\\x1c-\\x1f \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+
+
+def _merged_paragraphs(x: str) -> str:
+    """Line after line is put to the text so far; a mark at its end says that its last line is a joined one."""
+    one = f"regexp_replace(regexp_replace({x}, {_q('(?:' + _ANY + ')$')}, ''), {_q(_ANY)}, chr(10), 'g')"
+    last = "regexp_extract(acc, '([^\\n]*)$', 1)"
+    opens = f"NOT contains(acc, chr(57347)) AND NOT regexp_matches({last}, '^(#|- |\\* |\\p{{Nd}}+\\.|\\$\\$|\\|)') AND regexp_matches({last}, {_q('[^.?!:' + _HS[1:-1] + ']' + _HS + '*$')}) AND NOT regexp_matches({last}, {_q('[$][$]' + _HS + '*$')}) AND regexp_matches(x, '^\\p{{Ll}}')"
+    return f"replace(list_reduce(string_split({one}, chr(10)), lambda acc, x: CASE WHEN {opens} THEN regexp_replace(acc, {_q(_HS + '*$')}, '') || ' ' || x || chr(57347) ELSE replace(acc, chr(57347), '') || chr(10) || x END), chr(57347), '')"
+
+
+def _hyphens(x: str) -> str:
+    return f"replace(replace(replace(replace({_J2.replace('raw_content', x)}, chr(57344) || chr(57345) || chr(57346), ''), chr(57345), ' '), chr(57344), ''), chr(57346), '')"
+
+
+def _spaces(x: str) -> str:
+    return _strip(f"regexp_replace(regexp_replace({x}, '(?m)[ \\t]+$', '', 'g'), '\\n{{3,}}', E'\\n\\n', 'g')")
+
+
+ORACLE["paragraph_merge"] = f"WITH {_BLOCKS} SELECT block_uid, {_merged_paragraphs('raw_content')} AS text FROM b"
+_CLEAN = "coalesce(raw_content, '')"
+_CLEAN = f"regexp_replace({_CLEAN}, {_q('([$][^$' + chr(92) + 'n]+[$])|(' + _W3.replace('{3,}', '+') + ')-' + chr(92) + 'n(' + _W3.replace('{3,}', '+') + ')')}, '\\1\\2\\3', 'g')"
+_CLEAN = f"regexp_replace({_CLEAN}, '(?m)([$][^$\\n]+[$])|[ \\t]+$', '\\1', 'g')"
+_CLEAN = _strip(f"regexp_replace({_CLEAN}, '\\n{{3,}}', E'\\n\\n', 'g')")
+_HEADED = f"CASE WHEN heading_level BETWEEN 1 AND 3 AND c <> '' THEN repeat('#', heading_level) || ' ' || regexp_replace(c, {_q('^([^' + chr(92) + 'n]*[^' + chr(92) + 'n' + _HS[1:-1] + '])' + _HS + '*')}, '\\1') ELSE c END"
+ORACLE["finish_texts"] = f"""WITH {_BLOCKS}, x AS (SELECT *, {_CLEAN} AS c, list_filter(list_transform(regexp_split_to_array({_strip("coalesce(raw_content, '')")}, {_q(_ANY)}), lambda r: {_strip('r')}), lambda r: r <> '') AS l FROM b),
+y AS (SELECT *, greatest(length(l[1]) - length(replace(l[1], '|', '')) - 1, 0) AS w, regexp_matches(coalesce(l[2], ''), '^\\|[' || {_q(_WHITE[2:-3])} || '\\-|]+\\|$') AS ruled FROM x)
+SELECT block_uid, CASE WHEN block_type = 'text' THEN {_HEADED} WHEN block_type = 'table' AND ocr_mode = 'table_simple' THEN CASE WHEN len(l) < 2 THEN raw_content WHEN ruled THEN array_to_string(l, chr(10)) ELSE array_to_string(list_concat([l[1], '| ' || coalesce(array_to_string(list_transform(generate_series(1, w), lambda i: '---'), ' | '), '') || ' |'], l[2:]), chr(10)) END ELSE markdown_result END AS markdown_result, block_type = 'text' OR (block_type = 'table' AND coalesce(ocr_mode = 'table_simple', false)) AS is_done FROM y"""
+_CLEANED = "CASE WHEN rs IS NULL THEN markdown ELSE array_to_string(list_filter(string_split(markdown, chr(10)), lambda x: NOT list_contains(rs, " + _strip("x") + ")), chr(10)) END"
+ORACLE["postprocessed_pages"] = f"""WITH RECURSIVE {_MAP[0]}, sec AS (SELECT doc, page, coalesce(last_value{_MAP[2]}), {_PAGES}, {_LINES}, {_REP}, rr AS (SELECT doc, list(line) AS rs FROM rep GROUP BY doc), refs AS ({_REFS}),
+c AS (SELECT doc, page, {_CLEANED} AS t FROM p LEFT JOIN rr USING (doc)), g AS (SELECT doc, page, {_hyphens('t')} AS t FROM c), m AS (SELECT doc, page, {_merged_paragraphs('t')} AS t FROM g), n AS (SELECT doc, page, {_spaces('t')} AS t FROM m),
+ch AS (SELECT doc, page, section, section <> '' AND section IS DISTINCT FROM lag(section) OVER (PARTITION BY doc ORDER BY page) AS fresh FROM sec)
+SELECT doc, page, CASE WHEN fresh THEN '<!-- section: ' || section || E' -->\\n\\n' ELSE '' END || CASE WHEN page >= references_page THEN E'<!-- references section -->\\n\\n' ELSE '' END || t AS markdown FROM n LEFT JOIN ch USING (doc, page) LEFT JOIN refs USING (doc)"""
+_PARTS = f"string_split(regexp_replace(coalesce(text, ''), {_q('(^|' + _ANY.replace(chr(92) + 'x0b' + chr(92) + 'x0c' + chr(92) + 'x1c' + chr(92) + 'x1d' + chr(92) + 'x1e', '') + ')(#{1,6} )')}, '\\1' || chr(57344) || '\\2', 'g'), chr(57344))"
+ORACLE["heading_chunks"] = f"""WITH d AS (SELECT doc_id, unnest({_PARTS}) AS text, generate_subscripts({_PARTS}, 1) AS part FROM documents), w AS (SELECT doc_id, part, {_TOK} AS w FROM d), k AS (SELECT doc_id, part, w, i FROM w, generate_series(0, 100000) AS t(i) WHERE len(w) > 0 AND i < greatest(ceil((len(w) - 12) / 88.0), 1))
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY part, i)::INT AS chunk_no, len(w[i * 88 + 1 : i * 88 + 100])::INT AS n_tokens, md5(array_to_string(w[i * 88 + 1 : i * 88 + 100], ' ')) AS digest FROM k"""

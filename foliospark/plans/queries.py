@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
+from foliospark.functions.scale import cut
 from foliospark.operators import assemble, context, layout, pages, retrieval, transcript, units, weather
 from foliospark.plans.oracle import ORACLE as ORACLE
 from foliospark.sources.tables import table
@@ -274,7 +275,7 @@ def _spans(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def analyze_blocks(spark: SparkSession, sf: str) -> DataFrame:
     s = _spans(spark, sf)
-    return layout.analyze_blocks(s, layout.font_hierarchy(s)).select("doc", "page", "ord", "block_type", "heading_level", F.length("content").alias("chars"))
+    return layout.analyze_blocks(s, layout.font_hierarchy(s)).select("doc", "page", "ord", "block_type", "heading_level", "font_size", "has_inline_math", F.md5("content").alias("digest"))
 
 
 @query
@@ -288,7 +289,7 @@ def segment_pages(spark: SparkSession, sf: str) -> DataFrame:
     tables = b.where("block_type = 'table'").select("doc", "page", "block_id", "bbox", F.transform(F.split("raw_content", "\n"), lambda r: F.split(r, r"\|")).alias("cells")).withColumnRenamed("block_id", "ord")
     images = b.where(F.col("block_type").isin("image", "figure")).select("doc", "page", F.col("block_id").alias("ord"), "bbox")
     out = layout.segment_pages(_spans(spark, sf), tables, images, _dims(b))
-    return out.select("doc", "page", "block_id", "block_type", "heading_level", "ocr_mode", F.length("raw_content").alias("chars"))
+    return out.select("doc", "page", "block_id", "block_type", "heading_level", "ocr_mode", "is_done", F.md5("raw_content").alias("digest"))
 
 
 # page texts
@@ -435,7 +436,7 @@ def token_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def heading_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return retrieval.token_chunks(_documents(spark, sf), 100, 12, by_heading=True).select("doc_id", "chunk_no", "n_tokens")
+    return retrieval.token_chunks(_documents(spark, sf), 100, 12, by_heading=True).select("doc_id", "chunk_no", "n_tokens", F.md5("content").alias("digest"))
 
 
 @query
@@ -443,22 +444,17 @@ def metadata_filter(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.metadata_filter(_documents(spark, sf), ["handbook", "lecture_notes"], "2015-01-01", 0.5).select("doc_id")
 
 
-def _bm25(spark: SparkSession, sf: str, k: int, whole: bool = True) -> DataFrame:
-    """Keyword search with all shared terms of each query document; not ``whole``: with its eight rarest, as the SQL has it."""
+def _bm25(spark: SparkSession, sf: str, k: int) -> DataFrame:
+    """Keyword search with all shared terms of each query document."""
     d = _documents(spark, sf)
-    index = retrieval.postings(d)
+    index = cut(retrieval.postings(d))
     df = retrieval.document_frequencies(index)
     ids = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"))
-    return retrieval.bm25(retrieval.specific_terms(index, df, ids, None if whole else 8), index, df, retrieval.corpus_stats(d), k)
+    return retrieval.bm25(retrieval.specific_terms(index, df, ids), index, df, retrieval.corpus_stats(d, index), k)
 
 
 @query
 def bm25_topk(spark: SparkSession, sf: str) -> DataFrame:
-    return _bm25(spark, sf, 10, whole=False)
-
-
-@query
-def bm25_topk_whole(spark: SparkSession, sf: str) -> DataFrame:
     return _bm25(spark, sf, 10)
 
 
@@ -474,11 +470,6 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rrf_fusion(spark: SparkSession, sf: str) -> DataFrame:
-    return retrieval.fuse([_bm25(spark, sf, 30, whole=False), _vectors(spark, sf, 30)], 10)
-
-
-@query
-def rrf_fusion_whole(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.fuse([_bm25(spark, sf, 30), _vectors(spark, sf, 30)], 10)
 
 
@@ -495,14 +486,27 @@ def exact_classes(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.exact_classes(_documents(spark, sf))
 
 
-@query
-def similar_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return retrieval.similar_pairs(_documents(spark, sf))
+def _with_near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents and, of every third, two near copies: one without its last word, one with a word put before it; and of every ninth a copy with a word in each place of twenty changed, which is none."""
+    d = _documents(spark, sf).select("doc_id", "text")
+    own = d.where("doc_id % 3 = 0 AND text IS NOT NULL")
+    base = F.lit(1 << 40)
+    short = own.select(base + F.col("doc_id") * 4, F.regexp_replace("text", r"\s+\S+\s*$", ""))
+    longer = own.select(base + F.col("doc_id") * 4 + 1, F.concat(F.lit("Copy "), F.col("text")))
+    words = F.transform(T.word_tokens(F.col("text")), lambda w, i: F.when(i % 20 == 10, F.concat(w, F.lit("x"))).otherwise(w))
+    other = own.where("doc_id % 9 = 0").select(base + F.col("doc_id") * 4 + 2, F.array_join(words, " "))
+    return d.union(short).union(longer).union(other)
 
 
 @query
 def near_duplicate_classes(spark: SparkSession, sf: str) -> DataFrame:
-    return retrieval.near_duplicate_classes(_documents(spark, sf))
+    return retrieval.near_duplicate_classes(_with_near_copies(spark, sf))
+
+
+@query
+def drop_similar(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    return retrieval.drop_similar(_vectors(spark, sf, 30), e, 0.92).select("query_id", "doc_id", "rank")
 
 
 @query
@@ -527,6 +531,15 @@ def drop_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.drop_near_duplicates(_bm25(spark, sf, 20).select("query_id", "doc_id"), retrieval.near_duplicate_classes(_documents(spark, sf)))
 
 
+@query
+def cached(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's text as a query; the store holds the results of those with an even id."""
+    d = _documents(spark, sf)
+    store = d.where("doc_id % 2 = 0").groupBy(retrieval.cache_key(F.col("text")).alias("key")).agg(F.min("doc_id").alias("result"))
+    hit, miss = retrieval.cached(d.select(F.col("doc_id").alias("query_id"), F.col("text").alias("query")), store)
+    return hit.select("query_id", "result").unionByName(miss.select("query_id", F.lit(None).cast("bigint").alias("result")))
+
+
 # context
 
 
@@ -537,15 +550,14 @@ def pii_redact(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def injection_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return context.injection_flags(_documents(spark, sf)).select("doc_id", F.size("flags").alias("n"))
+    return context.injection_flags(_documents(spark, sf)).select("doc_id", F.array_join("flags", ",").alias("flags"))
 
 
-def _candidates(spark: SparkSession, sf: str, whole: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Queries (documents with an id divisible by 100; not ``whole``: their first hundred characters, as the SQL has it) and their keyword and vector candidates with texts."""
+def _candidates(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Queries (documents with an id divisible by 100) and their keyword and vector candidates with texts."""
     d = _documents(spark, sf)
-    text = F.coalesce("text", F.lit(""))
-    queries = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), (text if whole else F.substring(text, 1, 100)).alias("query"))
-    both = context.union_sources({"knowledge": _bm25(spark, sf, 20, whole), "memory": _vectors(spark, sf, 20), "tool": None})
+    queries = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), F.coalesce("text", F.lit("")).alias("query"))
+    both = context.union_sources({"knowledge": _bm25(spark, sf, 20), "memory": _vectors(spark, sf, 20), "tool": None})
     texts = d.select("doc_id", F.coalesce("text", F.lit("")).alias("content"), "doc_name", "page_number", "trust", "updated_at")
     c = both.join(texts, "doc_id").withColumn("chunk_id", F.col("doc_id").cast("string")).withColumn("tokens", F.size(T.word_tokens(F.col("content"))))
     return c, queries
@@ -553,57 +565,51 @@ def _candidates(spark: SparkSession, sf: str, whole: bool = True) -> tuple[DataF
 
 @query
 def over_fetch(spark: SparkSession, sf: str) -> DataFrame:
-    return context.over_fetch(_candidates(spark, sf, whole=False)[0], 5).select("query_id", "source_kind", "chunk_id")
-
-
-@query
-def over_fetch_whole(spark: SparkSession, sf: str) -> DataFrame:
     return context.over_fetch(_candidates(spark, sf)[0], 5).select("query_id", "source_kind", "chunk_id")
 
 
 @query
 def rerank(spark: SparkSession, sf: str) -> DataFrame:
-    c, q = _candidates(spark, sf, whole=False)
-    return context.rerank(context.safe_candidates(c), q, trust_weight=0.1).select("query_id", "source_kind", "chunk_id", "rerank_score", "rank")
-
-
-@query
-def rerank_whole(spark: SparkSession, sf: str) -> DataFrame:
     c, q = _candidates(spark, sf)
-    return context.rerank(context.safe_candidates(c), q, trust_weight=0.1).select("query_id", "source_kind", "chunk_id", "rerank_score", "rank")
+    return context.rerank(context.safe_candidates(c), q, trust_weight=0.1, recency_weight=0.2, now="2026-01-01").select("query_id", "source_kind", "chunk_id", "rerank_score", "rank")
 
 
 @query
 def compress(spark: SparkSession, sf: str) -> DataFrame:
     c, q = _candidates(spark, sf)
     r = context.compress(context.rerank(c, q), q, 0.3)
-    return r.select("query_id", "source_kind", "chunk_id", F.length("content").alias("chars"))
+    return r.select("query_id", "source_kind", "chunk_id", "content")
 
 
 @query
 def token_budget(spark: SparkSession, sf: str) -> DataFrame:
-    return context.within_budget(_candidates(spark, sf, whole=False)[0], 4000).select("query_id", "source_kind", "chunk_id", "tokens", "used")
-
-
-@query
-def token_budget_whole(spark: SparkSession, sf: str) -> DataFrame:
     return context.within_budget(_candidates(spark, sf)[0], 4000).select("query_id", "source_kind", "chunk_id", "tokens", "used")
 
 
 @query
 def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
-    c, q = _candidates(spark, sf, whole=False)
+    c, q = _candidates(spark, sf)
     return context.build_prompt(context.within_budget(c, 4000), q).select("query_id", F.md5("prompt").alias("digest"))
 
 
 @query
-def prompt_build_whole(spark: SparkSession, sf: str) -> DataFrame:
+def context_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """Context of each query as far as its own text, as an answer, uses it."""
     c, q = _candidates(spark, sf)
-    return context.build_prompt(context.within_budget(c, 4000), q).select("query_id", F.md5("prompt").alias("digest"))
+    u = retrieval.usage(context.within_budget(c, 4000), q.select("query_id", F.col("query").alias("answer")))
+    return u.select("query_id", "parts", "tokens", "used", F.round("utilisation", 9).alias("utilisation"), F.round("unsupported", 9).alias("unsupported"))
+
+
+@query
+def stage_latencies(spark: SparkSession, sf: str) -> DataFrame:
+    log = table(spark, sf, "events").select(F.col("user_id").alias("query_id"), F.col("event_type").alias("stage"), F.col("value").alias("ms"))
+    return retrieval.latencies(log).select("stage", "requests", F.round("mean_ms", 6).alias("mean_ms"))
 
 
 def _turns(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(F.col("user_id").alias("conv_id"), F.col("event_id").alias("turn"), F.length("props").alias("tokens"), F.col("event_type").alias("text"))
+    """Events as turns of conversations, with a few sentences each."""
+    text = F.concat_ws(" ", F.concat(F.lit("The user made a "), F.col("event_type"), F.lit(".")), F.concat(F.lit("It had "), F.col("props"), F.lit("!")), F.concat(F.lit("Value "), F.floor("value").cast("string"), F.lit(" was noted.")))
+    return table(spark, sf, "events").select(F.col("user_id").alias("conv_id"), F.col("event_id").alias("turn"), F.length("props").alias("tokens"), text.alias("text"))
 
 
 @query
@@ -613,7 +619,7 @@ def session_window(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rolling_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return context.rolling_summary(context.session_window(_turns(spark, sf), 200, 15), 4).select("conv_id", F.md5("summary").alias("digest"))
+    return context.rolling_summary(context.session_window(_turns(spark, sf), 200, 15))
 
 
 @query

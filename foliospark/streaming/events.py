@@ -35,24 +35,68 @@ def once(events: DataFrame, late: str = "1 hour") -> DataFrame:
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def upsert_facts(folder: str):
+def upsert_facts(folder: str, buckets: int = 64, keep: int = 2):
     """``foreachBatch`` function that keeps the latest value of each user and event type in Parquet below ``folder``.
 
-    Versions are numbered by batch, so a repeated batch writes its version again
-    and changes nothing.
+    The facts are spread over ``buckets`` by user.  A batch writes only the
+    buckets that it touches, as versions numbered by batch, so a repeated batch
+    writes its versions again and changes nothing.  Of each bucket the last
+    ``keep`` versions stay.  Read it with ``stored_facts``.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select("user_id", F.col("event_type").alias("key"), "value", "ts")
-        if number > 0:
-            rows = rows.unionByName(spark.read.parquet(f"{folder}/v={number - 1}"))
-        rows.groupBy("user_id", "key").agg(F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts")).write.mode("overwrite").parquet(f"{folder}/v={number}")
+        rows = batch.select("user_id", F.col("event_type").alias("key"), "value", "ts").withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
+        rows = rows.groupBy("bucket", "user_id", "key").agg(F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts")).persist()
+        touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
+        versions = {b: sorted(v for v in found if v < number) for b, found in _versions(spark, folder).items() if b in touched}
+        old = [f"{folder}/bucket={b}/v={found[-1]}" for b, found in versions.items() if found]
+        if old:
+            rows = rows.unionByName(spark.read.option("basePath", folder).parquet(*old).drop("v"))
+        latest = rows.groupBy("bucket", "user_id", "key").agg(F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts")).withColumn("v", F.lit(number))
+        latest.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "v").parquet(folder)
+        files, path = _files(spark, folder)
+        for b, found in versions.items():
+            for v in found[: max(0, len(found) + 1 - keep)]:
+                files.delete(path(f"{folder}/bucket={b}/v={v}"), True)
 
     return write
 
 
-def forward_fill(events: DataFrame, column: str, keys: tuple[str, ...] = ("user_id",), order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
-    """``filled``: the last value of ``column`` that is not null, up to the row."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return events.withColumn("filled", F.last(column, ignorenulls=True).over(w))
+def _files(spark: SparkSession, folder: str):
+    """The file system of ``folder`` and its path class."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(folder).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _versions(spark: SparkSession, folder: str) -> dict[int, list[int]]:
+    """Complete versions of each bucket."""
+    files, path = _files(spark, folder)
+    out: dict[int, list[int]] = {}
+    for status in files.globStatus(path(f"{folder}/bucket=*/v=*")) or []:
+        v, b = status.getPath(), status.getPath().getParent()
+        out.setdefault(int(b.getName().split("=")[1]), []).append(int(v.getName().split("=")[1]))
+    return {b: sorted(v) for b, v in out.items()}
+
+
+def stored_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """user_id, key, value, ts of the last version of each bucket."""
+    last = [f"{folder}/bucket={b}/v={v[-1]}" for b, v in _versions(spark, folder).items()]
+    return spark.read.option("basePath", folder).parquet(*last).drop("bucket", "v")
+
+
+def forward_fill(events: DataFrame, column: str, keys: tuple[str, ...] = ("user_id",), time: str = "ts", tie: str = "event_id", seconds: int = 86_400) -> DataFrame:
+    """``filled``: the last value of ``column`` that is not null, up to the row in order of ``time`` and ``tie``.
+
+    The last values of ranges of ``seconds`` are carried over the ranges, so a key
+    with a large part of all events is many tasks.
+    """
+    e = events.withColumn("_r", F.coalesce(F.floor(F.unix_micros(F.col(time).cast("timestamp")) / (seconds * 1_000_000)), F.lit(-(1 << 62))))
+    named = F.concat_ws("\n", *[F.coalesce(F.concat(F.lit("k"), F.col(k).cast("string")), F.lit("")) for k in keys])
+    e = e.withColumn("_k", named)
+    ends = e.where(F.col(column).isNotNull()).groupBy("_k", "_r").agg(F.max_by(column, F.struct(time, tie)).alias("_e"))
+    spans = e.select("_k", "_r").distinct().join(ends, ["_k", "_r"], "left")
+    upto = Window.partitionBy("_k").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    before = spans.select("_k", "_r", F.last("_e", ignorenulls=True).over(upto).alias("_b"))
+    inside = Window.partitionBy("_k", "_r").orderBy(time, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return e.join(before, ["_k", "_r"]).withColumn("filled", F.coalesce(F.last(column, ignorenulls=True).over(inside), "_b")).select(*events.columns, "filled")

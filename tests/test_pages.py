@@ -79,3 +79,54 @@ def test_readings(spark):
     assert [x["markdown_result"] for x in A.apply_readings(b, r, True).orderBy("block_id").collect()][2] == "lost"
     assert [x["markdown_result"] for x in A.placeholders(b).orderBy("block_id").collect()] == ["$[Formula block #0]$", "![Image p1 #1](images/d_p1_b1_figure.png)", "> [Image block #2]", "![Image p1 #3](images/d_p1_b3_algorithm.png)", "t"]
     assert A.page_markdown(A.placeholders(b)).first()["has_ocr_blocks"]
+
+
+def test_reports_as_rows(spark):
+    from foliospark.operators import assemble as A
+
+    results = spark.createDataFrame([("b", "ok"), ("a", "ok"), ("c", None), ("d", "failed")], "name string, status string")
+    assert [tuple(r) for r in A.status_rollup(results).collect()] == [(None, 1, "c"), ("failed", 1, "d"), ("ok", 2, "a"), ("ok", 2, "b")]
+    assert A.status_rollup(results.limit(0)).collect() == []
+    blocks = spark.createDataFrame([("x", 1, "image"), ("x", 2, "math"), ("y", 1, "text")], "doc string, page int, block_type string")
+    got = {r["doc_name"]: r for r in A.run_summary(A.block_counts(blocks), 1.234).collect()}
+    assert (got[None]["total_files"], got[None]["total_pages"], got[None]["ocr_blocks"], got[None]["elapsed_sec"]) == (2, 3, 2, 1.23)
+    assert (got["x"]["total_files"], got["x"]["total_blocks"], got["y"]["text_blocks"]) == (None, 2, 1) and len(got) == 3
+    none = A.run_summary(A.block_counts(blocks.limit(0)), 0.0).collect()
+    assert len(none) == 1 and none[0]["total_pages"] == 0
+
+
+def test_names_sizes_and_payloads(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from foliospark.operators import assemble as A
+    from foliospark.sources import files, sinks
+
+    assert spark.range(1).select(A.chunk_image_name(F.lit(7), F.lit("a.png"))).first()[0] == "chunk007_a.png"
+    assert spark.range(1).select(files.size_mb(F.lit(2500000))).first()[0] == 2.5
+    pages = spark.createDataFrame([("x", 3), ("x", 9), ("y", 1)], "doc string, page int")
+    assert {tuple(r) for r in files.page_counts(pages).collect()} == {("x", 9), ("y", 1)}
+    rows = spark.createDataFrame([(1, '{"a": 1}'), (2, None)], "query_id bigint, payload string")
+    sinks.write_json(rows, str(tmp_path / "out"))
+    assert sorted(map(tuple, files.read_json_lines(spark, str(tmp_path / "out")).collect())) == [(1, '{"a": 1}'), (2, None)]
+
+
+def test_sections_of_a_long_document_over_ranges(spark):
+    import random
+
+    rng = random.Random(7)
+    docs = ["long"] * 300 + ["b"] * 20 + [None] * 40
+    heads = [(d, i * 3, rng.randrange(1, 5), f"t{i}", 1 + i // 4) for i, d in enumerate(docs)]
+    h = spark.createDataFrame(heads, "doc string, ord bigint, level int, title string, page int")
+    stack, wanted = {}, {}
+    for d, o, level, title, _ in heads:
+        s = [x for x in stack.get(d, []) if x[0] < level] + [(level, title)]
+        stack[d], wanted[(d, o)] = s, " > ".join(x[1] for x in s)
+    for width in (10, 1 << 24):
+        assert {(r["doc"], r["ord"]): r["path"] for r in P.section_paths(h, width=width).collect()} == wanted
+    pages = spark.createDataFrame([(d, p) for d in ("long", "b") for p in range(1, 100, 2)], "doc string, page int")
+    every = lambda w: {tuple(r) for r in P.section_map(pages, h, w).collect()}
+    assert every(7) == every(10_000) and len(every(7)) == 100
+    marked = pages.withColumn("markdown", F.lit("x"))
+    refs = spark.createDataFrame([("b", 5)], "doc string, references_page int")
+    marks = lambda w: {tuple(r) for r in P.mark_sections(marked, P.section_map(pages, h), refs, w).collect()}
+    assert marks(7) == marks(10_000)
