@@ -20,8 +20,9 @@ from foliospark.llm.tokenize import encode_table
 
 @dataclass(frozen=True)
 class Settings:
-    #: Ranges of keys that a source is cut into; raise it with the corpus (the sums of all ranges are one small table).
-    ranges: int = 1024
+    #: Ranges of keys that each source is cut into; null: as many as hold about ``range_rows`` documents each, so they follow the data (the choice does not depend on them).
+    ranges: int | None = None
+    range_rows: int = 50_000
     seed: int = 42
     #: Tokens of the mixed corpus; null: as many as the sources can give at their shares.
     total_tokens: int | None = None
@@ -59,10 +60,8 @@ def sized(documents: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def encode_sizes(df: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, source, n_tokens``; the source travels beside the id through the encoder."""
-    keyed = df.select(F.struct("doc_id", "source").alias("k"), "text").select(F.to_json("k").alias("k"), "text")
-    schema = f"doc_id {df.schema['doc_id'].dataType.simpleString()}, source string"
-    return encode_table(keyed, "k", "text", path, count_only=True).select(F.from_json("k", schema).alias("k"), "n_tokens").select("k.doc_id", "k.source", "n_tokens")
+    """``doc_id, source, n_tokens``."""
+    return encode_table(df, "doc_id", "text", path, count_only=True, keep=("source",))
 
 
 def mix(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -73,17 +72,17 @@ def mix(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
     within the rest, and the next one too if that comes nearer to it (never above
     max_repeats).  Documents without tokens have no size and no row.
     """
-    plan = budgets(sizes, targets, settings).where(F.col("budget") > 0).withColumn("epochs", F.floor(F.col("budget") / F.col("source_tokens"))).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_tokens"))
-    # a row per target source; other sources end here
-    keyed = sizes.where(F.col("n_tokens") > 0).join(F.broadcast(plan.select("source", "max_repeats", "epochs", "rest")), "source").withColumn("key", F.xxhash64(F.lit(settings.seed), "doc_id"))
+    plan = budgets(sizes, targets, settings).withColumn("ranges", F.lit(settings.ranges) if settings.ranges else F.ceil((F.col("docs") + 1) / settings.range_rows)).where(F.col("budget") > 0).withColumn("epochs", F.floor(F.col("budget") / F.col("source_tokens"))).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_tokens"))
+    # a row per target source (Spark broadcasts it if its size allows); other sources end here
+    keyed = sizes.where(F.col("n_tokens") > 0).join(plan.select("source", "max_repeats", "epochs", "rest", "ranges"), "source").withColumn("key", F.xxhash64(F.lit(settings.seed), "doc_id"))
     # division rounds, but never against the order of the keys
-    keyed = keyed.withColumn("range", F.floor(F.col("key") / F.lit(2.0**64 / settings.ranges)))
+    keyed = keyed.withColumn("range", F.floor(F.col("key") / (F.lit(2.0**64) / F.col("ranges"))))
     sums = keyed.groupBy("source", "range").agg(F.sum("n_tokens").alias("tokens"))
-    # ranges x sources rows, one sort per source of at most ``ranges`` rows
+    # a row for each range: one short sort per source
     before = F.coalesce(F.sum("tokens").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sums.select("source", "range", before.alias("before"))
     inner = F.sum("n_tokens").over(Window.partitionBy("source", "range").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = keyed.withColumn("within", inner).join(F.broadcast(starts), ["source", "range"])
+    placed = keyed.withColumn("within", inner).join(starts, ["source", "range"])
     end = F.col("before") + F.col("within")
     begin = end - F.col("n_tokens")
     partly = (end <= F.col("rest")) | ((begin < F.col("rest")) & (end - F.col("rest") < F.col("rest") - begin))

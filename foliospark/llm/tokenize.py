@@ -3,12 +3,16 @@
 The merges of many words run together: the symbols of all distinct words of an
 Arrow batch lie in one flat array, and every round looks up the rank of each
 neighbouring pair by binary search over the sorted pair keys, takes the lowest
-rank of each word and merges it at all its places.  A word is merged once per
-task, later uses are array look-ups.
+rank of each word and merges it at all its places.  Words that are not done
+after some rounds (very long ones) go on rank by rank, where only the pairs
+beside a merge are looked up again.  A word is merged once per task, later uses
+are array look-ups.
 """
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -24,6 +28,8 @@ NO_PAIR = np.iinfo(np.int32).max
 MEMORY_WORDS = 300_000
 #: Longer words are merged but not kept.
 MEMORY_WORD_CHARS = 64
+#: Rounds over all symbols; a word takes as many as it has different ranks to merge, so most are done before.
+ROUNDS = 48
 #: Characters of text taken together in one round of merges.
 BATCH_CHARS = 2_000_000
 
@@ -80,7 +86,12 @@ class BatchBpe:
         """Merge ``symbols`` of words of ``sizes`` (each at least 1) to the end; returns the flat ids and each word's number of ids."""
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         word = np.arange(len(sizes))
-        while len(word):
+        for done in itertools.count():
+            if not len(word):
+                break
+            if done == ROUNDS:
+                out.append((word, *self._by_rank(symbols, sizes)))
+                break
             begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             rank = np.full(len(symbols), NO_PAIR, np.int32)
             inner = np.ones(len(symbols), bool)
@@ -115,6 +126,51 @@ class BatchBpe:
             flat[_spread(offset[w], n)] = ids
         return flat, number
 
+    def _by_rank(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same merges, rank after rank over all words: symbols are linked, and each rank has the places where its pair may stand."""
+        n, ends = len(symbols), np.cumsum(sizes)
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[ends - 1], before[ends - sizes] = -1, -1
+        rank = np.full(n, NO_PAIR, np.int32)
+        at = np.flatnonzero(after >= 0)
+        rank[at] = self._rank(symbols[at], symbols[at + 1])
+        order = np.argsort(rank, kind="stable")
+        order = order[rank[order] != NO_PAIR]
+        begin = np.flatnonzero(np.diff(rank[order], prepend=-1))
+        places = {int(rank[part[0]]): [part] for part in np.split(order, begin[1:]) if len(part)}
+        queue = list(places)
+        heapq.heapify(queue)
+        alive = np.ones(n, bool)
+        while queue:
+            lowest = heapq.heappop(queue)
+            at = np.unique(np.concatenate(places.pop(lowest)))
+            at = at[rank[at] == lowest]
+            if not len(at):
+                continue
+            # of overlapping places (a pair of equal symbols in a run) every second one, from the left
+            fresh = np.concatenate(([True], after[at[:-1]] != at[1:]))
+            first = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
+            at = at[(np.arange(len(at)) - first) % 2 == 0]
+            gone = after[at]
+            symbols[at] = self.merged[lowest]
+            alive[gone], rank[gone] = False, NO_PAIR
+            after[at] = after[gone]
+            follow = after[at] >= 0
+            before[after[at][follow]] = at[follow]
+            rank[at] = NO_PAIR
+            left = before[at]
+            left = left[left >= 0]
+            touched = np.unique(np.concatenate((at[follow], left)))
+            rank[touched] = self._rank(symbols[touched], symbols[after[touched]])
+            for r, i in zip(rank[touched].tolist(), touched.tolist()):
+                if r != NO_PAIR:
+                    if r not in places:
+                        places[r] = []
+                        heapq.heappush(queue, r)
+                    places[r].append(np.array([i]))
+        return symbols[alive], np.bincount(word[alive], minlength=len(sizes))
+
     def _learn(self, words: list[str]) -> None:
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -182,8 +238,8 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def encode_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, count_only: bool = False) -> DataFrame:
-    """``id_col`` and ``ids`` (array<int>), or with ``count_only`` ``n_tokens`` (bigint), of every row, without special tokens.
+def encode_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, count_only: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id_col``, the columns ``keep`` and ``ids`` (array<int>), or with ``count_only`` ``n_tokens`` (bigint), of every row, without special tokens.
 
     Null and empty texts give an empty list (0 tokens); text that spells a special
     token is ordinary text; rows are kept one to one, repeated ids and null ids
@@ -192,14 +248,15 @@ def encode_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``BATCH_CHARS``, ``MEMORY_WORDS`` and the longest single text.
     """
     where = path or vocabulary_path()
-    df = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    id_type = df.schema["id"].dataType.simpleString()
+    kept = [f"c{i}" for i in range(len(keep) + 1)]
+    df = df.select(F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(k) for c, k in zip((id_col, *keep), kept)])
+    types = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = None
         for batch in batches:
             bpe = bpe or BatchBpe(where)
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(0).to_pylist()
             for a, b in _slices(texts):
                 flat, number = bpe.encode(texts[a:b], count_only)
                 if count_only:
@@ -207,8 +264,8 @@ def encode_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 else:
                     offsets = np.concatenate(([0], np.cumsum(number))).astype(np.int32)
                     out = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), out], ["id", "ids"])
+                yield pa.RecordBatch.from_arrays([*[c.slice(a, b - a) for c in batch.columns[1:]], out], [*kept, "ids"])
 
     kind = "bigint" if count_only else "array<int>"
-    out = df.mapInArrow(run, f"id {id_type}, ids {kind}")
-    return out.select(F.col("id").alias(id_col), F.col("ids").alias("n_tokens" if count_only else "ids"))
+    out = df.mapInArrow(run, f"{types}, ids {kind}")
+    return out.select(*[F.col(k).alias(c) for c, k in zip((id_col, *keep), kept)], F.col("ids").alias("n_tokens" if count_only else "ids"))

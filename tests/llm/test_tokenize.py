@@ -36,3 +36,27 @@ def test_memory_is_emptied(reference, monkeypatch):
     for text in ("one two three four", "five six one", "x" * 100 + " one " + "x" * 100):
         flat, number = bpe.encode([text])
         assert flat.tolist() == reference(text) and number.tolist() == [len(flat)]
+
+
+def test_long_words_rank_by_rank(reference, monkeypatch):
+    import random
+    import time
+
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdethin" if k % 2 else "aab") for _ in range(n)) for k, n in enumerate((3, 40, 700, 5000, 9000))] + ["ab" * 3000, "a" * 4097, "não" * 900]
+    for rounds in (0, 3, 48):
+        monkeypatch.setattr(T, "ROUNDS", rounds)
+        flat, number = T.BatchBpe(T.vocabulary_path()).encode([*words, "short words here"])
+        got, at = [], 0
+        for n in number:
+            got.append(flat[at : at + n].tolist())
+            at += n
+        assert got == [reference(w) for w in [*words, "short words here"]]
+    began = time.monotonic()
+    T.BatchBpe(T.vocabulary_path()).encode(["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))])
+    assert time.monotonic() - began < 30
+
+
+def test_columns_beside_the_ids(spark):
+    df = spark.createDataFrame([(1, "a b", "s", 5), (None, None, None, 6)], "doc_id bigint, text string, ids string, n_tokens int")
+    assert sorted(map(tuple, T.encode_table(df, count_only=True, keep=("ids",)).collect()), key=str) == [(1, "s", 2), (None, None, 0)]
