@@ -225,26 +225,30 @@ def misread_words(blocks: DataFrame, known_tokens: DataFrame, known: DataFrame,
     return near.where("known").unionByName(by_misread).drop("form", "known").distinct()
 
 
-def line_halves(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def line_halves(blocks: DataFrame, settings: Settings = Settings(), with_moved: bool = False) -> DataFrame:
     """Of each block of text what hyphenation needs: ``halves`` (lines that end in a hyphen: line_no, left, sign, and the openings of the lines after) and ``first`` (the openings of its first lines), a repeated delivery once.
 
     Noise lies in the ``edge_lines`` at the top and bottom of a page, so one more
-    line than those always holds the next one of the text, if there is any.
+    line than those always holds the next one of the text, if there is any; a line
+    that is not among those of its block is no noise, so it is the next one alone.
+    ``with_moved`` adds all that stands before the first blank of a line.
     """
-    after = 2 * settings.edge_lines + 1
+    k = settings.edge_lines
+    after = 2 * k + 1
     texts = blocks.where(F.col("block_type").isin(*TEXT_TYPES) & F.col("raw_content").isNotNull())
     opening = r"^([\p{L}\p{N}]++(?:-[\p{L}\p{N}]++)*+)"
     numbered = F.filter(F.transform(F.split("raw_content", "\n"), lambda x, i: F.struct((i + 1).alias("line_no"), F.trim(F.translate(x, "\t\r" + UNSEEN, "  ")).alias("line"))), lambda x: x["line"] != "")
     lines = texts.select("doc", "page", "block_id", "block_uid", F.col("heading_level").isNotNull().alias("heading"), numbered.alias("lines"))
-    opened = lambda part: F.transform(part, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], opening, 1).alias("right"), F.split(x["line"], " ", 2)[0].alias("moved")))
+    opened = lambda part: F.transform(part, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], opening, 1).alias("right"), (F.split(x["line"], " ", 2)[0] if with_moved else F.lit(None).cast("string")).alias("moved")))
+    many = lambda i: F.when((i + 1 >= k) & (i + 1 < F.size("lines") - k), 1).otherwise(after)
     ends = F.filter(F.transform("lines", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), i.alias("i"))), lambda x: F.substring(x["line"], -1, 1).isin(*HYPHENS))
     left = rf"(?<![^\s(\[\"'“‘])([\p{{L}}\p{{N}}]+(?:-[\p{{L}}\p{{N}}]+)*)[{HYPHENS}]$"
-    halves = F.transform(ends, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], left, 1).alias("left"), F.substring(x["line"], -1, 1).alias("sign"), opened(F.slice("lines", x["i"] + 2, after)).alias("rest")))
+    halves = F.transform(ends, lambda x: F.struct(x["line_no"].alias("line_no"), F.regexp_extract(x["line"], left, 1).alias("left"), F.substring(x["line"], -1, 1).alias("sign"), opened(F.slice("lines", x["i"] + 2, many(x["i"]))).alias("rest")))
     return lines.select("doc", "page", "block_id", "block_uid", "heading", F.filter(halves, lambda h: h["left"].rlike(r"\p{L}")).alias("halves"), opened(F.slice("lines", 1, after)).alias("first")).dropDuplicates(["block_uid"])
 
 
-def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """block_uid, line_no, next_uid, next_line, left, right, moved (all of the next line before its first blank), last, head, right_whole, word of each line that ends in the first half of a word, or (``word`` false) in that of a compound.
+def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame, settings: Settings = Settings(), with_moved: bool = False) -> DataFrame:
+    """block_uid, line_no, next_uid, next_line, left, right, moved (all of the next line before its first blank, null unless ``with_moved``), last, head, right_whole, word of each line that ends in the first half of a word, or (``word`` false) in that of a compound.
 
     The other half opens the next line of the text that is neither blank nor
     ``noise`` (heads and page numbers): in the block, in the page's next block of
@@ -252,7 +256,7 @@ def hyphenated(blocks: DataFrame, noise: DataFrame, known: DataFrame, settings:
     no document is a single task.  ``right_whole`` is the frequent form where the
     joined word is wrongly read.
     """
-    own = cut(line_halves(blocks, settings))
+    own = cut(line_halves(blocks, settings, with_moved))
     noisy = noise.groupBy("block_uid").agg(F.collect_set("line_no").alias("noisy"))  # at most a page's edge lines
     clean = own.join(noisy, "block_uid", "left")
     free = lambda part: F.filter(part, lambda x: ~F.coalesce(F.array_contains("noisy", x["line_no"]), F.lit(False)))
@@ -303,13 +307,13 @@ class Noise:
     tokens: DataFrame  # of the corpus
 
 
-def stages(document_blocks: DataFrame, settings: Settings = Settings(), corpus: DataFrame | None = None) -> Noise:
+def stages(document_blocks: DataFrame, settings: Settings = Settings(), corpus: DataFrame | None = None, with_moved: bool = False) -> Noise:
     """``corpus`` has the blocks whose words are counted (by default the same ones)."""
     blocks = _source(document_blocks)
     known_tokens = cut(tokens(blocks if corpus is None else _source(corpus)))
     known = cut(words(known_tokens, settings))
     noise = cut(heads_and_numbers(blocks, settings))
-    pairs = cut(hyphenated(blocks, noise, known, settings))
+    pairs = cut(hyphenated(blocks, noise, known, settings, with_moved))
     hyphens, compounds = pairs.where("word"), pairs.where("NOT word")
     wrong = wrong_tokens(known_tokens, corrections(known, settings))
     misread = misread_words(blocks, known_tokens, known, cut(wrong), settings)
@@ -365,7 +369,7 @@ def repair(document_blocks: DataFrame, settings: Settings = Settings(), corpus:
     after a sentence that ends a line well short of the block's longest; with
     ``markdown`` also around headings, and the rows of a table stay lines.
     """
-    found_ = stages(document_blocks, settings, corpus)
+    found_ = stages(document_blocks, settings, corpus, with_moved=True)
     blocks = _source(document_blocks)
     fixes = best_readings(cut(found_.misread), blocks if corpus is None else _source(corpus), found_.tokens)
     core = F.regexp_extract("token", PLAIN, 1)
