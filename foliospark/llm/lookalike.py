@@ -17,14 +17,19 @@ from pyspark.sql import functions as F
 FULL = "".join(map(chr, range(0xFF01, 0xFF5F)))
 HALF = "".join(map(chr, range(0x21, 0x7F)))
 #: Ligatures.
-LIGATURES = {"\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "st", "\ufb06": "st", "Ĳ": "IJ", "ĳ": "ij", "Ǉ": "LJ", "ǈ": "Lj", "ǉ": "lj", "Ǌ": "NJ", "ǋ": "Nj", "ǌ": "nj", "Ǳ": "DZ", "ǲ": "Dz", "ǳ": "dz"}
+LIGATURES = {
+    "\ufb00": "ff", "\ufb01": "fi", "\ufb02": "fl", "\ufb03": "ffi", "\ufb04": "ffl", "\ufb05": "st", "\ufb06": "st",
+    "Ĳ": "IJ", "ĳ": "ij", "Ǉ": "LJ", "ǈ": "Lj", "ǉ": "lj", "Ǌ": "NJ", "ǋ": "Nj", "ǌ": "nj", "Ǳ": "DZ", "ǲ": "Dz",
+    "ǳ": "dz"
+}
 #: Blanks other than U+0020, tab and line ends.
 BLANKS = "\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 #: Characters that are not seen.
 INVISIBLE = "\xad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180e\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\ufeff"
 #: Cyrillic letters that look like Latin ones.
 CYRILLIC, CYRILLIC_AS = "\u0430\u0435\u043e\u0440\u0441\u0443\u0445\u0456\u0458\u0455\u04bb\u0501\u051b\u051d\u04cf\u0410\u0412\u0415\u041a\u041c\u041d\u041e\u0420\u0421\u0422\u0423\u0425\u0406\u0408\u0405\u050c\u051a\u051c", "aeopcyxijshdqwlABEKMHOPCTYXIJSGQW"
-#: Greek letters that look like Latin ones (not those that serve as symbols of their own look, as alpha or mu).
+#: Greek letters that look like Latin ones (not those that serve as symbols of their own look, as alpha
+#: or mu).
 GREEK, GREEK_AS = "\u03bf\u03bd\u03f2\u03f3\u0391\u0392\u0395\u0396\u0397\u0399\u039a\u039c\u039d\u039f\u03a1\u03a4\u03a5\u03a7\u03f9\u037f", "ovcjABEZHIKMNOPTYXCJ"
 #: The one of these that is a common symbol beside a consonant.
 NU = "\u03bd"
@@ -32,7 +37,8 @@ NU = "\u03bd"
 GREEK_LONG, GREEK_LONG_AS = "\u03c1\u03c5\u03b9\u03ba", "puik"
 #: Letters of other alphabets or of phonetic script that look like Latin ones.
 OTHER, OTHER_AS = "ɡɑ\u0585\u057d\u0578\u0570\u0581ɩÐƉǃ", "gaounhgiĐĐ!"
-#: Words whose own letters are only Latin look like this after translation; letters of these alphabets that look different keep a word as it is.
+#: Words whose own letters are only Latin look like this after translation; letters of these alphabets that look
+#: different keep a word as it is.
 _CYRILLIC_OWN = "[\u0431\u0432\u0433\u0434\u0451\u0436\u0437\u0438\u0439\u043a\u043b\u043c\u043d\u043f\u0442\u0444\u0446\u0447\u0448\u0449\u044a\u044b\u044c\u044d\u044e\u044f\u0411\u0413\u0414\u0401\u0416\u0417\u0418\u0419\u041b\u041f\u0424\u0426\u0427\u0428\u0429\u042a\u042b\u042c\u042d\u042e\u042f\u0454\u0404\u0457\u0407\u0491\u0490]"
 _GREEK_OWN = "[\u03b1\u03b2\u03b3\u03b4\u03b5\u03b6\u03b7\u03b8\u03b9\u03bb\u03bc\u03be\u03c0\u03c3\u03c4\u03c6\u03c7\u03c8\u03c9\u03c2\u03ac\u03ad\u03ae\u03af\u03cc\u03cd\u03ce\u0393\u0394\u0398\u039b\u039e\u03a0\u03a3\u03a6\u03a8\u03a9]"
 
@@ -67,7 +73,9 @@ def _fold_sql() -> str:
     return f"nfc_normalize({clear})"
 
 
-#: Characters that folding never changes, alone or beside one another: those of Latin-1 but its blank, soft hyphen and the letter eth, the precomposed letters of Vietnamese, and common dashes, quotes and dots.  None of them is in a table above, and none composes.
+#: Characters that folding never changes, alone or beside one another: those of Latin-1 but its blank, soft hyphen and
+#: the letter eth, the precomposed letters of Vietnamese, and common dashes, quotes and dots.  None of them is in a
+#: table above, and none composes.
 INERT = "\x00-\x9f\xa1-\xac\xae-\xcf\xd1-\xffĂăĐđĨĩŨũƠơƯư\u1ea0-\u1ef9\u2010-\u2015\u2018-\u201e\u2020-\u2022\u2026"
 
 FOLD_SQL = f"""
@@ -109,7 +117,13 @@ def fold_table(df: DataFrame, id_col: str, text_col: str, suspects_only: bool =
                 out = con.sql(FOLD_SQL).to_arrow_table()
                 con.unregister("texts")
                 for part in out.combine_chunks().to_batches():
-                    yield pa.RecordBatch.from_arrays([part.column(0).cast(batch.schema.field(0).type), part.column(1).cast(pa.string()), part.column(2)], ["id", "folded", "differs"])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column(0).cast(batch.schema.field(0).type), part.column(1).cast(pa.string()),
+                            part.column(2)
+                        ],
+                        ["id", "folded", "differs"]
+                    )
         con.close()
 
     out = df.mapInArrow(run, f"id {id_type}, folded string, differs boolean")
@@ -135,7 +149,9 @@ def found(document_blocks: DataFrame, courses: DataFrame) -> DataFrame:
     parts = [(document_blocks, "block", "block_uid", "raw_content"), (courses, "course", "course_uid", "name")]
     out = None
     for df, kind, key, text in parts:
-        rows = fold_table(df, key, text, suspects_only=True).where("differs").select(F.lit(kind).alias("record_kind"), F.col(key).alias("record_id"))
+        rows = fold_table(df, key, text, suspects_only=True).where("differs").select(
+            F.lit(kind).alias("record_kind"), F.col(key).alias("record_id")
+        )
         out = rows if out is None else out.unionByName(rows)
     return out.distinct()
 
@@ -147,6 +163,13 @@ def consistent_names(courses: DataFrame, course_names: DataFrame) -> DataFrame:
     both sides are shuffled by the comparison form.  A form that stands twice in
     the list gives the smallest name_id.
     """
-    listed = fold_table(course_names, "name_id", "name").groupBy(comparison(F.col("folded")).alias("form")).agg(F.min("name_id").alias("name_id"))
-    ours = fold_table(courses, "course_uid", "name").dropDuplicates(["course_uid"]).withColumn("form", comparison(F.col("folded")))
-    return ours.join(listed, "form", "left").select("course_uid", F.trim(F.regexp_replace(F.regexp_replace("folded", _COMPARE, ""), r"\s+", " ")).alias("name"), "name_id")
+    listed = fold_table(course_names, "name_id", "name").groupBy(
+        comparison(F.col("folded")).alias("form")
+    ).agg(F.min("name_id").alias("name_id"))
+    ours = fold_table(courses, "course_uid", "name").dropDuplicates(["course_uid"]).withColumn(
+        "form", comparison(F.col("folded"))
+    )
+    return ours.join(listed, "form", "left").select(
+        "course_uid", F.trim(F.regexp_replace(F.regexp_replace("folded", _COMPARE, ""), r"\s+", " ")).alias("name"),
+        "name_id"
+    )

@@ -20,7 +20,8 @@ from foliospark.llm.tokenize import encode_table
 
 @dataclass(frozen=True)
 class Settings:
-    #: Ranges of keys that each source is cut into; null: as many as hold about ``range_rows`` documents each, so they follow the data (the choice does not depend on them).
+    #: Ranges of keys that each source is cut into; null: as many as hold about ``range_rows`` documents each, so they
+    #: follow the data (the choice does not depend on them).
     ranges: int | None = None
     range_rows: int = 50_000
     seed: int = 42
@@ -44,19 +45,34 @@ def budgets(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings(
     that (its budget is 0), as is a share that is null or not positive, or a cap
     under 1; the budgets of the others keep their proportions.
     """
-    wanted = targets.select(source_key(F.col("source")).alias("source"), "target_share", "max_repeats").where(F.col("source").isNotNull()).groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+    wanted = targets.select(source_key(F.col("source")).alias("source"), "target_share", "max_repeats").where(F.col("source").isNotNull()).groupBy("source").agg(
+        F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats")
+    )
     have = sizes.groupBy("source").agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("source_tokens"))
-    rows = wanted.join(have, "source", "left").select("source", "target_share", "max_repeats", F.coalesce("docs", F.lit(0)).alias("docs"), F.coalesce("source_tokens", F.lit(0)).alias("source_tokens"))
+    rows = wanted.join(have, "source", "left").select(
+        "source", "target_share", "max_repeats", F.coalesce("docs", F.lit(0)).alias("docs"),
+        F.coalesce("source_tokens", F.lit(0)).alias("source_tokens")
+    )
     usable = (F.col("target_share") > 0) & (F.col("max_repeats") >= 1) & (F.col("source_tokens") > 0)
-    reach = F.min(F.when(usable, F.col("source_tokens") * F.col("max_repeats") / F.col("target_share"))).over(Window.partitionBy())  # a row per source
+    reach = F.min(  # a row per source
+        F.when(usable, F.col("source_tokens") * F.col("max_repeats") / F.col("target_share"))
+    ).over(Window.partitionBy())
     if settings.total_tokens is not None:
         reach = F.least(reach, F.lit(float(settings.total_tokens)))
-    return rows.withColumn("budget", F.when(usable, F.round(reach * F.col("target_share")).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+    return rows.withColumn(
+        "budget",
+        F.when(usable, F.round(reach * F.col("target_share")).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    )
 
 
 def sized(documents: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, source (spelling-free), n_tokens of the documents that have a source."""
-    return encode_sizes(documents.select("doc_id", "text", source_key(F.col("source")).alias("source")).where(F.col("source").isNotNull()), path)
+    return encode_sizes(
+        documents.select(
+            "doc_id", "text", source_key(F.col("source")).alias("source")
+        ).where(F.col("source").isNotNull()),
+        path
+    )
 
 
 def encode_sizes(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -72,16 +88,29 @@ def mix(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
     within the rest, and the next one too if that comes nearer to it (never above
     max_repeats).  Documents without tokens have no size and no row.
     """
-    plan = budgets(sizes, targets, settings).withColumn("ranges", F.lit(settings.ranges) if settings.ranges else F.ceil((F.col("docs") + 1) / settings.range_rows)).where(F.col("budget") > 0).withColumn("epochs", F.floor(F.col("budget") / F.col("source_tokens"))).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("source_tokens"))
+    plan = budgets(sizes, targets, settings).withColumn(
+        "ranges", F.lit(settings.ranges) if settings.ranges else F.ceil((F.col("docs") + 1) / settings.range_rows)
+    ).where(F.col("budget") > 0).withColumn("epochs", F.floor(F.col("budget") / F.col("source_tokens"))).withColumn(
+        "rest", F.col("budget") - F.col("epochs") * F.col("source_tokens")
+    )
     # a row per target source (Spark broadcasts it if its size allows); other sources end here
-    keyed = sizes.where(F.col("n_tokens") > 0).join(plan.select("source", "max_repeats", "epochs", "rest", "ranges"), "source").withColumn("key", F.xxhash64(F.lit(settings.seed), "doc_id"))
+    keyed = sizes.where(F.col("n_tokens") > 0).join(
+        plan.select("source", "max_repeats", "epochs", "rest", "ranges"), "source"
+    ).withColumn("key", F.xxhash64(F.lit(settings.seed), "doc_id"))
     # division rounds, but never against the order of the keys
     keyed = keyed.withColumn("range", F.floor(F.col("key") / (F.lit(2.0**64) / F.col("ranges"))))
     sums = keyed.groupBy("source", "range").agg(F.sum("n_tokens").alias("tokens"))
     # a row for each range: one short sort per source
-    before = F.coalesce(F.sum("tokens").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = F.coalesce(
+        F.sum("tokens").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)
+    )
     starts = sums.select("source", "range", before.alias("before"))
-    inner = F.sum("n_tokens").over(Window.partitionBy("source", "range").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = F.sum("n_tokens").over(
+        Window.partitionBy("source", "range").orderBy("key", "doc_id").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+    )
     placed = keyed.withColumn("within", inner).join(starts, ["source", "range"])
     end = F.col("before") + F.col("within")
     begin = end - F.col("n_tokens")
@@ -93,7 +122,14 @@ def mix(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
 def shares(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Of each target source: target_share, actual_share, budget, tokens, source_tokens, docs, docs_used, most_copies."""
     sizes = cut(sizes)
-    taken = mix(sizes, targets, settings).groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.count("*").alias("docs_used"), F.max("copies").alias("most_copies"))
-    rows = budgets(sizes, targets, settings).join(taken, "source", "left").select("source", "target_share", "max_repeats", "docs", "source_tokens", "budget", F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("docs_used", F.lit(0)).alias("docs_used"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"))
+    taken = mix(sizes, targets, settings).groupBy("source").agg(
+        F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.count("*").alias("docs_used"),
+        F.max("copies").alias("most_copies")
+    )
+    rows = budgets(sizes, targets, settings).join(taken, "source", "left").select(
+        "source", "target_share", "max_repeats", "docs", "source_tokens", "budget",
+        F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("docs_used", F.lit(0)).alias("docs_used"),
+        F.coalesce("most_copies", F.lit(0)).alias("most_copies")
+    )
     total = F.sum("tokens").over(Window.partitionBy())  # a row per source
     return rows.withColumn("actual_share", F.when(total > 0, F.col("tokens") / total))

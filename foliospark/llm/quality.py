@@ -31,15 +31,20 @@ COMMON = frozenset(
 CHUNK = 1 << 10
 #: Chunks of a batch that are counted together have about so many characters.
 SLAB = 1 << 20
-#: Marks that open a list item, characters that end a sentence, and those after which a short line goes on.
+#: Marks that open a list item, characters that end a sentence, and those after which a short line goes
+#: on.
 BULLETS = "•◦▪‣·∙●○*+–—-"
 ENDS = ".!?…:;。！？\"”)"
 GOES_ON = ",-\xac\xad"
 #: Most characters and words of a line that can be an item without a mark.
 SHORT_LINE, SHORT_WORDS = 48, 9
 #: What a state counts.
-COUNTS = ("chars", "nonspace", "words", "word_chars", "common", "lines", "punct_lines", "list_chars", "table_chars", "prose_chars", "junk_chars")
-#: Characters of a line's opening that are kept (an item's mark has at most eight), and of a word at an edge (no common word has more).
+COUNTS = (
+    "chars", "nonspace", "words", "word_chars", "common", "lines", "punct_lines", "list_chars", "table_chars",
+    "prose_chars", "junk_chars"
+)
+#: Characters of a line's opening that are kept (an item's mark has at most eight), and of a word at an edge (no
+#: common word has more).
 _OPENING, _EDGE = 12, max(map(len, COMMON))
 #: Kinds of characters, as bits.
 _WORD, _SPACE, _LOWER, _DIGIT, _TAB, _BAR, _COMMA, _BREAK = (1 << i for i in range(8))
@@ -59,7 +64,9 @@ class _Characters:
         for page in np.flatnonzero(pages & ~self.seen):
             for code in range(page << 8, (page + 1) << 8):
                 c = chr(code)
-                self.kind[code] = _WORD * c.isalnum() | _SPACE * c.isspace() | _LOWER * c.islower() | _DIGIT * c.isdecimal()
+                self.kind[
+                    code
+                ] = _WORD * c.isalnum() | _SPACE * c.isspace() | _LOWER * c.islower() | _DIGIT * c.isdecimal()
                 if len(c.lower()) == 1:
                     self.lower[code] = ord(c.lower())
             self.seen[page] = True
@@ -158,11 +165,18 @@ class Lines:
     def join(self, b: Lines) -> Lines:
         """Each row with the row of ``b`` that follows it in its line."""
         a, text, blank = self, self.nonspace > 0, b.nonspace == 0
-        total = {n: getattr(a, n) + getattr(b, n) for n in ("chars", "nonspace", "words", "word_chars", "common", "bars", "gaps", "commas")}
+        total = {
+            n: getattr(a, n) + getattr(b, n) for n in (
+                "chars", "nonspace", "words", "word_chars", "common", "bars", "gaps", "commas"
+            )
+        }
         total["gaps"] = total["gaps"] + (text & ~blank & ((a.trail + b.lead >= 3) | (a.trail_tab | b.lead_tab)))
         shown = np.minimum(np.maximum(a.chars - a.lead, 0), _OPENING)
         padded = np.concatenate((np.full((len(shown), _OPENING), 32, np.uint32), b.opening), 1)
-        grown = _concat(a.opening, shown, np.take_along_axis(padded, np.arange(_OPENING) + (_OPENING - np.minimum(b.lead, _OPENING))[:, None], 1))
+        grown = _concat(
+            a.opening, shown,
+            np.take_along_axis(padded, np.arange(_OPENING) + (_OPENING - np.minimum(b.lead, _OPENING))[:, None], 1)
+        )
         opening = np.where(text[:, None], grown, b.opening)
         # the word across the seam
         one_a, one_b = a.right_size < 0, b.right_size < 0
@@ -175,9 +189,11 @@ class Lines:
         out = Lines(
             **total, last=np.where(blank, a.last, b.last), opening=opening,
             lead=np.where(text, a.lead, a.lead + b.lead), lead_tab=np.where(text, a.lead_tab, a.lead_tab | b.lead_tab),
-            trail=np.where(blank, np.where(text, a.trail + b.lead, 0), b.trail), trail_tab=np.where(blank, text & (a.trail_tab | b.lead_tab), b.trail_tab),
+            trail=np.where(blank, np.where(text, a.trail + b.lead, 0), b.trail),
+            trail_tab=np.where(blank, text & (a.trail_tab | b.lead_tab), b.trail_tab),
             left_size=np.where(one_a, size, a.left_size), left=np.where(one_a[:, None], seam, a.left),
-            right_size=np.where(one_b, np.where(one_a, -1, size), b.right_size), right=np.where(one_b[:, None], seam, b.right),
+            right_size=np.where(one_b, np.where(one_a, -1, size), b.right_size),
+            right=np.where(one_b[:, None], seam, b.right),
         )
         return a.where(b.chars == 0, b.where(a.chars == 0, out))
 
@@ -185,19 +201,31 @@ class Lines:
         """Counts of the rows as complete lines, one column for each of COUNTS."""
         words, word_chars, common = self.words, self.word_chars, self.common
         for size, word in ((self.left_size, self.left), (self.right_size, self.right)):
-            words, word_chars, common = words + (size > 0), word_chars + np.maximum(size, 0), common + _is_common(word, size)
+            words, word_chars, common = words + (size > 0), word_chars + np.maximum(size, 0), common + _is_common(
+                word, size
+            )
         nonspace, last, none = self.nonspace, self.last, np.zeros_like(self.chars)
         shown, short = nonspace > 0, nonspace <= SHORT_LINE
         ends, goes_on = (np.isin(last, [ord(c) for c in marks]) for marks in (ENDS, GOES_ON))
         spread = (self.commas >= 2) & (common <= words * 0.15) & ~ends
         # cells; of fields between commas those that are mostly numbers
-        table = (self.bars >= 2) | (self.gaps >= 2) | ((self.gaps == 1) & short) | (spread & (word_chars <= 2.7 * words))
+        table = (self.bars >= 2) | (self.gaps >= 2) | ((self.gaps == 1) & short) | (
+            spread & (word_chars <= 2.7 * words)
+        )
         lettered = word_chars >= 0.7 * nonspace
         small = _characters().kind[self.opening[:, 0]] & _LOWER > 0  # a short line that goes on in lower case is a wrapped one
-        item = _is_item(self.opening) | (spread & (words > 0) & lettered) | (short & ~ends & ~goes_on & (words > 0) & (words <= SHORT_WORDS) & lettered & ~small)
+        item = _is_item(self.opening) | (spread & (words > 0) & lettered) | (
+            short & ~ends & ~goes_on & (words > 0) & (words <= SHORT_WORDS) & lettered & ~small
+        )
         prose = ((common >= np.maximum(1, words * 0.08)) | (short & (words > 0))) & (word_chars >= 0.6 * nonspace)
         kinds = [shown & ~table & item, shown & table, shown & ~table & ~item & prose, shown & ~table & ~item & ~prose]
-        return np.stack([self.chars, nonspace, words, word_chars, common, shown, shown & ends, *[np.where(k, nonspace, none) for k in kinds]], 1)
+        return np.stack(
+            [
+                self.chars, nonspace, words, word_chars, common, shown, shown & ends,
+                *[np.where(k, nonspace, none) for k in kinds]
+            ],
+            1
+        )
 
 
 def _is_item(opening: np.ndarray) -> np.ndarray:
@@ -230,8 +258,13 @@ class States:
 
 
 def _stack(a: States, b: States) -> States:
-    rows = lambda x, y: Lines(**{f.name: np.concatenate((getattr(x, f.name), getattr(y, f.name))) for f in fields(Lines)})
-    return States(np.concatenate((a.counts, b.counts)), rows(a.head, b.head), rows(a.tail, b.tail), np.concatenate((a.open, b.open)))
+    rows = lambda x, y: Lines(
+        **{f.name: np.concatenate((getattr(x, f.name), getattr(y, f.name))) for f in fields(Lines)}
+    )
+    return States(
+        np.concatenate((a.counts, b.counts)), rows(a.head, b.head), rows(a.tail, b.tail),
+        np.concatenate((a.open, b.open))
+    )
 
 
 def chunk_states(chunks: list[str]) -> States:
@@ -284,17 +317,22 @@ def chunk_states(chunks: list[str]) -> States:
     long = end > start
     flag = np.concatenate((word, [False]))
     w_at = np.searchsorted(w0, start)
-    get = lambda values, i: values[np.minimum(np.maximum(i, 0), len(values) - 1)] if len(values) else np.zeros(len(i), np.int64)
+    get = lambda values, i: values[
+        np.minimum(np.maximum(i, 0), len(values) - 1)
+    ] if len(values) else np.zeros(len(i), np.int64)
     left = np.where(long & flag[np.where(long, start, -1)], get(w_size, w_at), 0)
     one = (left == end - start) & long
     right = np.where(long & ~one & flag[np.where(long, end - 1, -1)], get(w_size, np.searchsorted(w0, end) - 1), 0)
     edges = (left > 0).astype(np.int64) + (right > 0)
     left_word, right_word = _window(codes, start, left, _EDGE), _window(codes, end - right, right, _EDGE)
     lines = Lines(
-        chars=end - start, nonspace=nonspace, words=total(is_start) - edges, word_chars=total(word) - left - right, common=total(common) - _is_common(left_word, left) - _is_common(right_word, right),
-        bars=total((kind & _BAR) > 0), gaps=total(gap), commas=total((kind & _COMMA) > 0), last=np.where(has, codes[np.maximum(ends - 1, 0)] if len(codes) else 0, 0),
+        chars=end - start, nonspace=nonspace, words=total(is_start) - edges, word_chars=total(word) - left - right,
+        common=total(common) - _is_common(left_word, left) - _is_common(right_word, right),
+        bars=total((kind & _BAR) > 0), gaps=total(gap), commas=total((kind & _COMMA) > 0),
+        last=np.where(has, codes[np.maximum(ends - 1, 0)] if len(codes) else 0, 0),
         lead=begins - start, lead_tab=tabs[begins] > tabs[start], trail=end - ends, trail_tab=tabs[end] > tabs[ends],
-        left_size=left, right_size=np.where(one, -1, right), opening=_window(codes, begins, end - begins, _OPENING), left=left_word, right=right_word,
+        left_size=left, right_size=np.where(one, -1, right), opening=_window(codes, begins, end - begins, _OPENING),
+        left=left_word, right=right_word,
     )
     # complete lines: all but the first and last of each chunk
     closed = np.ones(len(inner), bool)
@@ -361,9 +399,13 @@ def block_counts(document_blocks: DataFrame, chunk: int = CHUNK) -> DataFrame:
     task holds does not grow with the length of a text.  Null and empty texts
     count nothing.
     """
-    source = document_blocks.select("doc", "block_uid", F.col("raw_content").alias("raw"), F.col("markdown_result").alias("markdown"))
+    source = document_blocks.select(
+        "doc", "block_uid", F.col("raw_content").alias("raw"), F.col("markdown_result").alias("markdown")
+    )
     cut = lambda c: F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
-    texts = source.select("doc", "block_uid", F.posexplode(F.array(cut(F.col("raw")), cut(F.col("markdown")))).alias("field", "chunks"))
+    texts = source.select(
+        "doc", "block_uid", F.posexplode(F.array(cut(F.col("raw")), cut(F.col("markdown")))).alias("field", "chunks")
+    )
     pieces = texts.select("doc", "block_uid", "field", F.posexplode_outer("chunks").alias("chunk_no", "piece"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -387,7 +429,10 @@ def block_counts(document_blocks: DataFrame, chunk: int = CHUNK) -> DataFrame:
             yield from _output(keys, state)
 
     types = {f.name: f.dataType.simpleString() for f in source.schema.fields}
-    return pieces.mapInArrow(run, f"doc {types['doc']}, block_uid {types['block_uid']}, field int, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    return pieces.mapInArrow(
+        run,
+        f"doc {types['doc']}, block_uid {types['block_uid']}, field int, " + ", ".join(f"{c} bigint" for c in COUNTS)
+    )
 
 
 def _slabs(chunks: list[str]) -> Iterator[tuple[int, int]]:
@@ -426,19 +471,31 @@ def document_stats(document_blocks: DataFrame, chunk: int = CHUNK, salts: int =
     """
     counts = block_counts(document_blocks, chunk).dropDuplicates(["block_uid", "field"])
     names = [(f, c) for f in ("raw", "markdown") for c in COUNTS]
-    part = counts.groupBy("doc", F.pmod("block_uid", F.lit(salts)).alias("salt")).agg(*[F.sum(F.when(F.col("field") == int(f == "markdown"), F.col(c)).otherwise(0)).alias(f"{f}_{c}") for f, c in names])
+    part = counts.groupBy("doc", F.pmod("block_uid", F.lit(salts)).alias("salt")).agg(
+        *[
+            F.sum(F.when(F.col("field") == int(f == "markdown"), F.col(c)).otherwise(0)).alias(f"{f}_{c}") for f,
+            c in names
+        ]
+    )
     doc = part.groupBy("doc").agg(*[F.sum(f"{f}_{c}").alias(f"{f}_{c}") for f, c in names])
     out = [F.col("doc")]
     for f in ("raw", "markdown"):
         col = lambda c, f=f: F.col(f"{f}_{c}")
         out += [
-            col("words"), _ratio(col("word_chars"), col("words")).alias(f"{f}_mean_word_length"), _ratio(col("nonspace") - col("word_chars"), col("nonspace")).alias(f"{f}_symbol_share"),
-            _ratio(col("punct_lines"), col("lines")).alias(f"{f}_punct_line_share"), _ratio(col("common"), col("words")).alias(f"{f}_common_share"),
+            col("words"), _ratio(col("word_chars"), col("words")).alias(f"{f}_mean_word_length"),
+            _ratio(col("nonspace") - col("word_chars"), col("nonspace")).alias(f"{f}_symbol_share"),
+            _ratio(col("punct_lines"), col("lines")).alias(f"{f}_punct_line_share"),
+            _ratio(col("common"), col("words")).alias(f"{f}_common_share"),
         ]
     prose, tab, lst, junk = (F.col(f"raw_{c}_chars") for c in ("prose", "table", "list", "junk"))
     total = prose + tab + lst + junk
-    kind = F.when(total == 0, "empty").when(prose * 2 >= total, "prose").when((tab >= lst) & (tab >= junk), "table").when(lst >= junk, "list").otherwise("junk")
-    return doc.select(*out, *[_ratio(F.col(f"raw_{c}_chars"), total).alias(f"{c}_share") for c in ("prose", "table", "list", "junk")], kind.alias("kind"))
+    kind = F.when(total == 0, "empty").when(prose * 2 >= total, "prose").when(
+        (tab >= lst) & (tab >= junk), "table"
+    ).when(lst >= junk, "list").otherwise("junk")
+    return doc.select(
+        *out, *[_ratio(F.col(f"raw_{c}_chars"), total).alias(f"{c}_share") for c in ("prose", "table", "list", "junk")],
+        kind.alias("kind")
+    )
 
 
 def found(document_blocks: DataFrame) -> DataFrame:

@@ -74,7 +74,11 @@ def p8_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading.levels(table(spark, sf_dir, "documents"), table(spark, sf_dir, "level_labels"))
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p1_repair": p1_repair, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_stats": p3_stats, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids, "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_levels": p8_levels}
+QUERIES: dict[str, Query] = {
+    "p1_found": p1_found, "p1_repair": p1_repair, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found,
+    "p3_stats": p3_stats, "p4_found": p4_found, "p4_names": p4_names, "p4_blocks": p4_blocks, "p6_ids": p6_ids,
+    "p7_mix": p7_mix, "p7_shares": p7_shares, "p8_found": p8_found, "p8_levels": p8_levels
+}
 _WHITE = "'[\\s\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x0b\\x1c-\\x1f]+'"
 
 

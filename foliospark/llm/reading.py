@@ -27,19 +27,24 @@ VIETNAMESE = "ăâđêôơưạảấầẩẫậắằẳẵặẹẻẽếề
 ABBREVIATIONS = r"e\.g|i\.e|No|no|Nr|vol|ver|vs|cf|Fig|Figs|Eq|Sec|Ch|pp|p|ed|eds|al|ca|approx|Dr|Mr|Mrs|Ms|Prof|St|Jr|vd|tr|VD|TS|ThS|GS|PGS|TP|Tp|tp"
 
 
-#: Weights of the classic familiar-word formula (share of unfamiliar words, words in a sentence), and the difficulties at which a text stops being low and starts being high.
+#: Weights of the classic familiar-word formula (share of unfamiliar words, words in a sentence), and
+#: the difficulties at which a text stops being low and starts being high.
 CLASSIC = (15.79, 0.0496, 3.65, 6.6)
-#: How far labels may move each of them (standard deviations of the prior), first those of all languages, then those of one.
+#: How far labels may move each of them (standard deviations of the prior), first those of all languages, then those
+#: of one.
 MOVES = ((30.0, 1.0, 20.0, 20.0), (15.0, 0.5, 10.0, 10.0))
 
 
 @dataclass(frozen=True)
 class Settings:
-    #: A familiar word stands in at least this share of the documents of its language.  The list has at most (words of a document / share) words, so what is kept in memory is bounded whatever the corpus.
+    #: A familiar word stands in at least this share of the documents of its language.  The list has at most (words of
+    #: a document / share) words, so what is kept in memory is bounded whatever the corpus.
     familiar: float = 0.3
     #: At most this many labelled documents are used for the fit.
     max_labels: int = 2000
-    #: Prose has so many words, in sentences of so many words on average, so large a share of them in lines of prose, not more than that share outside the list, and so many different ones (over the root of their number; a few words over and over are none).
+    #: Prose has so many words, in sentences of so many words on average, so large a share of them in lines of prose,
+    #: not more than that share outside the list, and so many different ones (over the root of their number; a few
+    #: words over and over are none).
     least_words: int = 40
     least_sentence: float = 5.0
     least_prose: float = 0.5
@@ -55,13 +60,17 @@ def language(text: Column) -> Column:
 
 def familiar_words(documents: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> DataFrame:
     """lang, word: the words that at least the share ``familiar`` of the documents of the language with ``least_words`` words and more have."""
-    texts = documents.where(F.col(text_col).isNotNull()).select(language(F.col(text_col)).alias("lang"), F.regexp_extract_all(F.lower(text_col), F.lit(WORDS), 0).alias("words"))
+    texts = documents.where(F.col(text_col).isNotNull()).select(
+        language(F.col(text_col)).alias("lang"), F.regexp_extract_all(F.lower(text_col), F.lit(WORDS), 0).alias("words")
+    )
     # the empty word counts the documents; a filter on the words would be pushed below them and find them twice
     long = F.when(F.size("words") >= settings.least_words, F.array_distinct(F.concat("words", F.array(F.lit("")))))
     each = texts.select("lang", F.explode(long).alias("word"))
     counts = cut(each.groupBy("lang", "word").agg(F.count("*").alias("n")))
     total = counts.where(F.col("word") == "").select("lang", F.col("n").alias("total"))  # two rows
-    return counts.where(F.col("word") != "").join(F.broadcast(total), "lang").where(F.col("n") >= settings.familiar * F.col("total")).select("lang", "word")
+    return counts.where(F.col("word") != "").join(F.broadcast(total), "lang").where(
+        F.col("n") >= settings.familiar * F.col("total")
+    ).select("lang", "word")
 
 
 class Reader:
@@ -131,7 +140,9 @@ class Reader:
         if not words:
             return lang, total, False, 1.0, 0.0
         unknown, length = 1 - familiar / words, words / number
-        prose = total >= s.least_words and words >= s.least_prose * total and length >= s.least_sentence and unknown <= s.most_unknown and len(different) >= s.least_variety * words**0.5
+        prose = total >= s.least_words and words >= s.least_prose * total and length >= s.least_sentence and unknown <= s.most_unknown and len(
+            different
+        ) >= s.least_variety * words**0.5
         return lang, total, prose, unknown, length
 
 
@@ -147,18 +158,24 @@ class Formula:
 
     def predict(self, rows: np.ndarray, vietnamese: np.ndarray) -> np.ndarray:
         z = self.difficulty(rows, vietnamese)
-        return sum((z > np.where(vietnamese, self.weights[True][i], self.weights[False][i])).astype(int) for i in (2, 3))
+        return sum(
+            (z > np.where(vietnamese, self.weights[True][i], self.weights[False][i])).astype(int) for i in (2, 3)
+        )
 
 
 def fit(rows: np.ndarray, vietnamese: np.ndarray, level: np.ndarray) -> Formula:
     """The formula after the labels, for any number of them (none leaves it classic): all languages together from the classic weights, then each language from those of all."""
     both = _moved(rows, level, np.array(CLASSIC), np.array(MOVES[0]))
-    return Formula({vi: _moved(rows[vietnamese == vi], level[vietnamese == vi], both, np.array(MOVES[1])) for vi in (False, True)})
+    return Formula(
+        {vi: _moved(rows[vietnamese == vi], level[vietnamese == vi], both, np.array(MOVES[1])) for vi in (False, True)}
+    )
 
 
 def _moved(rows: np.ndarray, level: np.ndarray, start: np.ndarray, moves: np.ndarray, steps: int = 60) -> np.ndarray:
     """Most likely weights and thresholds of two logistic cuts of one sum, near ``start``: Newton steps on a concave function, so deterministic."""
-    x = np.concatenate([np.column_stack([rows, -(k == 0) * np.ones(len(rows)), -(k == 1) * np.ones(len(rows))]) for k in (0, 1)]) * moves
+    x = np.concatenate(
+        [np.column_stack([rows, -(k == 0) * np.ones(len(rows)), -(k == 1) * np.ones(len(rows))]) for k in (0, 1)]
+    ) * moves
     y = np.concatenate([level > 0, level > 1]).astype(float)
     delta = np.zeros(4)
     base = x @ (start / moves)
@@ -185,7 +202,10 @@ def _moved(rows: np.ndarray, level: np.ndarray, start: np.ndarray, moves: np.nda
 _FEATURES = "lang string, n_words int, is_prose boolean, unknown double, sentence_length double, difficulty double"
 
 
-def document_features(documents: DataFrame, familiar: dict[str, frozenset[str]], settings: Settings = Settings(), formula: Formula | None = None) -> DataFrame:
+def document_features(
+    documents: DataFrame, familiar: dict[str, frozenset[str]], settings: Settings = Settings(),
+    formula: Formula | None = None
+) -> DataFrame:
     """doc_id, lang, n_words, is_prose, unknown (share of words outside the list), sentence_length, and with ``formula`` difficulty and level (both null where it is no prose)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,15 +213,29 @@ def document_features(documents: DataFrame, familiar: dict[str, frozenset[str]],
         for batch in batches:
             found = [reader.features(t) or ("en", 0, False, 0.0, 0.0) for t in batch.column(1).to_pylist()]
             cols = list(zip(*found)) if found else [[]] * 5
-            rows, prose, vietnamese = np.array(cols[3:5], float).T.reshape(len(found), 2), np.array(cols[2], bool), np.array([c == "vi" for c in cols[0]], bool)
+            rows, prose, vietnamese = np.array(cols[3:5], float).T.reshape(len(found), 2), np.array(cols[2], bool), np.array(
+                [c == "vi" for c in cols[0]], bool
+            )
             shown = prose & (formula is not None)
-            difficulty, level = (formula.difficulty(rows, vietnamese), formula.predict(rows, vietnamese)) if formula else (np.zeros(len(found)), np.zeros(len(found), int))
-            arrays = [pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.bool_(), pa.float64(), pa.float64()))]
-            arrays += [pa.array(difficulty, pa.float64(), mask=~shown), pa.array([LEVELS[i] for i in level], pa.string(), mask=~shown)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "lang", "n_words", "is_prose", "unknown", "sentence_length", "difficulty", "level"])
+            difficulty, level = (
+                formula.difficulty(rows, vietnamese), formula.predict(rows, vietnamese)
+            ) if formula else (np.zeros(len(found)), np.zeros(len(found), int))
+            arrays = [
+                pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.bool_(), pa.float64(), pa.float64()))
+            ]
+            arrays += [
+                pa.array(difficulty, pa.float64(), mask=~shown),
+                pa.array([LEVELS[i] for i in level], pa.string(), mask=~shown)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *arrays],
+                ["doc_id", "lang", "n_words", "is_prose", "unknown", "sentence_length", "difficulty", "level"]
+            )
 
     source = documents.select("doc_id", "text")
-    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, {_FEATURES}, level string")
+    return source.mapInArrow(
+        run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, {_FEATURES}, level string"
+    )
 
 
 def levels(documents: DataFrame, level_labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -220,11 +254,15 @@ def levels(documents: DataFrame, level_labels: DataFrame, settings: Settings = S
     familiar = {lang: frozenset(w) for lang, w in words.items()}
     labels = level_labels.where(F.col("level").isin(*LEVELS)).groupBy("doc_id").agg(F.min("level").alias("label"))
     labels = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.max_labels)
-    sample = document_features(documents.join(labels.select("doc_id"), "doc_id", "left_semi"), familiar, settings).where("is_prose").join(labels, "doc_id")
+    sample = document_features(
+        documents.join(labels.select("doc_id"), "doc_id", "left_semi"), familiar, settings
+    ).where("is_prose").join(labels, "doc_id")
     rows = sample.select("lang", "unknown", "sentence_length", "label", "doc_id").collect()  # at most max_labels
     rows.sort(key=lambda r: r["doc_id"])
     x = np.array([[r["unknown"], r["sentence_length"]] for r in rows], float).reshape(len(rows), 2)
-    formula = fit(x, np.array([r["lang"] == "vi" for r in rows], bool), np.array([LEVELS.index(r["label"]) for r in rows], int))
+    formula = fit(
+        x, np.array([r["lang"] == "vi" for r in rows], bool), np.array([LEVELS.index(r["label"]) for r in rows], int)
+    )
     return document_features(documents, familiar, settings, formula)
 
 

@@ -17,11 +17,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed value: the white space characters of Unicode, and the four separators that count as white space in most runtimes.
+#: Fixed value: the white space characters of Unicode, and the four separators that count as white space in most
+#: runtimes.
 WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Strengths of a cut: inside a character with its marks, between two characters, after a blank, a clause, a sentence, a line, a paragraph.
+#: Strengths of a cut: inside a character with its marks, between two characters, after a blank, a clause, a sentence,
+#: a line, a paragraph.
 INSIDE, BETWEEN, BLANK, CLAUSE, SENTENCE, LINE, PARAGRAPH = range(7)
-#: Characters of one sparse table; longer texts are worked through table by table, so memory does not follow the text's length.
+#: Characters of one sparse table; longer texts are worked through table by table, so memory does not follow the
+#: text's length.
 SLAB = 1 << 18
 #: Characters around it that are looked at too.
 CONTEXT = 256
@@ -63,7 +66,9 @@ def strengths(text: str) -> np.ndarray:
         lines = np.concatenate(([0], np.cumsum(kind == 2)))
         breaks = lines[ends] - lines[begins]
         last = np.where(begins > 0, kind[np.maximum(begins - 1, 0)], 0)
-        out[where[ends]] = np.select([breaks > 1, breaks == 1, last == 4, last == 3], [PARAGRAPH, LINE, SENTENCE, CLAUSE], BLANK)
+        out[where[ends]] = np.select(
+            [breaks > 1, breaks == 1, last == 4, last == 3], [PARAGRAPH, LINE, SENTENCE, CLAUSE], BLANK
+        )
     out[n] = PARAGRAPH
     return out
 
@@ -137,18 +142,36 @@ def page_items(page_results: DataFrame) -> DataFrame:
     """``item_kind, item_id, text`` of each page (empty text where no block has any)."""
     entries = F.array_sort(
         F.filter(
-            F.transform(F.coalesce("blocks", F.array().cast("array<struct<block_id:int,block_type:string,markdown_result:string>>")), lambda b, i: F.struct(b["block_id"].alias("block_id"), i.alias("i"), stripped(b["markdown_result"]).alias("text"))),
+            F.transform(
+                F.coalesce(
+                    "blocks", F.array().cast("array<struct<block_id:int,block_type:string,markdown_result:string>>")
+                ),
+                lambda b, i: F.struct(
+                    b["block_id"].alias("block_id"), i.alias("i"), stripped(b["markdown_result"]).alias("text")
+                )
+            ),
             lambda b: F.length(b["text"]) > 0,
         )
     )
     ordered = page_results.select("page_uid", entries.alias("entries"))
-    once = ordered.select("page_uid", F.filter("entries", lambda b, i: (i == 0) | ~F.get(F.col("entries"), i - 1)["block_id"].eqNullSafe(b["block_id"])).alias("entries"))
-    return once.select(F.lit("page").alias("item_kind"), F.col("page_uid").alias("item_id"), page_text(F.col("entries")).alias("text"), F.lit("page").alias("limit_kind"))
+    once = ordered.select(
+        "page_uid",
+        F.filter(
+            "entries", lambda b, i: (i == 0) | ~F.get(F.col("entries"), i - 1)["block_id"].eqNullSafe(b["block_id"])
+        ).alias("entries")
+    )
+    return once.select(
+        F.lit("page").alias("item_kind"), F.col("page_uid").alias("item_id"), page_text(F.col("entries")).alias("text"),
+        F.lit("page").alias("limit_kind")
+    )
 
 
 def block_items(document_blocks: DataFrame) -> DataFrame:
     """``item_kind, item_id, text`` of each block; its limit is that of its block_type."""
-    return document_blocks.select(F.lit("block").alias("item_kind"), F.col("block_uid").alias("item_id"), stripped(F.col("markdown_result")).alias("text"), F.col("block_type").alias("limit_kind"))
+    return document_blocks.select(
+        F.lit("block").alias("item_kind"), F.col("block_uid").alias("item_id"),
+        stripped(F.col("markdown_result")).alias("text"), F.col("block_type").alias("limit_kind")
+    )
 
 
 def split_items(items: DataFrame, limits: DataFrame, with_text: bool = True) -> DataFrame:
@@ -163,8 +186,13 @@ def split_items(items: DataFrame, limits: DataFrame, with_text: bool = True) ->
     Cutting happens where the rows are (no shuffle); only the pieces are made
     unique by key.
     """
-    limits = limits.select(F.col("item_kind").alias("limit_kind"), "max_chars", F.coalesce("overlap_chars", F.lit(0)).alias("overlap_chars"))
-    big = items.join(limits, "limit_kind").where(F.char_length("text") > F.col("max_chars")).select("item_kind", "item_id", "text", "max_chars", "overlap_chars")
+    limits = limits.select(
+        F.col("item_kind").alias("limit_kind"), "max_chars",
+        F.coalesce("overlap_chars", F.lit(0)).alias("overlap_chars")
+    )
+    big = items.join(limits, "limit_kind").where(F.char_length("text") > F.col("max_chars")).select(
+        "item_kind", "item_id", "text", "max_chars", "overlap_chars"
+    )
     id_type = items.schema["item_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,9 +212,14 @@ def split_items(items: DataFrame, limits: DataFrame, with_text: bool = True) ->
     def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         columns = list(zip(*rows)) if rows else [[]] * 6
         types = (pa.string(), schema.field(1).type, pa.int32(), pa.int32(), pa.int32(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["item_kind", "item_id", "piece_no", "start_char", "end_char", "piece"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types)],
+            ["item_kind", "item_id", "piece_no", "start_char", "end_char", "piece"]
+        )
 
-    out = big.mapInArrow(run, f"item_kind string, item_id {id_type}, piece_no int, start_char int, end_char int, piece string")
+    out = big.mapInArrow(
+        run, f"item_kind string, item_id {id_type}, piece_no int, start_char int, end_char int, piece string"
+    )
     out = out.dropDuplicates(["item_kind", "item_id", "piece_no"])
     return out if with_text else out.drop("piece")
 

@@ -115,7 +115,9 @@ class BatchBpe:
             symbols[places] = self.merged[rank[places]]
             stay = np.ones(len(symbols), bool)
             stay[places + 1] = False
-            sizes = np.add.reduceat(stay, np.concatenate(([0], np.cumsum(sizes)[:-1])), dtype=np.int64).astype(sizes.dtype)
+            sizes = np.add.reduceat(
+                stay, np.concatenate(([0], np.cumsum(sizes)[:-1])), dtype=np.int64
+            ).astype(sizes.dtype)
             symbols = symbols[stay]
         number = np.zeros(sum(len(w) for w, _, _ in out), np.int64)
         for w, _, n in out:
@@ -238,7 +240,10 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def encode_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, count_only: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+def encode_table(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, count_only: bool = False,
+    keep: tuple[str, ...] = ()
+) -> DataFrame:
     """``id_col``, the columns ``keep`` and ``ids`` (array<int>), or with ``count_only`` ``n_tokens`` (bigint), of every row, without special tokens.
 
     Null and empty texts give an empty list (0 tokens); text that spells a special
@@ -249,7 +254,9 @@ def encode_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     where = path or vocabulary_path()
     kept = [f"c{i}" for i in range(len(keep) + 1)]
-    df = df.select(F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(k) for c, k in zip((id_col, *keep), kept)])
+    df = df.select(
+        F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(k) for c, k in zip((id_col, *keep), kept)]
+    )
     types = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,4 +275,7 @@ def encode_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     kind = "bigint" if count_only else "array<int>"
     out = df.mapInArrow(run, f"{types}, ids {kind}")
-    return out.select(*[F.col(k).alias(c) for c, k in zip((id_col, *keep), kept)], F.col("ids").alias("n_tokens" if count_only else "ids"))
+    return out.select(
+        *[F.col(k).alias(c) for c, k in zip((id_col, *keep), kept)],
+        F.col("ids").alias("n_tokens" if count_only else "ids")
+    )

@@ -26,7 +26,11 @@ def counts(text):
         short = len(shown) <= 48
         if bars >= 2 or gaps >= 2 or (gaps == 1 and short) or (spread and chars <= 2.7 * len(words)):
             kind = 8
-        elif ITEM.match(opening) or (spread and words and chars >= 0.7 * len(shown)) or (short and not ends and shown[-1] not in ",-\xac\xad" and 0 < len(words) <= 9 and chars >= 0.7 * len(shown) and not opening[0].islower()):
+        elif ITEM.match(opening) or (spread and words and chars >= 0.7 * len(shown)) or (
+            short and not ends and shown[-1] not in ",-\xac\xad" and 0 < len(
+                words
+            ) <= 9 and chars >= 0.7 * len(shown) and not opening[0].islower()
+        ):
             kind = 7
         else:
             kind = 9 if (common >= max(1, len(words) * 0.08) or short and words) and chars >= 0.6 * len(shown) else 10

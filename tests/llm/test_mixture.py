@@ -2,9 +2,13 @@ from foliospark.llm import mixture as M
 
 
 def frames(spark):
-    sizes = [(i, "big", 10 + i % 7) for i in range(400)] + [(1000 + i, "small", 5) for i in range(40)] + [(2000, "other", 99), (3000, "big", 0)]
+    sizes = [
+        (i, "big", 10 + i % 7) for i in range(400)
+    ] + [(1000 + i, "small", 5) for i in range(40)] + [(2000, "other", 99), (3000, "big", 0)]
     targets = [("Big", 0.5, 1), ("small ", 0.4, 3), ("missing", 0.1, 2), (None, 0.5, 1), ("zero", 0.0, 1)]
-    return spark.createDataFrame(sizes, "doc_id bigint, source string, n_tokens bigint"), spark.createDataFrame(targets, "source string, target_share double, max_repeats int")
+    return spark.createDataFrame(sizes, "doc_id bigint, source string, n_tokens bigint"), spark.createDataFrame(
+        targets, "source string, target_share double, max_repeats int"
+    )
 
 
 def test_budgets_and_mix(spark):
@@ -32,5 +36,7 @@ def test_partial_epoch_and_shares(spark):
 
 
 def test_source_names(spark):
-    df = spark.createDataFrame([("Lecture Notes",), (" lecture_notes ",), ("lecture-notes",), (" ",), (None,)], "s string")
+    df = spark.createDataFrame(
+        [("Lecture Notes",), (" lecture_notes ",), ("lecture-notes",), (" ",), (None,)], "s string"
+    )
     assert [r[0] for r in df.select(M.source_key(df.s)).collect()] == ["lecture_notes"] * 3 + [None] * 2

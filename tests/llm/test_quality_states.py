@@ -5,7 +5,10 @@ from quality_model import counts
 
 from foliospark.llm import quality as Q
 
-PARTS = ["the ", "  ", "a", "bc ", ".\n", "\n", "|", "\t", " ,", "Mỗi ", "• ", "9", "\n\n", "é-", "(iv) ", "12. ", "a) ", "WHENEVER", "because,", "x; y, 5, 7, 8", "\r", "𝔘", "　", "_", "one two three four", "ﬁ", "½", "\xad\n", "ß", "İ "]
+PARTS = [
+    "the ", "  ", "a", "bc ", ".\n", "\n", "|", "\t", " ,", "Mỗi ", "• ", "9", "\n\n", "é-", "(iv) ", "12. ", "a) ",
+    "WHENEVER", "because,", "x; y, 5, 7, 8", "\r", "𝔘", "　", "_", "one two three four", "ﬁ", "½", "\xad\n", "ß", "İ "
+]
 
 
 def texts(n, seed=3):
@@ -36,13 +39,18 @@ def test_rounds_against_the_model():
 
 def test_texts_over_batches(spark, monkeypatch):
     sample = texts(40, 5) + [("one two, the three\n" * 50 + "\t| x") * 3, "", None]
-    df = spark.createDataFrame([("d", i, t, None if i % 3 else t) for i, t in enumerate(sample)], "doc string, block_uid bigint, raw_content string, markdown_result string").coalesce(2)
+    df = spark.createDataFrame(
+        [("d", i, t, None if i % 3 else t) for i, t in enumerate(sample)],
+        "doc string, block_uid bigint, raw_content string, markdown_result string"
+    ).coalesce(2)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
         got = {(r["block_uid"], r["field"]): list(r[3:]) for r in Q.block_counts(df, chunk=5).collect()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert got == {(i, f): counts((t or "") if not f or i % 3 == 0 else "") for i, t in enumerate(sample) for f in (0, 1)}
+    assert got == {
+        (i, f): counts((t or "") if not f or i % 3 == 0 else "") for i, t in enumerate(sample) for f in (0, 1)
+    }
 
 
 def test_same_kinds_by_small_chunks(spark, sf):

@@ -5,7 +5,9 @@ from foliospark.llm import reading as R
 
 def test_held_out_accuracy(spark, sf):
     folder = sf.replace("sf0.001", "sf0.01")
-    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/level_labels.parquet")
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(
+        f"{folder}/level_labels.parquet"
+    )
     fit, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
     got = {r["doc_id"]: r["level"] for r in R.levels(docs, fit).collect()}
     rows = held.collect()
@@ -24,7 +26,9 @@ def test_odd_documents(spark):
 
 def test_sentences():
     reader = R.Reader({}, R.Settings())
-    lang, words, prose, *_, length = reader.features("The dog ran (e.g. No. 4) to the hill i.e. ver. 2.1 again. It was\nlate. Then Bob slept.")
+    lang, words, prose, *_, length = reader.features(
+        "The dog ran (e.g. No. 4) to the hill i.e. ver. 2.1 again. It was\nlate. Then Bob slept."
+    )
     assert (lang, words) == ("en", 19) and round(length, 2) == 6.33 and not prose
     assert reader.features(None) is None and reader.features(" 1 2 ") is None
 
@@ -35,7 +39,9 @@ def test_fit_is_deterministic():
     rows = np.column_stack([level * 0.2 + rng.normal(0, 0.02, 120), 5.0 + level * 10])
     vi = np.arange(120) % 2 == 1
     a, b = R.fit(rows, vi, level), R.fit(rows, vi, level)
-    assert all(np.array_equal(a.weights[k], b.weights[k]) for k in (False, True)) and (a.predict(rows, vi) == level).mean() > 0.95
+    assert all(
+        np.array_equal(a.weights[k], b.weights[k]) for k in (False, True)
+    ) and (a.predict(rows, vi) == level).mean() > 0.95
     assert all(w[0] > 0 and w[1] > 0 and w[2] < w[3] for w in a.weights.values())
 
 
@@ -51,5 +57,8 @@ def test_one_formula_for_any_number_of_labels():
 
 def test_familiar_words_of_any_length(spark):
     word = "x" * 90
-    docs = spark.createDataFrame([(i, f"{word} " + " ".join(f"w{c}" for c in "abcdefghij") + " and so on " * 12) for i in range(4)], "doc_id bigint, text string")
+    docs = spark.createDataFrame(
+        [(i, f"{word} " + " ".join(f"w{c}" for c in "abcdefghij") + " and so on " * 12) for i in range(4)],
+        "doc_id bigint, text string"
+    )
     assert word in {r["word"] for r in R.familiar_words(docs).collect()}

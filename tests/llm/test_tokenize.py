@@ -2,7 +2,10 @@ import pytest
 
 from foliospark.llm import tokenize as T
 
-TEXTS = ["", None, "Hello world", "aaaaaaaaaaa", "a" * 3001, "Các kiểm định học thuật.\r\n\t x", "<|endoftext|> x", "😀👩‍💻 é́", " \n\n  ", "ab" * 500, "0123456789" * 20, "don't we'll"]
+TEXTS = [
+    "", None, "Hello world", "aaaaaaaaaaa", "a" * 3001, "Các kiểm định học thuật.\r\n\t x", "<|endoftext|> x",
+    "😀👩‍💻 é́", " \n\n  ", "ab" * 500, "0123456789" * 20, "don't we'll"
+]
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +18,10 @@ def reference():
 
 
 def test_ids_and_round_trip(spark, reference):
-    df = spark.createDataFrame([(i, t, i) for i, t in enumerate(TEXTS)] + [(None, "x", 0), (0, "again", 0)], "doc_id bigint, text string, ids int")
+    df = spark.createDataFrame(
+        [(i, t, i) for i, t in enumerate(TEXTS)] + [(None, "x", 0), (0, "again", 0)],
+        "doc_id bigint, text string, ids int"
+    )
     got = T.encode_table(df).collect()
     assert len(got) == len(TEXTS) + 2
     by_id = {r["doc_id"]: r["ids"] for r in got if r["doc_id"] not in (None, 0)}
@@ -43,7 +49,10 @@ def test_long_words_rank_by_rank(reference, monkeypatch):
     import time
 
     rng = random.Random(4)
-    words = ["".join(rng.choice("abcdethin" if k % 2 else "aab") for _ in range(n)) for k, n in enumerate((3, 40, 700, 5000, 9000))] + ["ab" * 3000, "a" * 4097, "não" * 900]
+    words = [
+        "".join(rng.choice("abcdethin" if k % 2 else "aab") for _ in range(n)) for k,
+        n in enumerate((3, 40, 700, 5000, 9000))
+    ] + ["ab" * 3000, "a" * 4097, "não" * 900]
     for rounds in (0, 3, 48):
         monkeypatch.setattr(T, "ROUNDS", rounds)
         flat, number = T.BatchBpe(T.vocabulary_path()).encode([*words, "short words here"])
@@ -58,5 +67,9 @@ def test_long_words_rank_by_rank(reference, monkeypatch):
 
 
 def test_columns_beside_the_ids(spark):
-    df = spark.createDataFrame([(1, "a b", "s", 5), (None, None, None, 6)], "doc_id bigint, text string, ids string, n_tokens int")
-    assert sorted(map(tuple, T.encode_table(df, count_only=True, keep=("ids",)).collect()), key=str) == [(1, "s", 2), (None, None, 0)]
+    df = spark.createDataFrame(
+        [(1, "a b", "s", 5), (None, None, None, 6)], "doc_id bigint, text string, ids string, n_tokens int"
+    )
+    assert sorted(
+        map(tuple, T.encode_table(df, count_only=True, keep=("ids",)).collect()), key=str
+    ) == [(1, "s", 2), (None, None, 0)]
