@@ -43,7 +43,9 @@ def broadcast_if(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def carry(df: DataFrame, values: dict[str, Column], keys: tuple[str, ...], order: str, width: int, current: bool = True) -> DataFrame:
+def carry(
+    df: DataFrame, values: dict[str, Column], keys: tuple[str, ...], order: str, width: int, current: bool = True
+) -> DataFrame:
     """``df`` with columns ``values``: of each the last value that is not null up to the row (``current``) or before it, in ``order`` (a number) within ``keys``.
 
     A key with a large part of all rows is no single task's window: rows are cut
@@ -53,19 +55,29 @@ def carry(df: DataFrame, values: dict[str, Column], keys: tuple[str, ...], order
     """
     # a null key is a key of its own in a window, but not in a join; rows without an order come first
     named = [F.coalesce(F.concat(F.lit("k"), F.col(k).cast("string")), F.lit("")) for k in keys]
-    r = df.withColumn("_r", F.coalesce(F.floor(F.col(order) / width), F.lit(-(1 << 62)))).withColumn("_k", F.concat_ws("\n", *named)).withColumns({f"_v_{n}": v for n, v in values.items()})
-    ends = r.groupBy("_k", "_r").agg(*[F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.col(order))).alias(n) for n in values])
+    r = df.withColumn(
+        "_r", F.coalesce(F.floor(F.col(order) / width), F.lit(-(1 << 62)))
+    ).withColumn("_k", F.concat_ws("\n", *named)).withColumns({f"_v_{n}": v for n, v in values.items()})
+    ends = r.groupBy("_k", "_r").agg(
+        *[F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.col(order))).alias(n) for n in values]
+    )
     upto = Window.partitionBy("_k").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     before = ends.select("_k", "_r", *[F.last(n, ignorenulls=True).over(upto).alias(f"_b_{n}") for n in values])
-    inside = Window.partitionBy("_k", "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow if current else -1)
-    out = r.join(before, ["_k", "_r"]).withColumns({n: F.coalesce(F.last(f"_v_{n}", ignorenulls=True).over(inside), f"_b_{n}") for n in values})
+    inside = Window.partitionBy("_k", "_r").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow if current else -1
+    )
+    out = r.join(before, ["_k", "_r"]).withColumns(
+        {n: F.coalesce(F.last(f"_v_{n}", ignorenulls=True).over(inside), f"_b_{n}") for n in values}
+    )
     return out.select(*df.columns, *values)
 
 
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors, once per application, where they would not find it: not installed, and not on the PYTHONPATH they inherit."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p] + site.getsitepackages()
+    known = [
+        os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p
+    ] + site.getsitepackages()
     context = spark.sparkContext
     if root in known or getattr(context, "_foliospark_sent", False):
         return

@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
-#: Fixed value: the white space characters of Unicode, with the four separators that count as white space in most runtimes.
+#: Fixed value: the white space characters of Unicode, with the four separators that count as white space in most
+#: runtimes.
 WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 #: Fixed value: inline and displayed formulas, which the repairs leave alone.
@@ -57,7 +58,9 @@ def round_binary(value: Column | str, digits: Column | int) -> Column:
     error = (high * double - product) + (value - high) * double
     above, below = (product - n * 2 - 1) + error, (product - n * 2 + 1) + error
     odd = n % 2 != 0
-    near = F.when(above > 0, n + 1).when(below < 0, n - 1).when((above == 0) & odd, n + 1).when((below == 0) & odd, n - 1).otherwise(n)
+    near = F.when(above > 0, n + 1).when(below < 0, n - 1).when(
+        (above == 0) & odd, n + 1
+    ).when((below == 0) & odd, n - 1).otherwise(n)
     return F.when(F.abs(value) * scale < F.lit(2.0**52), near / scale).otherwise(value)
 
 
@@ -97,13 +100,22 @@ def clean_text(text: Column) -> Column:
 
 def heading_prefix(text: Column, level: Column) -> Column:
     """``#`` to ``###`` before the first non-blank line, for levels 1 to 3."""
-    marked = F.regexp_replace(text, r"(?U)\A((?:[^\S\n]*\n)*)[^\S\n]*([^\n]*\S)[^\S\n]*", F.concat(F.lit("$1"), F.repeat(F.lit("#"), level), F.lit(" $2")))
+    marked = F.regexp_replace(
+        text, r"(?U)\A((?:[^\S\n]*\n)*)[^\S\n]*([^\n]*\S)[^\S\n]*",
+        F.concat(F.lit("$1"), F.repeat(F.lit("#"), level), F.lit(" $2"))
+    )
     return F.when(level.between(1, 3) & (F.length(strip(text)) > 0), marked).otherwise(text)
 
 
 def table_row(cells: Column) -> Column:
     """One Markdown row of cells; null cells are empty, bars are escaped."""
-    return F.concat(F.lit("| "), F.array_join(F.transform(cells, lambda c: strip(F.replace(F.coalesce(c, F.lit("")), F.lit("|"), F.lit("\\|")))), " | "), F.lit(" |"))
+    return F.concat(
+        F.lit("| "),
+        F.array_join(
+            F.transform(cells, lambda c: strip(F.replace(F.coalesce(c, F.lit("")), F.lit("|"), F.lit("\\|")))), " | "
+        ),
+        F.lit(" |")
+    )
 
 
 def table_markdown(rows: Column) -> Column:
@@ -111,7 +123,12 @@ def table_markdown(rows: Column) -> Column:
     width = F.size(F.get(rows, F.lit(0)))
     rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), width), " | "), F.lit(" |"))
     made = F.transform(rows, table_row)
-    return F.when((F.size(rows) > 0) & (width > 0), F.array_join(F.concat(F.slice(made, 1, 1), F.array(rule), F.slice(made, 2, F.greatest(F.size(rows), F.lit(1)))), "\n"))
+    return F.when(
+        (F.size(rows) > 0) & (width > 0),
+        F.array_join(
+            F.concat(F.slice(made, 1, 1), F.array(rule), F.slice(made, 2, F.greatest(F.size(rows), F.lit(1)))), "\n"
+        )
+    )
 
 
 def repair_table(text: Column) -> Column:
@@ -120,9 +137,13 @@ def repair_table(text: Column) -> Column:
     head = F.get(kept, F.lit(0))
     bars = F.length(head) - F.length(F.replace(head, F.lit("|"), F.lit("")))
     # fewer than two bars leave a rule without columns
-    rule = F.concat(F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), F.greatest(bars - 1, F.lit(0))), " | "), F.lit(" |"))
+    rule = F.concat(
+        F.lit("| "), F.array_join(F.array_repeat(F.lit("---"), F.greatest(bars - 1, F.lit(0))), " | "), F.lit(" |")
+    )
     has_rule = F.get(kept, F.lit(1)).rlike(r"(?U)^\|[\s\-|]+\|$")
-    with_rule = F.when(has_rule, kept).otherwise(F.concat(F.slice(kept, 1, 1), F.array(rule), F.slice(kept, 2, F.greatest(F.size(kept), F.lit(1)))))
+    with_rule = F.when(has_rule, kept).otherwise(
+        F.concat(F.slice(kept, 1, 1), F.array(rule), F.slice(kept, 2, F.greatest(F.size(kept), F.lit(1))))
+    )
     return F.when(F.size(kept) < 2, F.lit("")).otherwise(F.array_join(with_rule, "\n"))
 
 
@@ -159,9 +180,17 @@ def json_indented(value: Column, kind: DataType, level: int = 0) -> Column:
     """JSON with two blanks of indentation for each level and with null fields, as text tools print it; ``kind`` is the type of ``value``."""
     pad, end = "  " * (level + 1), "\n" + "  " * level
     if isinstance(kind, StructType):
-        parts = [F.concat(F.lit(f'{pad}"{f.name}": '), json_indented(value[f.name], f.dataType, level + 1)) for f in kind.fields]
-        return F.when(value.isNull(), "null").otherwise(F.concat(F.lit("{\n"), F.concat_ws(",\n", *parts), F.lit(end + "}")))
+        parts = [
+            F.concat(
+                F.lit(f'{pad}"{f.name}": '), json_indented(value[f.name], f.dataType, level + 1)
+            ) for f in kind.fields
+        ]
+        return F.when(value.isNull(), "null").otherwise(
+            F.concat(F.lit("{\n"), F.concat_ws(",\n", *parts), F.lit(end + "}"))
+        )
     if isinstance(kind, ArrayType):
         items = F.transform(value, lambda x: F.concat(F.lit(pad), json_indented(x, kind.elementType, level + 1)))
-        return F.when(value.isNull(), "null").when(F.size(value) == 0, "[]").otherwise(F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit(end + "]")))
+        return F.when(value.isNull(), "null").when(F.size(value) == 0, "[]").otherwise(
+            F.concat(F.lit("[\n"), F.array_join(items, ",\n"), F.lit(end + "]"))
+        )
     return F.regexp_replace(F.to_json(F.array(value)), r"(?s)^\[(.*)\]$", "$1")

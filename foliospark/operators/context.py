@@ -38,7 +38,10 @@ PROMPT_ORDER = ("system", "tool", "knowledge", "memory", "history", "query")
 
 def injection_flags(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Rows with ``flags``: the names of the patterns that the text has (empty for null)."""
-    found = F.filter(F.array(*[F.when(F.col(text_col).rlike(p.replace("(?i)", "(?iu)")), name) for name, p in INJECTION.items()]), lambda x: x.isNotNull())
+    found = F.filter(
+        F.array(*[F.when(F.col(text_col).rlike(p.replace("(?i)", "(?iu)")), name) for name, p in INJECTION.items()]),
+        lambda x: x.isNotNull()
+    )
     return df.withColumn("flags", found)
 
 
@@ -51,7 +54,9 @@ def redact(text: Column) -> Column:
 
 def safe_candidates(candidates: DataFrame, text_col: str = "content") -> DataFrame:
     """Candidates without hidden instructions, redacted."""
-    return injection_flags(candidates, text_col).where(F.size("flags") == 0).drop("flags").withColumn(text_col, redact(F.col(text_col)))
+    return injection_flags(candidates, text_col).where(F.size("flags") == 0).drop("flags").withColumn(
+        text_col, redact(F.col(text_col))
+    )
 
 
 def union_sources(sources: dict[str, DataFrame | None]) -> DataFrame:
@@ -78,35 +83,58 @@ def lexical_overlap(query: Column, content: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(q, T.terms(content))), F.size(q)), F.lit(0.0))
 
 
-def rerank(candidates: DataFrame, queries: DataFrame, scorer: Callable[[Column, Column], Column] = lexical_overlap, recency_weight: float = 0.0, trust_weight: float = 0.0, half_life_days: float = 30.0, now: str | None = None) -> DataFrame:
+def rerank(
+    candidates: DataFrame, queries: DataFrame, scorer: Callable[[Column, Column], Column] = lexical_overlap,
+    recency_weight: float = 0.0, trust_weight: float = 0.0, half_life_days: float = 30.0, now: str | None = None
+) -> DataFrame:
     """Candidates with ``rerank_score`` of a scorer (any column expression, a pandas UDF too) plus weighted age and trust, ranked in each query."""
     c = candidates.join(queries.select("query_id", "query"), "query_id")
     score = scorer(F.col("query"), F.col("content"))
     if trust_weight:
         score = score + trust_weight * F.coalesce("trust", F.lit(0.0))
     if recency_weight:
-        days = F.datediff(F.lit(now).cast("date"), F.col("updated_at").cast("date")) if now else F.datediff(F.current_date(), F.col("updated_at").cast("date"))
+        days = F.datediff(
+            F.lit(now).cast("date"), F.col("updated_at").cast("date")
+        ) if now else F.datediff(F.current_date(), F.col("updated_at").cast("date"))
         score = score + recency_weight * F.coalesce(F.pow(F.lit(0.5), days / half_life_days), F.lit(0.0))
     c = c.withColumn("rerank_score", F.round(score, 9))
     ties = [k for k in ("chunk_id", "source_kind") if k in c.columns]
-    return c.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("rerank_score"), *ties))).drop("query")
+    return c.withColumn(
+        "rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("rerank_score"), *ties))
+    ).drop("query")
 
 
 def compress(ranked: DataFrame, queries: DataFrame, keep_verbatim: float = 0.5, sentences: int = 3) -> DataFrame:
     """Candidates under the score ``keep_verbatim`` cut to the ``sentences`` that share most terms with the query, in their order."""
     c = ranked.join(queries.select("query_id", F.array_distinct(T.terms(F.col("query"))).alias("_q")), "query_id")
     parts = F.filter(F.split("content", r"(?<=[.!?…])\s+"), lambda s: F.length(s) > 0)
-    c = c.withColumn("_s", F.transform(parts, lambda s, i: F.struct((-F.size(F.array_intersect(F.col("_q"), T.terms(s)))).alias("o"), i.alias("i"), s.alias("s"))))
-    best = F.array_sort(F.transform(F.slice(F.array_sort("_s"), 1, sentences), lambda x: F.struct(x["i"].alias("i"), x["s"].alias("s"))))
+    c = c.withColumn(
+        "_s",
+        F.transform(
+            parts,
+            lambda s, i: F.struct(
+                (-F.size(F.array_intersect(F.col("_q"), T.terms(s)))).alias("o"), i.alias("i"), s.alias("s")
+            )
+        )
+    )
+    best = F.array_sort(
+        F.transform(F.slice(F.array_sort("_s"), 1, sentences), lambda x: F.struct(x["i"].alias("i"), x["s"].alias("s")))
+    )
     short = F.array_join(F.transform(best, lambda x: x["s"]), " ")
-    return c.withColumn("content", F.when(F.col("rerank_score") >= keep_verbatim, F.col("content")).otherwise(short)).drop("_s", "_q")
+    return c.withColumn(
+        "content", F.when(F.col("rerank_score") >= keep_verbatim, F.col("content")).otherwise(short)
+    ).drop("_s", "_q")
 
 
 def within_budget(candidates: DataFrame, total_tokens: int, shares: dict[str, float] | None = None) -> DataFrame:
     """Candidates (query_id, source_kind, chunk_id, score, tokens) that fit the share of their kind, best first; the running sum stops at the first that does not fit.  Kinds without a share have none."""
     shares = shares or BUDGET_SHARES
     table = F.create_map(*[F.lit(x) for k, v in shares.items() for x in (k, int(total_tokens * v))])
-    run = F.sum("tokens").over(Window.partitionBy("query_id", "source_kind").orderBy(F.desc("score"), "chunk_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    run = F.sum("tokens").over(
+        Window.partitionBy("query_id", "source_kind").orderBy(F.desc("score"), "chunk_id").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+    )
     c = candidates.withColumn("used", run).withColumn("budget", F.try_element_at(table, F.col("source_kind")))
     return c.where(F.col("used") <= F.col("budget"))
 
@@ -114,8 +142,17 @@ def within_budget(candidates: DataFrame, total_tokens: int, shares: dict[str, fl
 def build_prompt(bundle: DataFrame, queries: DataFrame, order: tuple[str, ...] = PROMPT_ORDER) -> DataFrame:
     """query_id, prompt: the parts by kind in ``order`` and by score, an empty line between, the question last.  Knowledge carries its document and page."""
     place = F.create_map(*[F.lit(x) for i, k in enumerate(order) for x in (k, i)])
-    cite = F.when((F.col("source_kind") == "knowledge") & F.col("doc_name").isNotNull(), F.concat(F.lit("["), F.col("doc_name"), F.lit(", p. "), F.coalesce(F.col("page_number").cast("string"), F.lit("?")), F.lit("] "))).otherwise("")
-    part = F.struct(F.try_element_at(place, F.col("source_kind")).alias("k"), (-F.col("score")).alias("s"), F.col("chunk_id").alias("c"), F.concat(cite, F.col("content")).alias("t"))
+    cite = F.when(
+        (F.col("source_kind") == "knowledge") & F.col("doc_name").isNotNull(),
+        F.concat(
+            F.lit("["), F.col("doc_name"), F.lit(", p. "), F.coalesce(F.col("page_number").cast("string"), F.lit("?")),
+            F.lit("] ")
+        )
+    ).otherwise("")
+    part = F.struct(
+        F.try_element_at(place, F.col("source_kind")).alias("k"), (-F.col("score")).alias("s"),
+        F.col("chunk_id").alias("c"), F.concat(cite, F.col("content")).alias("t")
+    )
     parts = bundle.groupBy("query_id").agg(F.array_sort(F.collect_list(part)).alias("p"))
     q = queries.join(parts, "query_id", "left")
     texts = F.coalesce(F.transform("p", lambda x: x["t"]), F.array().cast("array<string>"))
@@ -127,7 +164,9 @@ def session_window(turns: DataFrame, tokens_budget: int | None = None, most_turn
     back = Window.partitionBy("conv_id").orderBy(F.desc("turn"))
     ok = F.lit(True)
     if tokens_budget is not None:
-        ok = ok & (F.sum("tokens").over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow)) <= tokens_budget)
+        ok = ok & (
+            F.sum("tokens").over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow)) <= tokens_budget
+        )
     if most_turns is not None:
         ok = ok & (F.row_number().over(back) <= most_turns)
     return turns.withColumn("kept", ok)
@@ -143,28 +182,43 @@ def rolling_summary(windowed: DataFrame, sentences: int = 3) -> DataFrame:
     term with map-side combine, and a conversation keeps only its best sentences,
     however long it is.
     """
-    old = windowed.where(~F.col("kept")).select("conv_id", "turn", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"(?<=[.!?…])\s+")).alias("i", "s"))
-    told = old.select("conv_id", "turn", "i", "s", F.array_distinct(T.terms(F.col("s"))).alias("t")).where(F.size("t") > 0)
+    old = windowed.where(~F.col("kept")).select(
+        "conv_id", "turn", F.posexplode(F.split(F.coalesce("text", F.lit("")), r"(?<=[.!?…])\s+")).alias("i", "s")
+    )
+    told = old.select(
+        "conv_id", "turn", "i", "s", F.array_distinct(T.terms(F.col("s"))).alias("t")
+    ).where(F.size("t") > 0)
     each = told.select("conv_id", "turn", "i", F.size("t").alias("n"), F.explode("t").alias("term"))
     weight = each.select("conv_id", "turn", "term").distinct().groupBy("conv_id", "term").agg(F.count("*").alias("w"))
-    score = each.join(weight, ["conv_id", "term"]).groupBy("conv_id", "turn", "i").agg(F.round(F.sum("w") / F.sqrt(F.max("n")), 9).alias("score"))
+    score = each.join(weight, ["conv_id", "term"]).groupBy("conv_id", "turn", "i").agg(
+        F.round(F.sum("w") / F.sqrt(F.max("n")), 9).alias("score")
+    )
     rank = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc("score"), "turn", "i"))
-    best = score.withColumn("r", rank).where(F.col("r") <= sentences).join(told.select("conv_id", "turn", "i", "s"), ["conv_id", "turn", "i"])
+    best = score.withColumn("r", rank).where(F.col("r") <= sentences).join(
+        told.select("conv_id", "turn", "i", "s"), ["conv_id", "turn", "i"]
+    )
     items = F.array_sort(F.collect_list(F.struct("turn", "i", "s")))
     return best.groupBy("conv_id").agg(F.array_join(F.transform(items, lambda x: x["s"]), " ").alias("summary"))
 
 
 def latest_facts(facts: DataFrame) -> DataFrame:
     """user_id, key, value: the fact with the latest time (then the largest value) of each key."""
-    return facts.groupBy("user_id", "key").agg(F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts"))
+    return facts.groupBy("user_id", "key").agg(
+        F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts")
+    )
 
 
 def write_memory(stored: DataFrame, new: DataFrame) -> DataFrame:
     """The memory after new facts: latest wins, writing twice changes nothing."""
-    return latest_facts(stored.select("user_id", "key", "value", "ts").unionByName(new.select("user_id", "key", "value", "ts")))
+    return latest_facts(
+        stored.select("user_id", "key", "value", "ts").unionByName(new.select("user_id", "key", "value", "ts"))
+    )
 
 
-def retrieve(sources: dict[str, Callable[[], DataFrame]], on_error: Callable[[str, Exception], None] | None = None, timeout: float | None = None) -> DataFrame:
+def retrieve(
+    sources: dict[str, Callable[[], DataFrame]], on_error: Callable[[str, Exception], None] | None = None,
+    timeout: float | None = None
+) -> DataFrame:
     """Candidates of all sources, asked side by side; one that fails, or takes longer than ``timeout`` seconds, is left out and reported.
 
     A source's rows are computed here and written to the checkpoint folder, so a
@@ -198,7 +252,9 @@ def retrieve(sources: dict[str, Callable[[], DataFrame]], on_error: Callable[[st
     return union_sources(answers)
 
 
-def run_steps(step: Callable[[int, object], tuple[object, bool]], state: object = None, most: int = 8) -> tuple[object, int, bool]:
+def run_steps(
+    step: Callable[[int, object], tuple[object, bool]], state: object = None, most: int = 8
+) -> tuple[object, int, bool]:
     """A loop of tool steps with a cap: ``step(number, state)`` gives the new state and whether it is done; returns state, steps taken, and whether it was done before the cap."""
     for number in range(1, most + 1):
         state, done = step(number, state)

@@ -15,7 +15,8 @@ from foliospark.operators import layout
 
 #: Headings of the list of references.
 REFERENCES = (
-    r"(?mdU)^#+\s*(References|REFERENCES)\s*$", r"(?mdU)^\s*(References|REFERENCES)\s*$", r"(?mdU)^\s*(Bibliography|BIBLIOGRAPHY)\s*$",
+    r"(?mdU)^#+\s*(References|REFERENCES)\s*$", r"(?mdU)^\s*(References|REFERENCES)\s*$",
+    r"(?mdU)^\s*(Bibliography|BIBLIOGRAPHY)\s*$",
     r"(?mdU)^\s*TÀI LIỆU THAM KHẢO\s*$", r"(?imdU)^\s*References and Further Reading\s*$",
 )
 REFERENCES_MARK = "<!-- references section -->"
@@ -43,7 +44,9 @@ def drop_repeated(pages: DataFrame, repeated: DataFrame) -> DataFrame:
     """Pages without the repeated lines of their document (few short strings for each document, Spark chooses the join by their size); a document without any keeps its text as it is."""
     sets = repeated.groupBy("doc").agg(F.collect_set("line").alias("_r"))
     kept = F.array_join(F.filter(T.lines(F.col("markdown")), lambda x: ~F.array_contains("_r", T.strip(x))), "\n")
-    return pages.join(sets, "doc", "left").withColumn("markdown", F.when(F.col("_r").isNull(), F.col("markdown")).otherwise(kept)).drop("_r")
+    return pages.join(sets, "doc", "left").withColumn(
+        "markdown", F.when(F.col("_r").isNull(), F.col("markdown")).otherwise(kept)
+    ).drop("_r")
 
 
 def clean_pages(pages: DataFrame, least: int = 4) -> DataFrame:
@@ -61,7 +64,9 @@ def is_references(markdown: Column) -> Column:
 
 def references_pages(pages: DataFrame) -> DataFrame:
     """doc, references_page: the last page with a heading of references (null where there is none)."""
-    return pages.groupBy("doc").agg(F.max(F.when(is_references(F.col("markdown")), F.col("page"))).alias("references_page"))
+    return pages.groupBy("doc").agg(
+        F.max(F.when(is_references(F.col("markdown")), F.col("page"))).alias("references_page")
+    )
 
 
 def section_paths(headings: DataFrame, levels: int = 10, width: int = 1 << 24) -> DataFrame:
@@ -74,10 +79,15 @@ def section_paths(headings: DataFrame, levels: int = 10, width: int = 1 << 24) -
     is many tasks.  Levels beyond ``levels`` count as the deepest.
     """
     h = headings.withColumn("_l", F.least(F.greatest(F.col("level"), F.lit(1)), F.lit(levels)))
-    h = carry(h, {f"_o{k}": F.when(F.col("_l") == k, F.struct("ord", "title")) for k in range(1, levels + 1)}, ("doc",), "ord", width)
+    h = carry(
+        h, {f"_o{k}": F.when(F.col("_l") == k, F.struct("ord", "title")) for k in range(1, levels + 1)}, ("doc",),
+        "ord", width
+    )
     parts = []
     for k in range(1, levels + 1):
-        outer = F.greatest(*[F.coalesce(F.col(f"_o{j}.ord"), F.lit(-1)) for j in range(1, k)], F.lit(-1), F.lit(-1)) if k > 1 else F.lit(-1)
+        outer = F.greatest(
+            *[F.coalesce(F.col(f"_o{j}.ord"), F.lit(-1)) for j in range(1, k)], F.lit(-1), F.lit(-1)
+        ) if k > 1 else F.lit(-1)
         open_ = (F.lit(k) <= F.col("_l")) & F.col(f"_o{k}.ord").isNotNull() & (F.col(f"_o{k}.ord") > outer)
         parts.append(F.when(open_, F.col(f"_o{k}.title")))
     path = F.array_join(F.filter(F.array(*parts), lambda x: x.isNotNull()), SEPARATOR)
@@ -91,15 +101,29 @@ def font_headings(spans: DataFrame, page_limit: int = 10) -> DataFrame:
     (formula fonts count); a block of up to three lines above it is a heading, a
     bold one of body size one of level 3.
     """
-    sizes = spans.where(F.col("page") <= page_limit).select("doc", F.struct("page", "block", "line", "span").alias("at"), F.round("size", 1).alias("size"), F.length(T.strip(F.col("text"))).alias("n")).where((F.col("size") > 0) & (F.col("n") > 0))
+    sizes = spans.where(F.col("page") <= page_limit).select(
+        "doc", F.struct("page", "block", "line", "span").alias("at"), F.round("size", 1).alias("size"),
+        F.length(T.strip(F.col("text"))).alias("n")
+    ).where((F.col("size") > 0) & (F.col("n") > 0))
     sums = sizes.groupBy("doc", "size").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
-    body = sums.groupBy("doc").agg(F.greatest(F.min_by("size", F.struct(-F.col("n"), F.col("at"))), F.lit(layout.LEAST_BODY)).alias("body"))
+    body = sums.groupBy("doc").agg(
+        F.greatest(F.min_by("size", F.struct(-F.col("n"), F.col("at"))), F.lit(layout.LEAST_BODY)).alias("body")
+    )
     bold = (F.col("flags").bitwiseAND(16) != 0) | F.col("font").contains("Bold")
     texts = F.transform(F.array_sort(F.collect_list(F.struct("line", "span", "text"))), lambda x: x["text"])
-    blocks = spans.groupBy("doc", "page", "block").agg(F.count_distinct("line").alias("lines"), T.strip(F.array_join(texts, "")).alias("title"), F.max("size").alias("size"), F.bool_or(bold).alias("bold"))
-    b = blocks.join(body, "doc").where((F.col("lines") <= layout.HEADING_LINES) & F.length("title").between(*layout.HEADING_CHARS) & ~F.col("title").rlike(r"(?U)^\d+$"))
+    blocks = spans.groupBy("doc", "page", "block").agg(
+        F.count_distinct("line").alias("lines"), T.strip(F.array_join(texts, "")).alias("title"),
+        F.max("size").alias("size"), F.bool_or(bold).alias("bold")
+    )
+    b = blocks.join(body, "doc").where(
+        (
+            F.col("lines") <= layout.HEADING_LINES
+        ) & F.length("title").between(*layout.HEADING_CHARS) & ~F.col("title").rlike(r"(?U)^\d+$")
+    )
     ratio = layout.HEADING_RATIOS
-    level = F.when(F.col("size") >= F.col("body") * ratio[1], 1).when(F.col("size") >= F.col("body") * ratio[2], 2).when((F.col("size") >= F.col("body") * ratio[3]) | (F.col("bold") & (F.col("size") >= F.col("body"))), 3)
+    level = F.when(F.col("size") >= F.col("body") * ratio[1], 1).when(F.col("size") >= F.col("body") * ratio[2], 2).when(
+        (F.col("size") >= F.col("body") * ratio[3]) | (F.col("bold") & (F.col("size") >= F.col("body"))), 3
+    )
     ord_ = F.col("page").cast("bigint") * (1 << 32) + F.col("block").cast("bigint")
     return b.select("doc", ord_.alias("ord"), level.alias("level"), "title", "page").where(F.col("level").isNotNull())
 
@@ -107,17 +131,26 @@ def font_headings(spans: DataFrame, page_limit: int = 10) -> DataFrame:
 def section_map(pages: DataFrame, headings: DataFrame, width: int = 1024) -> DataFrame:
     """doc, page, section: path of the last heading on the page, else that of the pages before, else empty; carried over ranges of ``width`` pages."""
     last = section_paths(headings).groupBy("doc", "page").agg(F.max_by("path", "ord").alias("path"))
-    filled = carry(pages.select("doc", "page").join(last, ["doc", "page"], "left"), {"section": F.col("path")}, ("doc",), "page", width)
+    filled = carry(
+        pages.select("doc", "page").join(last, ["doc", "page"], "left"), {"section": F.col("path")}, ("doc",), "page",
+        width
+    )
     return filled.select("doc", "page", F.coalesce("section", F.lit("")).alias("section"))
 
 
 def mark_sections(pages: DataFrame, sections: DataFrame, references: DataFrame, width: int = 1024) -> DataFrame:
     """Pages with comments on top: the section where it changes (a first page's if it has one), then the references from their page on."""
     changed = carry(sections, {"_before": F.col("section")}, ("doc",), "page", width, current=False)
-    changed = changed.withColumn("_new", (F.col("section") != "") & ~F.col("section").eqNullSafe(F.col("_before"))).drop("_before")
+    changed = changed.withColumn(
+        "_new", (F.col("section") != "") & ~F.col("section").eqNullSafe(F.col("_before"))
+    ).drop("_before")
     out = pages.join(changed, ["doc", "page"], "left").join(references, "doc", "left")
-    marked = F.when(F.col("page") >= F.col("references_page"), F.concat(F.lit(REFERENCES_MARK + "\n\n"), F.col("markdown"))).otherwise(F.col("markdown"))
-    marked = F.when(F.col("_new"), F.concat(F.lit("<!-- section: "), F.col("section"), F.lit(" -->\n\n"), marked)).otherwise(marked)
+    marked = F.when(
+        F.col("page") >= F.col("references_page"), F.concat(F.lit(REFERENCES_MARK + "\n\n"), F.col("markdown"))
+    ).otherwise(F.col("markdown"))
+    marked = F.when(
+        F.col("_new"), F.concat(F.lit("<!-- section: "), F.col("section"), F.lit(" -->\n\n"), marked)
+    ).otherwise(marked)
     return out.withColumn("markdown", marked).select(*pages.columns)
 
 

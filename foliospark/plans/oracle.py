@@ -51,7 +51,8 @@ SELECT q.transcript_id, q.semester, q.gpa, {_two('k.cpa')} AS cpa, q.credits_cou
 ORACLE["simulate_gpas"] = f"WITH {_COURSES}, {_CHANGED} {_gpa('x')}"
 ORACLE["simulate_cpa"] = f"WITH {_COURSES}, {_CHANGED}, g AS (SELECT *, {_POINTS} AS points FROM x WHERE {_OK}) {_cpa('semester <= ' + chr(39) + '20231' + chr(39))}"
 ORACLE["semester_list"] = "SELECT DISTINCT semester FROM courses"
-# a row without a class or without scores reads a number at the end of its name as credits, and the numbers after it one place further on
+# a row without a class or without scores reads a number at the end of its name as credits, and the numbers after it
+# one place further on
 ORACLE["parse_courses"] = f"""WITH {_COURSES}, n AS (SELECT * REPLACE (trim(regexp_replace(name, '[\\p{{Z}}\\s]+', ' ', 'g')) AS name) FROM c),
 r AS (SELECT * FROM n WHERE class_id IS NOT NULL UNION ALL SELECT * REPLACE (regexp_replace(name, ' [0-9]+$', '') AS name, regexp_extract(name, '([0-9]+)$', 1)::INT AS credits, credits::VARCHAR AS class_id) FROM n WHERE class_id IS NULL AND regexp_matches(name, ' [0-9]+$')
 UNION ALL SELECT * REPLACE (regexp_replace(name, ' [0-9]+$', '') AS name, regexp_extract(name, '([0-9]+)$', 1)::INT AS credits, credits::VARCHAR AS class_id, class_id::DOUBLE AS exam_score) FROM n WHERE class_id IS NOT NULL AND exam_score IS NULL AND process_score IS NULL AND regexp_matches(name, ' [0-9]+$'))

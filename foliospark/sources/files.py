@@ -6,16 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*.pdf", contains: str | None = None, skip: list[str] | None = None, with_content: bool = False) -> DataFrame:
+def list_files(
+    spark: SparkSession, folder: str, glob: str = "*.pdf", contains: str | None = None, skip: list[str] | None = None,
+    with_content: bool = False
+) -> DataFrame:
     """Files directly in ``folder``, by name: name, path, size_bytes, modified (and content).
 
     The reader prunes the content column when it is not asked for, and passes by
     files without content.  ``contains``
     is a part of the name in any case, ``skip`` a list of names to leave out.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "false").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option(
+        "recursiveFileLookup", "false"
+    ).load(folder)
     name = F.url_decode(F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\+", "%2B"))
-    out = files.select(name.alias("name"), "path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), *(["content"] if with_content else []))
+    out = files.select(
+        name.alias("name"), "path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"),
+        *(["content"] if with_content else [])
+    )
     if contains is not None:
         out = out.where(F.contains(F.lower("name"), F.lit(contains.lower())))
     if skip:

@@ -34,7 +34,10 @@ def _env_file(path: Path) -> dict[str, str]:
 
 def load_settings(env_file: str = ".env") -> Settings:
     values = _env_file(Path(env_file)) | {k: v for k, v in os.environ.items() if v}
-    return Settings(values.get("GOOGLE_API_KEY"), values.get("GEMINI_API_KEY"), values.get("GEMINI_MODEL", Settings.model), int(values.get("REQUEST_TIMEOUT_SECONDS", Settings.timeout_seconds)))
+    return Settings(
+        values.get("GOOGLE_API_KEY"), values.get("GEMINI_API_KEY"), values.get("GEMINI_MODEL", Settings.model),
+        int(values.get("REQUEST_TIMEOUT_SECONDS", Settings.timeout_seconds))
+    )
 
 
 @lru_cache(maxsize=1)

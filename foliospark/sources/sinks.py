@@ -20,8 +20,12 @@ def write_markdown(pages: DataFrame, folder: str, layouts: DataFrame | None = No
     """
     counts = pages.groupBy("doc").agg(F.count("*").alias("n"))
     rows = pages.join(counts, "doc")
-    rows = rows.join(layouts.select("doc", "layout"), "doc", "left") if layouts is not None else rows.withColumn("layout", F.lit(None).cast("string"))
-    rows = rows.select("doc", "page", "markdown", "n", F.coalesce("layout", F.lit("1-column")).alias("layout")).repartition("doc").sortWithinPartitions("doc", "page")
+    rows = rows.join(
+        layouts.select("doc", "layout"), "doc", "left"
+    ) if layouts is not None else rows.withColumn("layout", F.lit(None).cast("string"))
+    rows = rows.select(
+        "doc", "page", "markdown", "n", F.coalesce("layout", F.lit("1-column")).alias("layout")
+    ).repartition("doc").sortWithinPartitions("doc", "page")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.makedirs(folder, exist_ok=True)
@@ -37,7 +41,9 @@ def write_markdown(pages: DataFrame, folder: str, layouts: DataFrame | None = No
                     stem = os.path.splitext(now)[0]
                     final = os.path.join(folder, f"{stem}.md")
                     file = open(f"{final}.{os.getpid()}.tmp", "w", encoding="utf-8")
-                    file.write(f'---\ntitle: "{stem}"\nsource: "{now}"\npages: {row["n"]}\nlayout: "{row["layout"]}"\n---\n')
+                    file.write(
+                        f'---\ntitle: "{stem}"\nsource: "{now}"\npages: {row["n"]}\nlayout: "{row["layout"]}"\n---\n'
+                    )
                     done.append((now, final, row["n"]))
                 if (row["markdown"] or "").strip():
                     file.write(f"\n\n---\n\n<!-- page {row['page']} -->\n\n{row['markdown']}")
@@ -45,11 +51,16 @@ def write_markdown(pages: DataFrame, folder: str, layouts: DataFrame | None = No
             file.close()
             os.replace(file.name, final)
         cols = list(zip(*done)) if done else [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], ["doc", "path", "pages"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())],
+            ["doc", "path", "pages"]
+        )
 
     return rows.mapInArrow(run, "doc string, path string, pages bigint")
 
 
 def write_json(df: DataFrame, folder: str) -> None:
     """One JSON object per row, nulls kept."""
-    df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(folder)
+    df.select(
+        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
+    ).write.mode("overwrite").text(folder)

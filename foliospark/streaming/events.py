@@ -11,14 +11,18 @@ EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
 
 def event_stream(spark: SparkSession, folder: str, files_per_trigger: int = 100) -> DataFrame:
     """Events of a folder as a stream, with ``ts`` as a timestamp (watermarks need one)."""
-    stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files_per_trigger).option("pathGlobFilter", "events*.parquet").parquet(folder)
+    stream = spark.readStream.schema(EVENTS).option(
+        "maxFilesPerTrigger", files_per_trigger
+    ).option("pathGlobFilter", "events*.parquet").parquet(folder)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = None) -> DataFrame:
     """Sessions of each user: start, end (last event and ``gap``), events, value.  ``late`` sets the watermark of a stream."""
     e = events.withWatermark("ts", late) if late else events
-    s = e.groupBy("user_id", F.session_window("ts", gap).alias("s")).agg(F.count("*").alias("events"), F.sum("value").alias("value"))
+    s = e.groupBy("user_id", F.session_window("ts", gap).alias("s")).agg(
+        F.count("*").alias("events"), F.sum("value").alias("value")
+    )
     return s.select("user_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "events", "value")
 
 
@@ -46,15 +50,25 @@ def upsert_facts(folder: str, buckets: int = 64, keep: int = 2):
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select("user_id", F.col("event_type").alias("key"), "value", "ts").withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
-        rows = rows.groupBy("bucket", "user_id", "key").agg(F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts")).persist()
+        rows = batch.select("user_id", F.col("event_type").alias("key"), "value", "ts").withColumn(
+            "bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
+        )
+        rows = rows.groupBy("bucket", "user_id", "key").agg(
+            F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts")
+        ).persist()
         touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
-        versions = {b: sorted(v for v in found if v < number) for b, found in _versions(spark, folder).items() if b in touched}
+        versions = {
+            b: sorted(v for v in found if v < number) for b, found in _versions(spark, folder).items() if b in touched
+        }
         old = [f"{folder}/bucket={b}/v={found[-1]}" for b, found in versions.items() if found]
         if old:
             rows = rows.unionByName(spark.read.option("basePath", folder).parquet(*old).drop("v"))
-        latest = rows.groupBy("bucket", "user_id", "key").agg(F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts")).withColumn("v", F.lit(number))
-        latest.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "v").parquet(folder)
+        latest = rows.groupBy("bucket", "user_id", "key").agg(
+            F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts")
+        ).withColumn("v", F.lit(number))
+        latest.repartition("bucket").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("bucket", "v").parquet(folder)
         files, path = _files(spark, folder)
         for b, found in versions.items():
             for v in found[: max(0, len(found) + 1 - keep)]:
@@ -85,13 +99,19 @@ def stored_facts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("basePath", folder).parquet(*last).drop("bucket", "v")
 
 
-def forward_fill(events: DataFrame, column: str, keys: tuple[str, ...] = ("user_id",), time: str = "ts", tie: str = "event_id", seconds: int = 86_400) -> DataFrame:
+def forward_fill(
+    events: DataFrame, column: str, keys: tuple[str, ...] = ("user_id",), time: str = "ts", tie: str = "event_id",
+    seconds: int = 86_400
+) -> DataFrame:
     """``filled``: the last value of ``column`` that is not null, up to the row in order of ``time`` and ``tie``.
 
     The last values of ranges of ``seconds`` are carried over the ranges, so a key
     with a large part of all events is many tasks.
     """
-    e = events.withColumn("_r", F.coalesce(F.floor(F.unix_micros(F.col(time).cast("timestamp")) / (seconds * 1_000_000)), F.lit(-(1 << 62))))
+    e = events.withColumn(
+        "_r",
+        F.coalesce(F.floor(F.unix_micros(F.col(time).cast("timestamp")) / (seconds * 1_000_000)), F.lit(-(1 << 62)))
+    )
     named = F.concat_ws("\n", *[F.coalesce(F.concat(F.lit("k"), F.col(k).cast("string")), F.lit("")) for k in keys])
     e = e.withColumn("_k", named)
     ends = e.where(F.col(column).isNotNull()).groupBy("_k", "_r").agg(F.max_by(column, F.struct(time, tie)).alias("_e"))
@@ -99,4 +119,6 @@ def forward_fill(events: DataFrame, column: str, keys: tuple[str, ...] = ("user_
     upto = Window.partitionBy("_k").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     before = spans.select("_k", "_r", F.last("_e", ignorenulls=True).over(upto).alias("_b"))
     inside = Window.partitionBy("_k", "_r").orderBy(time, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return e.join(before, ["_k", "_r"]).withColumn("filled", F.coalesce(F.last(column, ignorenulls=True).over(inside), "_b")).select(*events.columns, "filled")
+    return e.join(before, ["_k", "_r"]).withColumn(
+        "filled", F.coalesce(F.last(column, ignorenulls=True).over(inside), "_b")
+    ).select(*events.columns, "filled")

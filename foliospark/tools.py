@@ -17,7 +17,10 @@ def get_semester_gpa(courses: DataFrame, semester: str, ord_col: str = "ord") ->
     """One row: semester, gpa, credits_counted and the counted courses in order (0, 0 and none where the semester has no counted course)."""
     own = transcript.counted(courses.where(F.col("semester") == semester))
     average, total = transcript.average(), F.coalesce(F.sum("credits"), F.lit(0)).cast("bigint")
-    return own.agg(F.lit(semester).alias("semester"), average.alias("gpa"), total.alias("credits_counted"), transcript.course_list(ord_col).alias("courses"))
+    return own.agg(
+        F.lit(semester).alias("semester"), average.alias("gpa"), total.alias("credits_counted"),
+        transcript.course_list(ord_col).alias("courses")
+    )
 
 
 def get_cpa(courses: DataFrame, up_to: str | None = None, ord_col: str = "ord") -> DataFrame:
@@ -28,14 +31,21 @@ def get_cpa(courses: DataFrame, up_to: str | None = None, ord_col: str = "ord")
     """
     best = transcript.best_attempts(courses, up_to=up_to, ord_col=ord_col)
     total = F.coalesce(F.sum("credits"), F.lit(0)).cast("bigint")
-    return best.agg(F.lit(up_to).alias("up_to_semester"), transcript.average().alias("cpa"), total.alias("cumulative_credits"), transcript.course_list("first_attempt").alias("courses"))
+    return best.agg(
+        F.lit(up_to).alias("up_to_semester"), transcript.average().alias("cpa"), total.alias("cumulative_credits"),
+        transcript.course_list("first_attempt").alias("courses")
+    )
 
 
-def simulate_grades(courses: DataFrame, overrides: DataFrame, up_to: str | None = None, ord_col: str = "ord") -> tuple[DataFrame, DataFrame]:
+def simulate_grades(
+    courses: DataFrame, overrides: DataFrame, up_to: str | None = None, ord_col: str = "ord"
+) -> tuple[DataFrame, DataFrame]:
     """Averages of all semesters in order with their counted courses, and the answer of ``get_cpa``, under what-if grades."""
     changed = transcript.apply_overrides(courses, overrides)
     lists = transcript.counted(changed).groupBy("semester").agg(transcript.course_list(ord_col).alias("courses"))
-    gpas = transcript.gpa_by_semester(changed).join(lists, "semester", "left").withColumn("courses", F.coalesce("courses", F.array().cast(lists.schema["courses"].dataType)))
+    gpas = transcript.gpa_by_semester(changed).join(lists, "semester", "left").withColumn(
+        "courses", F.coalesce("courses", F.array().cast(lists.schema["courses"].dataType))
+    )
     return gpas.orderBy("semester"), get_cpa(changed, up_to, ord_col)
 
 

@@ -12,8 +12,10 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     conf = {
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false",
-        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")), "spark.checkpoint.dir": "file://" + str(tmp_path_factory.mktemp("checkpoints")),
+        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC",
+        "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": "file://" + str(tmp_path_factory.mktemp("checkpoints")),
     }
     session = SparkSession.builder.master("local[4]").config(map=conf).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -19,7 +19,11 @@ def test_query(spark, sf, duck, name):
 def test_whole_queries(spark, sf):
     from foliospark.plans.queries import _candidates
 
-    wanted = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").where("doc_id % 100 = 0").collect()}
+    wanted = {
+        r["doc_id"]: r["text"] or "" for r in spark.read.parquet(
+            f"{sf}/documents.parquet"
+        ).where("doc_id % 100 = 0").collect()
+    }
     got = {r["query_id"]: r["query"] for r in _candidates(spark, sf)[1].collect()}
     assert got == wanted and any(len(t) > 100 for t in wanted.values())
 

@@ -11,7 +11,9 @@ def apply(spark, function, values, *more):
     rows = [(i, v, *[m[i] for m in more]) for i, v in enumerate(values)]
     schema = "i int, t string" + "".join(f", c{j} int" for j in range(len(more)))
     df = spark.createDataFrame(rows, schema)
-    out = df.select("i", function(F.col("t"), *[F.col(f"c{j}") for j in range(len(more))]).alias("r")).orderBy("i").collect()
+    out = df.select(
+        "i", function(F.col("t"), *[F.col(f"c{j}") for j in range(len(more))]).alias("r")
+    ).orderBy("i").collect()
     return [r["r"] for r in out]
 
 
@@ -32,8 +34,10 @@ def test_lines(spark):
 @pytest.mark.parametrize(
     "given, wanted",
     [
-        ("auto-regres-\nsive", "auto-regressive"), ("represen-\n  tation", "representation"), ("a\nb\nc", "a b\nc"), ("$x-\ny$ is\nhere", "$x-\ny$ is here"), ("$$abcd-\nefg$$", "$$abcd-\nefg$$"),
-        ("thườ-\nng", "thường"), ("ab-\ncd", "ab-\ncd"), ("End.\nnext", "End.\nnext"), ("x $a$\nb $c\nd$ e", "x $a$\nb $c d$ e"),
+        ("auto-regres-\nsive", "auto-regressive"), ("represen-\n  tation", "representation"), ("a\nb\nc", "a b\nc"),
+        ("$x-\ny$ is\nhere", "$x-\ny$ is here"), ("$$abcd-\nefg$$", "$$abcd-\nefg$$"),
+        ("thườ-\nng", "thường"), ("ab-\ncd", "ab-\ncd"), ("End.\nnext", "End.\nnext"),
+        ("x $a$\nb $c\nd$ e", "x $a$\nb $c d$ e"),
     ],
 )
 def test_repair_hyphens(spark, given, wanted):
@@ -51,7 +55,9 @@ def pair_lines(text):
     guard = re.compile(r"#|- |\* |\d+\.|\$\$|\|")
     while i < len(lines):
         now = lines[i].rstrip()
-        if i + 1 < len(lines) and not guard.match(lines[i]) and now and now[-1] not in ".?!:" and not now.endswith("$$") and lines[i + 1][:1].islower():
+        if i + 1 < len(lines) and not guard.match(
+            lines[i]
+        ) and now and now[-1] not in ".?!:" and not now.endswith("$$") and lines[i + 1][:1].islower():
             out.append(now + " " + lines[i + 1])
             i += 2
         else:
@@ -68,14 +74,22 @@ def test_merge_split_paragraphs(spark):
 
 
 def test_clean_text_and_headings(spark):
-    assert apply(spark, T.clean_text, ["hy-\nphen \n\n\n\nx $a-\nb$", None]) == ["hyphen\n\nx $a-\nb$".replace("$a-\nb$", "$ab$"), ""]
-    assert apply(spark, T.heading_prefix, ["Intro", "\n  Two \nrest", "plain", " "], [1, 2, None, 3]) == ["# Intro", "\n## Two\nrest", "plain", " "]
+    assert apply(
+        spark, T.clean_text, ["hy-\nphen \n\n\n\nx $a-\nb$", None]
+    ) == ["hyphen\n\nx $a-\nb$".replace("$a-\nb$", "$ab$"), ""]
+    assert apply(
+        spark, T.heading_prefix, ["Intro", "\n  Two \nrest", "plain", " "], [1, 2, None, 3]
+    ) == ["# Intro", "\n## Two\nrest", "plain", " "]
 
 
 def test_tables(spark):
     df = spark.createDataFrame([([["a|b", None], ["1", " 2 "]],), ([],), ([[]],)], "c array<array<string>>")
-    assert [r[0] for r in df.select(T.table_markdown(F.col("c"))).collect()] == ["| a\\|b |  |\n| --- | --- |\n| 1 | 2 |", None, None]
-    assert apply(spark, T.repair_table, ["|a|b|\n\n |1|2| ", "|a|b|\n|---|---|\n|1|2|", "|a|", None]) == ["|a|b|\n| --- | --- |\n|1|2|", "|a|b|\n|---|---|\n|1|2|", "", ""]
+    assert [
+        r[0] for r in df.select(T.table_markdown(F.col("c"))).collect()
+    ] == ["| a\\|b |  |\n| --- | --- |\n| 1 | 2 |", None, None]
+    assert apply(
+        spark, T.repair_table, ["|a|b|\n\n |1|2| ", "|a|b|\n|---|---|\n|1|2|", "|a|", None]
+    ) == ["|a|b|\n| --- | --- |\n|1|2|", "|a|b|\n|---|---|\n|1|2|", "", ""]
 
 
 def test_image_tag(spark):
@@ -91,9 +105,16 @@ def test_round_binary_as_python_does(spark):
     import random
 
     rng = random.Random(2)
-    values = [n / d for n in range(0, 800, 7) for d in (8, 16, 40, 200, 3, 7)] + [rng.uniform(-5, 5) for _ in range(500)] + [k / 200 for k in range(-900, 900)] + [0.0, -0.005, 1e12 + 0.125, 2.0**60, 1e300, 4503599627370497.5]
+    values = [
+        n / d for n in range(0, 800, 7) for d in (8, 16, 40, 200, 3, 7)
+    ] + [rng.uniform(-5, 5) for _ in range(500)] + [k / 200 for k in range(-900, 900)] + [
+        0.0, -0.005, 1e12 + 0.125, 2.0**60, 1e300, 4503599627370497.5
+    ]
     df = spark.createDataFrame([(v,) for v in values], "x double")
-    got = df.select("x", T.round_binary(F.col("x"), 2).alias("two"), T.round_binary(F.col("x"), 0).alias("none"), T.round_binary(F.col("x"), 5).alias("five")).collect()
+    got = df.select(
+        "x", T.round_binary(F.col("x"), 2).alias("two"), T.round_binary(F.col("x"), 0).alias("none"),
+        T.round_binary(F.col("x"), 5).alias("five")
+    ).collect()
     assert [(r["two"], r["none"], r["five"]) for r in got] == [(round(v, 2), round(v, 0), round(v, 5)) for v in values]
 
 
@@ -103,4 +124,6 @@ def test_json_indented(spark):
     kind = "a string, b double, c struct<d:int,e:array<struct<f:string>>>, g array<int>"
     value = {"a": 'x"\\\n[é]', "b": None, "c": {"d": None, "e": [{"f": "y"}, {"f": None}]}, "g": []}
     df = spark.createDataFrame([(value,)], f"v struct<{kind.replace(' ', ':').replace(',:', ',')}>")
-    assert df.select(T.json_indented(F.col("v"), df.schema["v"].dataType)).first()[0] == json.dumps(value, indent=2, ensure_ascii=False)
+    assert df.select(
+        T.json_indented(F.col("v"), df.schema["v"].dataType)
+    ).first()[0] == json.dumps(value, indent=2, ensure_ascii=False)
