@@ -97,7 +97,8 @@ def fold_table(df: DataFrame, id_col: str, text_col: str, suspects_only: bool =
 
     A null text has null folded and differs false; an empty text is empty.
     With ``suspects_only`` the rows whose text consists of ``INERT`` characters are
-    left out before they reach Python (they would have differs false).  Line ends, tabs, ordinary blanks and letter case stay.  Rows are
+    left out before they reach Python (they would have differs false).  Line ends, tabs, ordinary blanks and letter
+    case stay.  Rows are
     processed where they are, a DuckDB of one thread per task, batch by batch;
     rows stay one to one (repeated ids included) and other columns are dropped.
     """
@@ -140,12 +141,16 @@ def _slices(batch: pa.RecordBatch, most: int = 8_000_000) -> Iterator[pa.RecordB
 
 
 def comparison(folded: Column) -> Column:
-    """Form for equality: the folded text without invisible characters, in lower case, runs of white space as one blank, none at the ends."""
+    """Form for equality: the folded text without invisible characters, in lower case, runs of white space as one
+    blank, none at the ends.
+    """
     return F.trim(F.regexp_replace(F.lower(F.regexp_replace(folded, _COMPARE, "")), r"\s+", " "))
 
 
 def found(document_blocks: DataFrame, courses: DataFrame) -> DataFrame:
-    """record_kind, record_id of the blocks and courses whose text differs from its folded form; repeated deliveries once."""
+    """record_kind, record_id of the blocks and courses whose text differs from its folded form; repeated deliveries
+    once.
+    """
     parts = [(document_blocks, "block", "block_uid", "raw_content"), (courses, "course", "course_uid", "name")]
     out = None
     for df, kind, key, text in parts:
@@ -157,7 +162,8 @@ def found(document_blocks: DataFrame, courses: DataFrame) -> DataFrame:
 
 
 def consistent_names(courses: DataFrame, course_names: DataFrame) -> DataFrame:
-    """course_uid, name in consistent form, and the name_id of the official list with the same comparison form (null where none).
+    """course_uid, name in consistent form, and the name_id of the official list with the same comparison form (null
+    where none).
 
     The list is small and fixed; Spark broadcasts it if its size allows, else
     both sides are shuffled by the comparison form.  A form that stands twice in

@@ -30,7 +30,9 @@ class Settings:
 
 
 def source_key(source: Column) -> Column:
-    """Spelling-free name of a source: lower case, blanks and hyphens as one underscore, none at the ends; null for an empty one."""
+    """Spelling-free name of a source: lower case, blanks and hyphens as one underscore, none at the ends; null for an
+    empty one.
+    """
     name = F.regexp_replace(F.lower(source), r"[\s\p{Z}_-]+", "_")
     name = F.regexp_replace(name, r"^_+|_+$", "")
     return F.when(name != "", name)
@@ -120,7 +122,8 @@ def mix(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings()) -
 
 
 def shares(sizes: DataFrame, targets: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Of each target source: target_share, actual_share, budget, tokens, source_tokens, docs, docs_used, most_copies."""
+    """Of each target source: target_share, actual_share, budget, tokens, source_tokens, docs, docs_used, most_copies.
+    """
     sizes = cut(sizes)
     taken = mix(sizes, targets, settings).groupBy("source").agg(
         F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.count("*").alias("docs_used"),

@@ -229,7 +229,9 @@ class Lines:
 
 
 def _is_item(opening: np.ndarray) -> np.ndarray:
-    """Openings of list items: a bullet, or a number, a letter or a Roman number, in brackets or before a stop, and white space."""
+    """Openings of list items: a bullet, or a number, a letter or a Roman number, in brackets or before a stop, and
+    white space.
+    """
     kind = _characters().kind[opening]
     space, digit = (kind & _SPACE) > 0, (kind & _DIGIT) > 0
     letter = (opening < 128) & ((kind & _WORD) > 0) & ~digit
@@ -246,7 +248,9 @@ def _is_item(opening: np.ndarray) -> np.ndarray:
 
 @dataclass
 class States:
-    """States of texts or chunks, a row each: counts of the complete lines, the opening line and, where there is a line end, the closing one."""
+    """States of texts or chunks, a row each: counts of the complete lines, the opening line and, where there is a
+    line end, the closing one.
+    """
 
     counts: np.ndarray
     head: Lines
@@ -367,7 +371,9 @@ def merge(a: States, b: States) -> States:
 
 
 def merge_texts(states: States, text: np.ndarray) -> tuple[States, np.ndarray]:
-    """One state per text: rounds merge all pairs of neighbours (chunks 2i and 2i + 1 of a text) at once.  ``text`` numbers the texts and rises."""
+    """One state per text: rounds merge all pairs of neighbours (chunks 2i and 2i + 1 of a text) at once.  ``text``
+    numbers the texts and rises.
+    """
     while True:
         fresh = np.concatenate(([True], text[1:] != text[:-1]))
         if fresh.all():

@@ -59,7 +59,9 @@ def language(text: Column) -> Column:
 
 
 def familiar_words(documents: DataFrame, settings: Settings = Settings(), text_col: str = "text") -> DataFrame:
-    """lang, word: the words that at least the share ``familiar`` of the documents of the language with ``least_words`` words and more have."""
+    """lang, word: the words that at least the share ``familiar`` of the documents of the language with
+    ``least_words`` words and more have.
+    """
     texts = documents.where(F.col(text_col).isNotNull()).select(
         language(F.col(text_col)).alias("lang"), F.regexp_extract_all(F.lower(text_col), F.lit(WORDS), 0).alias("words")
     )
@@ -118,7 +120,9 @@ class Reader:
         return out, others
 
     def features(self, text: str | None) -> tuple[str, int, bool, float, float] | None:
-        """``(lang, words, is prose, share of words outside the list, average sentence length)``; null for a text without words."""
+        """``(lang, words, is prose, share of words outside the list, average sentence length)``; null for a text
+        without words.
+        """
         if not text:
             return None
         paragraphs, total = self.paragraphs(text)
@@ -164,7 +168,9 @@ class Formula:
 
 
 def fit(rows: np.ndarray, vietnamese: np.ndarray, level: np.ndarray) -> Formula:
-    """The formula after the labels, for any number of them (none leaves it classic): all languages together from the classic weights, then each language from those of all."""
+    """The formula after the labels, for any number of them (none leaves it classic): all languages together from the
+    classic weights, then each language from those of all.
+    """
     both = _moved(rows, level, np.array(CLASSIC), np.array(MOVES[0]))
     return Formula(
         {vi: _moved(rows[vietnamese == vi], level[vietnamese == vi], both, np.array(MOVES[1])) for vi in (False, True)}
@@ -172,7 +178,9 @@ def fit(rows: np.ndarray, vietnamese: np.ndarray, level: np.ndarray) -> Formula:
 
 
 def _moved(rows: np.ndarray, level: np.ndarray, start: np.ndarray, moves: np.ndarray, steps: int = 60) -> np.ndarray:
-    """Most likely weights and thresholds of two logistic cuts of one sum, near ``start``: Newton steps on a concave function, so deterministic."""
+    """Most likely weights and thresholds of two logistic cuts of one sum, near ``start``: Newton steps on a concave
+    function, so deterministic.
+    """
     x = np.concatenate(
         [np.column_stack([rows, -(k == 0) * np.ones(len(rows)), -(k == 1) * np.ones(len(rows))]) for k in (0, 1)]
     ) * moves
@@ -206,7 +214,9 @@ def document_features(
     documents: DataFrame, familiar: dict[str, frozenset[str]], settings: Settings = Settings(),
     formula: Formula | None = None
 ) -> DataFrame:
-    """doc_id, lang, n_words, is_prose, unknown (share of words outside the list), sentence_length, and with ``formula`` difficulty and level (both null where it is no prose)."""
+    """doc_id, lang, n_words, is_prose, unknown (share of words outside the list), sentence_length, and with
+    ``formula`` difficulty and level (both null where it is no prose).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(familiar, settings)

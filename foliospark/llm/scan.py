@@ -85,7 +85,9 @@ def _marks(text: Column) -> Column:
 
 
 def _features(line: Column) -> Column:
-    """What the search for heads needs of a line: value, style and marked as a page number, ``key`` (hash of the masked line), whether it can be a head at all (``fit``) and whether it may be a sentence that goes on (``small``)."""
+    """What the search for heads needs of a line: value, style and marked as a page number, ``key`` (hash of the
+    masked line), whether it can be a head at all (``fit``) and whether it may be a sentence that goes on (``small``).
+    """
     value, style, marked = _number(line)
     letters = F.regexp_replace(
         F.regexp_replace(_marks(F.lower(line)), r"(?<!\S)[^\p{L}\s]+(?!\S)", " "), r"[^\p{L}\p{N}]+", ""
@@ -101,7 +103,8 @@ def _features(line: Column) -> Column:
 
 
 def edge_lines(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The non-blank lines nearest to the top (zone T) and bottom (zone B) of each page, with their ``place`` from the edge and their features.
+    """The non-blank lines nearest to the top (zone T) and bottom (zone B) of each page, with their ``place`` from the
+    edge and their features.
 
     Of each block only its first (last) lines can be the page's, and of the blocks
     that a task has of a page only its first (last) lines reach the shuffle (the
@@ -146,7 +149,9 @@ def edge_lines(blocks: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def _number(line: Column) -> tuple[Column, Column, Column]:
-    """Of a line that is only a printed page number: its value (null if none), its style, and whether it is marked as one."""
+    """Of a line that is only a printed page number: its value (null if none), its style, and whether it is marked as
+    one.
+    """
     low = F.lower(F.trim(line))
     fmt = r"^[\[(|{<~*·•\-–—_=.\s]*(?:(trang|page|pages|pg|pag|tr|p|seite|sheet)[.:\s]*)?(\d{1,5}|[" + ROMAN + r"]{1,7}|[0-9olisgbq]{1,4})(\s*(?:/|of|trên|von)\s*\d{1,5})?[\])|}>~*·•\-–—_=.\s]*$"
     prefix, digits, total = (F.regexp_extract(low, fmt, i) for i in (1, 2, 3))
@@ -239,7 +244,8 @@ def words(known_tokens: DataFrame, settings: Settings = Settings()) -> DataFrame
 
 
 def corrections(known: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """wrong, right, n_right: each rare form of two characters and more (one character alone has no readable rest) with the frequent forms of its glyph group.
+    """wrong, right, n_right: each rare form of two characters and more (one character alone has no readable rest)
+    with the frequent forms of its glyph group.
 
     The frequent forms are a bounded list (``words``), broadcast after a look at its size.
     """
@@ -261,7 +267,9 @@ def corrections(known: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def wrong_tokens(known_tokens: DataFrame, fixes: DataFrame) -> DataFrame:
-    """token, wrong, right, n_right: the corpus's tokens with a form to correct (a token with a hyphen at its end is half a word and has none)."""
+    """token, wrong, right, n_right: the corpus's tokens with a form to correct (a token with a hyphen at its end is
+    half a word and has none).
+    """
     core = F.regexp_extract("token", PLAIN, 1)
     parts = known_tokens.select("token", F.explode(F.split(core, "-")).alias("w")).where(
         F.col("w").rlike(r"\p{L}") & ~F.col("w").rlike(r"^\p{Lu}+\d+$|^\p{L}\d$")
@@ -272,7 +280,9 @@ def wrong_tokens(known_tokens: DataFrame, fixes: DataFrame) -> DataFrame:
 
 
 def token_neighbours(blocks: DataFrame) -> DataFrame:
-    """block_uid, line_no, place (of the token in its line, from 0), token, and the tokens before and after it in the block's text, over line ends."""
+    """block_uid, line_no, place (of the token in its line, from 0), token, and the tokens before and after it in the
+    block's text, over line ends.
+    """
     clean = F.translate("raw_content", "\t\r" + UNSEEN, "  ")
     lines = F.transform(
         F.split(clean, "\n"),
@@ -297,7 +307,8 @@ def token_neighbours(blocks: DataFrame) -> DataFrame:
 def misread_words(
     blocks: DataFrame, known_tokens: DataFrame, known: DataFrame, wrong: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    """block_uid, line_no, place (of the token in its line), token, wrong, right, n_right, before, after of every wrongly read word with a frequent word beside it.
+    """block_uid, line_no, place (of the token in its line), token, wrong, right, n_right, before, after of every
+    wrongly read word with a frequent word beside it.
 
     The most frequent tokens (a bounded list that every task keeps) are passed by
     where the text is; only the others are joined with the tokens to correct.  A
@@ -322,7 +333,8 @@ def misread_words(
 
 
 def line_halves(blocks: DataFrame, settings: Settings = Settings(), with_moved: bool = False) -> DataFrame:
-    """Of each block of text what hyphenation needs: ``halves`` (lines that end in a hyphen: line_no, left, sign, and the openings of the lines after) and ``first`` (the openings of its first lines), a repeated delivery once.
+    """Of each block of text what hyphenation needs: ``halves`` (lines that end in a hyphen: line_no, left, sign, and
+    the openings of the lines after) and ``first`` (the openings of its first lines), a repeated delivery once.
 
     Noise lies in the ``edge_lines`` at the top and bottom of a page, so one more
     line than those always holds the next one of the text, if there is any; a line
@@ -377,7 +389,9 @@ def line_halves(blocks: DataFrame, settings: Settings = Settings(), with_moved:
 def hyphenated(
     blocks: DataFrame, noise: DataFrame, known: DataFrame, settings: Settings = Settings(), with_moved: bool = False
 ) -> DataFrame:
-    """block_uid, line_no, next_uid, next_line, left, right, moved (all of the next line before its first blank, null unless ``with_moved``), last, head, right_whole, word of each line that ends in the first half of a word, or (``word`` false) in that of a compound.
+    """block_uid, line_no, next_uid, next_line, left, right, moved (all of the next line before its first blank, null
+    unless ``with_moved``), last, head, right_whole, word of each line that ends in the first half of a word, or
+    (``word`` false) in that of a compound.
 
     The other half opens the next line of the text that is neither blank nor
     ``noise`` (heads and page numbers): in the block, in the page's next block of
@@ -586,7 +600,8 @@ def _as_written(form: Column, like: Column) -> Column:
 def repair(
     document_blocks: DataFrame, settings: Settings = Settings(), corpus: DataFrame | None = None, markdown: bool = False
 ) -> DataFrame:
-    """block_uid, text: the text of each block without heads and page numbers, with words joined and corrected, as paragraphs (an empty line between).
+    """block_uid, text: the text of each block without heads and page numbers, with words joined and corrected, as
+    paragraphs (an empty line between).
 
     A word hyphenated over blocks or pages stands whole at the end of the first.
     Blocks of other types keep their text, null stays null; a repeated delivery

@@ -34,7 +34,9 @@ WIDE = 1 << 28
 
 @lru_cache(1)
 def _classes() -> np.ndarray:
-    """Of each code point of the basic plane: 1 white, 2 line end, 3 clause mark, 4 sentence mark, 5 mark that belongs to the character before it."""
+    """Of each code point of the basic plane: 1 white, 2 line end, 3 clause mark, 4 sentence mark, 5 mark that belongs
+    to the character before it.
+    """
     kinds = np.zeros(0x10000, np.int8)
     for c in range(0x10000):
         if unicodedata.category(chr(c)) in ("Mn", "Me", "Mc") or c in (0x200D, 0xFE0F):
@@ -134,7 +136,9 @@ def stripped(text: Column) -> Column:
 
 
 def page_text(blocks: Column) -> Column:
-    """Text of a page: the non-blank, stripped ``markdown_result`` of its blocks by ``block_id``, a repeated ``block_id`` once (its first non-blank entry), joined by an empty line."""
+    """Text of a page: the non-blank, stripped ``markdown_result`` of its blocks by ``block_id``, a repeated
+    ``block_id`` once (its first non-blank entry), joined by an empty line.
+    """
     return F.array_join(F.transform(blocks, lambda b: b["text"]), "\n\n")
 
 

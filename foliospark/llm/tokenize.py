@@ -42,7 +42,9 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def _byte_symbols() -> dict[str, int]:
-    """The printable stand-ins of the 256 bytes in a byte-level vocabulary file: printable Latin-1 bytes stand for themselves, the others follow from U+0100 in order."""
+    """The printable stand-ins of the 256 bytes in a byte-level vocabulary file: printable Latin-1 bytes stand for
+    themselves, the others follow from U+0100 in order.
+    """
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
     rest = [b for b in range(256) if b not in set(own)]
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
@@ -83,7 +85,9 @@ class BatchBpe:
         return np.where(self.keys[at] == key, self.ranks[at], NO_PAIR)
 
     def merge(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merge ``symbols`` of words of ``sizes`` (each at least 1) to the end; returns the flat ids and each word's number of ids."""
+        """Merge ``symbols`` of words of ``sizes`` (each at least 1) to the end; returns the flat ids and each word's
+        number of ids.
+        """
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         word = np.arange(len(sizes))
         for done in itertools.count():
@@ -129,7 +133,9 @@ class BatchBpe:
         return flat, number
 
     def _by_rank(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The same merges, rank after rank over all words: symbols are linked, and each rank has the places where its pair may stand."""
+        """The same merges, rank after rank over all words: symbols are linked, and each rank has the places where its
+        pair may stand.
+        """
         n, ends = len(symbols), np.cumsum(sizes)
         word = np.repeat(np.arange(len(sizes)), sizes)
         after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
@@ -244,7 +250,8 @@ def encode_table(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, count_only: bool = False,
     keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``id_col``, the columns ``keep`` and ``ids`` (array<int>), or with ``count_only`` ``n_tokens`` (bigint), of every row, without special tokens.
+    """``id_col``, the columns ``keep`` and ``ids`` (array<int>), or with ``count_only`` ``n_tokens`` (bigint), of
+    every row, without special tokens.
 
     Null and empty texts give an empty list (0 tokens); text that spells a special
     token is ordinary text; rows are kept one to one, repeated ids and null ids
