@@ -32,7 +32,9 @@ class AliasFinder:
         return out
 
     def find(self, text: str) -> list[tuple[int, int, object]]:
-        """The hits from left to right and without overlap: of those that overlap the longest stays, of equal ones the left."""
+        """The hits from left to right and without overlap: of those that overlap the longest stays, of equal ones the
+        left.
+        """
         return longest(self.hits(text))
 
 

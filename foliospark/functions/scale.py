@@ -1,4 +1,6 @@
-"""What follows the cluster instead of the machine the driver runs on: checkpoints, broadcasts, the package on the executors."""
+"""What follows the cluster instead of the machine the driver runs on: checkpoints, broadcasts, the package on the
+executors.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +14,9 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; only where it is unset on one machine (tests) a local one is made."""
+    """The shared folder named by ``spark.checkpoint.dir``; only where it is unset on one machine (tests) a local one
+    is made.
+    """
     context = spark.sparkContext
     # written tables are deleted once nothing refers to them any more
     context._jsc.sc().conf().setIfMissing("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
@@ -29,7 +33,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back: one computation, and no lineage to repeat when an executor is lost."""
+    """Write ``df`` to the shared checkpoint folder and read it back: one computation, and no lineage to repeat when
+    an executor is lost.
+    """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -39,14 +45,17 @@ BROADCAST_ROWS = 200_000
 
 
 def broadcast_if(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` for a broadcast join where it has at most ``most`` rows (they are counted, so let it be a table that is already written); beyond that as it is, for Spark to shuffle."""
+    """``df`` for a broadcast join where it has at most ``most`` rows (they are counted, so let it be a table that is
+    already written); beyond that as it is, for Spark to shuffle.
+    """
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def carry(
     df: DataFrame, values: dict[str, Column], keys: tuple[str, ...], order: str, width: int, current: bool = True
 ) -> DataFrame:
-    """``df`` with columns ``values``: of each the last value that is not null up to the row (``current``) or before it, in ``order`` (a number) within ``keys``.
+    """``df`` with columns ``values``: of each the last value that is not null up to the row (``current``) or before
+    it, in ``order`` (a number) within ``keys``.
 
     A key with a large part of all rows is no single task's window: rows are cut
     into ranges of ``order`` of the given ``width``, the last values of the ranges
@@ -73,7 +82,9 @@ def carry(
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors, once per application, where they would not find it: not installed, and not on the PYTHONPATH they inherit."""
+    """Send the package to the executors, once per application, where they would not find it: not installed, and not
+    on the PYTHONPATH they inherit.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = [
         os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p

@@ -41,7 +41,8 @@ def to_float(text: Column) -> Column:
 
 
 def round_binary(value: Column | str, digits: Column | int) -> Column:
-    """Rounding of the exact binary value, ties to even (2.675 is below the tie); SQL's round works on the decimal digits shown.
+    """Rounding of the exact binary value, ties to even (2.675 is below the tie); SQL's round works on the decimal
+    digits shown.
 
     The nearest integer of ``value * 10^digits`` may be one off, so twice that
     product is compared with the odd numbers beside it: the product's rounding
@@ -65,7 +66,8 @@ def round_binary(value: Column | str, digits: Column | int) -> Column:
 
 
 def repair_hyphens(text: Column) -> Column:
-    """Joins words hyphenated over a line end (three letters and more before, a small letter after) and then lines that go on in a small letter; formulas stay.
+    """Joins words hyphenated over a line end (three letters and more before, a small letter after) and then lines
+    that go on in a small letter; formulas stay.
 
     Matches do not overlap: of ``a, b, c`` on three lines only the first two join.
     The two patterns beside the formulas are fixed values.
@@ -91,7 +93,9 @@ def merge_split_paragraphs(text: Column) -> Column:
 
 
 def clean_text(text: Column) -> Column:
-    """Text of a block: words hyphenated over a line end joined, no blanks at line ends, at most one empty line; formulas within a line stay."""
+    """Text of a block: words hyphenated over a line end joined, no blanks at line ends, at most one empty line;
+    formulas within a line stay.
+    """
     inline = r"\$[^$\n]+\$"
     out = F.regexp_replace(F.coalesce(text, F.lit("")), rf"(?U)({inline})|(\w+)-\n(\w+)", "$1$2$3")
     out = F.regexp_replace(out, rf"(?md)({inline})|[ \t]+$", "$1")
@@ -177,7 +181,9 @@ def terms(text: Column) -> Column:
 
 
 def json_indented(value: Column, kind: DataType, level: int = 0) -> Column:
-    """JSON with two blanks of indentation for each level and with null fields, as text tools print it; ``kind`` is the type of ``value``."""
+    """JSON with two blanks of indentation for each level and with null fields, as text tools print it; ``kind`` is
+    the type of ``value``.
+    """
     pad, end = "  " * (level + 1), "\n" + "  " * level
     if isinstance(kind, StructType):
         parts = [

@@ -22,7 +22,9 @@ def crop_name(doc: Column, page: Column, block_id: Column, block_type: Column) -
 
 
 def placeholders(blocks: DataFrame) -> DataFrame:
-    """Results of a run without reading of images: formulas and images are named by number, all other blocks keep their text."""
+    """Results of a run without reading of images: formulas and images are named by number, all other blocks keep
+    their text.
+    """
     path = F.when(
         F.col("has_crop") & needs_ocr(F.col("block_type")),
         crop_name(F.col("doc"), F.col("page"), F.col("block_id"), F.col("block_type"))
@@ -89,7 +91,9 @@ def apply_readings(blocks: DataFrame, readings: DataFrame, keep_without_crop: bo
 
 
 def finish_texts(blocks: DataFrame) -> DataFrame:
-    """Clean-up of the text and simple table blocks that are not done yet (a pipeline that marks them done earlier leaves nothing to do here)."""
+    """Clean-up of the text and simple table blocks that are not done yet (a pipeline that marks them done earlier
+    leaves nothing to do here).
+    """
     text = T.heading_prefix(T.clean_text(F.col("raw_content")), F.col("heading_level"))
     table = T.repair_table(F.col("raw_content"))
     is_text, is_table = F.col("block_type") == "text", (F.col("block_type") == "table") & (
@@ -104,7 +108,9 @@ def finish_texts(blocks: DataFrame) -> DataFrame:
 
 
 def page_markdown(blocks: DataFrame) -> DataFrame:
-    """doc, page, markdown: the stripped, non-blank results of a page's blocks by block_id, an empty line between (pages without any have an empty text), and whether a block needed reading."""
+    """doc, page, markdown: the stripped, non-blank results of a page's blocks by block_id, an empty line between
+    (pages without any have an empty text), and whether a block needed reading.
+    """
     items = F.array_sort(
         F.collect_list(F.struct("block_id", T.strip(F.coalesce("markdown_result", F.lit(""))).alias("text")))
     )
@@ -202,7 +208,9 @@ def is_large(size_bytes: Column, n_pages: Column) -> Column:
 
 
 def chunk_ranges(files: DataFrame, size: int = CHUNK_PAGES) -> DataFrame:
-    """Page ranges of ``size`` of each file (name, pages): name, chunk_no (from 1), first_page, last_page, chunk_name; a file without pages has none."""
+    """Page ranges of ``size`` of each file (name, pages): name, chunk_no (from 1), first_page, last_page, chunk_name;
+    a file without pages has none.
+    """
     n = F.ceil(F.col("pages") / size).cast("int")
     rows = files.where(F.col("pages") > 0).select("name", "pages", F.explode(F.sequence(F.lit(1), n)).alias("chunk_no"))
     first, last = (F.col("chunk_no") - 1) * size + 1, F.least(F.col("chunk_no") * size, F.col("pages"))
@@ -214,7 +222,9 @@ def chunk_ranges(files: DataFrame, size: int = CHUNK_PAGES) -> DataFrame:
 
 
 def merge_chunks(chunks: DataFrame, generator: str = "MinerU PDF2Markdown Pipeline") -> DataFrame:
-    """name, markdown of chunk texts (name, path, content null where missing): two comments, then the stripped texts by path as strings; after the first place an empty line goes before each."""
+    """name, markdown of chunk texts (name, path, content null where missing): two comments, then the stripped texts
+    by path as strings; after the first place an empty line goes before each.
+    """
     ordered = F.array_sort(
         F.collect_list(
             F.struct("path", F.col("content").isNull().alias("gone"), F.coalesce("content", F.lit("")).alias("content"))
@@ -240,7 +250,8 @@ def plan_files(
     files: DataFrame, skip: list[str] | None = None, only: str | None = None, contains: str | None = None,
     resume: bool = False
 ) -> DataFrame:
-    """Files (name, size_bytes, pages, output_size) to convert, by name, with ``route`` (normal, chunked) and ``status`` (null, or skipped where ``resume`` finds an output that is not empty).
+    """Files (name, size_bytes, pages, output_size) to convert, by name, with ``route`` (normal, chunked) and
+    ``status`` (null, or skipped where ``resume`` finds an output that is not empty).
 
     ``only`` is an exact name (the skip list does not apply to it), ``contains`` a part of the name in any case.
     """

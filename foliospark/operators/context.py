@@ -60,7 +60,9 @@ def safe_candidates(candidates: DataFrame, text_col: str = "content") -> DataFra
 
 
 def union_sources(sources: dict[str, DataFrame | None]) -> DataFrame:
-    """Candidates of all sources that answered, with ``source_kind``; a missing source (None) and missing columns are tolerated."""
+    """Candidates of all sources that answered, with ``source_kind``; a missing source (None) and missing columns are
+    tolerated.
+    """
     every = None
     for kind, df in sources.items():
         if df is not None:
@@ -87,7 +89,9 @@ def rerank(
     candidates: DataFrame, queries: DataFrame, scorer: Callable[[Column, Column], Column] = lexical_overlap,
     recency_weight: float = 0.0, trust_weight: float = 0.0, half_life_days: float = 30.0, now: str | None = None
 ) -> DataFrame:
-    """Candidates with ``rerank_score`` of a scorer (any column expression, a pandas UDF too) plus weighted age and trust, ranked in each query."""
+    """Candidates with ``rerank_score`` of a scorer (any column expression, a pandas UDF too) plus weighted age and
+    trust, ranked in each query.
+    """
     c = candidates.join(queries.select("query_id", "query"), "query_id")
     score = scorer(F.col("query"), F.col("content"))
     if trust_weight:
@@ -105,7 +109,9 @@ def rerank(
 
 
 def compress(ranked: DataFrame, queries: DataFrame, keep_verbatim: float = 0.5, sentences: int = 3) -> DataFrame:
-    """Candidates under the score ``keep_verbatim`` cut to the ``sentences`` that share most terms with the query, in their order."""
+    """Candidates under the score ``keep_verbatim`` cut to the ``sentences`` that share most terms with the query, in
+    their order.
+    """
     c = ranked.join(queries.select("query_id", F.array_distinct(T.terms(F.col("query"))).alias("_q")), "query_id")
     parts = F.filter(F.split("content", r"(?<=[.!?…])\s+"), lambda s: F.length(s) > 0)
     c = c.withColumn(
@@ -127,7 +133,9 @@ def compress(ranked: DataFrame, queries: DataFrame, keep_verbatim: float = 0.5,
 
 
 def within_budget(candidates: DataFrame, total_tokens: int, shares: dict[str, float] | None = None) -> DataFrame:
-    """Candidates (query_id, source_kind, chunk_id, score, tokens) that fit the share of their kind, best first; the running sum stops at the first that does not fit.  Kinds without a share have none."""
+    """Candidates (query_id, source_kind, chunk_id, score, tokens) that fit the share of their kind, best first; the
+    running sum stops at the first that does not fit.  Kinds without a share have none.
+    """
     shares = shares or BUDGET_SHARES
     table = F.create_map(*[F.lit(x) for k, v in shares.items() for x in (k, int(total_tokens * v))])
     run = F.sum("tokens").over(
@@ -140,7 +148,9 @@ def within_budget(candidates: DataFrame, total_tokens: int, shares: dict[str, fl
 
 
 def build_prompt(bundle: DataFrame, queries: DataFrame, order: tuple[str, ...] = PROMPT_ORDER) -> DataFrame:
-    """query_id, prompt: the parts by kind in ``order`` and by score, an empty line between, the question last.  Knowledge carries its document and page."""
+    """query_id, prompt: the parts by kind in ``order`` and by score, an empty line between, the question last.
+    Knowledge carries its document and page.
+    """
     place = F.create_map(*[F.lit(x) for i, k in enumerate(order) for x in (k, i)])
     cite = F.when(
         (F.col("source_kind") == "knowledge") & F.col("doc_name").isNotNull(),
@@ -160,7 +170,9 @@ def build_prompt(bundle: DataFrame, queries: DataFrame, order: tuple[str, ...] =
 
 
 def session_window(turns: DataFrame, tokens_budget: int | None = None, most_turns: int | None = None) -> DataFrame:
-    """Turns (conv_id, turn, tokens, text) with ``kept``: the latest ones within the budgets; the rest is for the rolling summary."""
+    """Turns (conv_id, turn, tokens, text) with ``kept``: the latest ones within the budgets; the rest is for the
+    rolling summary.
+    """
     back = Window.partitionBy("conv_id").orderBy(F.desc("turn"))
     ok = F.lit(True)
     if tokens_budget is not None:
@@ -173,7 +185,8 @@ def session_window(turns: DataFrame, tokens_budget: int | None = None, most_turn
 
 
 def rolling_summary(windowed: DataFrame, sentences: int = 3) -> DataFrame:
-    """conv_id, summary of the turns that fell out of the session: their ``sentences`` that say most about them, in order.
+    """conv_id, summary of the turns that fell out of the session: their ``sentences`` that say most about them, in
+    order.
 
     A sentence counts by its terms: the sum, over its different terms, of the
     number of fallen turns that have it, over the root of its number of terms, so
@@ -219,7 +232,8 @@ def retrieve(
     sources: dict[str, Callable[[], DataFrame]], on_error: Callable[[str, Exception], None] | None = None,
     timeout: float | None = None
 ) -> DataFrame:
-    """Candidates of all sources, asked side by side; one that fails, or takes longer than ``timeout`` seconds, is left out and reported.
+    """Candidates of all sources, asked side by side; one that fails, or takes longer than ``timeout`` seconds, is
+    left out and reported.
 
     A source's rows are computed here and written to the checkpoint folder, so a
     fault that only shows when they are read is met here too.  A source that is
@@ -255,7 +269,9 @@ def retrieve(
 def run_steps(
     step: Callable[[int, object], tuple[object, bool]], state: object = None, most: int = 8
 ) -> tuple[object, int, bool]:
-    """A loop of tool steps with a cap: ``step(number, state)`` gives the new state and whether it is done; returns state, steps taken, and whether it was done before the cap."""
+    """A loop of tool steps with a cap: ``step(number, state)`` gives the new state and whether it is done; returns
+    state, steps taken, and whether it was done before the cap.
+    """
     for number in range(1, most + 1):
         state, done = step(number, state)
         if done:

@@ -62,7 +62,9 @@ def in_edge_zone(y0: Column, y1: Column, height: Column) -> Column:
 
 
 def font_hierarchy(spans: DataFrame) -> DataFrame:
-    """doc, page, body (the size with most characters outside formula fonts; of equal ones the first seen), h1, h2, h3."""
+    """doc, page, body (the size with most characters outside formula fonts; of equal ones the first seen), h1, h2,
+    h3.
+    """
     size = F.round("size", 1)
     seen = spans.where(~is_math_font(F.col("font"))).select(
         "doc", "page", F.struct("block", "line", "span").alias("at"), size.alias("size"),
@@ -110,7 +112,9 @@ def line_text(spans: Column) -> Column:
 
 
 def analyze_blocks(spans: DataFrame, fonts: DataFrame) -> DataFrame:
-    """One row per text block: block schema with type text, math or algorithm, content, heading level, largest font size."""
+    """One row per text block: block schema with type text, math or algorithm, content, heading level, largest font
+    size.
+    """
     math, mono = is_math_span(F.col("font"), F.col("text")), is_mono_font(F.col("font"))
     s = spans.repartition("doc", "page").select(
         "*", math.alias("math"), mono.alias("mono"), is_math_font(F.col("font")).alias("math_font"),
@@ -190,7 +194,9 @@ def heading_level(
 
 
 def table_blocks(tables: DataFrame) -> DataFrame:
-    """Tables as blocks: Markdown and whether they need a complex reading (five columns and more, or a merged cell below the header)."""
+    """Tables as blocks: Markdown and whether they need a complex reading (five columns and more, or a merged cell
+    below the header).
+    """
     width = F.size(F.get("cells", F.lit(0)))
     merged = F.exists(
         F.slice("cells", 2, F.greatest(F.size("cells"), F.lit(1))), lambda row: F.exists(row, lambda c: c.isNull())
@@ -240,7 +246,9 @@ def captioned_images(images: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def coverage(boxes: DataFrame, dims: DataFrame) -> DataFrame:
-    """Summed heights of the boxes over each 2-point slot of a page: doc, page, slot, covered (0 for slots without a box)."""
+    """Summed heights of the boxes over each 2-point slot of a page: doc, page, slot, covered (0 for slots without a
+    box).
+    """
     n = F.floor(F.col("width") / SLOT).cast("int") + 1
     slots = dims.where((F.col("width") > 0) & (F.col("height") > 0)).select(
         "doc", "page", "width", "height", F.explode(F.sequence(F.lit(0), n - 1)).alias("slot")
@@ -257,7 +265,8 @@ def coverage(boxes: DataFrame, dims: DataFrame) -> DataFrame:
 
 
 def gutters(boxes: DataFrame, dims: DataFrame) -> DataFrame:
-    """doc, page, gutter: the middle of the widest run of nearly empty slots in the centre of a page (of equal ones the leftmost); pages without one have no row.
+    """doc, page, gutter: the middle of the widest run of nearly empty slots in the centre of a page (of equal ones
+    the leftmost); pages without one have no row.
 
     The cover of a page is a step function: each box adds its height at its first
     slot and takes it away after its last, so two rows per box and a running sum
@@ -299,7 +308,9 @@ def gutters(boxes: DataFrame, dims: DataFrame) -> DataFrame:
 
 
 def page_layouts(boxes: DataFrame, dims: DataFrame) -> DataFrame:
-    """doc, page, layout, gutter of every page of ``dims``: two columns by a gutter, or by three blocks and more at either side of the middle."""
+    """doc, page, layout, gutter of every page of ``dims``: two columns by a gutter, or by three blocks and more at
+    either side of the middle.
+    """
     body = boxes.join(dims, ["doc", "page"]).where(
         ~in_edge_zone(F.col("y0"), F.col("y1"), F.col("height"))
     ).select("doc", "page", "x0", "y0", "x1", "y1")
@@ -360,7 +371,9 @@ def reading_order(blocks: DataFrame, layouts: DataFrame, dims: DataFrame) -> Dat
 
 
 def merge_formulas(blocks: DataFrame) -> DataFrame:
-    """Formulas that follow one another closely in a column become one block (gaps and islands over the reading order)."""
+    """Formulas that follow one another closely in a column become one block (gaps and islands over the reading
+    order).
+    """
     order = Window.partitionBy("doc", "page").orderBy("place")
     before = F.lag(F.struct("block_type", "bbox")).over(order)
     b = blocks.withColumn("_b", before)
@@ -397,7 +410,9 @@ def merge_formulas(blocks: DataFrame) -> DataFrame:
 
 
 def number_blocks(merged: DataFrame) -> DataFrame:
-    """Final blocks: block_id from 0 on each page, crop sizes, what became of images too small to crop, and the blocks that need no further reading done."""
+    """Final blocks: block_id from 0 on each page, crop sizes, what became of images too small to crop, and the blocks
+    that need no further reading done.
+    """
     dpi = F.when(F.col("block_type") == "math", MATH_DPI).otherwise(CROP_DPI)
     area = F.round(
         (F.col("bbox.x1") - F.col("bbox.x0")) * dpi / 72

@@ -24,7 +24,9 @@ SEPARATOR = " > "
 
 
 def edge_candidates(markdown: Column) -> Column:
-    """The first two and last two non-blank lines of a page (a short page gives a line twice), as far as they could be heads: 4 to 80 characters, at most ten words."""
+    """The first two and last two non-blank lines of a page (a short page gives a line twice), as far as they could be
+    heads: 4 to 80 characters, at most ten words.
+    """
     kept = F.filter(F.transform(T.lines(T.strip(F.coalesce(markdown, F.lit("")))), T.strip), lambda x: x != "")
     ends = F.concat(F.slice(kept, 1, 2), F.when(F.size(kept) <= 2, kept).otherwise(F.slice(kept, -2, 2)))
     return F.filter(ends, lambda x: F.length(x).between(4, 80) & (F.size(T.word_tokens(x)) <= 10))
@@ -41,7 +43,9 @@ def repeated_lines(pages: DataFrame, least: int = 4) -> DataFrame:
 
 
 def drop_repeated(pages: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Pages without the repeated lines of their document (few short strings for each document, Spark chooses the join by their size); a document without any keeps its text as it is."""
+    """Pages without the repeated lines of their document (few short strings for each document, Spark chooses the join
+    by their size); a document without any keeps its text as it is.
+    """
     sets = repeated.groupBy("doc").agg(F.collect_set("line").alias("_r"))
     kept = F.array_join(F.filter(T.lines(F.col("markdown")), lambda x: ~F.array_contains("_r", T.strip(x))), "\n")
     return pages.join(sets, "doc", "left").withColumn(
@@ -129,7 +133,9 @@ def font_headings(spans: DataFrame, page_limit: int = 10) -> DataFrame:
 
 
 def section_map(pages: DataFrame, headings: DataFrame, width: int = 1024) -> DataFrame:
-    """doc, page, section: path of the last heading on the page, else that of the pages before, else empty; carried over ranges of ``width`` pages."""
+    """doc, page, section: path of the last heading on the page, else that of the pages before, else empty; carried
+    over ranges of ``width`` pages.
+    """
     last = section_paths(headings).groupBy("doc", "page").agg(F.max_by("path", "ord").alias("path"))
     filled = carry(
         pages.select("doc", "page").join(last, ["doc", "page"], "left"), {"section": F.col("path")}, ("doc",), "page",
@@ -139,7 +145,9 @@ def section_map(pages: DataFrame, headings: DataFrame, width: int = 1024) -> Dat
 
 
 def mark_sections(pages: DataFrame, sections: DataFrame, references: DataFrame, width: int = 1024) -> DataFrame:
-    """Pages with comments on top: the section where it changes (a first page's if it has one), then the references from their page on."""
+    """Pages with comments on top: the section where it changes (a first page's if it has one), then the references
+    from their page on.
+    """
     changed = carry(sections, {"_before": F.col("section")}, ("doc",), "page", width, current=False)
     changed = changed.withColumn(
         "_new", (F.col("section") != "") & ~F.col("section").eqNullSafe(F.col("_before"))

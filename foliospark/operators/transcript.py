@@ -32,7 +32,9 @@ def before_marker(blocks: DataFrame) -> DataFrame:
 
 
 def page_rows(blocks: DataFrame) -> DataFrame:
-    """Rows of cells: doc, page, y (multiple of 3), cells (texts from left to right, in order of ``ord`` at one x); blank cells are dropped."""
+    """Rows of cells: doc, page, y (multiple of 3), cells (texts from left to right, in order of ``ord`` at one x);
+    blank cells are dropped.
+    """
     cells = before_marker(blocks).select(
         "doc", "page", "ord", "x0", (F.bround(F.col("y0") / 3) * 3).cast("int").alias("y"),
         T.strip(F.col("text")).alias("text")
@@ -93,7 +95,8 @@ def _rounded(ratio: Column) -> Column:
 
 
 def gpa_by_semester(courses: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Grade average and credits of each semester (and of ``keys``, as a transcript id); semesters without counted courses have 0.
+    """Grade average and credits of each semester (and of ``keys``, as a transcript id); semesters without counted
+    courses have 0.
 
     A plain aggregation with map-side sums; averages are rounded as described in
     ``round_binary``.
@@ -111,7 +114,8 @@ def gpa_by_semester(courses: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
 def best_attempts(
     courses: DataFrame, keys: tuple[str, ...] = (), up_to: str | None = None, ord_col: str = "ord"
 ) -> DataFrame:
-    """The counted attempt of each code: most points, then the earliest semester, then ``ord``; with the place of the code's first attempt.
+    """The counted attempt of each code: most points, then the earliest semester, then ``ord``; with the place of the
+    code's first attempt.
 
     ``max_by`` over an ordered struct instead of a sort: partial aggregation
     keeps one row per code and task, so a code with a third of the rows is no hot
@@ -128,7 +132,9 @@ def best_attempts(
 
 
 def cpa(courses: DataFrame, keys: tuple[str, ...] = (), up_to: str | None = None, ord_col: str = "ord") -> DataFrame:
-    """Cumulative average over the best attempts: ``keys``, cpa, cumulative_credits (0 and 0 without any when there are no keys)."""
+    """Cumulative average over the best attempts: ``keys``, cpa, cumulative_credits (0 and 0 without any when there
+    are no keys).
+    """
     best = best_attempts(courses, keys, up_to, ord_col)
     return best.groupBy(*keys).agg(
         average().alias("cpa"), F.coalesce(F.sum("credits"), F.lit(0)).cast("bigint").alias("cumulative_credits")

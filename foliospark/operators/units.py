@@ -79,7 +79,9 @@ class RemarkReader:
         self.columns: dict[tuple[str, str], str | None] = {}
 
     def unit(self, text: str | None, quantity: str) -> str | None:
-        """The unit that a unit column names: its longest alias of a unit of ``quantity``, with no further letters or digits; null where it is null, empty or a filler."""
+        """The unit that a unit column names: its longest alias of a unit of ``quantity``, with no further letters or
+        digits; null where it is null, empty or a filler.
+        """
         if text is None:
             return None
         at = (text, quantity)
@@ -210,14 +212,17 @@ def readings(weather: DataFrame) -> DataFrame:
 
 
 def convert(weather: DataFrame) -> DataFrame:
-    """One row per observation that has any of the values: obs_id, temperature_c, wind_speed_kmh, precipitation_mm (null where missing)."""
+    """One row per observation that has any of the values: obs_id, temperature_c, wind_speed_kmh, precipitation_mm
+    (null where missing).
+    """
     out = readings(weather).groupBy("obs_id")
     names = {"temperature": "temperature_c", "wind_speed": "wind_speed_kmh", "precipitation": "precipitation_mm"}
     return out.agg(*[F.max(F.when(F.col("quantity") == q, F.col("value"))).alias(n) for q, n in names.items()])
 
 
 def agreeing(weather: DataFrame, within: float = 0.5) -> DataFrame:
-    """Pairs obs_id_a < obs_id_b of one place and minute that agree in a quantity within ``within`` though recorded in different units.
+    """Pairs obs_id_a < obs_id_b of one place and minute that agree in a quantity within ``within`` though recorded in
+    different units.
 
     ``within`` is meant for the values as they are written: after conversion they
     may differ by ``TOLERANCE`` more.  Values are put into bins a little wider

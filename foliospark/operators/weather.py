@@ -45,7 +45,9 @@ def describe(code: Column) -> Column:
 
 
 def check_queries(queries: DataFrame) -> DataFrame:
-    """Queries (query_id, location, language, units, include_forecast) with defaults filled in and ``error`` (null where they are valid)."""
+    """Queries (query_id, location, language, units, include_forecast) with defaults filled in and ``error`` (null
+    where they are valid).
+    """
     q = queries.withColumn("language", F.coalesce("language", F.lit("vi"))).withColumn("units", F.coalesce("units", F.lit("metric"))).withColumn(
         "include_forecast", F.coalesce("include_forecast", F.lit(False))
     )
@@ -74,7 +76,9 @@ def _object(payload: Column) -> Column:
 
 
 def locate(queries: DataFrame, payloads: DataFrame) -> DataFrame:
-    """Queries with ``place`` (the first result of their lookup payload) or ``error``; payloads has query_id, payload (at most one each)."""
+    """Queries with ``place`` (the first result of their lookup payload) or ``error``; payloads has query_id, payload
+    (at most one each).
+    """
     known = payloads.select("query_id", F.col("payload").alias("_p"))
     out = queries.join(known, "query_id", "left").withColumn(
         "place", F.get(F.from_json("_p", GEOCODE)["results"], F.lit(0))
@@ -111,7 +115,9 @@ def parse_forecasts(located: DataFrame, payloads: DataFrame) -> DataFrame:
 
 
 def daily_rows(daily: Column) -> Column:
-    """Parallel arrays as an array of days, one per ``time``; shorter arrays are padded with nulls, longer ones cut; without ``time`` it is empty."""
+    """Parallel arrays as an array of days, one per ``time``; shorter arrays are padded with nulls, longer ones cut;
+    without ``time`` it is empty.
+    """
     day = lambda t, i: F.struct(
         t.alias("date"), F.get(daily["weather_code"], i).alias("weather_code"),
         describe(F.get(daily["weather_code"], i)).alias("weather_description"),
@@ -132,5 +138,7 @@ def answers(parsed: DataFrame) -> DataFrame:
 
 
 def current_weather(queries: DataFrame, places: DataFrame, forecasts: DataFrame) -> DataFrame:
-    """The whole tool: validated queries, lookup and forecast payloads to JSON answers; a faulty row gives an error answer and stops no other."""
+    """The whole tool: validated queries, lookup and forecast payloads to JSON answers; a faulty row gives an error
+    answer and stops no other.
+    """
     return answers(parse_forecasts(locate(check_queries(queries), places), forecasts))

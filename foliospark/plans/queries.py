@@ -30,7 +30,9 @@ def query(function: Query) -> Query:
 
 
 def _once(df: DataFrame, key: str, *drop: str, by: tuple[str, ...] = ()) -> DataFrame:
-    """A table without its repeated deliveries.  ``by`` are columns that the key decides and that later steps group by: rows are then shuffled by them once, for both."""
+    """A table without its repeated deliveries.  ``by`` are columns that the key decides and that later steps group
+    by: rows are then shuffled by them once, for both.
+    """
     df = df.drop(*drop)
     return df.repartition(*by).dropDuplicates([*by, key]) if by else df.dropDuplicates([key])
 
@@ -120,7 +122,9 @@ def semester_list(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _positioned(courses: DataFrame) -> DataFrame:
-    """Courses as positioned text: each transcript a document, a semester header above each semester's first row, cells side by side."""
+    """Courses as positioned text: each transcript a document, a semester header above each semester's first row,
+    cells side by side.
+    """
     c = courses.withColumn("name", F.regexp_replace("name", r"[\p{Z}\s]+", " "))
     cells = F.array(
         "code", "name", F.col("credits").cast("string"), "class_id", F.col("process_score").cast("string"),
@@ -169,7 +173,9 @@ def code_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _weather_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Requests, lookup payloads and forecast payloads as a service would have sent them; every seventh place is not found, every eleventh payload is no object."""
+    """Requests, lookup payloads and forecast payloads as a service would have sent them; every seventh place is not
+    found, every eleventh payload is no object.
+    """
     w = _once(table(spark, sf, "current_weather"), "obs_id", "received_at").join(table(spark, sf, "places"), "place_id")
     queries = w.select(
         F.col("obs_id").alias("query_id"), F.col("name").alias("location"),
@@ -641,7 +647,9 @@ def exact_classes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _with_near_copies(spark: SparkSession, sf: str) -> DataFrame:
-    """All documents and, of every third, two near copies: one without its last word, one with a word put before it; and of every ninth a copy with a word in each place of twenty changed, which is none."""
+    """All documents and, of every third, two near copies: one without its last word, one with a word put before it;
+    and of every ninth a copy with a word in each place of twenty changed, which is none.
+    """
     d = _documents(spark, sf).select("doc_id", "text")
     own = d.where("doc_id % 3 = 0 AND text IS NOT NULL")
     base = F.lit(1 << 40)

@@ -18,7 +18,9 @@ def event_stream(spark: SparkSession, folder: str, files_per_trigger: int = 100)
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = None) -> DataFrame:
-    """Sessions of each user: start, end (last event and ``gap``), events, value.  ``late`` sets the watermark of a stream."""
+    """Sessions of each user: start, end (last event and ``gap``), events, value.  ``late`` sets the watermark of a
+    stream.
+    """
     e = events.withWatermark("ts", late) if late else events
     s = e.groupBy("user_id", F.session_window("ts", gap).alias("s")).agg(
         F.count("*").alias("events"), F.sum("value").alias("value")

@@ -14,7 +14,9 @@ def list_courses(blocks: DataFrame) -> DataFrame:
 
 
 def get_semester_gpa(courses: DataFrame, semester: str, ord_col: str = "ord") -> DataFrame:
-    """One row: semester, gpa, credits_counted and the counted courses in order (0, 0 and none where the semester has no counted course)."""
+    """One row: semester, gpa, credits_counted and the counted courses in order (0, 0 and none where the semester has
+    no counted course).
+    """
     own = transcript.counted(courses.where(F.col("semester") == semester))
     average, total = transcript.average(), F.coalesce(F.sum("credits"), F.lit(0)).cast("bigint")
     return own.agg(
@@ -24,7 +26,8 @@ def get_semester_gpa(courses: DataFrame, semester: str, ord_col: str = "ord") ->
 
 
 def get_cpa(courses: DataFrame, up_to: str | None = None, ord_col: str = "ord") -> DataFrame:
-    """One row: up_to_semester, cpa, cumulative_credits, and the counted courses in order of their codes' first attempts.
+    """One row: up_to_semester, cpa, cumulative_credits, and the counted courses in order of their codes' first
+    attempts.
 
     ``courses`` are those of one transcript, so one row holds them; averages of
     many transcripts are ``transcript.cpa``.
@@ -40,7 +43,9 @@ def get_cpa(courses: DataFrame, up_to: str | None = None, ord_col: str = "ord")
 def simulate_grades(
     courses: DataFrame, overrides: DataFrame, up_to: str | None = None, ord_col: str = "ord"
 ) -> tuple[DataFrame, DataFrame]:
-    """Averages of all semesters in order with their counted courses, and the answer of ``get_cpa``, under what-if grades."""
+    """Averages of all semesters in order with their counted courses, and the answer of ``get_cpa``, under what-if
+    grades.
+    """
     changed = transcript.apply_overrides(courses, overrides)
     lists = transcript.counted(changed).groupBy("semester").agg(transcript.course_list(ord_col).alias("courses"))
     gpas = transcript.gpa_by_semester(changed).join(lists, "semester", "left").withColumn(

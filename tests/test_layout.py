@@ -20,7 +20,9 @@ def dims(spark, n, w=600.0, h=800.0):
 
 
 def model_order(blocks, two, split, width):
-    """Independent model of the two-column merge: take the higher of full-width and left, the right column after the left one."""
+    """Independent model of the two-column merge: take the higher of full-width and left, the right column after the
+    left one.
+    """
     if not two:
         return [b[2] for b in sorted(blocks, key=lambda b: (round(b[3][1] / 5) * 5, b[3][0]))]
     full, left, right = [], [], []

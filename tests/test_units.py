@@ -7,7 +7,9 @@ SCHEMA = "obs_id bigint, place_id int, units string, time string, temperature do
 
 
 def weather(spark, rows):
-    """Rows of (obs_id, time, units, temperature, its unit, remark); the column ``unit`` clashes with one of the operator's."""
+    """Rows of (obs_id, time, units, temperature, its unit, remark); the column ``unit`` clashes with one of the
+    operator's.
+    """
     return spark.createDataFrame(
         [(i, 1, u, t, v, None, None, n, None, None, r, "x") for i, t, u, v, n, r in rows], SCHEMA
     )
