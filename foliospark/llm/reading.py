@@ -9,6 +9,7 @@ with the labelled documents (a bounded sample of them), few or many.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -83,18 +84,23 @@ class Reader:
 
         self.settings = settings
         self.familiar = familiar
-        self.words = regex.compile(WORDS).findall
+        self.all_words = regex.compile(WORDS).findall
+        # the same words in texts of Latin letters and common punctuation, which have no marks of their own
+        latin = "A-Za-zªµºÀ-ÖØ-öø-ɏḀ-ỿ"
+        self.latin_words = re.compile(f"[{latin}]+(?:-[{latin}]+)*").findall
+        self.other = re.compile("[^\x00-įı-ɏḀ-ỿ\u2000-\u2064]").search
+        self.words = self.all_words
         self.letter = regex.compile(r"\p{L}").search
         self.sentence = regex.compile(rf"(?<=[.!?…])(?<!\b(?:{ABBREVIATIONS})\.)[\"')\]]*\s+(?=[\p{{Lu}}\"'(])").split
         self.item = regex.compile(r"\s*(?:[•◦▪*+–-]|\(?(?:\d{1,3}|[A-Za-z]|[ivx]{1,4})[.)])\s").match
         self.lines = regex.compile(r"\r\n?|[\n  ]").split
         self.end = regex.compile(r"[.!?…]").search
-        self.vi = regex.compile(f"[{VIETNAMESE}]").findall
-        self.signs = regex.compile(r"[^\p{L}\p{N}\s]").findall
+        self.vi = re.compile(f"[{VIETNAMESE}]").findall
+        self.signs = re.compile(r"[^\w\s]").findall  # and the underscore
 
     def _prose(self, line: str) -> bool:
         shown = len(line) - line.count(" ") - line.count("\t")
-        signs = len(self.signs(line))
+        signs = len(self.signs(line)) + line.count("_")
         if line[0] == "#" or line.count("|") >= 2 or (signs > 0.2 * shown and shown > 8) or self.item(line):
             return False
         if "\t" in line and len(self.words(line)) < 4 * (line.count("\t") + 1):
@@ -125,8 +131,9 @@ class Reader:
         """
         if not text:
             return None
+        self.words = self.all_words if self.other(text) else self.latin_words
         paragraphs, total = self.paragraphs(text)
-        lang = "vi" if len(self.vi(text.lower())) * 50 > len(text) else "en"
+        lang = "vi" if not text.isascii() and len(self.vi(text.lower())) * 50 > len(text) else "en"
         known = self.familiar.get(lang, frozenset()).__contains__
         number = words = familiar = 0
         different: set[str] = set()
@@ -144,9 +151,8 @@ class Reader:
         if not words:
             return lang, total, False, 1.0, 0.0
         unknown, length = 1 - familiar / words, words / number
-        prose = total >= s.least_words and words >= s.least_prose * total and length >= s.least_sentence and unknown <= s.most_unknown and len(
-            different
-        ) >= s.least_variety * words**0.5
+        prose = total >= s.least_words and words >= s.least_prose * total and length >= s.least_sentence
+        prose = prose and unknown <= s.most_unknown and len(different) >= s.least_variety * words**0.5
         return lang, total, prose, unknown, length
 
 

@@ -62,3 +62,13 @@ def test_familiar_words_of_any_length(spark):
         "doc_id bigint, text string"
     )
     assert word in {r["word"] for r in R.familiar_words(docs).collect()}
+
+
+def test_words_of_latin_texts(spark, sf):
+    reader = R.Reader({}, R.Settings())
+    every = "".join(chr(c) for c in [*range(0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2065)] if c != 0x130)
+    texts = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect() if r["text"]]
+    texts += [every, every[::-1], "-a--b-c- d-É", "".join(f"a{c}-b" for c in every)]
+    latin = [t for t in texts if not reader.other(t)]
+    assert len(latin) > 20 and all(reader.latin_words(t.lower()) == reader.all_words(t.lower()) for t in latin)
+    assert all(map(reader.other, ("İ", "é́", "α", "中")))
