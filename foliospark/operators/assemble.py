@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import text as T
 from foliospark.operators.layout import OCR_TYPES, needs_ocr
+from foliospark.sources.files import size_mb
 
 #: Limits of large files, pages of a chunk, longest image side for reading.
 LARGE_MB, LARGE_PAGES, CHUNK_PAGES, IMAGE_SIDE = 5.0, 100, 30, 896
@@ -204,7 +205,7 @@ def run_summary(counts: DataFrame, elapsed_sec: float) -> DataFrame:
 
 def is_large(size_bytes: Column, n_pages: Column) -> Column:
     """A file of 5 MB and more or of 100 pages and more; unknown sizes do not count."""
-    return F.coalesce(size_bytes / 1e6 >= LARGE_MB, F.lit(False)) | F.coalesce(n_pages >= LARGE_PAGES, F.lit(False))
+    return F.coalesce(size_mb(size_bytes) >= LARGE_MB, F.lit(False)) | F.coalesce(n_pages >= LARGE_PAGES, F.lit(False))
 
 
 def chunk_ranges(files: DataFrame, size: int = CHUNK_PAGES) -> DataFrame:

@@ -53,17 +53,17 @@ ORACLE["simulate_cpa"] = f"WITH {_COURSES}, {_CHANGED}, g AS (SELECT *, {_POINTS
 ORACLE["semester_list"] = "SELECT DISTINCT semester FROM courses"
 # a row without a class or without scores reads a number at the end of its name as credits, and the numbers after it
 # one place further on
-ORACLE["parse_courses"] = f"""WITH {_COURSES}, n AS (SELECT * REPLACE (trim(regexp_replace(name, '[\\p{{Z}}\\s]+', ' ', 'g')) AS name) FROM c),
+ORACLE["parse_courses"] = f"""WITH {_COURSES}, n AS (SELECT * REPLACE (trim(regexp_replace(name, '[\\p{{Z}}\\s]+', ' ', 'g')) AS name) FROM c WHERE transcript_id % 7 <> 0 OR ord < 5),
 r AS (SELECT * FROM n WHERE class_id IS NOT NULL UNION ALL SELECT * REPLACE (regexp_replace(name, ' [0-9]+$', '') AS name, regexp_extract(name, '([0-9]+)$', 1)::INT AS credits, credits::VARCHAR AS class_id) FROM n WHERE class_id IS NULL AND regexp_matches(name, ' [0-9]+$')
 UNION ALL SELECT * REPLACE (regexp_replace(name, ' [0-9]+$', '') AS name, regexp_extract(name, '([0-9]+)$', 1)::INT AS credits, credits::VARCHAR AS class_id, class_id::DOUBLE AS exam_score) FROM n WHERE class_id IS NOT NULL AND exam_score IS NULL AND process_score IS NULL AND regexp_matches(name, ' [0-9]+$'))
 SELECT transcript_id::VARCHAR AS doc, semester, code, name, credits, class_id, CASE WHEN exam_score IS NOT NULL THEN process_score END AS process_score, coalesce(exam_score, process_score) AS exam_score, letter_grade FROM r WHERE coalesce(exam_score, process_score) IS NOT NULL"""
 ORACLE["transcript_json"] = f"WITH {_COURSES} SELECT transcript_id, to_json(list({{'semester': semester, 'code': code, 'name': name, 'credits': credits, 'class_id': class_id, 'process_score': process_score, 'exam_score': exam_score, 'letter_grade': letter_grade}} ORDER BY ord))::VARCHAR AS courses FROM c GROUP BY ALL"
 _LABELS = "CASE weather_code " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in weather.WEATHER_CODES.items()) + f" ELSE coalesce('{weather.UNKNOWN_CODE}' || weather_code, '{weather.NO_CODE}') END"
 ORACLE["code_labels"] = f"WITH {_W} SELECT obs_id, {_LABELS} AS label FROM w"
-_ERR = "CASE WHEN obs_id % 7 = 0 THEN 'Could not find coordinates for location: ' || name WHEN obs_id % 11 = 0 THEN 'Weather service returned an invalid response.' END"
+_ERR = "CASE WHEN obs_id % 17 = 0 THEN 'location is empty' WHEN obs_id % 13 = 0 THEN 'units is neither metric nor imperial' WHEN obs_id % 7 = 0 THEN 'Could not find coordinates for location: ' || name WHEN obs_id % 11 = 0 THEN 'Weather service returned an invalid response.' END"
 ORACLE["weather_results"] = f"WITH {_W}, r AS (SELECT w.*, p.name, {_ERR.replace('name', 'p.name')} AS error FROM w JOIN places p USING (place_id)) SELECT obs_id AS query_id, CASE WHEN error IS NULL THEN name END AS place, CASE WHEN error IS NULL THEN temperature END AS temperature, CASE WHEN error IS NULL THEN {_LABELS} END AS label, CASE WHEN error IS NULL THEN coalesce(temperature_unit, CASE units WHEN 'metric' THEN 'degC' ELSE 'degF' END) END AS unit, CASE WHEN error IS NULL THEN CASE units WHEN 'metric' THEN 'mm' ELSE 'inch' END END AS rain_unit, CASE WHEN error IS NULL THEN CASE WHEN obs_id % 2 = 0 THEN 3 ELSE 0 END END AS days, error FROM r"
 _NONE = weather.NO_CODE
-ORACLE["weather_days"] = f"WITH {_W}, r AS (SELECT w.*, i FROM w JOIN places p USING (place_id), generate_series(1, 3) AS t(i) WHERE obs_id % 7 <> 0 AND obs_id % 11 <> 0 AND obs_id % 2 = 0) SELECT obs_id AS query_id, 'd' || i AS date, CASE WHEN i = 1 THEN weather_code END AS weather_code, CASE WHEN i = 1 THEN {_LABELS} ELSE '{_NONE}' END AS weather_description, CASE i WHEN 1 THEN temperature WHEN 2 THEN apparent_temperature END AS temperature_max, NULL::DOUBLE AS temperature_min, NULL::DOUBLE AS precipitation_sum FROM r"
+ORACLE["weather_days"] = f"WITH {_W}, r AS (SELECT w.*, i FROM w JOIN places p USING (place_id), generate_series(1, 3) AS t(i) WHERE obs_id % 7 <> 0 AND obs_id % 11 <> 0 AND obs_id % 13 <> 0 AND obs_id % 17 <> 0 AND obs_id % 2 = 0) SELECT obs_id AS query_id, 'd' || i AS date, CASE WHEN i = 1 THEN weather_code END AS weather_code, CASE WHEN i = 1 THEN {_LABELS} ELSE '{_NONE}' END AS weather_description, CASE i WHEN 1 THEN temperature WHEN 2 THEN apparent_temperature END AS temperature_max, NULL::DOUBLE AS temperature_min, NULL::DOUBLE AS precipitation_sum FROM r"
 
 
 def _object(fields: dict[str, str], level: int = 0) -> str:
@@ -88,8 +88,8 @@ _ANSWER = _object({
     "daily_forecast": f"(/*json*/CASE WHEN obs_id % 2 = 0 THEN E'[\\n    ' || {_DAYS} || E'\\n  ]' ELSE '[]' END)", "source": f"'{weather.SOURCE}'",
 })
 _FAULT = _object({"error": _ERR.replace("name", "p.name"), "hint": f"'{weather.HINT}'"})
-ORACLE["weather_answer_json"] = f"WITH {_W} SELECT obs_id AS query_id, CASE WHEN obs_id % 7 = 0 OR obs_id % 11 = 0 THEN {_FAULT} ELSE {_ANSWER} END AS answer FROM w JOIN places p USING (place_id)"
-ORACLE["request_parameters"] = f"WITH {_W}, r AS (SELECT units, obs_id % 2 = 0 AS include_forecast FROM w JOIN places USING (place_id)) SELECT units, include_forecast, CASE units WHEN 'metric' THEN 'celsius' ELSE 'fahrenheit' END AS temperature_unit, CASE units WHEN 'metric' THEN 'kmh' ELSE 'mph' END AS wind_speed_unit, CASE units WHEN 'metric' THEN 'mm' ELSE 'inch' END AS precipitation_unit, CASE WHEN include_forecast THEN 3 ELSE 1 END AS forecast_days, count(*) AS count FROM r GROUP BY ALL"
+ORACLE["weather_answer_json"] = f"WITH {_W} SELECT obs_id AS query_id, CASE WHEN obs_id % 7 = 0 OR obs_id % 11 = 0 OR obs_id % 13 = 0 OR obs_id % 17 = 0 THEN {_FAULT} ELSE {_ANSWER} END AS answer FROM w JOIN places p USING (place_id)"
+ORACLE["request_parameters"] = f"WITH {_W}, r AS (SELECT CASE WHEN obs_id % 13 = 0 THEN 'stone' ELSE units END AS units, obs_id % 2 = 0 AS include_forecast FROM w JOIN places USING (place_id)) SELECT units, include_forecast, CASE units WHEN 'metric' THEN 'celsius' ELSE 'fahrenheit' END AS temperature_unit, CASE units WHEN 'metric' THEN 'kmh' ELSE 'mph' END AS wind_speed_unit, CASE units WHEN 'metric' THEN 'mm' ELSE 'inch' END AS precipitation_unit, CASE WHEN include_forecast THEN 3 ELSE 1 END AS forecast_days, count(*) AS count FROM r GROUP BY ALL"
 
 
 def _units() -> str:
@@ -174,7 +174,7 @@ ORACLE["placeholders"] = f"WITH {_BLOCKS} SELECT block_uid, CASE WHEN image_rel_
 ORACLE["apply_readings"] = f"""WITH {_BLOCKS} SELECT block_uid, CASE WHEN image_rel_path IS NULL THEN '' WHEN block_uid % 3 <> 1 THEN CASE block_type WHEN 'math' THEN '$$ [Formula p' || page || ' #' || block_id || '] $$' WHEN 'algorithm' THEN E'```algorithm\\n// [Algorithm p' || page || ' #' || block_id || E']\\n' || raw_content || E'\\n```' ELSE {_IMG} END
 WHEN block_type IN ('image', 'figure') THEN {_IMG} || CASE WHEN length(caption) > 0 THEN E'\\n\\n> ' || caption ELSE '' END || E'\\n\\nread' ELSE 'read' END AS markdown_result FROM b WHERE {_OCR}"""
 _FILES = f"{_PR}, files AS (SELECT doc || '.pdf' AS name, max(page)::BIGINT * 250000 AS size_bytes, max(page) AS pages, CASE WHEN length(doc) % 3 = 0 THEN max(page)::BIGINT - 1 END AS output_size FROM pr GROUP BY doc)"
-ORACLE["chunk_ranges"] = f"WITH {_FILES}, r AS (SELECT name, i::INT AS chunk_no, ((i - 1) * 4 + 1)::INT AS first_page, least(i * 4, pages)::INT AS last_page FROM files, generate_series(1, 100000) AS t(i) WHERE (i - 1) * 4 < pages) SELECT *, replace(name, '.pdf', '') || '_chunk_' || lpad(chunk_no::VARCHAR, greatest(3, length(chunk_no::VARCHAR))::INT, '0') || '_p' || first_page || '-' || last_page AS chunk_name FROM r"
+ORACLE["chunk_ranges"] = f"WITH {_FILES}, r AS (SELECT name, i::INT AS chunk_no, ((i - 1) * 4 + 1)::INT AS first_page, least(i * 4, pages)::INT AS last_page FROM files, generate_series(1, 100000) AS t(i) WHERE (i - 1) * 4 < pages) SELECT *, replace(name, '.pdf', '') || '_chunk_' || lpad(chunk_no::VARCHAR, greatest(3, length(chunk_no::VARCHAR))::INT, '0') || '_p' || first_page || '-' || last_page AS chunk_name, 'chunk' || lpad(chunk_no::VARCHAR, greatest(3, length(chunk_no::VARCHAR))::INT, '0') || '_fig.png' AS image FROM r"
 ORACLE["file_plan"] = f"WITH {_FILES} SELECT name, CASE WHEN size_bytes / 1e6 >= 5 OR pages >= 100 THEN 'chunked' ELSE 'normal' END AS route, CASE WHEN output_size > 0 THEN 'skipped' END AS status FROM files WHERE name <> 'bg-00000004.pdf' AND contains(lower(name), '-0000')"
 ORACLE["status_rollup"] = "SELECT o_orderstatus AS status, count(*) OVER (PARTITION BY o_orderstatus) AS n, o_orderkey::VARCHAR AS name FROM orders"
 ORACLE["merge_chunks"] = f"WITH {_BLOCKS}, {_PAGES}, k AS (SELECT doc, page, 'chunk_' || lpad(page::VARCHAR, greatest(3, length(page::VARCHAR))::INT, '0') AS path, CASE WHEN page % 5 > 0 THEN markdown END AS t FROM p), r AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY path) AS i FROM k) SELECT doc AS name, md5('<!-- Source: ' || doc || E' -->\\n<!-- Generated by foliospark -->\\n\\n' || coalesce(string_agg(CASE WHEN i > 1 THEN E'\\n\\n' ELSE '' END || {_strip('t')} || chr(10), '' ORDER BY path), '')) AS digest FROM r GROUP BY doc"
@@ -331,3 +331,8 @@ SELECT doc, page, CASE WHEN fresh THEN '<!-- section: ' || section || E' -->\\n\
 _PARTS = f"string_split(regexp_replace(coalesce(text, ''), {_q('(^|' + _ANY.replace(chr(92) + 'x0b' + chr(92) + 'x0c' + chr(92) + 'x1c' + chr(92) + 'x1d' + chr(92) + 'x1e', '') + ')(#{1,6} )')}, '\\1' || chr(57344) || '\\2', 'g'), chr(57344))"
 ORACLE["heading_chunks"] = f"""WITH d AS (SELECT doc_id, unnest({_PARTS}) AS text, generate_subscripts({_PARTS}, 1) AS part FROM documents), w AS (SELECT doc_id, part, {_TOK} AS w FROM d), k AS (SELECT doc_id, part, w, i FROM w, generate_series(0, 100000) AS t(i) WHERE len(w) > 0 AND i < greatest(ceil((len(w) - 12) / 88.0), 1))
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY part, i)::INT AS chunk_no, len(w[i * 88 + 1 : i * 88 + 100])::INT AS n_tokens, md5(array_to_string(w[i * 88 + 1 : i * 88 + 100], ' ')) AS digest FROM k"""
+_PIX = "round((bbox.x1 - bbox.x0) * 300 / 72)::INT AS w, round((bbox.y1 - bbox.y0) * 300 / 72)::INT AS h"
+ORACLE["resized_crops"] = f"WITH {_BLOCKS}, s AS (SELECT block_uid, {_PIX} FROM b) SELECT block_uid, CASE WHEN greatest(w, h) <= 896 THEN w WHEN w >= h THEN 896 ELSE (w * 896) // h END::INT AS width, CASE WHEN greatest(w, h) <= 896 THEN h WHEN w >= h THEN (h * 896) // w ELSE 896 END::INT AS height FROM s WHERE w > 0 AND h > 0"
+_BODY_TEXT = ORACLE["document_markdown"].partition("SELECT doc, md5(")[2].rpartition(") AS digest FROM p GROUP BY doc")[0]
+ORACLE["final_markdown"] = f"""WITH {_BLOCKS}, {_PAGES}, {_PR}, {_VOTE}, t AS (SELECT doc, count(*) AS n, {_BODY_TEXT} AS m FROM p GROUP BY doc)
+SELECT doc, md5('---' || chr(10) || 'title: "' || regexp_replace(doc, '(.)\\.[^./]*$', '\\1') || '"' || chr(10) || 'source: "' || doc || '"' || chr(10) || 'pages: ' || n || chr(10) || 'layout: "' || coalesce(layout, '1-column') || '"' || chr(10) || '---' || chr(10) || CASE WHEN m <> '' THEN E'\\n\\n---\\n\\n' || m ELSE '' END) AS digest FROM t LEFT JOIN vote USING (doc)"""

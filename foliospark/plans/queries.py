@@ -11,6 +11,7 @@ from foliospark.functions import text as T
 from foliospark.functions.scale import cut
 from foliospark.operators import assemble, context, layout, pages, retrieval, transcript, units, weather
 from foliospark.plans.oracle import ORACLE as ORACLE
+from foliospark.sources import files
 from foliospark.sources.tables import table
 from foliospark.streaming import events as streams
 
@@ -142,7 +143,12 @@ def _positioned(courses: DataFrame) -> DataFrame:
         F.col("transcript_id").cast("string").alias("doc"), F.lit(1).alias("page"), (F.col("ord") * 20).alias("ord"),
         F.lit(0.0).alias("x0"), (F.col("ord") * 24.0).alias("y0"), F.col("semester").alias("text")
     )
-    return cell_rows.unionByName(heads)
+    # after the fifth course of every seventh transcript stands the caption that ends them
+    ends = c.where((F.col("transcript_id") % 7 == 0) & (F.col("ord") == 0)).select(
+        F.col("transcript_id").cast("string").alias("doc"), F.lit(1).alias("page"), F.lit(99).alias("ord"),
+        F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(f"  {transcript.END_MARKER}: ").alias("text")
+    )
+    return cell_rows.unionByName(heads).unionByName(ends)
 
 
 @query
@@ -174,12 +180,15 @@ def code_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def _weather_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Requests, lookup payloads and forecast payloads as a service would have sent them; every seventh place is not
-    found, every eleventh payload is no object.
+    found, every eleventh payload is no object, every thirteenth request has unknown units and every seventeenth no
+    location.
     """
     w = _once(table(spark, sf, "current_weather"), "obs_id", "received_at").join(table(spark, sf, "places"), "place_id")
     queries = w.select(
-        F.col("obs_id").alias("query_id"), F.col("name").alias("location"),
-        F.lit(None).cast("string").alias("language"), "units", (F.col("obs_id") % 2 == 0).alias("include_forecast")
+        F.col("obs_id").alias("query_id"),
+        F.when(F.col("obs_id") % 17 == 0, "").otherwise(F.col("name")).alias("location"),
+        F.lit(None).cast("string").alias("language"),
+        F.when(F.col("obs_id") % 13 == 0, "stone").otherwise(F.col("units")).alias("units"), (F.col("obs_id") % 2 == 0).alias("include_forecast")
     )
     place = F.struct("name", "country", "admin1", "latitude", "longitude", "timezone")
     found = F.when(F.col("obs_id") % 7 == 0, F.lit('{"results": []}')).otherwise(
@@ -287,11 +296,14 @@ def page_layouts(spark: SparkSession, sf: str) -> DataFrame:
     return layout.page_layouts(_boxes(b), _dims(b))
 
 
+def _votes(spark: SparkSession, sf: str) -> DataFrame:
+    results = _once(table(spark, sf, "page_results"), "page_uid", "ingested_at")
+    return layout.document_layouts(results.select("doc", "page", "layout"))
+
+
 @query
 def layout_vote(spark: SparkSession, sf: str) -> DataFrame:
-    return layout.document_layouts(
-        _once(table(spark, sf, "page_results"), "page_uid", "ingested_at").select("doc", "page", "layout")
-    )
+    return _votes(spark, sf)
 
 
 def _ordered(spark: SparkSession, sf: str) -> DataFrame:
@@ -421,6 +433,12 @@ def document_markdown(spark: SparkSession, sf: str) -> DataFrame:
     return assemble.document_markdown(_pages(spark, sf)).select("doc", F.md5("markdown").alias("digest"))
 
 
+@query
+def final_markdown(spark: SparkSession, sf: str) -> DataFrame:
+    made = assemble.final_markdown(_pages(spark, sf), _votes(spark, sf))
+    return made.select("doc", F.md5("markdown").alias("digest"))
+
+
 @query
 def repeated_lines(spark: SparkSession, sf: str) -> DataFrame:
     return pages.repeated_lines(_pages(spark, sf))
@@ -490,12 +508,9 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def metadata_json(spark: SparkSession, sf: str) -> DataFrame:
     b = _blocks(spark, sf)
-    votes = layout.document_layouts(
-        _once(table(spark, sf, "page_results"), "page_uid", "ingested_at").select("doc", "page", "layout")
-    )
+    sections = pages.section_map(_dims(b), _headings(b))
     return assemble.metadata_json(
-        assemble.block_counts(b), votes, pages.references_pages(_pages(spark, sf)),
-        pages.section_map(_dims(b), _headings(b))
+        assemble.block_counts(b), _votes(spark, sf), pages.references_pages(_pages(spark, sf)), sections
     )
 
 
@@ -531,9 +546,7 @@ def reading_modes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _files(spark: SparkSession, sf: str) -> DataFrame:
-    p = _once(
-        table(spark, sf, "page_results"), "page_uid", "ingested_at"
-    ).groupBy("doc").agg(F.max("page").alias("pages"))
+    p = files.page_counts(_once(table(spark, sf, "page_results"), "page_uid", "ingested_at"))
     return p.select(
         F.concat("doc", F.lit(".pdf")).alias("name"), (F.col("pages").cast("bigint") * 250000).alias("size_bytes"),
         "pages", F.when(F.length("doc") % 3 == 0, F.col("pages").cast("bigint") - 1).alias("output_size")
@@ -542,7 +555,17 @@ def _files(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def chunk_ranges(spark: SparkSession, sf: str) -> DataFrame:
-    return assemble.chunk_ranges(_files(spark, sf), 4)
+    image = assemble.chunk_image_name(F.col("chunk_no"), F.lit("fig.png"))
+    return assemble.chunk_ranges(_files(spark, sf), 4).withColumn("image", image)
+
+
+@query
+def resized_crops(spark: SparkSession, sf: str) -> DataFrame:
+    b = _blocks(spark, sf)
+    w, h = (F.round((F.col(f"bbox.{a}1") - F.col(f"bbox.{a}0")) * 300 / 72).cast("int") for a in "xy")
+    sizes = b.select("block_uid", w.alias("w"), h.alias("h")).where("w > 0 AND h > 0")
+    width, height = assemble.resized(F.col("w"), F.col("h"))
+    return sizes.select("block_uid", width.alias("width"), height.alias("height"))
 
 
 @query
