@@ -39,6 +39,8 @@ TEXT_TYPES = ("text", "unknown")
 ROMAN = "ivxlcdm"
 #: Marks that Markdown sets before headings and list items.
 BULLETS = "•◦▪‣*+"
+#: So many tokens can be looked for by a list in the plan; more are joined.
+LISTED = 1000
 #: Longer lines are masked before they are shuffled.
 LONG_LINE = 200
 
@@ -68,6 +70,8 @@ class Settings:
     #: Most frequent tokens that every task keeps to pass by the bulk of the text: at most this many short strings
     #: (about 1 MB); rarer ones are joined by shuffle.
     passed_tokens: int = 20_000
+    #: Of these the first get no row at all.
+    skipped_tokens: int = 1000
     #: Parts that a document's heads are spread over in joins.
     salts: int = 16
 
@@ -279,9 +283,10 @@ def wrong_tokens(known_tokens: DataFrame, fixes: DataFrame) -> DataFrame:
     ).join(fixes, "wrong").select("token", "wrong", "right", "n_right")
 
 
-def token_neighbours(blocks: DataFrame) -> DataFrame:
+def token_neighbours(blocks: DataFrame, skip: list[str] | None = None, only: list[str] | None = None) -> DataFrame:
     """block_uid, line_no, place (of the token in its line, from 0), token, and the tokens before and after it in the
-    block's text, over line ends.
+    block's text, over line ends.  Tokens to ``skip``, or all but those in ``only``, get no row (short lists: they are
+    part of the plan).
     """
     clean = F.translate("raw_content", "\t\r" + UNSEEN, "  ")
     lines = F.transform(
@@ -294,11 +299,17 @@ def token_neighbours(blocks: DataFrame) -> DataFrame:
     texts = blocks.where(
         F.col("block_type").isin(*TEXT_TYPES) & F.col("raw_content").isNotNull()
     ).select("block_uid", F.flatten(lines).alias("t"))
+    at = F.when(F.size("t") > 0, F.sequence(F.lit(0), F.size("t") - 1))
+    if skip:
+        at = F.filter(at, lambda i: ~F.get("t", i)["token"].isin(*skip))
+    if only is not None:
+        at = F.filter(at, lambda i: F.get("t", i)["token"].isin(*only))
     beside = F.transform(
-        "t",
-        lambda x, i: F.struct(
-            x["line_no"].alias("line_no"), x["place"].alias("place"), x["token"].alias("token"),
-            F.get("t", i - 1)["token"].alias("before"), F.get("t", i + 1)["token"].alias("after")
+        at,
+        lambda i: F.struct(
+            F.get("t", i)["line_no"].alias("line_no"), F.get("t", i)["place"].alias("place"),
+            F.get("t", i)["token"].alias("token"), F.get("t", i - 1)["token"].alias("before"),
+            F.get("t", i + 1)["token"].alias("after")
         )
     )
     return texts.select("block_uid", F.explode(beside).alias("s")).select("block_uid", "s.*")
@@ -317,10 +328,13 @@ def misread_words(
     forms, which are rare, so no frequent neighbour is a join key.  A word without
     neighbours has no support.
     """
-    passed = known_tokens.where(F.col("n") >= settings.frequent_least).orderBy(F.desc("n"), "token").limit(settings.passed_tokens).select("token").join(
-        wrong.select("token"), "token", "left_anti"
-    )
-    hits = token_neighbours(blocks).join(F.broadcast(passed), "token", "left_anti").join(wrong, "token")
+    passed = known_tokens.where(F.col("n") >= settings.frequent_least).orderBy(F.desc("n"), "token").limit(
+        settings.passed_tokens
+    ).select("token", "n").join(wrong.select("token"), "token", "left_anti")
+    passed = cut(passed)
+    first = [r["token"] for r in passed.orderBy(F.desc("n"), "token").limit(settings.skipped_tokens).collect()]
+    odd = token_neighbours(blocks, skip=first).join(F.broadcast(passed.select("token")), "token", "left_anti")
+    hits = odd.join(wrong, "token")
     near = hits.select("*", F.explode(F.array("before", "after")).alias("x")).select(
         "*", F.lower(F.regexp_extract("x", PLAIN, 1)).alias("form")
     ).drop("x").where("form <> ''")
@@ -574,7 +588,10 @@ def best_readings(misread: DataFrame, blocks: DataFrame, known_tokens: DataFrame
     forms = known_tokens.select("token", clean(F.col("token")).alias("right")).join(
         broadcast_if(cut(asked.select("right").distinct())), "right"
     )
-    near = token_neighbours(blocks).join(broadcast_if(cut(forms)), "token").select(
+    forms = cut(forms)
+    few = [r["token"] for r in forms.select("token").limit(LISTED + 1).collect()]
+    each = token_neighbours(blocks, only=few if len(few) <= LISTED else None)
+    near = each.join(broadcast_if(forms), "token").select(
         "right", clean(F.coalesce("before", F.lit(""))).alias("before"),
         clean(F.coalesce("after", F.lit(""))).alias("after")
     )
