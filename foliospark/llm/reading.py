@@ -85,10 +85,10 @@ class Reader:
         self.settings = settings
         self.familiar = familiar
         self.all_words = regex.compile(WORDS).findall
-        # the same words in texts of Latin letters and common punctuation, which have no marks of their own
+        # the same words in texts of Latin letters whose lower case is one too, and common punctuation (no marks)
         latin = "A-Za-zªµºÀ-ÖØ-öø-ɏḀ-ỿ"
         self.latin_words = re.compile(f"[{latin}]+(?:-[{latin}]+)*").findall
-        self.other = re.compile("[^\x00-įı-ɏḀ-ỿ\u2000-\u2064]").search
+        self.other = re.compile("[^\x00-įı-ſƠơƯưḀ-ỿ\u2000-\u2064]").search
         self.words = self.all_words
         self.letter = regex.compile(r"\p{L}").search
         self.sentence = regex.compile(rf"(?<=[.!?…])(?<!\b(?:{ABBREVIATIONS})\.)[\"')\]]*\s+(?=[\p{{Lu}}\"'(])").split
