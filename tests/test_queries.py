@@ -34,3 +34,20 @@ def test_entry(spark, sf):
     assert set(ORACLE) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns
+
+
+def test_candidates_go_to_the_texts(spark, sf):
+    """The texts of all documents are not shuffled for the few candidates of each query."""
+    from foliospark.plans.queries import _candidates
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        c = _candidates(spark, sf)[0]
+        plan = c._jdf.queryExecution().executedPlan().toString()
+        n, different = c.count(), c.select("query_id", "source_kind", "doc_id").distinct().count()
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert n == different > 0
