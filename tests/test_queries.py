@@ -51,3 +51,9 @@ def test_candidates_go_to_the_texts(spark, sf):
         spark.conf.set(key, before)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert n == different > 0
+
+
+def test_query_weights_are_not_broadcast_by_the_driver(spark, sf):
+    """The duplicates are dropped from a search whose weights are no hash table of the driver."""
+    plan = QUERIES["drop_near_duplicates"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "idf" not in plan
