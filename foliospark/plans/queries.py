@@ -624,14 +624,13 @@ def metadata_filter(spark: SparkSession, sf: str) -> DataFrame:
 def _bm25(spark: SparkSession, sf: str, k: int) -> DataFrame:
     """Keyword search with all shared terms of each query document."""
     d = _documents(spark, sf)
-    index = retrieval.postings(d)
-    df = cut(retrieval.document_frequencies(index))
-    ids = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"))
     # a few parts for each core, whatever the files are like: each gives the best of every query
     spread = d.select("doc_id", "text").repartition(3 * spark.sparkContext.defaultParallelism, "doc_id")
+    index = cut(retrieval.packed_index(retrieval.postings(spread)))
+    df = cut(retrieval.document_frequencies(index))
+    ids = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"))
     return retrieval.bm25(
-        retrieval.specific_terms(index, df, ids), retrieval.postings(spread), df,
-        retrieval.corpus_stats(d, frequencies=df), k
+        retrieval.specific_terms(retrieval.postings(d), df, ids), index, df, retrieval.corpus_stats(d, frequencies=df), k
     )
 
 

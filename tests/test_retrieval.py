@@ -397,3 +397,56 @@ def test_keyword_search_by_matrix_and_posting(spark):
     assert [x[1] for x in sorted(first, key=lambda x: x[3]) if x[0] == 3][:3] == [3, 73, 74]
     assert "Join" not in found[0]._jdf.queryExecution().executedPlan().toString()
     assert R.bm25(q.limit(0), index, f, R.corpus_stats(d, index, f)).collect() == []
+
+
+def test_keyword_search_on_a_packed_index(spark):
+    """The packed index has the documents, frequencies and scores of the plain one, whatever its blocks are."""
+    rng = random.Random(12)
+    tongues = [[f"{x}{i}" for i in range(40)] for x in "ab"]
+    texts = [
+        " ".join(tongues[i % 2][int(rng.random() ** 2 * 40)] for _ in range(rng.randrange(1, 50))) for i in range(90)
+    ]
+    d = docs(spark, [*texts, "", None, "once a0", texts[3] + " b1 b1", texts[3]]).repartition(2)
+    index = R.postings(d)
+    f = R.document_frequencies(index)
+    stats = R.corpus_stats(d, index)
+    q = R.specific_terms(index, f, d.where("doc_id < 9").select(d.doc_id.alias("query_id")))
+    score = {}
+    words = {i: t.split() for i, t in enumerate([*texts, "", "", "once a0", texts[3] + " b1 b1", texts[3]])}
+    mean = sum(map(len, words.values())) / len(words)
+    df = {t: sum(t in w for w in words.values()) for t in {t for w in words.values() for t in w}}
+    for i in range(9):
+        for j, w in words.items():
+            shared = [t for t in set(words[i]) & set(w) if df[t] > 1]
+            if shared:
+                score[i, j] = sum(
+                    np.log(1 + (len(words) - df[t] + 0.5) / (df[t] + 0.5)) * w.count(t) * 2.2 / (
+                        w.count(t) + 1.2 * (0.25 + 0.75 * len(w) / mean)
+                    ) for t in shared
+                )
+    for most in (1, 100, 2_000_000):
+        packed = R.packed_index(index, most)
+        got = packed.selectExpr("explode(arrays_zip(ids, length)) AS x").select("x.*").collect()
+        assert sorted(map(tuple, got)) == [(i, len(w)) for i, w in words.items()]
+        assert sorted(R.document_frequencies(packed).drop("words").collect()) == sorted(f.drop("words").collect())
+        assert R.corpus_stats(d, frequencies=R.document_frequencies(packed)).first() == stats.first()
+        for often in (0.05, 0.4, 2.0):
+            best = R.bm25(q, packed, f, stats, 7, often=often).collect()
+            assert len(best) == 63
+            for i in range(9):
+                mine = sorted((r for r in best if r["query_id"] == i), key=lambda r: r["rank"])
+                wanted = sorted((-round(v, 6), j) for (x, j), v in score.items() if x == i)[:7]
+                assert [r["doc_id"] for r in mine] == [j for _, j in wanted]
+                assert np.allclose([r["score"] for r in mine], [-v for v, _ in wanted], atol=2e-6)
+
+
+def test_single_precision_does_not_change_the_best():
+    """Near ties that single precision puts in the wrong order come out right, and no best one is missed."""
+    rng = np.random.default_rng(4)
+    exact = 100 + rng.random((5, 400)) * 1e-4
+    s = (exact * (1 + rng.uniform(-1, 1, exact.shape) * 2.0**-22)).astype(np.float32)
+    assert (np.argsort(-s, 1)[:, :10] != np.argsort(-exact, 1)[:, :10]).any()
+    for least in (np.zeros(5), np.sort(exact, 1)[:, -10]):
+        rows, columns = R._better(s, least, 10, 1e-6, 2.0**-21)
+        for i in range(5):
+            assert set(np.argsort(-exact[i])[:10]) <= set(columns[rows == i])
