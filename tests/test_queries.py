@@ -57,3 +57,13 @@ def test_query_weights_are_not_broadcast_by_the_driver(spark, sf):
     """The duplicates are dropped from a search whose weights are no hash table of the driver."""
     plan = QUERIES["drop_near_duplicates"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "idf" not in plan
+
+
+def test_conditions_on_the_content_meet_candidates_only(spark, sf):
+    """Hidden instructions are looked for in the candidates, not in the texts of all documents."""
+    from foliospark.operators import context
+    from foliospark.plans.queries import _candidates
+
+    plan = context.safe_candidates(_candidates(spark, sf)[0])._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan and "Join" in plan
+    assert "RLIKE" not in plan[plan.index("Join") :].split("\n", 1)[1]
