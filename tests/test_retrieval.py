@@ -450,3 +450,12 @@ def test_single_precision_does_not_change_the_best():
         rows, columns = R._better(s, least, 10, 1e-6, 2.0**-21)
         for i in range(5):
             assert set(np.argsort(-exact[i])[:10]) <= set(columns[rows == i])
+
+
+def test_usage_compares_the_texts_once(spark):
+    bundle = spark.createDataFrame([(1, "a b c", 3), (1, "x y", 2)], "query_id int, content string, tokens int")
+    answers = spark.createDataFrame([(1, "a b. q r s. x.")], "query_id int, answer string")
+    u = R.usage(bundle, answers)
+    assert "array_intersect" not in u._jdf.queryExecution().optimizedPlan().toString()
+    (r,) = u.collect()
+    assert (r["parts"], r["tokens"], r["used"], round(r["unsupported"], 6)) == (2, 5, 2, 0.333333)
