@@ -459,3 +459,10 @@ def test_usage_compares_the_texts_once(spark):
     assert "array_intersect" not in u._jdf.queryExecution().optimizedPlan().toString()
     (r,) = u.collect()
     assert (r["parts"], r["tokens"], r["used"], round(r["unsupported"], 6)) == (2, 5, 2, 0.333333)
+
+
+def test_prefixes_are_made_once(spark):
+    d = docs(spark, ["a b c d e f g h i j", "a b c d e f g h i k", "other words in this text here", "a b c d e f g h i j"])
+    plan = R.similar_pairs(d, 0.7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    assert [tuple(r)[:2] for r in R.similar_pairs(d, 0.7).collect()] == [(0, 1)]
