@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import numpy as np
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
@@ -175,9 +176,25 @@ def word_tokens(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+"), lambda w: w != "")
 
 
+#: A character of a term: a letter, mark or digit.
+TERM = r"[\p{L}\p{M}\p{N}]"
+
+
 def terms(text: Column) -> Column:
     """Lower-case runs of letters, marks and digits, for keyword search."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{M}\p{N}]+"), 0)
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"{TERM}+"), 0)
+
+
+def term_characters(spark: SparkSession) -> np.ndarray:
+    """Of every code point, whether ``terms`` takes it as part of a term: asked of the JVM once, since the Unicode
+    versions of Python and Java differ.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_foliospark_terms", None) is None:
+        every = "".join(" " if 0xD800 <= c < 0xE000 else chr(c) for c in range(0x110000))
+        left = context._jvm.java.util.regex.Pattern.compile(TERM).matcher(every).replaceAll("\0")
+        context._foliospark_terms = (np.frombuffer(left.encode("utf-32-le"), np.uint32) == 0) & (np.arange(0x110000) > 0)
+    return context._foliospark_terms
 
 
 def json_indented(value: Column, kind: DataType, level: int = 0) -> Column:

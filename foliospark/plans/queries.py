@@ -625,8 +625,7 @@ def _bm25(spark: SparkSession, sf: str, k: int) -> DataFrame:
     """Keyword search with all shared terms of each query document."""
     d = _documents(spark, sf)
     # a few parts for each core, whatever the files are like: each gives the best of every query
-    spread = d.select("doc_id", "text").repartition(3 * spark.sparkContext.defaultParallelism, "doc_id")
-    index = cut(retrieval.packed_index(retrieval.postings(spread)))
+    index = cut(retrieval.packed_texts(d, 3 * spark.sparkContext.defaultParallelism))
     df = cut(retrieval.document_frequencies(index))
     ids = d.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"))
     return retrieval.bm25(
@@ -809,6 +808,8 @@ def token_budget(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def prompt_build(spark: SparkSession, sf: str) -> DataFrame:
     c, q = _candidates(spark, sf)
+    # by query, for the budget of each kind and for the prompt: the texts are shuffled once
+    c = c.repartition("query_id")
     return context.build_prompt(context.within_budget(c, 4000), q).select("query_id", F.md5("prompt").alias("digest"))
 
 

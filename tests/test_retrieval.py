@@ -1,7 +1,10 @@
 import random
+from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from foliospark.functions import text as T
 from foliospark.operators import context as C
 from foliospark.operators import retrieval as R
 
@@ -466,3 +469,41 @@ def test_prefixes_are_made_once(spark):
     plan = R.similar_pairs(d, 0.7)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
     assert [tuple(r)[:2] for r in R.similar_pairs(d, 0.7).collect()] == [(0, 1)]
+
+
+def test_texts_are_cut_as_by_the_pattern(spark):
+    """The packed index of texts is that of their terms, over all code points, and borders of texts end a term."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c}b " for c in every[i : i + 4096]) for i in range(0, len(every), 4096)]
+    d = docs(spark, [*texts, "x", "y z", None, "", " ", "İstanbul ΟΔΟΣ x́ x", "...", "z"])
+    wanted = {r[0]: r[1] for r in d.select("doc_id", T.terms(F.col("text"))).collect()}
+    for most in (1, 100_000, 32_000_000):
+        packed = R.packed_texts(d, 3, most)
+        got = {}
+        for r in packed.collect():
+            place = 0
+            for doc, length, n in zip(r["ids"], r["length"], r["n"]):
+                mine = slice(place, place + n)
+                got[doc] = length, Counter({r["vocabulary"][c]: f for c, f in zip(r["code"][mine], r["tf"][mine])})
+                place += n
+        assert got == {i: (len(t), Counter(t)) for i, t in wanted.items()}
+        plain = R.document_frequencies(R.postings(d))
+        assert sorted(R.document_frequencies(packed).drop("words").collect()) == sorted(plain.drop("words").collect())
+        assert R.corpus_stats(d, frequencies=R.document_frequencies(packed)).first() == R.corpus_stats(d).first()
+        assert packed.selectExpr("aggregate(df, 0, (x, y) -> x + y) = size(code)").distinct().collect() == [(True,)]
+
+
+def test_keyword_search_of_the_queries_makes_no_row_of_terms(spark, sf, monkeypatch):
+    from foliospark.plans import queries as Q
+
+    seen = []
+    monkeypatch.setattr(Q, "cut", lambda df: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    Q._bm25(spark, sf, 3)
+    assert "ids" in seen[0] and "regexp_extract_all" not in seen[0]
+
+
+def test_prompts_shuffle_the_texts_once(spark, sf):
+    from foliospark.plans import queries as Q
+
+    plan = Q.prompt_build(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.splitlines() if " Exchange hashpartitioning(query_id" in x]) == 2  # candidates, queries
