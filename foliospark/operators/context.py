@@ -81,7 +81,10 @@ def over_fetch(candidates: DataFrame, k: int = 50) -> DataFrame:
 
 def lexical_overlap(query: Column, content: Column) -> Column:
     """Share of the query's terms that the content has; 0 without any."""
-    q = F.array_distinct(T.terms(query))
+    return _share_of(F.array_distinct(T.terms(query)), content)
+
+
+def _share_of(q: Column, content: Column) -> Column:
     return F.coalesce(F.try_divide(F.size(F.array_intersect(q, T.terms(content))), F.size(q)), F.lit(0.0))
 
 
@@ -92,8 +95,13 @@ def rerank(
     """Candidates with ``rerank_score`` of a scorer (any column expression, a pandas UDF too) plus weighted age and
     trust, ranked in each query.
     """
-    c = candidates.join(queries.select("query_id", "query"), "query_id")
-    score = scorer(F.col("query"), F.col("content"))
+    if scorer is lexical_overlap:  # the terms of a query are made once, not for each of its candidates
+        terms = F.array_distinct(T.terms(F.col("query")))
+        c = candidates.join(queries.select("query_id", terms.alias("query")), "query_id")
+        score = _share_of(F.col("query"), F.col("content"))
+    else:
+        c = candidates.join(queries.select("query_id", "query"), "query_id")
+        score = scorer(F.col("query"), F.col("content"))
     if trust_weight:
         score = score + trust_weight * F.coalesce("trust", F.lit(0.0))
     if recency_weight:
@@ -114,22 +122,25 @@ def compress(ranked: DataFrame, queries: DataFrame, keep_verbatim: float = 0.5,
     """
     c = ranked.join(queries.select("query_id", F.array_distinct(T.terms(F.col("query"))).alias("_q")), "query_id")
     parts = F.filter(F.split("content", r"(?<=[.!?…])\s+"), lambda s: F.length(s) > 0)
-    c = c.withColumn(
-        "_s",
-        F.transform(
-            parts,
-            lambda s, i: F.struct(
-                (-F.size(F.array_intersect(F.col("_q"), T.terms(s)))).alias("o"), i.alias("i"), s.alias("s")
-            )
+    told = F.transform(parts, lambda s, i: F.struct(i.alias("i"), s.alias("s"), T.terms(s).alias("t")))
+    # sentences are compared with the terms that content and query share, which are few
+    once = lambda value, f: F.transform(F.array(value), f)[0]
+    shared = lambda x: F.array_intersect("_q", F.flatten(F.transform(x, lambda y: y["t"])))
+
+    def best(x: Column, m: Column) -> Column:
+        scored = F.transform(
+            x,
+            lambda y: F.struct((-F.size(F.array_intersect(m, y["t"]))).alias("o"), y["i"].alias("i"), y["s"].alias("s"))
         )
-    )
-    best = F.array_sort(
-        F.transform(F.slice(F.array_sort("_s"), 1, sentences), lambda x: F.struct(x["i"].alias("i"), x["s"].alias("s")))
-    )
-    short = F.array_join(F.transform(best, lambda x: x["s"]), " ")
+        kept = F.transform(
+            F.slice(F.array_sort(scored), 1, sentences), lambda y: F.struct(y["i"].alias("i"), y["s"].alias("s"))
+        )
+        return F.array_join(F.transform(F.array_sort(kept), lambda y: y["s"]), " ")
+
+    short = once(told, lambda x: once(shared(x), lambda m: best(x, m)))
     return c.withColumn(
         "content", F.when(F.col("rerank_score") >= keep_verbatim, F.col("content")).otherwise(short)
-    ).drop("_s", "_q")
+    ).drop("_q")
 
 
 def within_budget(candidates: DataFrame, total_tokens: int, shares: dict[str, float] | None = None) -> DataFrame:

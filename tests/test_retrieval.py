@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -507,3 +508,29 @@ def test_prompts_shuffle_the_texts_once(spark, sf):
 
     plan = Q.prompt_build(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert len([x for x in plan.splitlines() if " Exchange hashpartitioning(query_id" in x]) == 2  # candidates, queries
+
+
+def test_terms_of_a_query_are_made_once_for_its_candidates(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"w{rng.randrange(30)}" + rng.choice(["", "", ".", "! "]) for _ in range(n))
+    texts = [text(40) for _ in range(30)] + ["", None, "...", "w1", "No.  w1 w1. W2! w3"]
+    asked = {1: text(12), 2: "w1 W2 w3 w3", 3: ""}
+    c = spark.createDataFrame(
+        [(q, f"{i:02}", "k", t, None) for q in asked for i, t in enumerate(texts)],
+        "query_id int, chunk_id string, source_kind string, content string, trust double"
+    )
+    q = spark.createDataFrame(list(asked.items()), "query_id int, query string")
+    ranked = C.rerank(c, q)
+    above = lambda df: df._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
+    assert "content" in above(ranked) and above(ranked).count("regexp_extract_all") == 1  # of the content
+    short = C.compress(ranked, q, 0.5, 2)
+    assert above(short).count("array_intersect(_q") == 1  # whole content against the query, not sentence by sentence
+    words = lambda t: set(re.findall("[a-z0-9]+", (t or "").lower()))
+    for r in short.collect():
+        own, full = words(asked[r["query_id"]]), texts[int(r["chunk_id"])]
+        assert r["rerank_score"] == round(len(own & words(full)) / len(own), 9) if own else r["rerank_score"] == 0
+        if r["rerank_score"] < 0.5 and full is not None:
+            parts = [s for s in re.split(r"(?<=[.!?…])\s+", full) if s]
+            best = sorted(range(len(parts)), key=lambda i: (-len(own & words(parts[i])), i))[:2]
+            full = " ".join(parts[i] for i in sorted(best))
+        assert r["content"] == full
