@@ -485,13 +485,15 @@ def test_texts_are_cut_as_by_the_pattern(spark):
             place = 0
             for doc, length, n in zip(r["ids"], r["length"], r["n"]):
                 mine = slice(place, place + n)
-                got[doc] = length, Counter({r["vocabulary"][c]: f for c, f in zip(r["code"][mine], r["tf"][mine])})
+                got[doc] = kinds = length, Counter({r["vocabulary"][c]: f for c, f in zip(r["code"][mine], r["tf"][mine])})
                 place += n
+                at = r["ids"].index(doc)
+                begin = sum(r["copies"][:at])
+                got |= dict.fromkeys(r["more"][begin : begin + r["copies"][at]], kinds)
         assert got == {i: (len(t), Counter(t)) for i, t in wanted.items()}
         plain = R.document_frequencies(R.postings(d))
         assert sorted(R.document_frequencies(packed).drop("words").collect()) == sorted(plain.drop("words").collect())
         assert R.corpus_stats(d, frequencies=R.document_frequencies(packed)).first() == R.corpus_stats(d).first()
-        assert packed.selectExpr("aggregate(df, 0, (x, y) -> x + y) = size(code)").distinct().collect() == [(True,)]
 
 
 def test_keyword_search_of_the_queries_makes_no_row_of_terms(spark, sf, monkeypatch):
@@ -534,3 +536,26 @@ def test_terms_of_a_query_are_made_once_for_its_candidates(spark):
             best = sorted(range(len(parts)), key=lambda i: (-len(own & words(parts[i])), i))[:2]
             full = " ".join(parts[i] for i in sorted(best))
         assert r["content"] == full
+
+
+def test_copies_are_scored_once(spark):
+    """Copies, more of them than wanted too, are one document of the index, and have their own places in the result."""
+    rng = random.Random(21)
+    texts = [" ".join(f"w{int(rng.random() ** 2 * 30)}" for _ in range(rng.randrange(1, 25))) for _ in range(40)]
+    every = [*texts, *texts[:20], *[texts[3].upper()] * 9, *[texts[5]] * 3, None, "", ""]
+    rng.shuffle(every)
+    d = docs(spark, every).repartition(3)
+    plain = R.packed_index(R.postings(d))
+    packed = R.packed_texts(d, 2)
+    assert packed.selectExpr("sum(size(ids))").first()[0] == len({(t or "").lower() for t in every}) < len(every)
+    assert packed.selectExpr("sum(size(ids) + size(more))").first()[0] == len(every)
+    assert packed.selectExpr("min(size(copies) = size(ids))").first()[0]
+    f = R.document_frequencies(packed)
+    assert sorted(f.drop("words").collect()) == sorted(R.document_frequencies(plain).drop("words").collect())
+    stats = R.corpus_stats(d, frequencies=f)
+    assert stats.first() == R.corpus_stats(d).first()
+    q = R.specific_terms(R.postings(d), f, d.where("doc_id % 4 = 0").select(d.doc_id.alias("query_id")))
+    for k in (1, 3, 30):
+        for index in (packed, R.packed_texts(d, 3, 40)):
+            got = sorted(R.bm25(q, index, f, stats, k).collect())
+            assert got == sorted(R.bm25(q, plain, f, stats, k).collect()) and got
